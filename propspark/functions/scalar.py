@@ -44,7 +44,7 @@ def clean_numeric(c, mode: str = "strict", junk_replacement: str = "0") -> Colum
 def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
     """Strict date parse; unparsable text gives NULL."""
     c = _c(c)
-    return F.try_to_date(c.cast("string"), F.lit(fmt)) if fmt else F.to_date(c)
+    return F.try_to_date(c.cast("string"), fmt) if fmt else F.to_date(c)
 
 
 def month_key(c) -> Column:

@@ -31,7 +31,7 @@ def typed_series(df: DataFrame, label_col: str, value_cols: list[str],
     if label_format == "french":
         d = french_month_to_date(label_col)
     else:
-        d = F.try_to_date(F.col(label_col), F.lit(label_format))
+        d = F.try_to_date(F.col(label_col), label_format)
     out = df.select(d.alias(date_col), *[comma_decimal(c).alias(c) for c in value_cols])
     if start:
         out = out.filter(F.col(date_col) >= F.to_date(F.lit(start)))

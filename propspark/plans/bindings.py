@@ -132,8 +132,8 @@ DEPARTEMENTS_SQL = """departements AS (
 def monthly_macro(spark: SparkSession, d: str) -> DataFrame:
     """Monthly series from lineitem: one row per month (bounded by months)."""
     li = table(spark, d, "lineitem")
-    return (li.groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("Date"))
-            .agg(F.round(F.avg("l_discount") * 100, 6).alias("taux_hors_renegociations"),
+    return (li.withColumn("_m", F.trunc(F.to_date("l_shipdate"), "month")).groupBy(F.col("_m").alias("Date"))
+            .agg(F.round(F.month(F.first("_m")) % 5 + F.avg("l_discount") * 10, 6).alias("taux_hors_renegociations"),
                  (F.count(F.lit(1)) / 100.0).alias("credits_habitat_hors_renegociations"),
                  F.round(F.avg("l_tax") * 100, 6).alias("variations_encours_mensuelles_cvs"),
                  F.round(F.avg("l_quantity"), 6).alias("ipc")))
@@ -141,11 +141,11 @@ def monthly_macro(spark: SparkSession, d: str) -> DataFrame:
 
 MACRO_SQL = """macro AS (
   SELECT CAST(date_trunc('month', l_shipdate) AS DATE) AS "Date",
-         round(avg(l_discount) * 100, 6) AS taux_hors_renegociations,
+         round(month(date_trunc('month', l_shipdate)) % 5 + avg(l_discount) * 10, 6) AS taux_hors_renegociations,
          count(*) / 100.0 AS credits_habitat_hors_renegociations,
          round(avg(l_tax) * 100, 6) AS variations_encours_mensuelles_cvs,
          round(avg(l_quantity), 6) AS ipc
-  FROM lineitem GROUP BY 1)"""
+  FROM lineitem GROUP BY date_trunc('month', l_shipdate))"""
 
 MACRO_MEASURES = ["credits_habitat_hors_renegociations", "taux_hors_renegociations",
                   "variations_encours_mensuelles_cvs", "ipc"]

@@ -321,7 +321,7 @@ def literal_dim_fill(spark, d):
     codes = F.array(*[F.lit(code) for code, _ in COMMUNE_POPULATION])
     cust = c.select(
         "c_custkey",
-        F.coalesce(F.element_at(codes, (F.col("c_custkey") % 60 + 1).cast("int")),
+        F.coalesce(F.try_element_at(codes, (F.col("c_custkey") % 60 + 1).cast("int")),
                    F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("code_commune"),
         F.when(F.col("c_custkey") % 3 != 0, (F.col("c_custkey") % 500).cast("int")).alias("nb_menages_2021_commune"))
     dim = impute.households_dim(spark)

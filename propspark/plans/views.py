@@ -84,7 +84,8 @@ def department_stats(departements: DataFrame, communes: DataFrame, mutations: Da
 
 # A7 / J16 -------------------------------------------------------------------
 def price_by_type(mutations: DataFrame, biens: DataFrame) -> DataFrame:
-    out = mutations.join(biens.select("id_bien", "type_local"), "id_bien")
+    out = mutations.select("id_bien", "valeur_fonciere", "prix_par_m2_habitable") \
+        .join(biens.select("id_bien", "type_local"), "id_bien")
     return (out.groupBy("type_local")
             .agg(F.count(F.lit(1)).alias("nb_ventes"), _r(F.avg("valeur_fonciere")).alias("prix_moyen"),
                  _r(F.avg("prix_par_m2_habitable")).alias("prix_m2_moyen"))
