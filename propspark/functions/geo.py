@@ -92,24 +92,29 @@ def euclidean(x1, y1, x2, y2) -> Column:
 def ring_centroid(points, x: str = "x", y: str = "y") -> Column:
     """Area centroid of a ring (ARRAY<STRUCT<x,y>>), shoelace formula.
 
-    The ring is closed implicitly (last point joins the first).  Degenerate
+    The ring is closed implicitly (last point joins the first; a repeated
+    closing point adds nothing).  Computed relative to the first vertex so
+    that metre coordinates around 10^6 keep their precision.  Degenerate
     rings (zero area) give NULL.  Returns STRUCT<x DOUBLE, y DOUBLE>.
     """
     pts = _c(points)
     n = F.size(pts)
-    nxt = F.transform(pts, lambda p, i: F.element_at(pts, F.when(i + 1 == n, F.lit(1)).otherwise(i + 2)))
-    pairs = F.arrays_zip(pts.alias("a"), nxt.alias("b"))
+    ox, oy = F.element_at(pts, 1)[x], F.element_at(pts, 1)[y]
+    rel = F.transform(pts, lambda p: F.struct((p[x] - ox).alias("x"), (p[y] - oy).alias("y")))
+    nxt = F.transform(rel, lambda p, i: F.element_at(rel, F.when(i + 1 == n, F.lit(1)).otherwise(i + 2)))
+    pairs = F.arrays_zip(rel.alias("a"), nxt.alias("b"))
     terms = F.transform(pairs, lambda z: F.struct(
-        (z["a"][x] * z["b"][y] - z["b"][x] * z["a"][y]).alias("cr"),
-        (z["a"][x] + z["b"][x]).alias("sx"),
-        (z["a"][y] + z["b"][y]).alias("sy")))
+        (z["a"]["x"] * z["b"]["y"] - z["b"]["x"] * z["a"]["y"]).alias("cr"),
+        (z["a"]["x"] + z["b"]["x"]).alias("sx"),
+        (z["a"]["y"] + z["b"]["y"]).alias("sy")))
     zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"))
     acc = F.aggregate(terms, zero, lambda acc, t: F.struct(
         (acc["a2"] + t["cr"]).alias("a2"),
         (acc["cx"] + t["sx"] * t["cr"]).alias("cx"),
         (acc["cy"] + t["sy"] * t["cr"]).alias("cy")))
     a2 = acc["a2"]
-    return F.when(a2 != 0, F.struct((acc["cx"] / (3 * a2)).alias("x"), (acc["cy"] / (3 * a2)).alias("y")))
+    return F.when(a2 != 0, F.struct((ox + acc["cx"] / (3 * a2)).alias("x"),
+                                    (oy + acc["cy"] / (3 * a2)).alias("y")))
 
 
 def line_centroid(points, x: str = "x", y: str = "y") -> Column:
