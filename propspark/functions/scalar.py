@@ -87,11 +87,21 @@ def comma_decimal(c) -> Column:
     return F.when(ok, F.trim(txt).try_cast("double"))
 
 
+# F22 ------------------------------------------------------------------------
+def sql_round(c, scale: int = 2) -> Column:
+    """ROUND of a DOUBLE the way SQL engines do it: scale by 10^d in floating
+    point, round half away from zero, scale back.  ``F.round`` rounds the
+    exact decimal value instead, which differs on binary ties such as
+    985.4 / 40 = 24.634999999999998 (SQL: 24.64, F.round: 24.63)."""
+    k = float(10 ** scale)
+    return F.round(_c(c).cast("double") * F.lit(k)) / F.lit(k)
+
+
 # F7 F8 ----------------------------------------------------------------------
 def safe_ratio(num, den, scale: int | None = None) -> Column:
     """num / den, NULL when den is 0 or NULL (no inf, no ANSI error)."""
     r = F.try_divide(_c(num).cast("double"), _c(den).cast("double"))
-    return F.round(r, scale) if scale is not None else r
+    return sql_round(r, scale) if scale is not None else r
 
 
 # F9 -------------------------------------------------------------------------

@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from propspark.functions import scalar as S
+
 from propspark.constants import ENERGY_LETTERS, POI_CATEGORIES
 from propspark.functions.scalar import safe_ratio
 
@@ -133,10 +135,10 @@ def monthly_macro(spark: SparkSession, d: str) -> DataFrame:
     """Monthly series from lineitem: one row per month (bounded by months)."""
     li = table(spark, d, "lineitem")
     return (li.withColumn("_m", F.trunc(F.to_date("l_shipdate"), "month")).groupBy(F.col("_m").alias("Date"))
-            .agg(F.round(F.month(F.first("_m")) % 5 + F.avg("l_discount") * 10, 6).alias("taux_hors_renegociations"),
+            .agg(S.sql_round(F.month(F.first("_m")) % 5 + F.avg("l_discount") * 10, 6).alias("taux_hors_renegociations"),
                  (F.count(F.lit(1)) / 100.0).alias("credits_habitat_hors_renegociations"),
-                 F.round(F.avg("l_tax") * 100, 6).alias("variations_encours_mensuelles_cvs"),
-                 F.round(F.avg("l_quantity"), 6).alias("ipc")))
+                 S.sql_round(F.avg("l_tax") * 100, 6).alias("variations_encours_mensuelles_cvs"),
+                 S.sql_round(F.avg("l_quantity"), 6).alias("ipc")))
 
 
 MACRO_SQL = """macro AS (

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from propspark.functions import scalar as S
+
 from propspark.constants import POI_CATEGORIES
 from propspark.functions.geo import lambert93_sql
 from propspark.operators import impute, spatial
@@ -58,7 +60,7 @@ def _customers(spark, d):
 SELECT c_custkey, round({_CX}, 2) AS x_proj, round({_CY}, 2) AS y_proj FROM customer""")
 def project_l93(spark, d):
     c = _customers(spark, d)
-    return c.select("c_custkey", F.round("x_proj", 2).alias("x_proj"), F.round("y_proj", 2).alias("y_proj"))
+    return c.select("c_custkey", S.sql_round("x_proj", 2).alias("x_proj"), S.sql_round("y_proj", 2).alias("y_proj"))
 
 
 @register("poi_features", with_ctes(_PTS_SQL) + f"""
@@ -201,7 +203,7 @@ def ring_centroid_q(spark, d):
     tri = F.array(pt(x0, y0), pt(x0 + w, y0), pt(x0, y0 + h))
     ring = F.when(F.col("p_partkey") % 4 == 0, tri).otherwise(rect)
     c = ring_centroid(ring)
-    return p.select("p_partkey", F.round(c["x"], 6).alias("cx"), F.round(c["y"], 6).alias("cy"))
+    return p.select("p_partkey", S.sql_round(c["x"], 6).alias("cx"), S.sql_round(c["y"], 6).alias("cy"))
 
 
 # ------------------------------------------------------------- POI dedup

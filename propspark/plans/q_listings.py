@@ -1,3 +1,218 @@
-"""Queries registered on import."""
+"""Listing queries: views, reports, payload parsing, upserts, images.
+
+Listings are bound to ``part`` (see ``bindings``); raw payloads and upsert
+streams are rebuilt from ``events`` so that the JSON work grows with the
+table.
+"""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from propspark.constants import ENERGY_EXCLUDED, LIFT_LABELS
+from propspark.functions import scalar as S
+from propspark.operators import listings as L
+from propspark.plans import views
+from propspark.plans.bindings import ANNONCES_SQL, DIAGNOSTICS_SQL, annonces, diagnostics, table
+from propspark.plans.registry import register, with_ctes
+from propspark.sources.listings import payload_to_listing, type_listing
+
+_EXCL = ", ".join(f"'{x}'" for x in ENERGY_EXCLUDED)
+
+
+@register("listing_view", with_ctes(ANNONCES_SQL, DIAGNOSTICS_SQL) + """
+SELECT a.*, d.dpe_valeur, d.dpe_lettre, d.ges_valeur, d.ges_lettre,
+       ROUND(a.prix / NULLIF(a.surface, 0), 2) AS prix_m2
+FROM annonces a LEFT JOIN diagnostics d ON a.id = d.id_annonce""")
+def listing_view(spark, d):
+    return views.listing_view(annonces(spark, d), diagnostics(spark, d))
+
+
+@register("town_stats", with_ctes(ANNONCES_SQL) + """
+SELECT ville, code_postal, COUNT(id) AS nb_annonces, ROUND(AVG(prix), 2) AS prix_moyen,
+       ROUND(AVG(prix / surface), 2) AS prix_m2_moyen, ROUND(AVG(surface), 2) AS surface_moyenne,
+       MIN(prix) AS prix_min, MAX(prix) AS prix_max
+FROM annonces WHERE surface > 0 GROUP BY ville, code_postal ORDER BY nb_annonces DESC""")
+def town_stats(spark, d):
+    return views.town_stats(annonces(spark, d))
+
+
+@register("type_stats", with_ctes(ANNONCES_SQL) + """
+SELECT type, COUNT(id) AS nb_annonces, ROUND(AVG(prix), 2) AS prix_moyen,
+       ROUND(AVG(prix / surface), 2) AS prix_m2_moyen, ROUND(AVG(surface), 2) AS surface_moyenne,
+       ROUND(AVG(pieces), 1) AS pieces_moyenne
+FROM annonces WHERE surface > 0 GROUP BY type ORDER BY nb_annonces DESC""")
+def type_stats(spark, d):
+    return views.type_stats(annonces(spark, d))
+
+
+@register("energy_stats", with_ctes(ANNONCES_SQL, DIAGNOSTICS_SQL) + f"""
+SELECT d.dpe_lettre, COUNT(a.id) AS nb_annonces, ROUND(AVG(a.prix), 2) AS prix_moyen,
+       ROUND(AVG(a.prix / a.surface), 2) AS prix_m2_moyen
+FROM annonces a JOIN diagnostics d ON a.id = d.id_annonce
+WHERE d.dpe_lettre IS NOT NULL AND d.dpe_lettre NOT IN ({_EXCL}) AND a.surface > 0
+GROUP BY d.dpe_lettre ORDER BY d.dpe_lettre""")
+def energy_stats(spark, d):
+    return views.energy_stats(annonces(spark, d), diagnostics(spark, d))
+
+
+@register("listing_overview", with_ctes(ANNONCES_SQL) + """
+SELECT type, COUNT(*) AS nb_annonces, ROUND(AVG(prix), 2) AS prix_moyen,
+       ROUND(AVG(prix / surface), 2) AS prix_m2_moyen
+FROM annonces WHERE surface > 0 GROUP BY type ORDER BY nb_annonces DESC""")
+def listing_overview(spark, d):
+    return views.listing_overview(annonces(spark, d))
+
+
+@register("top_towns_having", with_ctes(ANNONCES_SQL) + """
+SELECT ville, COUNT(*) AS nb_annonces, ROUND(AVG(prix / surface), 2) AS prix_m2_moyen
+FROM annonces WHERE surface > 0 GROUP BY ville HAVING COUNT(*) >= 3
+ORDER BY prix_m2_moyen DESC, ville LIMIT 5""")
+def top_towns_having(spark, d):
+    return views.top_towns(annonces(spark, d), min_listings=3, k=5)
+
+
+@register("energy_distribution", with_ctes(ANNONCES_SQL, DIAGNOSTICS_SQL) + f"""
+SELECT d.dpe_lettre, COUNT(*) AS nb_annonces, ROUND(AVG(a.prix), 2) AS prix_moyen
+FROM annonces a JOIN diagnostics d ON a.id = d.id_annonce
+WHERE d.dpe_lettre IS NOT NULL AND d.dpe_lettre NOT IN ({_EXCL})
+GROUP BY d.dpe_lettre ORDER BY d.dpe_lettre""")
+def energy_distribution(spark, d):
+    return views.energy_distribution(annonces(spark, d), diagnostics(spark, d))
+
+
+@register("lift_split", with_ctes(ANNONCES_SQL) + f"""
+SELECT CASE WHEN ascenseur = 1 THEN '{LIFT_LABELS[0]}' ELSE '{LIFT_LABELS[1]}' END AS type_immeuble,
+       COUNT(*) AS nb_annonces, ROUND(AVG(prix), 2) AS prix_moyen, ROUND(AVG(prix / surface), 2) AS prix_m2_moyen
+FROM annonces WHERE surface > 0 AND type = 'ECONOMY' GROUP BY ascenseur""")
+def lift_split(spark, d):
+    return views.lift_split(annonces(spark, d), flat_type="ECONOMY")
+
+
+@register("monthly_listings", with_ctes(ANNONCES_SQL) + """
+SELECT strftime(date_publication, '%Y-%m') AS mois, COUNT(*) AS nb_annonces, ROUND(AVG(prix), 2) AS prix_moyen
+FROM annonces GROUP BY mois ORDER BY mois DESC NULLS LAST LIMIT 6""")
+def monthly_listings(spark, d):
+    return views.monthly_listings(annonces(spark, d), k=6)
+
+
+# ------------------------------------------------------------- raw payloads
+def _payloads(spark, d):
+    """events -> raw agency payload JSON objects (Bien_* keys, adviser
+    fields that must not survive, two image keys, one sometimes empty)."""
+    e = table(spark, d, "events")
+    cents = (F.round(F.col("value") * 100)).cast("long")
+    payload = F.to_json(F.struct(
+        F.col("event_id").cast("string").alias("Bien_Reference"),
+        F.date_format("ts", "yyyy-MM-dd").alias("Bien_Date"),
+        F.col("event_type").alias("Bien_Type"),
+        cents.alias("Bien_Prix"),
+        (F.col("user_id") % 40 + 10).alias("Bien_Surface"),
+        F.concat(F.lit("Town"), (F.col("user_id") % 10).cast("string")).alias("Bien_Ville"),
+        F.lit("Jane Doe").alias("Bien_Conseiller_Nom"),
+        F.lit("jane@example.org").alias("Bien_Conseiller_Email"),
+        F.concat(F.lit("img/"), F.col("event_id").cast("string"), F.lit("/0")).alias("Image_0"),
+        F.when(F.col("event_id") % 3 == 0, F.lit(""))
+         .otherwise(F.concat(F.lit("img/"), F.col("event_id").cast("string"), F.lit("/1"))).alias("Image_1")))
+    return e.select("event_id", payload.alias("payload"))
+
+
+@register("payload_listing", """
+SELECT CAST(event_id AS VARCHAR) AS id, 'https://listings.example/bien?id=' || CAST(event_id AS VARCHAR) AS url,
+       strftime(ts, '%Y-%m-%d') AS date_publication, event_type AS type,
+       CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) AS prix,
+       CAST(user_id % 40 + 10 AS DOUBLE) AS surface,
+       'Town' || CAST(user_id % 10 AS VARCHAR) AS ville,
+       CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS n_images
+FROM events""")
+def payload_listing(spark, d):
+    rec = payload_to_listing(_payloads(spark, d))
+    return rec.select("id", "url", "date_publication", "type",
+                      S.tolerant_float("prix").alias("prix"), S.tolerant_float("surface").alias("surface"),
+                      "ville", F.size("image_urls").alias("n_images"))
+
+
+def _poly_events(spark, d):
+    """prix as a number (key % 3 = 0), an object with value (key % 3 = 1) or an
+    object with value 0 and a commission (key % 3 = 2); fees as number or
+    object; charges as good text, empty text or junk."""
+    e = table(spark, d, "events").select("event_id", F.round(F.col("value") * 100).cast("long").alias("c"))
+    k = F.col("event_id") % 3
+    prix = (F.when(k == 0, F.col("c").cast("string"))
+            .when(k == 1, F.format_string('{"value": %d, "commission": 7}', F.col("c")))
+            .otherwise(F.format_string('{"value": 0, "commission": %d}', F.col("c"))))
+    fees = F.when(F.col("event_id") % 2 == 0, F.format_string('{"value": %d}', F.col("c") % 1000)) \
+        .otherwise((F.col("c") % 1000).cast("string"))
+    charges = (F.when(F.col("event_id") % 5 == 0, F.lit(""))
+               .when(F.col("event_id") % 5 == 1, F.lit("n/a"))
+               .otherwise((F.col("c") % 5000).cast("string")))
+    return e.select(F.col("event_id").cast("string").alias("id"), prix.alias("prix"),
+                    fees.alias("honoraires"), charges.alias("charges_annuelles"),
+                    (F.col("event_id") % 2 == 0).alias("ascenseur"))
+
+
+@register("polymorphic_price", """
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN event_id % 3 = 1 AND CAST(round(value * 100) AS BIGINT) = 0 THEN 7.0
+            ELSE CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) END AS prix,
+       CAST(CAST(round(value * 100) AS BIGINT) % 1000 AS DOUBLE) AS honoraires,
+       CASE WHEN event_id % 2 = 0 THEN 1 ELSE 0 END AS ascenseur
+FROM events""")
+def polymorphic_price(spark, d):
+    typed = type_listing(_poly_events(spark, d))
+    return typed.select("id", "prix", "honoraires", "ascenseur")
+
+
+@register("tolerant_float", """
+SELECT CAST(event_id AS VARCHAR) AS id,
+       CASE WHEN event_id % 5 IN (0, 1) THEN NULL
+            ELSE CAST(CAST(round(value * 100) AS BIGINT) % 5000 AS DOUBLE) END AS charges_annuelles
+FROM events""")
+def tolerant_float(spark, d):
+    typed = type_listing(_poly_events(spark, d))
+    return typed.select("id", "charges_annuelles")
+
+
+@register("upsert_last_wins", """
+SELECT user_id, event_id, event_type, value FROM (
+  SELECT user_id, event_id, event_type, value,
+         row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) AS rn FROM events)
+WHERE rn = 1""")
+def upsert_last_wins(spark, d):
+    e = table(spark, d, "events").select("user_id", "event_id", "event_type", "value")
+    return L.upsert_last_wins(e, key="user_id", seq="event_id")
+
+
+def _part_images(spark, d):
+    p = table(spark, d, "part")
+    k = F.col("p_partkey")
+    img = lambda n: F.concat(F.lit("img/"), k.cast("string"), F.lit(f"/{n}"))
+    arr = (F.when(k % 4 == 0, F.lit(None).cast("array<string>"))
+           .when(k % 4 == 1, F.array(img(1), F.lit(""), img(3)))
+           .otherwise(F.array(img(1), img(2))))
+    main = F.when(k % 5 == 0, F.lit("")).otherwise(img(0))
+    return p.select(k.cast("string").alias("id"), main.alias("image_principale"), arr.alias("image_urls"),
+                    k.alias("ingest_seq"))
+
+
+_IMG_SQL = """imgs AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS id, 0 AS n, 'img/' || CAST(p_partkey AS VARCHAR) || '/0' AS url, p_partkey % 5 <> 0 AS ok, 1 AS main FROM part
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 1, 'img/' || CAST(p_partkey AS VARCHAR) || '/1', p_partkey % 4 <> 0, 0 FROM part
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 2, CASE WHEN p_partkey % 4 = 1 THEN '' ELSE 'img/' || CAST(p_partkey AS VARCHAR) || '/2' END,
+                   p_partkey % 4 <> 0, 0 FROM part
+  UNION ALL SELECT CAST(p_partkey AS VARCHAR), 3, 'img/' || CAST(p_partkey AS VARCHAR) || '/3', p_partkey % 4 = 1, 0 FROM part)"""
+
+
+@register("image_manifest", with_ctes(_IMG_SQL) + """
+SELECT id AS id_annonce, CAST(n AS INTEGER) AS n, url AS url_image,
+       id || '/image_' || CAST(n AS VARCHAR) || '.jpg' AS path
+FROM imgs WHERE main = 0 AND ok AND url <> ''""")
+def image_manifest(spark, d):
+    return L.image_manifest(_part_images(spark, d))
+
+
+@register("listing_images", with_ctes(_IMG_SQL) + """
+SELECT id AS id_annonce, url AS url_image, main AS est_principale
+FROM imgs WHERE ok AND url <> ''""")
+def listing_images(spark, d):
+    return L.image_rows(_part_images(spark, d)).select("id_annonce", "url_image", "est_principale")

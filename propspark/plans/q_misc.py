@@ -1,3 +1,92 @@
-"""Queries registered on import."""
+"""Constraint audits and catalog queries (Q-*, C1-C4, L4, K5)."""
 
 from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from propspark.operators import catalog, quality
+from propspark.plans.bindings import TABLES, table
+from propspark.plans.registry import register
+
+SEGMENTS = ["MACHINERY", "BUILDING", "AUTOMOBILE", "HOUSEHOLD"]   # FURNITURE violates the check
+
+
+def _audit_tables(spark, d):
+    o = table(spark, d, "orders")
+    broken = o.select(
+        "o_orderkey",
+        F.when(F.col("o_orderkey") % 101 == 0, F.col("o_custkey") + 1000000000).otherwise(F.col("o_custkey")).alias("o_custkey"),
+        "o_orderstatus",
+        F.when(F.col("o_orderkey") % 53 != 0, F.col("o_orderdate")).alias("o_orderdate"))
+    # Re-delivered rows: the same order key twice.
+    orders = broken.unionByName(broken.filter(F.col("o_orderkey") % 250 == 0))
+    return {"orders": orders,
+            "customer": table(spark, d, "customer"),
+            "nation": table(spark, d, "nation")}
+
+
+AUDIT_RULES = {
+    "orders": quality.Rules(primary_key=["o_orderkey"], not_null=["o_orderdate"],
+                            checks={"o_orderstatus": ["O", "F"]},
+                            foreign_keys={"o_custkey": ("customer", "c_custkey")}),
+    "customer": quality.Rules(primary_key=["c_custkey"], checks={"c_mktsegment": SEGMENTS},
+                              foreign_keys={"c_nationkey": ("nation", "n_nationkey")}),
+    "nation": quality.Rules(primary_key=["n_nationkey"], not_null=["n_name"]),
+}
+
+_SEG = ", ".join(f"'{s}'" for s in SEGMENTS)
+
+
+@register("audit_constraints", f"""
+WITH b AS (
+  SELECT o_orderkey,
+         CASE WHEN o_orderkey % 101 = 0 THEN o_custkey + 1000000000 ELSE o_custkey END AS o_custkey,
+         o_orderstatus, CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate
+  FROM orders),
+o AS (SELECT * FROM b UNION ALL SELECT * FROM b WHERE o_orderkey % 250 = 0)
+SELECT 'orders' AS table_name, 'not_null' AS rule, 'o_orderdate' AS column_name,
+       count(*) - count(o_orderdate) AS violations FROM o
+UNION ALL SELECT 'orders', 'check', 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus NOT IN ('O', 'F')) FROM o
+UNION ALL SELECT 'orders', 'primary_key', 'o_orderkey', coalesce(sum(n - 1), 0)
+          FROM (SELECT count(*) AS n FROM o GROUP BY o_orderkey HAVING count(*) > 1)
+UNION ALL SELECT 'orders', 'foreign_key', 'o_custkey', count(*) FROM o
+          WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)
+UNION ALL SELECT 'customer', 'check', 'c_mktsegment', count(*) FILTER (WHERE c_mktsegment NOT IN ({_SEG})) FROM customer
+UNION ALL SELECT 'customer', 'primary_key', 'c_custkey', coalesce(sum(n - 1), 0)
+          FROM (SELECT count(*) AS n FROM customer GROUP BY c_custkey HAVING count(*) > 1)
+UNION ALL SELECT 'customer', 'foreign_key', 'c_nationkey', count(*) FROM customer
+          WHERE c_nationkey IS NOT NULL AND c_nationkey NOT IN (SELECT n_nationkey FROM nation WHERE n_nationkey IS NOT NULL)
+UNION ALL SELECT 'nation', 'not_null', 'n_name', count(*) - count(n_name) FROM nation
+UNION ALL SELECT 'nation', 'primary_key', 'n_nationkey', coalesce(sum(n - 1), 0)
+          FROM (SELECT count(*) AS n FROM nation GROUP BY n_nationkey HAVING count(*) > 1)""")
+def audit_constraints(spark, d):
+    return quality.audit(_audit_tables(spark, d), AUDIT_RULES)
+
+
+_STAT_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events"]
+
+
+@register("table_stats", "\nUNION ALL\n".join(
+    f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}" for t in _STAT_TABLES))
+def table_stats(spark, d):
+    tables = {t: table(spark, d, t) for t in _STAT_TABLES}
+    return catalog.table_stats(tables).select("table_name", "row_count")
+
+
+@register("table_preview", """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice FROM orders ORDER BY o_orderkey LIMIT 5""")
+def table_preview(spark, d):
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice")
+    return catalog.table_preview(o, 5, ["o_orderkey"])
+
+
+@register("adhoc_sql", """
+SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
+FROM orders GROUP BY o_orderstatus""")
+def adhoc_sql(spark, d):
+    catalog.register_views(spark, {t: table(spark, d, t) for t in ("orders",)})
+    return catalog.adhoc_sql(spark, "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total "
+                                    "FROM orders GROUP BY o_orderstatus")
+
+
+assert set(_STAT_TABLES) <= set(TABLES)

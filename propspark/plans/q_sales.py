@@ -342,11 +342,11 @@ def _series(spark, d):
     li = table(spark, d, "lineitem")
     o = table(spark, d, "orders")
     s1 = li.groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("Date")).agg(
-        F.round(F.avg("l_discount") * 100, 6).alias("taux"))
+        S.sql_round(F.avg("l_discount") * 100, 6).alias("taux"))
     s2 = o.groupBy(F.trunc(F.to_date("o_orderdate"), "month").alias("Date")).agg(
         F.count(F.lit(1)).alias("n_orders"))
     s3 = li.groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("Date")).agg(
-        F.round(F.avg("l_tax") * 100, 6).alias("variation"))
+        S.sql_round(F.avg("l_tax") * 100, 6).alias("variation"))
     return s1, s2, clean.since(s3, "Date", "1996-01-01")
 
 
@@ -404,7 +404,7 @@ def census_left(spark, d):
         doubles=["nb_menages_2021_commune", "revenu_median_2021_commune"])
     dept_census = s.groupBy(F.col("s_nationkey").alias("code_departement")).agg(
         F.count(F.lit(1)).cast("double").alias("nb_menages_2021_departement"),
-        F.round(F.avg("s_acctbal"), 6).alias("revenu_median_2021_departement"))
+        S.sql_round(F.avg("s_acctbal"), 6).alias("revenu_median_2021_departement"))
     return macro.attach_census(sales_df, commune_census, dept_census)
 
 
@@ -423,7 +423,7 @@ def group_mean_impute(spark, d):
                  F.lpad(F.col("c_custkey").cast("string"), 6, "0")).alias("code_commune"),
         F.when(F.col("c_custkey") % 4 != 0, F.col("c_acctbal")).alias("revenu"))
     out = impute.group_mean_impute(c, "revenu", "code_commune")
-    return out.withColumn("revenu", F.round("revenu", 6))
+    return out.withColumn("revenu", S.sql_round("revenu", 6))
 
 
 # ------------------------------------------------- trimming / encoding / sample
@@ -491,7 +491,7 @@ SELECT 'o_totalprice' AS column_name, count(o_totalprice) AS count,
 FROM o""")
 def profile_numeric(spark, d):
     p = profile.numeric_profile(_nully_orders(spark, d), ["o_totalprice"])
-    return p.withColumns({"mean": F.round("mean", 4), "std": F.round("std", 4)})
+    return p.withColumns({"mean": S.sql_round("mean", 4), "std": S.sql_round("std", 4)})
 
 
 @register("class_counts", """

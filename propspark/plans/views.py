@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propspark.constants import ENERGY_EXCLUDED, LIFT_LABELS, RATE_BAND_ELSE, RATE_BANDS
-from propspark.functions.scalar import band, label_if, month_key, safe_ratio
+from propspark.functions.scalar import band, label_if, month_key, safe_ratio, sql_round
 from propspark.operators.joins import join_dim
 
 
 def _r(c, n=2):
-    return F.round(c, n)
+    return sql_round(c, n)
 
 
 # V1 / J10 -------------------------------------------------------------------
