@@ -89,50 +89,74 @@ def euclidean(x1, y1, x2, y2) -> Column:
 
 
 # G2 -------------------------------------------------------------------------
-def ring_centroid(points, x: str = "x", y: str = "y") -> Column:
-    """Area centroid of a ring (ARRAY<STRUCT<x,y>>), shoelace formula.
-
-    The ring is closed implicitly (last point joins the first; a repeated
-    closing point adds nothing).  Computed relative to the first vertex so
-    that metre coordinates around 10^6 keep their precision.  Degenerate
-    rings (zero area) give NULL.  Returns STRUCT<x DOUBLE, y DOUBLE>.
-    """
-    pts = _c(points)
+def _rotated(pts: Column) -> Column:
+    """[p2, ..., pn, p1]: the next vertex of every vertex of a closed ring."""
     n = F.size(pts)
-    ox, oy = F.element_at(pts, 1)[x], F.element_at(pts, 1)[y]
-    rel = F.transform(pts, lambda p: F.struct((p[x] - ox).alias("x"), (p[y] - oy).alias("y")))
-    nxt = F.transform(rel, lambda p, i: F.element_at(rel, F.when(i + 1 == n, F.lit(1)).otherwise(i + 2)))
-    pairs = F.arrays_zip(rel.alias("a"), nxt.alias("b"))
-    terms = F.transform(pairs, lambda z: F.struct(
-        (z["a"]["x"] * z["b"]["y"] - z["b"]["x"] * z["a"]["y"]).alias("cr"),
-        (z["a"]["x"] + z["b"]["x"]).alias("sx"),
-        (z["a"]["y"] + z["b"]["y"]).alias("sy")))
+    return F.concat(F.slice(pts, 2, n), F.slice(pts, 1, 1))
+
+
+# The centroids are split in two steps, each meant to become its own
+# column: Spark shares no sub-expression inside or across lambdas, so an
+# array expression or an accumulator used several times would otherwise be
+# recomputed for every use (tens of times per row).
+
+def ring_sums(pts: Column, x: str = "x", y: str = "y") -> Column:
+    """Shoelace sums of a ring (ARRAY<STRUCT<x,y>> column), relative to the
+    first vertex so that metre coordinates near 10^6 keep their precision.
+    The ring is closed implicitly (a repeated closing point adds nothing)."""
+    first = F.element_at(pts, 1)
+    ox, oy = first[x], first[y]
+    pairs = F.arrays_zip(pts.alias("a"), _rotated(pts).alias("b"))
     zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"))
-    acc = F.aggregate(terms, zero, lambda acc, t: F.struct(
-        (acc["a2"] + t["cr"]).alias("a2"),
-        (acc["cx"] + t["sx"] * t["cr"]).alias("cx"),
-        (acc["cy"] + t["sy"] * t["cr"]).alias("cy")))
-    a2 = acc["a2"]
-    return F.when(a2 != 0, F.struct((ox + acc["cx"] / (3 * a2)).alias("x"),
-                                    (oy + acc["cy"] / (3 * a2)).alias("y")))
-
-
-def line_centroid(points, x: str = "x", y: str = "y") -> Column:
-    """Length-weighted centroid of a polyline; zero length -> first point."""
-    pts = _c(points)
+
+    def step(acc, z):
+        ax, ay = z["a"][x] - ox, z["a"][y] - oy
+        bx, by = z["b"][x] - ox, z["b"][y] - oy
+        cr = ax * by - bx * ay
+        return F.struct((acc["a2"] + cr).alias("a2"), (acc["cx"] + (ax + bx) * cr).alias("cx"),
+                        (acc["cy"] + (ay + by) * cr).alias("cy"))
+
+    acc = F.aggregate(pairs, zero, step)
+    return F.struct(acc.alias("s"), ox.alias("ox"), oy.alias("oy"))
+
+
+def ring_centroid_from_sums(sums: Column) -> Column:
+    """Centroid from ``ring_sums``; a zero-area ring gives NULL."""
+    a2 = sums["s"]["a2"]
+    return F.when(a2 != 0, F.struct((sums["ox"] + sums["s"]["cx"] / (3 * a2)).alias("x"),
+                                    (sums["oy"] + sums["s"]["cy"] / (3 * a2)).alias("y")))
+
+
+def line_sums(pts: Column, x: str = "x", y: str = "y") -> Column:
+    """Length-weighted sums of a polyline column."""
     n = F.size(pts)
-    segs = F.transform(F.slice(pts, 1, n - 1), lambda p, i: F.struct(
-        p[x].alias("x1"), p[y].alias("y1"),
-        F.element_at(pts, i + 2)[x].alias("x2"), F.element_at(pts, i + 2)[y].alias("y2")))
+    segs = F.arrays_zip(F.slice(pts, 1, n - 1).alias("a"), F.slice(pts, 2, n - 1).alias("b"))
     zero = F.struct(F.lit(0.0).alias("L"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"))
 
     def step(acc, s):
-        ln = F.sqrt(F.pow(s["x2"] - s["x1"], 2) + F.pow(s["y2"] - s["y1"], 2))
-        return F.struct((acc["L"] + ln).alias("L"),
-                        (acc["sx"] + ln * (s["x1"] + s["x2"]) / 2).alias("sx"),
-                        (acc["sy"] + ln * (s["y1"] + s["y2"]) / 2).alias("sy"))
+        x1, y1, x2, y2 = s["a"][x], s["a"][y], s["b"][x], s["b"][y]
+        ln = F.sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))
+        return F.struct((acc["L"] + ln).alias("L"), (acc["sx"] + ln * (x1 + x2) / 2).alias("sx"),
+                        (acc["sy"] + ln * (y1 + y2) / 2).alias("sy"))
 
-    acc = F.aggregate(segs, zero, step)
     first = F.element_at(pts, 1)
-    return F.when(acc["L"] > 0, F.struct((acc["sx"] / acc["L"]).alias("x"), (acc["sy"] / acc["L"]).alias("y"))) \
-        .otherwise(F.struct(first[x].alias("x"), first[y].alias("y")))
+    return F.struct(F.aggregate(segs, zero, step).alias("s"), first[x].alias("fx"), first[y].alias("fy"))
+
+
+def line_centroid_from_sums(sums: Column) -> Column:
+    """Centroid from ``line_sums``; a zero-length line gives its first point."""
+    L = sums["s"]["L"]
+    return F.when(L > 0, F.struct((sums["s"]["sx"] / L).alias("x"), (sums["s"]["sy"] / L).alias("y"))) \
+        .otherwise(F.struct(sums["fx"].alias("x"), sums["fy"].alias("y")))
+
+
+def with_ring_centroid(df, pts: str, out: str, x: str = "x", y: str = "y"):
+    """DataFrame step: ``out`` = centroid of the ring column ``pts``."""
+    return (df.withColumn("_ring_sums", ring_sums(F.col(pts), x, y))
+            .withColumn(out, ring_centroid_from_sums(F.col("_ring_sums"))).drop("_ring_sums"))
+
+
+def with_line_centroid(df, pts: str, out: str, x: str = "x", y: str = "y"):
+    """DataFrame step: ``out`` = centroid of the polyline column ``pts``."""
+    return (df.withColumn("_line_sums", line_sums(F.col(pts), x, y))
+            .withColumn(out, line_centroid_from_sums(F.col("_line_sums"))).drop("_line_sums"))

@@ -188,7 +188,7 @@ SELECT p_partkey,
 FROM (SELECT p_partkey, CAST(p_partkey % 1000 AS DOUBLE) * 10 AS x0, CAST(p_partkey % 777 AS DOUBLE) * 10 AS y0,
              CAST(p_size AS DOUBLE) * 10 AS w, CAST(p_partkey % 13 + 1 AS DOUBLE) * 10 AS h FROM part)""")
 def ring_centroid_q(spark, d):
-    from propspark.functions.geo import ring_centroid
+    from propspark.functions.geo import with_ring_centroid
     p = table(spark, d, "part").select(
         "p_partkey", ((F.col("p_partkey") % 1000).cast("double") * 10).alias("x0"),
         ((F.col("p_partkey") % 777).cast("double") * 10).alias("y0"),
@@ -201,9 +201,9 @@ def ring_centroid_q(spark, d):
     x0, y0, w, h = F.col("x0"), F.col("y0"), F.col("w"), F.col("h")
     rect = F.array(pt(x0, y0), pt(x0 + w, y0), pt(x0 + w, y0 + h), pt(x0, y0 + h))
     tri = F.array(pt(x0, y0), pt(x0 + w, y0), pt(x0, y0 + h))
-    ring = F.when(F.col("p_partkey") % 4 == 0, tri).otherwise(rect)
-    c = ring_centroid(ring)
-    return p.select("p_partkey", S.sql_round(c["x"], 6).alias("cx"), S.sql_round(c["y"], 6).alias("cy"))
+    rings = p.withColumn("ring", F.when(F.col("p_partkey") % 4 == 0, tri).otherwise(rect))
+    c = with_ring_centroid(rings, "ring", "c")
+    return c.select("p_partkey", S.sql_round("c.x", 6).alias("cx"), S.sql_round("c.y", 6).alias("cy"))
 
 
 # ------------------------------------------------------------- POI dedup

@@ -16,7 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from propspark.constants import POI_TAG_RULES
-from propspark.functions.geo import lambert93_x, lambert93_y, line_centroid, ring_centroid
+from propspark.functions.geo import (lambert93_x, lambert93_y, line_centroid_from_sums, line_sums,
+                                     ring_centroid_from_sums, ring_sums)
 from propspark.functions.scalar import name_or_empty
 
 
@@ -35,11 +36,15 @@ def rule_condition(tags, rule: dict) -> F.Column:
     return reduce(lambda a, b: a | b, conds)
 
 
-def match_categories(df: DataFrame, rules: dict = POI_TAG_RULES, tags: str = "tags") -> DataFrame:
+def match_categories(df: DataFrame, rules: dict = POI_TAG_RULES, tags: str = "tags",
+                     keep: F.Column | None = None) -> DataFrame:
     """One row per (element, matching category); an element may match
-    several categories, at most once each."""
+    several categories, at most once each.  Rows where ``keep`` is false
+    produce no row (the test rides inside the explode)."""
     cats = F.array_compact(F.array(*[F.when(rule_condition(F.col(tags), r), F.lit(c))
                                      for c, r in rules.items()]))
+    if keep is not None:
+        cats = F.when(keep, cats)
     return df.withColumn("category", F.explode(cats))
 
 
@@ -50,29 +55,39 @@ def _valid_points(coords):
                                               lambert93_y(p["lon"], p["lat"]).alias("y")))
 
 
-def representative_point(kind, coords) -> F.Column:
-    """Node -> the point; way -> polygon centroid for >= 3 valid points
-    (open ways too, as the source does), line centroid for 2, none below;
-    area -> centroid of the outer ring when it has >= 3 points and a
-    non-zero area.  Computed on projected coordinates."""
-    pts = _valid_points(coords)
-    n = F.size(pts)
-    kind = F.col(kind) if isinstance(kind, str) else kind
-    return (F.when((kind == "node") & (n >= 1), F.struct(pts[0]["x"].alias("x"), pts[0]["y"].alias("y")))
-            .when((kind == "way") & (n >= 3), ring_centroid(pts))
-            .when((kind == "way") & (n == 2), line_centroid(pts))
-            .when((kind == "area") & (n >= 3), ring_centroid(pts)))
+def with_representative_point(df: DataFrame, kind: str = "kind", pts: str = "_pts",
+                              out: str = "pt") -> DataFrame:
+    """G2 on projected valid points (column ``pts``): node -> the point;
+    way -> polygon centroid for >= 3 points (open ways too, as the source
+    does), line centroid for 2, none below; area -> centroid of the outer
+    ring when it has >= 3 points and a non-zero area."""
+    p = F.col(pts)
+    n = F.size(p)
+    first = F.element_at(p, 1)
+    step = (df.withColumn("_ring", ring_sums(p)).withColumn("_line", line_sums(p)))
+    k = F.col(kind)
+    rep = (F.when((k == "node") & (n >= 1), F.struct(first["x"].alias("x"), first["y"].alias("y")))
+           .when((k == "way") & (n >= 3), ring_centroid_from_sums(F.col("_ring")))
+           .when((k == "way") & (n == 2), line_centroid_from_sums(F.col("_line")))
+           .when((k == "area") & (n >= 3), ring_centroid_from_sums(F.col("_ring"))))
+    return step.withColumn(out, rep).drop("_ring", "_line")
 
 
 def extract_poi(elements, rules: dict = POI_TAG_RULES) -> DataFrame:
     """S10 + P11 + G2 + F24: elements -> (category, kind, id, name, x_proj, y_proj).
 
-    Elements without a representative point (too few valid coordinates, a
-    zero-area ring) are dropped."""
+    Elements are first reduced to those matching any rule, then each gets
+    its representative point once (projected valid coordinates and centroid
+    sums are materialised as columns so no array is re-projected), and only
+    then is it exploded to one row per category.  Elements without a
+    representative point (too few valid coordinates, a zero-area ring) are
+    dropped."""
     df = union_elements(elements) if isinstance(elements, (list, tuple)) else elements
-    matched = match_categories(df, rules)
-    out = matched.select("category", "kind", "id", name_or_empty("tags").alias("name"),
-                         representative_point("kind", "coords").alias("pt"))
-    return (out.filter(F.col("pt").isNotNull())
-            .select("category", "kind", "id", "name", F.col("pt.x").alias("x_proj"),
-                    F.col("pt.y").alias("y_proj")))
+    any_rule = reduce(lambda a, b: a | b, [rule_condition(F.col("tags"), r) for r in rules.values()])
+    pts = df.filter(any_rule).withColumn("_pts", _valid_points(F.col("coords")))
+    pts = with_representative_point(pts)
+    # The NULL test rides inside the explode: as a Filter it would be pushed
+    # below the projection with the whole centroid expression substituted.
+    matched = match_categories(pts, rules, keep=F.col("pt").isNotNull())
+    return matched.select("category", "kind", "id", name_or_empty("tags").alias("name"),
+                          F.col("pt.x").alias("x_proj"), F.col("pt.y").alias("y_proj"))
