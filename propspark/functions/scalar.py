@@ -179,25 +179,25 @@ def empty_to_null_double(c) -> Column:
 
 
 # F19 ------------------------------------------------------------------------
-def polymorphic_price(json_col, field: str) -> Column:
-    """A JSON field that is a number or an object ``{value, commission}``.
+_PRICE_OBJECT = "value DOUBLE, commission DOUBLE"
+
+
+def polymorphic_price(raw) -> Column:
+    """A field given as JSON text that is a number or an object
+    ``{value, commission}`` (one JSON parse per row).
 
     Number -> itself.  Object -> ``value`` unless it is 0 or missing, then
     ``commission``.  Anything else -> NULL.
     """
-    j = _c(json_col)
-    plain = F.get_json_object(j, f"$.{field}")
-    as_number = tolerant_float(plain)
-    value = F.nullif(tolerant_float(F.get_json_object(j, f"$.{field}.value")), F.lit(0.0))
-    commission = tolerant_float(F.get_json_object(j, f"$.{field}.commission"))
-    return F.coalesce(as_number, value, commission)
+    txt = _c(raw)
+    obj = F.from_json(txt, _PRICE_OBJECT)
+    return F.coalesce(tolerant_float(txt), F.nullif(obj["value"], F.lit(0.0)), obj["commission"])
 
 
-def polymorphic_value(json_col, field: str) -> Column:
+def polymorphic_value(raw) -> Column:
     """Number -> itself; object -> its ``value``."""
-    j = _c(json_col)
-    return F.coalesce(tolerant_float(F.get_json_object(j, f"$.{field}")),
-                      tolerant_float(F.get_json_object(j, f"$.{field}.value")))
+    txt = _c(raw)
+    return F.coalesce(tolerant_float(txt), F.from_json(txt, _PRICE_OBJECT)["value"])
 
 
 # F21 ------------------------------------------------------------------------

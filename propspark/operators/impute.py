@@ -24,19 +24,20 @@ def distance_missing_flags(df: DataFrame, categories=POI_CATEGORIES, radii=POI_R
 
 
 def group_mean_impute(df: DataFrame, value: str, code: str,
-                      group_expr=department_prefix, max_groups: int = 100_000) -> DataFrame:
+                      group_expr=department_prefix) -> DataFrame:
     """A1 + J5 + F11: fill NULL ``value`` with the mean of its group, the
     group being ``group_expr(code)`` (department prefix, F9).
 
     The mean is a hash aggregate (partial aggregation map-side, so a hot
     department is reduced per task) joined back on the group key; the
-    per-group table is broadcast after a size check.  The mean is weighted by
+    per-group table is broadcast when its estimated size passes the check
+    (else AQE decides from the runtime size).  The mean is weighted by
     rows, as in the source pipeline.  A NULL group never matches.
     """
     g = "_grp"
     keyed = df.withColumn(g, group_expr(code))
     means = keyed.groupBy(g).agg(F.avg(value).alias("_grp_mean")).filter(F.col(g).isNotNull())
-    out = keyed.join(broadcast_if_small(means, max_groups), g, "left")
+    out = keyed.join(broadcast_if_small(means), g, "left")
     return out.withColumn(value, F.coalesce(F.col(value), F.col("_grp_mean"))).drop(g, "_grp_mean")
 
 

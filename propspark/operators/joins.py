@@ -1,9 +1,14 @@
 """Join helpers: size-checked broadcast and salted shuffle joins.
 
-``broadcast_if_small`` hints a broadcast only after checking, with a bounded
-``limit(n + 1).count()``, that the side really has at most ``max_rows`` rows;
-beyond that the plain join is returned and Spark/AQE choose a shuffle join
-(AQE may still switch to broadcast from runtime statistics).
+``broadcast_if_small`` hints a broadcast only when the optimizer's size
+estimate of the side (``stats.sizeInBytes`` of its optimized plan, free to
+read: no job runs) is at most ``max_bytes``.  Without cost-based statistics
+that estimate is an upper bound for filters, projections and aggregations
+(they keep the child's size), so a side that passes is really small.
+Beyond the limit the plain join is returned and Spark chooses a shuffle
+join; AQE may still turn it into a broadcast from the exact runtime size of
+the shuffled side.  Counting the side instead would run its whole upstream
+plan twice, a full extra scan when the side is an aggregate of a big table.
 
 ``salted_join`` spreads a hot key of the big side over ``buckets`` tasks and
 replicates the small side ``buckets`` times; it is used where one key may
@@ -17,17 +22,27 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Rows we accept to ship to every executor.
-DEFAULT_BROADCAST_ROWS = 1_000_000
+# Bytes we accept to ship to every executor (estimated plan size).
+DEFAULT_BROADCAST_BYTES = 32 * 1024 * 1024
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Optimizer size estimate of ``df`` in bytes (no job is run)."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (scans at most n+1)."""
+    """Exact check that ``df`` has at most ``max_rows`` rows (reads at most
+    n+1 rows; use only on cheap plans such as a table scan)."""
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    return F.broadcast(df) if has_at_most(df, max_rows) else df
+def is_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
+    return estimated_bytes(df) <= max_bytes
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def bounded_broadcast(df: DataFrame) -> DataFrame:
@@ -38,9 +53,9 @@ def bounded_broadcast(df: DataFrame) -> DataFrame:
 
 
 def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+             max_bytes: int = DEFAULT_BROADCAST_BYTES) -> DataFrame:
     """Fact-to-dimension join; the dimension is broadcast when the check passes."""
-    return fact.join(broadcast_if_small(dim, max_rows), on, how)
+    return fact.join(broadcast_if_small(dim, max_bytes), on, how)
 
 
 def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inner",

@@ -17,7 +17,6 @@ from propspark.constants import MACRO_START
 from propspark.functions.scalar import comma_decimal, french_month_to_date, month_key
 from propspark.operators.joins import broadcast_if_small
 
-MONTH_ROWS_BOUND = 12 * 1000  # a millennium of months
 
 
 def typed_series(df: DataFrame, label_col: str, value_cols: list[str],
@@ -40,7 +39,7 @@ def typed_series(df: DataFrame, label_col: str, value_cols: list[str],
 
 def macro_chain(series: list[DataFrame], on: str = "Date") -> DataFrame:
     """Inner join of monthly series on the month (each bounded by months)."""
-    return reduce(lambda a, b: a.join(broadcast_if_small(b, MONTH_ROWS_BOUND), on, "inner"), series)
+    return reduce(lambda a, b: a.join(broadcast_if_small(b), on, "inner"), series)
 
 
 def attach_month(sales: DataFrame, macro: DataFrame, sale_date: str,
@@ -49,7 +48,7 @@ def attach_month(sales: DataFrame, macro: DataFrame, sale_date: str,
     the join key and the macro date (P8)."""
     m = macro.withColumn(key, month_key(macro_date)).drop(macro_date)
     s = sales.withColumn(key, month_key(sale_date))
-    return s.join(broadcast_if_small(m, MONTH_ROWS_BOUND), key, "left").drop(key)
+    return s.join(broadcast_if_small(m), key, "left").drop(key)
 
 
 def rename_cast(df: DataFrame, renames: dict[str, str], doubles: list[str] = ()) -> DataFrame:

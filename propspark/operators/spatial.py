@@ -11,7 +11,8 @@ Radius join (J7, J8, A20, G5) as a grid-cell equi join:
   condition, and the result is aggregated per point straight away (partial
   aggregation map-side), so neighbour lists are never collected.
 
-The POI side is broadcast only after a row-count check; otherwise the join
+The POI side is broadcast only when its estimated size passes a check;
+otherwise the join
 is a shuffle join whose point side is salted, so a dense cell (a city
 centre, a 30 km airport cell) is spread over ``salt_buckets`` tasks, and AQE
 skew handling stays on as a second line.
@@ -27,11 +28,11 @@ from pyspark.sql import functions as F
 
 from propspark.constants import POI_CATEGORIES, POI_DEDUP_THRESHOLD_M, POI_RADIUS_M
 from propspark.functions.geo import euclidean, lambert93_x, lambert93_y
-from propspark.operators.joins import has_at_most
+from propspark.operators.joins import is_small
 from propspark.session import reliable_checkpoint
 
 NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
-DEFAULT_POI_BROADCAST_ROWS = 2_000_000
+DEFAULT_POI_BROADCAST_BYTES = 256 * 1024 * 1024
 
 
 def project(df: DataFrame, lon: str = "longitude", lat: str = "latitude",
@@ -61,7 +62,7 @@ def _poi_cells(poi: DataFrame, categories, radii, x: str, y: str) -> DataFrame:
 def radius_pairs(points: DataFrame, poi: DataFrame, keys: list[str],
                  categories=POI_CATEGORIES, radii=POI_RADIUS_M,
                  x: str = "x_proj", y: str = "y_proj", how: str = "left",
-                 broadcast_rows: int = DEFAULT_POI_BROADCAST_ROWS,
+                 broadcast_bytes: int = DEFAULT_POI_BROADCAST_BYTES,
                  salt_buckets: int = 8) -> DataFrame:
     """(point keys, category, poi_id, dist) for every POI within its radius.
 
@@ -77,7 +78,10 @@ def radius_pairs(points: DataFrame, poi: DataFrame, keys: list[str],
            .withColumn("cy", F.floor(F.col("qy") / F.col("radius"))))
     cells = _poi_cells(poi, categories, radii, x, y)
     on = ["category", "cx", "cy"]
-    if has_at_most(cells, broadcast_rows):
+    # The estimate of an explode keeps its input's size: check the POI
+    # columns before the 9-fold neighbour explode against a 9-fold smaller limit.
+    poi_cols = poi.select("category", "id", x, y)
+    if is_small(poi_cols, broadcast_bytes // len(NEIGHBOURS)):
         left, right = pts, F.broadcast(cells)
     elif salt_buckets > 1:
         left = pts.withColumn("_salt", F.pmod(F.xxhash64("qx", "qy"), F.lit(salt_buckets)).cast("int"))

@@ -62,28 +62,64 @@ def number_facts(df: DataFrame, order: list[str], id_col: str = "id_bien") -> Da
     return consecutive_ids(df, order, id_col=id_col)
 
 
+class StarTables(dict):
+    """The six star tables; the three fact tables share one numbered frame
+    that is computed (one checkpoint + a per-partition count) only when a
+    fact table is first requested."""
+
+    def __init__(self, dims: dict, facts):
+        super().__init__(dims)
+        self._facts = facts
+        self._built = False
+
+    def _build(self):
+        if not self._built:
+            super().update(self._facts())
+            self._built = True
+
+    def __getitem__(self, key):
+        if key in ("biens", "proximite", "mutations"):
+            self._build()
+        return super().__getitem__(key)
+
+    def keys(self):
+        self._build()
+        return super().keys()
+
+    def items(self):
+        self._build()
+        return super().items()
+
+    def __iter__(self):
+        self._build()
+        return super().__iter__()
+
+
 def build_star(df: DataFrame, order: list[str], categories=POI_CATEGORIES,
                dept_measures=DEPT_MEASURES, commune_measures=COMMUNE_MEASURES,
                indicator_measures=INDICATOR_MEASURES, bien_cols=BIEN_COLUMNS,
-               mutation_cols=MUTATION_COLUMNS) -> dict[str, DataFrame]:
+               mutation_cols=MUTATION_COLUMNS) -> StarTables:
     """K3: the six star tables from the model-ready flat table.
 
     Coordinates given as text are typed with F20 (empty -> NULL)."""
-    numbered = number_facts(df, order)
-    coords = [empty_to_null_double(c).alias(c) for c in ("longitude", "latitude") if c in bien_cols]
-    biens = numbered.select("id_bien", *[c for c in bien_cols if c not in ("longitude", "latitude")], *coords)
-    proximite = numbered.select(F.col("id_bien").alias("id_proximite"), "id_bien",
-                                *proximity_columns(categories))
-    mutations = numbered.select(F.col("id_bien").alias("id_mutation"), "id_bien",
-                                *[F.col(c).cast("string").alias(c) if c == "date_mutation" else F.col(c)
-                                  for c in mutation_cols])
-    return {
+
+    def facts():
+        numbered = number_facts(df, order)
+        coords = [empty_to_null_double(c).alias(c) for c in ("longitude", "latitude") if c in bien_cols]
+        biens = numbered.select("id_bien", *[c for c in bien_cols if c not in ("longitude", "latitude")],
+                                *coords)
+        proximite = numbered.select(F.col("id_bien").alias("id_proximite"), "id_bien",
+                                    *proximity_columns(categories))
+        mutations = numbered.select(F.col("id_bien").alias("id_mutation"), "id_bien",
+                                    *[F.col(c).cast("string").alias(c) if c == "date_mutation" else F.col(c)
+                                      for c in mutation_cols])
+        return {"biens": biens, "proximite": proximite, "mutations": mutations}
+
+    dims = {
         "departements": dimension(df, "code_departement", dept_measures),
         "communes": dimension(df, "code_commune", commune_measures, extra=["code_departement"]),
         "indicateurs_economiques": dimension(df, "date_mutation", indicator_measures,
                                              key_alias="date_indicateur").withColumn(
             "date_indicateur", F.col("date_indicateur").cast("string")),
-        "biens": biens,
-        "proximite": proximite,
-        "mutations": mutations,
     }
+    return StarTables(dims, facts)

@@ -47,40 +47,45 @@ def read_listings(spark: SparkSession, path, multiline: bool = True) -> DataFram
 
 
 def type_listing(df: DataFrame) -> DataFrame:
-    """Typed price, fees, lift flag and annual charges."""
-    # The raw fields are JSON text of a number or an object; wrap them in
-    # one object so both forms are read with JSON paths.
-    raw = F.format_string('{"prix": %s, "honoraires": %s}',
-                          F.coalesce(F.nullif(F.trim("prix"), F.lit("")), F.lit("null")),
-                          F.coalesce(F.nullif(F.trim("honoraires"), F.lit("")), F.lit("null")))
+    """Typed price, fees, lift flag and annual charges.  ``prix`` and
+    ``honoraires`` hold the raw JSON text of a number or an object."""
     return df.withColumns({
-        "prix": polymorphic_price(raw, "prix"),
-        "honoraires": polymorphic_value(raw, "honoraires"),
+        "prix": polymorphic_price("prix"),
+        "honoraires": polymorphic_value("honoraires"),
         "ascenseur": truthy_int("ascenseur"),
         "charges_annuelles": tolerant_float("charges_annuelles"),
     })
 
 
+def payload_schema(image_keys=LISTING_IMAGE_KEYS) -> T.StructType:
+    """Every payload key we select, as STRING: nested objects (a polymorphic
+    price) arrive as their JSON text.  Personal-data keys are not in the
+    schema, so they are never even parsed into a column."""
+    keys = list(LISTING_PAYLOAD_KEYS.values()) + list(image_keys)
+    return T.StructType([T.StructField(k, T.StringType()) for k in keys])
+
+
 def payload_to_listing(raw_json: DataFrame, json_col: str = "payload",
                        url_format: str = LISTING_URL_FORMAT,
                        image_keys=LISTING_IMAGE_KEYS) -> DataFrame:
     """S8 + P15: raw agency payload (one JSON object per row) -> listing record.
 
-    Fields are pulled by name with ``get_json_object``; adviser / agency
-    fields are never selected.  ``image_urls`` collects the non-empty image
-    keys in key order; the URL is built from the reference.
+    One ``from_json`` parse per row against an allow-list schema; adviser /
+    agency fields are not in it.  ``image_urls`` collects the non-empty
+    image keys in key order; the URL is built from the reference.
     """
-    j = F.col(json_col)
+    p = F.from_json(F.col(json_col), payload_schema(image_keys))
+    parsed = raw_json.select(p.alias("_p"))
 
     def field(k):
-        return F.get_json_object(j, f"$.{k}")
+        return F.col("_p")[k]
 
-    cols = {dst: field(src) for dst, src in LISTING_PAYLOAD_KEYS.items()}
     images = F.filter(F.array(*[field(k) for k in image_keys]), lambda u: u.isNotNull() & (u != ""))
-    out = raw_json.select(
-        cols["id"].alias("id"),
-        F.format_string(url_format, cols["id"]).alias("url"),
-        *[cols[k].alias(k) for k in LISTING_PAYLOAD_KEYS if k != "id"],
+    ident = field(LISTING_PAYLOAD_KEYS["id"])
+    out = parsed.select(
+        ident.alias("id"),
+        F.format_string(url_format, ident).alias("url"),
+        *[field(src).alias(dst) for dst, src in LISTING_PAYLOAD_KEYS.items() if dst != "id"],
         images.alias("image_urls"))
     for k in LISTING_PII_KEYS:
         assert k not in out.columns
