@@ -595,3 +595,157 @@ SELECT row_number() OVER (ORDER BY id_mutation) AS id_bien, 'P' || CAST(id_mutat
 FROM sales""")
 def star_biens(spark, d):
     return _star(spark, d)["biens"]
+
+
+# ------------------------------------------------------- raw sale files
+_NATURE_OF_PRIORITY = {"1-URGENT": "Vente", "2-HIGH": "Vente en l'état futur d'achèvement",
+                       "3-MEDIUM": "Vente terrain à bâtir", "4-NOT SPECIFIED": "Echange",
+                       "5-LOW": "Adjudication"}
+_TYPE_OF_STATUS = {"F": "Maison", "O": "Appartement", "P": "Dépendance"}
+
+
+def _milli_text(v):
+    """Signed milli-units as fixed 3-decimal text, by integer arithmetic."""
+    a = F.abs(v)
+    return F.concat(F.when(v < 0, F.lit("-")).otherwise(F.lit("")), (a / 1000).cast("long").cast("string"),
+                    F.lit("."), F.lpad((a % 1000).cast("string"), 3, "0"))
+
+
+def _milli_text_sql(v: str) -> str:
+    return (f"(CASE WHEN {v} < 0 THEN '-' ELSE '' END || CAST(abs({v}) // 1000 AS VARCHAR) || '.' || "
+            f"lpad(CAST(abs({v}) % 1000 AS VARCHAR), 3, '0'))")
+
+
+def raw_sales_from_orders(spark, d):
+    """orders as raw sale-file rows: every column text, comma decimal
+    prices, junk in some areas, NULL price / type / longitude for some
+    keys, and re-delivered rows (every 50th order twice)."""
+    o = table(spark, d, "orders")
+    o = o.unionByName(o.filter(F.col("o_orderkey") % 50 == 0))
+    k, ck = F.col("o_orderkey"), F.col("o_custkey")
+    cents = F.round(F.col("o_totalprice") * 100).cast("long")
+    price = F.concat((cents / 100).cast("long").cast("string"), F.lit(","), F.lpad((cents % 100).cast("string"), 2, "0"))
+    nat = F.create_map(*[F.lit(x) for kv in _NATURE_OF_PRIORITY.items() for x in kv])
+    typ = F.create_map(*[F.lit(x) for kv in _TYPE_OF_STATUS.items() for x in kv])
+    area = ((k % 97) * 2).cast("string")
+    return o.select(
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("date_mutation"),
+        F.element_at(nat, F.col("o_orderpriority")).alias("nature_mutation"),
+        F.when(k % 19 != 0, price).alias("valeur_fonciere"),
+        F.concat(F.lit("CP"), (ck % 100).cast("string")).alias("code_postal"),
+        ck.cast("string").alias("code_commune"),
+        F.concat(F.lit("Commune"), ck.cast("string")).alias("nom_commune"),
+        F.lpad((ck % 25).cast("string"), 2, "0").alias("code_departement"),
+        F.concat(F.lit("P"), k.cast("string")).alias("id_parcelle"),
+        F.when(k % 17 != 0, F.element_at(typ, F.col("o_orderstatus"))).alias("type_local"),
+        F.when(k % 23 == 0, F.concat(area, F.lit(" m2"))).otherwise(area).alias("surface_reelle_bati"),
+        (k % 6).cast("string").alias("nombre_pieces_principales"),
+        ((k % 89) * 10).cast("string").alias("surface_terrain"),
+        F.when(ck % 31 != 0, _milli_text(ck * 7919 % 9000 - 1000)).alias("longitude"),
+        _milli_text(ck * 104729 % 7000 + 43000).alias("latitude"),
+        F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "O", "2")
+         .otherwise("3").alias("code_type_local"),
+        F.lit("0").alias("nombre_lots"), F.lit("000").alias("section_prefixe"))
+
+
+def _case_sql(col, mapping):
+    return "CASE " + " ".join(f"WHEN {col} = '{a}' THEN '{b}'" for a, b in
+                              ((a, b.replace("'", "''")) for a, b in mapping.items())) + " END"
+
+
+_RAW_SALES_SQL = f"""o AS (SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 50 = 0),
+raw AS (
+  SELECT strftime(o_orderdate, '%Y-%m-%d') AS r_date,
+         {_case_sql('o_orderpriority', _NATURE_OF_PRIORITY)} AS r_nature,
+         CASE WHEN o_orderkey % 19 = 0 THEN NULL ELSE
+           CAST(CAST(round(o_totalprice * 100) AS BIGINT) // 100 AS VARCHAR) || ',' ||
+           lpad(CAST(CAST(round(o_totalprice * 100) AS BIGINT) % 100 AS VARCHAR), 2, '0') END AS r_price,
+         'CP' || CAST(o_custkey % 100 AS VARCHAR) AS code_postal,
+         CAST(o_custkey AS VARCHAR) AS code_commune,
+         'Commune' || CAST(o_custkey AS VARCHAR) AS nom_commune,
+         lpad(CAST(o_custkey % 25 AS VARCHAR), 2, '0') AS code_departement,
+         'P' || CAST(o_orderkey AS VARCHAR) AS id_parcelle,
+         CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE {_case_sql('o_orderstatus', _TYPE_OF_STATUS)} END AS r_type,
+         CASE WHEN o_orderkey % 23 = 0 THEN CAST((o_orderkey % 97) * 2 AS VARCHAR) || ' m2'
+              ELSE CAST((o_orderkey % 97) * 2 AS VARCHAR) END AS r_area,
+         CAST(o_orderkey % 6 AS VARCHAR) AS nombre_pieces_principales,
+         CAST((o_orderkey % 89) * 10 AS VARCHAR) AS r_terrain,
+         CASE WHEN o_custkey % 31 = 0 THEN NULL ELSE {_milli_text_sql('((o_custkey * 7919) % 9000 - 1000)')} END AS r_lon,
+         {_milli_text_sql('((o_custkey * 104729) % 7000 + 43000)')} AS r_lat,
+         CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' ELSE '3' END AS code_type_local,
+         '0' AS nombre_lots, '000' AS section_prefixe
+  FROM o)"""
+
+
+def _strict_sql(x):
+    t = f"regexp_replace(replace({x}, ',', '.'), '\\s', '', 'g')"
+    return f"(CASE WHEN regexp_matches({t}, {_NUM_RE}) THEN TRY_CAST({t} AS DOUBLE) END)"
+
+
+def _tolerant_sql(x):
+    return (f"(CASE WHEN regexp_matches(trim({x}), '^[+-]?([0-9]+\\.?[0-9]*|\\.[0-9]+)([eE][+-]?[0-9]+)?$') "
+            f"THEN TRY_CAST(trim({x}) AS DOUBLE) END)")
+
+
+_SALE_NATURES_SQL = ", ".join("'" + x.replace("'", "''") + "'" for x in list(_NATURE_OF_PRIORITY.values())[:3])
+_REST = ["nature_mutation", "code_postal", "code_commune", "nom_commune", "code_departement", "id_parcelle",
+         "type_local", "surface_reelle_bati", "nombre_pieces_principales", "code_type_local", "nombre_lots",
+         "section_prefixe", "annee_mois", "annee", "prix_par_m2_habitable", "prix_par_m2_terrain"]
+
+
+@register("clean_sales_pipeline", with_ctes(_RAW_SALES_SQL, f"""typed AS (
+  SELECT CAST(TRY_STRPTIME(r_date, '%Y-%m-%d') AS DATE) AS date_mutation, r_nature AS nature_mutation,
+         {_strict_sql('r_price')} AS valeur_fonciere, code_postal, code_commune, nom_commune, code_departement,
+         id_parcelle, r_type AS type_local, {_strict_sql('r_area')} AS surface_reelle_bati,
+         nombre_pieces_principales, {_strict_sql('r_terrain')} AS surface_terrain,
+         {_tolerant_sql('r_lon')} AS longitude, {_tolerant_sql('r_lat')} AS latitude,
+         code_type_local, nombre_lots, section_prefixe
+  FROM raw
+  WHERE r_nature IN ({_SALE_NATURES_SQL}) AND coalesce(r_type, '') IN ('Appartement', 'Maison')
+    AND r_price IS NOT NULL AND r_lat IS NOT NULL AND r_lon IS NOT NULL)""", """feat AS (
+  SELECT *, strftime(date_mutation, '%Y-%m') AS annee_mois, CAST(year(date_mutation) AS INTEGER) AS annee,
+         valeur_fonciere / NULLIF(surface_reelle_bati, 0) AS prix_par_m2_habitable,
+         valeur_fonciere / NULLIF(surface_terrain, 0) AS prix_par_m2_terrain
+  FROM typed)""") + f"""
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY date_mutation, longitude, latitude, valeur_fonciere, surface_terrain
+                               ORDER BY {', '.join(c + ' NULLS FIRST' for c in _REST)}) AS rn
+  FROM feat) WHERE rn = 1""")
+def clean_sales_pipeline(spark, d):
+    return clean.clean_sales(raw_sales_from_orders(spark, d), numeric_mode="strict")
+
+
+# --------------------------------------------------- typed monthly series
+def _label_series(spark, d):
+    li = table(spark, d, "lineitem")
+    labels = F.array(*[F.lit(k) for k in _FR_LABELS])
+    a = (li.groupBy(F.trunc(F.to_date("l_shipdate"), "month").alias("m"))
+         .agg(F.round(F.avg("l_discount") * 10000).cast("long").alias("c")))
+    a = a.select(F.concat(F.element_at(labels, F.month("m")), F.lit(" "), F.year("m").cast("string")).alias("Category"),
+                 F.concat((F.col("c") / 100).cast("long").cast("string"), F.lit(","),
+                          F.lpad((F.col("c") % 100).cast("string"), 2, "0")).alias("taux"))
+    o = table(spark, d, "orders")
+    b = (o.groupBy(F.date_format("o_orderdate", "yyyy-MM").alias("Date"))
+         .agg(F.count(F.lit(1)).cast("string").alias("n_orders")))
+    return a, b
+
+
+@register("macro_typed_series", f"""
+WITH a AS (
+  SELECT ([{", ".join(f"'{k}'" for k in _FR_LABELS)}])[month(m)] || ' ' || CAST(year(m) AS VARCHAR) AS label,
+         c // 100 AS ip, c % 100 AS fp
+  FROM (SELECT date_trunc('month', l_shipdate) AS m, CAST(round(avg(l_discount) * 10000) AS BIGINT) AS c
+        FROM lineitem GROUP BY 1)),
+ta AS (SELECT make_date(CAST(split_part(label, ' ', 2) AS BIGINT),
+                        CASE split_part(label, ' ', 1) {" ".join(f"WHEN '{k}' THEN {v}" for k, v in FRENCH_MONTHS.items())} END,
+                        1) AS "Date",
+              CAST(CAST(ip AS VARCHAR) || '.' || lpad(CAST(fp AS VARCHAR), 2, '0') AS DOUBLE) AS taux FROM a),
+tb AS (SELECT CAST(strptime(strftime(o_orderdate, '%Y-%m'), '%Y-%m') AS DATE) AS "Date",
+              CAST(count(*) AS DOUBLE) AS n_orders FROM orders GROUP BY 1)
+SELECT ta."Date", taux, n_orders FROM ta JOIN tb ON ta."Date" = tb."Date"
+WHERE ta."Date" >= DATE '1996-01-01'""")
+def macro_typed_series(spark, d):
+    a, b = _label_series(spark, d)
+    ta = macro.typed_series(a, "Category", ["taux"], start="1996-01-01", label_format="french")
+    tb = macro.typed_series(b, "Date", ["n_orders"], start="1996-01-01", label_format="yyyy-MM")
+    return macro.macro_chain([ta, tb], on="Date")
