@@ -62,15 +62,17 @@ def french_month_to_date(c, fail_on_unknown: bool = True) -> Column:
 
     Unknown month labels or a label that is not two words raise (as the source
     pipeline does) unless ``fail_on_unknown=False``, which gives NULL.
+    Built from cheap string functions (no array split): the optimizer may
+    push a date filter on the result below an aggregation, where it runs
+    once per input row.
     """
-    c = _c(c)
-    parts = F.split(F.trim(c), r"\s+")
+    c = F.trim(_c(c))
     pairs = []
     for k, v in FRENCH_MONTHS.items():
         pairs += [F.lit(k), F.lit(v)]
-    month = F.element_at(F.create_map(*pairs), F.element_at(parts, 1))
-    yr = F.element_at(parts, 2).try_cast("int")
-    ok = (F.size(parts) == 2) & month.isNotNull() & yr.isNotNull()
+    month = F.element_at(F.create_map(*pairs), F.substring_index(c, " ", 1))
+    yr = F.substring_index(c, " ", -1).try_cast("int")
+    ok = c.rlike(r"^\S+ +[0-9]+$") & month.isNotNull()
     value = F.make_date(yr, month, F.lit(1))
     if fail_on_unknown:
         return F.when(c.isNull(), F.lit(None).cast("date")).when(ok, value).otherwise(

@@ -30,4 +30,4 @@ def with_ctes(*ctes: str) -> str:
 
 def load_all() -> None:
     """Import the query modules (they register on import)."""
-    from propspark.plans import q_geo, q_listings, q_misc, q_sales  # noqa: F401
+    from propspark.plans import q_geo, q_listings, q_misc, q_pipeline, q_sales  # noqa: F401
