@@ -8,13 +8,20 @@ from pyspark.sql import functions as F
 from propspark.functions.scalar import natural_log, one_hot
 from propspark.operators.clean import trim_band
 from propspark.operators.ranking import exact_quantiles
+from propspark.session import reliable_checkpoint
 
 
 def quantile_trim(df: DataFrame, col: str, q_lo: float = 0.001, q_hi: float = 0.999,
-                  lo: float | None = None) -> tuple[DataFrame, dict]:
+                  lo: float | None = None, materialize: bool = False) -> tuple[DataFrame, dict]:
     """A16 + P6: keep ``lo <= col <= quantile(q_hi)`` where ``lo`` defaults to
     ``quantile(q_lo)``.  Quantiles are exact (linear interpolation, NULL/NaN
-    excluded).  Returns the trimmed frame and both thresholds (Q11)."""
+    excluded).  Returns the trimmed frame and both thresholds (Q11).
+
+    The thresholds need one pass over ``df`` and the filter another; with
+    ``materialize`` the input is written once as a reliable checkpoint so an
+    expensive upstream plan is not computed twice."""
+    if materialize:
+        df = reliable_checkpoint(df)
     qs = exact_quantiles(df, col, [q_lo, q_hi])
     low = lo if lo is not None else qs[q_lo]
     thresholds = {"q_lo": qs[q_lo], "q_hi": qs[q_hi], "lo": low, "hi": qs[q_hi]}

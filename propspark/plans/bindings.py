@@ -28,13 +28,15 @@ from propspark.functions import scalar as S
 
 from propspark.constants import ENERGY_LETTERS, POI_CATEGORIES
 from propspark.functions.scalar import safe_ratio
+from propspark.sources.files import read_table
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """A driver table (S6); small single-split files are spread over the cores."""
+    return read_table(spark, f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # ------------------------------------------------------------------ coordinates

@@ -49,7 +49,7 @@ def sales_model_ready_df(spark, d):
     sales = impute.distance_missing_flags(sales, radii=DRIVER_RADII)
     sales = impute.group_mean_impute(sales, "revenu_median_2021_commune", "code_commune")
     sales = impute.literal_household_fill(sales, impute.households_dim(spark))
-    sales, _ = features.quantile_trim(sales, "valeur_fonciere", 0.001, 0.999, lo=1000.0)
+    sales, _ = features.quantile_trim(sales, "valeur_fonciere", 0.001, 0.999, lo=1000.0, materialize=True)
     sales = spatial.project(sales)
     return features.log_onehot(sales, "valeur_fonciere", "type_local", vocabulary=["Maison", "Appartement"],
                                log_col="valeur_fonciere_log")

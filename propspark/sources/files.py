@@ -62,8 +62,29 @@ def read_census(spark: SparkSession, path, columns: list[str], level: str = "dep
 
 
 # S6 -------------------------------------------------------------------------
-def read_table(spark: SparkSession, path) -> DataFrame:
-    return spark.read.parquet(path)
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       min_bytes: int = 1 << 20) -> DataFrame:
+    """Spread a scan that yields fewer splits than the cluster has cores.
+
+    A file with a single row group is read by one task, which would run
+    every narrow step after it on one core.  Only then, and only when the
+    file is big enough for the work to matter (``min_bytes``), is the scan
+    redistributed (round-robin, a shuffle of a small input).  A large input
+    already has at least that many splits and is returned unchanged, so no
+    extra shuffle is ever added at scale; a tiny dimension is left alone.
+    """
+    from propspark.operators.joins import estimated_bytes
+    want = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want and estimated_bytes(df) >= min_bytes:
+        return df.repartition(want)
+    return df
+
+
+def read_table(spark: SparkSession, path, spread_small: bool | None = None) -> DataFrame:
+    df = spark.read.parquet(path)
+    if spread_small is None:
+        spread_small = spark.conf.get("propspark.spreadSmallScans", "false") == "true"
+    return ensure_parallelism(df) if spread_small else df
 
 
 # S9 -------------------------------------------------------------------------
