@@ -31,6 +31,12 @@ from propspark.session import reliable_checkpoint
 def consecutive_ids(df: DataFrame, order: list, id_col: str = "id",
                     num_partitions: int | None = None, start: int = 1,
                     checkpoint: bool = True) -> DataFrame:
+    return _numbered(df, order, id_col, num_partitions, start, checkpoint)[0]
+
+
+def _numbered(df: DataFrame, order: list, id_col: str, num_partitions: int | None,
+              start: int, checkpoint: bool) -> tuple[DataFrame, int]:
+    """Numbered frame and its row count (from the per-partition counts)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
@@ -39,7 +45,7 @@ def consecutive_ids(df: DataFrame, order: list, id_col: str = "id",
                    .withColumn("_mid", F.monotonically_increasing_id())
     if checkpoint:
         ranged = reliable_checkpoint(ranged)
-    counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect()
+        return ranged.drop("_pid", "_mid").withColumn(id_col, F.lit(None).cast("long")), 0
     offsets, acc = [], start
     for row in sorted(counts, key=lambda r: r["_pid"]):
         offsets.append((int(row["_pid"]), acc))
@@ -49,9 +55,10 @@ def consecutive_ids(df: DataFrame, order: list, id_col: str = "id",
     # One row per partition: bounded by the partition count.
     off_df = bounded_broadcast(spark.createDataFrame(offsets, "_pid int, _off long"))
     local = F.col("_mid") - F.shiftleft(F.col("_pid").cast("long"), 33)
-    return (ranged.join(off_df, "_pid")
-            .withColumn(id_col, (F.col("_off") + local).cast("long"))
-            .drop("_pid", "_mid", "_off"))
+    out = (ranged.join(off_df, "_pid")
+           .withColumn(id_col, (F.col("_off") + local).cast("long"))
+           .drop("_pid", "_mid", "_off"))
+    return out, acc - start
 
 
 def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> dict[float, float | None]:
@@ -60,8 +67,7 @@ def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> dict[float, flo
     Returns a dict q -> value (scalars only reach the driver).
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranked = consecutive_ids(vals, ["v"], id_col="r", start=0)
-    total = ranked.agg(F.count(F.lit(1)).alias("n")).first()["n"]
+    ranked, total = _numbered(vals, ["v"], "r", None, 0, True)
     if not total:
         return {q: None for q in qs}
     wanted = {}

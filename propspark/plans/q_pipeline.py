@@ -14,8 +14,8 @@ from pyspark.sql import functions as F
 from propspark.constants import COMMUNE_POPULATION, POI_CATEGORIES
 from propspark.functions import scalar as S
 from propspark.functions.geo import lambert93_sql
-from propspark.operators import clean, features, impute, macro, spatial
-from propspark.plans.bindings import (DRIVER_RADII, MACRO_SQL, category_sql, lat_sql, lon_sql,
+from propspark.operators import clean, features, impute, macro, spatial, star
+from propspark.plans.bindings import (DRIVER_RADII, MACRO_MEASURES, MACRO_SQL, category_sql, lat_sql, lon_sql,
                                       monthly_macro, poi_suppliers, radius_case_sql, table)
 from propspark.plans.q_sales import _RAW_SALES_SQL, _REST, _SALE_NATURES_SQL, _strict_sql, _tolerant_sql
 from propspark.plans.q_sales import raw_sales_from_orders
@@ -163,3 +163,34 @@ FROM filled f, q WHERE f.valeur_fonciere >= 1000.0 AND f.valeur_fonciere <= q.hi
     "SELECT f.*,", "SELECT f.* EXCLUDE (revenu_median_2021_commune), round(f.revenu_median_2021_commune, 6) AS revenu_median_2021_commune,"))
 def sales_model_ready(spark, d):
     return _rounded(sales_model_ready_df(spark, d))
+
+
+_PROX_COLS = []
+for _c in POI_CATEGORIES:
+    _PROX_COLS += [f"nb_{_c}", f"distance_min_{_c}", f"distance_min_{_c}_manquante"]
+
+
+@register("star_proximite", _PIPE_SQL + f""",
+trimmed AS (SELECT f.* FROM filled f, q WHERE f.valeur_fonciere >= 1000.0 AND f.valeur_fonciere <= q.hi)
+SELECT row_number() OVER (ORDER BY id_parcelle) AS id_proximite,
+       row_number() OVER (ORDER BY id_parcelle) AS id_bien,
+       {', '.join(_PROX_COLS)}
+FROM trimmed""")
+def star_proximite(spark, d):
+    """K3 proximity table from the model-ready sales, ids in parcel order."""
+    flat = sales_model_ready_df(spark, d)
+    tables = star.build_star(flat, ["id_parcelle"], bien_cols=["id_parcelle", "type_local"],
+                             mutation_cols=["date_mutation", "valeur_fonciere"],
+                             indicator_measures={m: m for m in MACRO_MEASURES})
+    return tables["proximite"]
+
+
+@register("model_ready_sample", _PIPE_SQL + """,
+trimmed AS (SELECT f.* FROM filled f, q WHERE f.valeur_fonciere >= 1000.0 AND f.valeur_fonciere <= q.hi)
+SELECT id_parcelle, valeur_fonciere, code_commune FROM trimmed
+ORDER BY md5(concat_ws('|', id_parcelle, '42')), id_parcelle LIMIT 1000""")
+def model_ready_sample(spark, d):
+    """L3: reproducible sample of the model-ready table (the delivered
+    sample is drawn with seed 42)."""
+    flat = sales_model_ready_df(spark, d).select("id_parcelle", "valeur_fonciere", "code_commune")
+    return features.hash_sample(flat, 1000, ["id_parcelle"], seed=42)
