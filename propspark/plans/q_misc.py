@@ -84,9 +84,10 @@ def table_preview(spark, d):
 SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total
 FROM orders GROUP BY o_orderstatus""")
 def adhoc_sql(spark, d):
-    catalog.register_views(spark, {t: table(spark, d, t) for t in ("orders",)})
+    # Views are registered under a prefix so a caller's own temp views are untouched.
+    catalog.register_views(spark, {f"propspark_{t}": table(spark, d, t) for t in ("orders",)})
     return catalog.adhoc_sql(spark, "SELECT o_orderstatus, count(*) AS n, round(sum(o_totalprice), 2) AS total "
-                                    "FROM orders GROUP BY o_orderstatus")
+                                    "FROM propspark_orders GROUP BY o_orderstatus")
 
 
 assert set(_STAT_TABLES) <= set(TABLES)

@@ -115,3 +115,11 @@ def test_payload_to_listing_drops_personal_data(spark):
     assert not set(LISTING_PII_KEYS) & set(out.columns)
     assert not any("Conseiller" in c for c in out.columns)
     assert out.select(F.lit(1)).count() == 1
+
+
+def test_read_departments_prunes_extra_columns(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "departements.csv")
+    _write(p, "code_departement,nom_departement,code_region,nom_region\n01,Ain,84,ARA\n2A,Corse-du-Sud,94,COR\n971,Guadeloupe,1,GUA\n")
+    df = files.read_departments(spark, p)
+    assert df.columns == ["code_departement", "nom_departement"]
+    assert sorted(r.code_departement for r in df.collect()) == ["01", "2A", "971"]
