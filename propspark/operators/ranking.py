@@ -8,7 +8,8 @@
    folder, so the counting pass and the numbering pass see the same
    partitions even if an executor is lost in between;
 3. count rows per partition (one small row per partition reaches the
-   driver: the count is bounded by the number of partitions);
+   driver: the count is bounded by the number of partitions, i.e. by
+   spark.sql.shuffle.partitions, which the cluster sizes for its data);
 4. id = offset of the partition + position inside it, where the position
    comes from ``monotonically_increasing_id`` (partition id in the upper
    bits, row index in the lower 33 bits).
@@ -38,9 +39,12 @@ def _numbered(df: DataFrame, order: list, id_col: str, num_partitions: int | Non
               start: int, checkpoint: bool) -> tuple[DataFrame, int]:
     """Numbered frame and its row count (from the per-partition counts)."""
     spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count the range exchange uses the cluster's
+    # spark.sql.shuffle.partitions and AQE may merge adjacent small ranges,
+    # which keeps the global order (partition ids stay in range order).
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols)).sortWithinPartitions(*order_cols)
     ranged = ranged.withColumn("_pid", F.spark_partition_id()) \
                    .withColumn("_mid", F.monotonically_increasing_id())
     if checkpoint:

@@ -13,7 +13,7 @@ from propspark.plans import views
 from propspark.plans.bindings import (COMMUNES_SQL, DEPARTEMENTS_SQL, MACRO_MEASURES, MACRO_SQL,
                                       SALES_SQL, communes, departements, monthly_macro, sales, table)
 from propspark.plans.registry import register, with_ctes
-from propspark.sources.files import empty_partitions
+from propspark.sources.files import empty_partitions, read_table
 
 # ------------------------------------------------------------------ flagship
 TOP5_SQL = with_ctes(SALES_SQL, COMMUNES_SQL, DEPARTEMENTS_SQL) + """
@@ -619,8 +619,12 @@ def _milli_text_sql(v: str) -> str:
 def raw_sales_from_orders(spark, d):
     """orders as raw sale-file rows: every column text, comma decimal
     prices, junk in some areas, NULL price / type / longitude for some
-    keys, and re-delivered rows (every 50th order twice)."""
-    o = table(spark, d, "orders")
+    keys, and re-delivered rows (every 50th order twice).
+
+    Raw sale drops are many files (many splits); the single-split driver
+    file is spread over the cores to stand for that (a no-op on a large
+    input, see ``ensure_parallelism``)."""
+    o = read_table(spark, f"{d.rstrip('/')}/orders.parquet", spread_small=True)
     o = o.unionByName(o.filter(F.col("o_orderkey") % 50 == 0))
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
