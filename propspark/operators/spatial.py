@@ -23,6 +23,8 @@ coordinates of the sales and the result is joined back on them.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,39 +165,65 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
                  name: str = "name", order: str = "ord",
                  x: str = "x_proj", y: str = "y_proj", max_rounds: int | None = None) -> DataFrame:
     """Same result as scanning POIs in ``order`` and keeping a POI unless
-    an already kept POI of the same name lies within ``threshold``.
-
-    Equivalent rule: a POI is kept iff none of its earlier same-name
-    neighbours is kept.  Rounds over the edge list decide nodes whose
-    earlier neighbours are all decided; the earliest undecided node is
-    always decidable, so every round makes progress.  State is written as a
-    reliable checkpoint each round (lineage stays short, executor loss is
-    survivable).  ``order`` must be unique.
-
-    Exact copies (same name and coordinates) are collapsed first: only the
-    earliest of them can survive, which keeps a heap of identical points
-    from producing a quadratic edge list.
+    an already kept POI of the same name lies within ``threshold``
+    (inclusive); equivalently a POI is kept iff none of its earlier
+    same-name neighbours is kept.  ``order`` must be unique.
+
+    No pair list is built, so a dense heap of near-identical POIs costs
+    linear work per round:
+
+    * POIs are keyed by (name, fine cell) with cell side ``threshold/sqrt(2)``:
+      two POIs of one cell are always within the threshold, so a cell holds
+      at most one kept POI and only its earliest undecided POI can be kept.
+    * Each round aggregates per cell the earliest undecided order and the
+      kept POI, then per cell over its 5 x 5 block of neighbour cells the
+      earliest undecided order and the kept POIs (at most 25, so the
+      collected list is bounded).
+    * An undecided POI is dropped when a kept, earlier POI of its
+      neighbourhood lies within the threshold; it is kept when it is its
+      cell's earliest undecided POI, no neighbour cell has an earlier
+      undecided POI and no earlier kept POI lies within the threshold.
+      The globally earliest undecided POI is always decided, so every round
+      makes progress.
+    * State is cut with a reliable checkpoint each round (short lineage,
+      survives executor loss).
     """
-    firsts = poi.groupBy(name, x, y).agg(F.min(order).alias(order))
-    edges = reliable_checkpoint(same_name_edges(firsts, threshold, name, order, x, y))
-    state = reliable_checkpoint(firsts.select(F.col(order).alias("o"), F.lit("u").alias("s")))
+    side = threshold / math.sqrt(2.0) * (1.0 - 1e-9)
+    reach = 2
+    blk = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
+                    for dx in range(-reach, reach + 1) for dy in range(-reach, reach + 1)])
+    cell = ["nm", "fx", "fy"]
+    state = reliable_checkpoint(poi.select(
+        F.col(name).alias("nm"), F.col(order).alias("o"), F.col(x).alias("px"), F.col(y).alias("py"),
+        F.floor(F.col(x) / side).alias("fx"), F.floor(F.col(y) / side).alias("fy"),
+        F.lit("u").alias("s")))
     rounds = 0
-    while True:
-        undecided = state.filter(F.col("s") == "u")
-        if undecided.limit(1).count() == 0:
-            break
+    while state.filter(F.col("s") == "u").limit(1).count() > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"greedy_dedup did not converge in {max_rounds} rounds")
-        nb = (edges.join(undecided.select(F.col("o").alias("a")), "a")
-              .join(state.select(F.col("o").alias("b"), F.col("s").alias("sb")), "b")
-              .groupBy("a").agg(F.max((F.col("sb") == "k").cast("int")).alias("any_k"),
-                                F.max((F.col("sb") == "u").cast("int")).alias("any_u")))
-        new_s = (F.when(F.col("s") != "u", F.col("s"))
-                 .when(F.coalesce(F.col("any_k"), F.lit(0)) == 1, F.lit("d"))
-                 .when(F.coalesce(F.col("any_u"), F.lit(0)) == 0, F.lit("k"))
-                 .otherwise(F.lit("u")))
-        state = reliable_checkpoint(
-            state.join(nb.withColumnRenamed("a", "o"), "o", "left").select("o", new_s.alias("s")))
+        kept_pt = F.when(F.col("s") == "k", F.struct(F.col("o").alias("o"), F.col("px").alias("x"),
+                                                      F.col("py").alias("y")))
+        per_cell = state.groupBy(*cell).agg(
+            F.min(F.when(F.col("s") == "u", F.col("o"))).alias("first_u"),
+            F.max(kept_pt).alias("kept"))
+        spread = (per_cell.withColumn("_b", F.explode(blk))
+                  .select(F.col("nm"), (F.col("fx") + F.col("_b.dx")).alias("fx"),
+                          (F.col("fy") + F.col("_b.dy")).alias("fy"),
+                          ((F.col("_b.dx") == 0) & (F.col("_b.dy") == 0)).alias("self"),
+                          "first_u", "kept"))
+        hood = spread.groupBy(*cell).agg(
+            F.min(F.when(~F.col("self"), F.col("first_u"))).alias("nbr_first_u"),
+            F.max(F.when(F.col("self"), F.col("first_u"))).alias("own_first_u"),
+            F.collect_list("kept").alias("kept_list"))
+        und = state.filter(F.col("s") == "u").join(hood, cell, "left")
+        near_kept = F.exists("kept_list", lambda k: (k["o"] < F.col("o")) & (
+            F.sqrt((k["x"] - F.col("px")) * (k["x"] - F.col("px")) +
+                   (k["y"] - F.col("py")) * (k["y"] - F.col("py"))) <= F.lit(threshold)))
+        first = (F.col("own_first_u") == F.col("o")) & (
+            F.col("nbr_first_u").isNull() | (F.col("nbr_first_u") > F.col("o")))
+        decided = und.select(*cell, "o", "px", "py",
+                             F.when(near_kept, F.lit("d")).when(first, F.lit("k")).otherwise(F.lit("u")).alias("s"))
+        state = reliable_checkpoint(state.filter(F.col("s") != "u").unionByName(decided))
     kept = state.filter(F.col("s") == "k").select(F.col("o").alias(order))
     return poi.join(kept, order, "left_semi")

@@ -136,3 +136,17 @@ def test_extract_poi_tag_rules_and_geometry(spark):
     pt = {r.id: (r.x_proj, r.y_proj) for r in out}
     assert pt[1] == (pytest.approx(700000.0, abs=1e-6), pytest.approx(6600000.0, abs=1e-6))
     assert pt[3][0] > 700000.0  # line centroid between its two ends
+
+
+def test_greedy_dedup_dense_near_duplicates(spark):
+    # 500 same-name points jittered within a 60 m square, in shuffled order:
+    # the round-based dedup must equal the sequential scan without pairing
+    # every point with every other one.
+    rnd = random.Random(11)
+    ords = list(range(500))
+    rnd.shuffle(ords)
+    rows = [(ords[i], "Pharmacie", 1000.0 + rnd.uniform(0, 60), 2000.0 + rnd.uniform(0, 60)) for i in range(500)]
+    rows += [(1000 + i, "", rnd.uniform(0, 60), rnd.uniform(0, 60)) for i in range(50)]
+    df = spark.createDataFrame(rows, "ord long, name string, x_proj double, y_proj double")
+    got = sorted(r.ord for r in spatial.greedy_dedup(df, 25.0).collect())
+    assert got == _sequential_greedy(rows, 25.0)
