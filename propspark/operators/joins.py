@@ -17,8 +17,6 @@ hold a large share of all rows.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,12 +29,6 @@ def estimated_bytes(df: DataFrame) -> int:
     return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def has_at_most(df: DataFrame, max_rows: int) -> bool:
-    """Exact check that ``df`` has at most ``max_rows`` rows (reads at most
-    n+1 rows; use only on cheap plans such as a table scan)."""
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
 def is_small(df: DataFrame, max_bytes: int = DEFAULT_BROADCAST_BYTES) -> bool:
     return estimated_bytes(df) <= max_bytes
 
@@ -74,7 +66,3 @@ def salted_join(big: DataFrame, small: DataFrame, on: list[str], how: str = "inn
     salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(buckets)).cast("int"))
     salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return salted_big.join(salted_small, on + ["_salt"], how).drop("_salt")
-
-
-def chain_joins(frames: list[DataFrame], on, how: str = "inner") -> DataFrame:
-    return reduce(lambda a, b: a.join(b, on, how), frames)

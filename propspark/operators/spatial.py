@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from propspark.constants import POI_CATEGORIES, POI_DEDUP_THRESHOLD_M, POI_RADIUS_M
 from propspark.functions.geo import euclidean, lambert93_x, lambert93_y
-from propspark.operators.joins import is_small
+from propspark.operators.joins import is_small, salted_join
 from propspark.session import reliable_checkpoint
 
 NEIGHBOURS = [(dx, dy) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]
@@ -124,18 +124,20 @@ def nearest_poi(points: DataFrame, poi: DataFrame, keys: list[str],
 
 def features_by_coordinates(sales: DataFrame, poi: DataFrame,
                             lon: str = "longitude", lat: str = "latitude",
-                            categories=POI_CATEGORIES, radii=POI_RADIUS_M, **kw) -> DataFrame:
+                            categories=POI_CATEGORIES, radii=POI_RADIUS_M,
+                            join_back_salt: int = 1, **kw) -> DataFrame:
     """Sales + radius features, computed once per distinct coordinate
     pair and joined back on the coordinates (no positional zip).
 
-    The join back is many-to-one on ``(lon, lat)``; a coordinate shared by a
-    large share of the sales is split by AQE's skew-join handling, the
-    feature side holding one row per key.
+    The join back is many-to-one on ``(lon, lat)``.  A coordinate shared by a
+    large share of the sales is split by AQE's skew-join handling (the
+    feature side holds one row per key); ``join_back_salt > 1`` salts it
+    explicitly instead (the feature side is replicated once per salt).
     """
     coords = project(sales.select(lon, lat).filter(F.col(lon).isNotNull() & F.col(lat).isNotNull())
                      .distinct(), lon, lat)
     feats = radius_features(coords, poi, [lon, lat], categories, radii, **kw)
-    return sales.join(feats, [lon, lat], "left")
+    return salted_join(sales, feats, [lon, lat], "left", buckets=join_back_salt)
 
 
 # ------------------------------------------------------------------ POI dedup

@@ -150,3 +150,14 @@ def test_greedy_dedup_dense_near_duplicates(spark):
     df = spark.createDataFrame(rows, "ord long, name string, x_proj double, y_proj double")
     got = sorted(r.ord for r in spatial.greedy_dedup(df, 25.0).collect())
     assert got == _sequential_greedy(rows, 25.0)
+
+
+def test_features_join_back_salted_equals_plain(spark):
+    sales = spark.createDataFrame([(i, 2.35 if i % 3 else 5.0, 48.85) for i in range(60)],
+                                  "sale long, longitude double, latitude double")
+    poi = spatial.project(spark.createDataFrame([("a", 1, 2.351, 48.8505)],
+                                                "category string, id long, longitude double, latitude double"))
+    a = sorted(map(tuple, spatial.features_by_coordinates(sales, poi, categories=["a"], radii={"a": 1000.0}).collect()))
+    b = sorted(map(tuple, spatial.features_by_coordinates(sales, poi, categories=["a"], radii={"a": 1000.0},
+                                                          join_back_salt=4).collect()))
+    assert a == b and len(a) == 60
