@@ -63,6 +63,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.startswith("local"):
+            # A machine-local folder is not shared by executors: refuse.
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
+                               "(reliable checkpoints cut lineage in the iterative and numbering steps)")
         conf_dir = tempfile.mkdtemp(prefix="propspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
