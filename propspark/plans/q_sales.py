@@ -753,3 +753,20 @@ def macro_typed_series(spark, d):
     ta = macro.typed_series(a, "Category", ["taux"], start="1996-01-01", label_format="french")
     tb = macro.typed_series(b, "Date", ["n_orders"], start="1996-01-01", label_format="yyyy-MM")
     return macro.macro_chain([ta, tb], on="Date")
+
+
+@register("star_department_stats", with_ctes(SALES_SQL, COMMUNES_SQL, DEPARTEMENTS_SQL, MACRO_SQL, _FLAT_SQL) + """,
+dd AS (SELECT DISTINCT code_departement, revenu_median_2021_departement AS revenu_median_2021,
+              taux_chomage_2023_departement AS taux_chomage_2023 FROM flat WHERE code_departement IS NOT NULL),
+cc AS (SELECT DISTINCT code_commune, code_departement FROM flat WHERE code_commune IS NOT NULL)
+SELECT d.code_departement, d.revenu_median_2021, d.taux_chomage_2023,
+       COUNT(m.id_mutation) AS nb_transactions, AVG(m.valeur_fonciere) AS prix_moyen,
+       AVG(m.prix_par_m2_habitable) AS prix_m2_moyen
+FROM dd d LEFT JOIN cc c ON d.code_departement = c.code_departement
+LEFT JOIN flat m ON c.code_commune = m.code_commune
+GROUP BY d.code_departement, d.revenu_median_2021, d.taux_chomage_2023""")
+def star_department_stats(spark, d):
+    """E2 end to end: flat table -> star schema (K3) -> department view (V3)
+    over the star's own dimension and fact tables."""
+    st = _star(spark, d)
+    return views.department_stats(st["departements"], st["communes"], st["mutations"])
