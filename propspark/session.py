@@ -21,7 +21,11 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Remove checkpoint files once their DataFrames are garbage collected.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
+# Settings fixed when the context starts; ``configure`` leaves them alone.
+STATIC_CONF = {"spark.ui.enabled", "spark.cleaner.referenceTracking.cleanCheckpoints"}
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
@@ -42,11 +46,10 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def configure(spark: SparkSession) -> SparkSession:
     """Apply DEFAULT_CONF where the session leaves a key unset."""
     for k, v in DEFAULT_CONF.items():
-        if k == "spark.ui.enabled":
-            continue  # static conf, only settable at start
+        if k in STATIC_CONF:
+            continue  # only settable when the context starts
         if spark.conf.get(k, None) is None:
             spark.conf.set(k, v)
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
 
 
