@@ -165,7 +165,8 @@ def same_name_edges(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
 
 def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
                  name: str = "name", order: str = "ord",
-                 x: str = "x_proj", y: str = "y_proj", max_rounds: int | None = None) -> DataFrame:
+                 x: str = "x_proj", y: str = "y_proj", max_rounds: int | None = None,
+                 small_cell: int = 8) -> DataFrame:
     """Same result as scanning POIs in ``order`` and keeping a POI unless
     an already kept POI of the same name lies within ``threshold``
     (inclusive); equivalently a POI is kept iff none of its earlier
@@ -177,14 +178,19 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
     * POIs are keyed by (name, fine cell) with cell side ``threshold/sqrt(2)``:
       two POIs of one cell are always within the threshold, so a cell holds
       at most one kept POI and only its earliest undecided POI can be kept.
-    * Each round aggregates per cell the earliest undecided order and the
-      kept POI, then per cell over its 5 x 5 block of neighbour cells the
-      earliest undecided order and the kept POIs (at most 25, so the
-      collected list is bounded).
+    * Each round aggregates per cell the earliest undecided order, the
+      number of undecided POIs and the kept POI, then per cell over its
+      5 x 5 block of neighbour cells: the kept POIs (at most 25), the
+      undecided POIs of the neighbour cells that hold at most
+      ``small_cell`` of them (at most 24 x ``small_cell``), and the earliest
+      undecided order of the larger neighbour cells.  Every collected list
+      is bounded.
     * An undecided POI is dropped when a kept, earlier POI of its
-      neighbourhood lies within the threshold; it is kept when it is its
-      cell's earliest undecided POI, no neighbour cell has an earlier
-      undecided POI and no earlier kept POI lies within the threshold.
+      neighbourhood lies within the threshold.  It is kept when it is its
+      cell's earliest undecided POI, no earlier undecided POI of a small
+      neighbour cell lies within the threshold, no larger neighbour cell
+      has an earlier undecided POI at all (a safe, conservative wait), and
+      no earlier kept POI lies within the threshold.
       The globally earliest undecided POI is always decided, so every round
       makes progress.
     * State is cut with a reliable checkpoint each round (short lineage,
@@ -199,33 +205,43 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
         F.col(name).alias("nm"), F.col(order).alias("o"), F.col(x).alias("px"), F.col(y).alias("py"),
         F.floor(F.col(x) / side).alias("fx"), F.floor(F.col(y) / side).alias("fy"),
         F.lit("u").alias("s")))
+
+    def within(p):
+        return F.sqrt((p["x"] - F.col("px")) * (p["x"] - F.col("px")) +
+                      (p["y"] - F.col("py")) * (p["y"] - F.col("py"))) <= F.lit(threshold)
+
     rounds = 0
     while state.filter(F.col("s") == "u").limit(1).count() > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
             raise RuntimeError(f"greedy_dedup did not converge in {max_rounds} rounds")
-        kept_pt = F.when(F.col("s") == "k", F.struct(F.col("o").alias("o"), F.col("px").alias("x"),
-                                                      F.col("py").alias("y")))
-        per_cell = state.groupBy(*cell).agg(
-            F.min(F.when(F.col("s") == "u", F.col("o"))).alias("first_u"),
-            F.max(kept_pt).alias("kept"))
+        und = state.filter(F.col("s") == "u")
+        pt = F.struct(F.col("o").alias("o"), F.col("px").alias("x"), F.col("py").alias("y"))
+        counts = und.groupBy(*cell).agg(F.count(F.lit(1)).alias("n_u"), F.min("o").alias("first_u"))
+        # Undecided points of small cells (at most ``small_cell`` each): a bounded list.
+        small = (und.join(counts.filter(F.col("n_u") <= small_cell).select(*cell), cell, "left_semi")
+                 .groupBy(*cell).agg(F.collect_list(pt).alias("ulist")))
+        kept = state.filter(F.col("s") == "k").groupBy(*cell).agg(F.max(pt).alias("kept"))
+        per_cell = (counts.join(small, cell, "left").join(kept, cell, "full"))
         spread = (per_cell.withColumn("_b", F.explode(blk))
                   .select(F.col("nm"), (F.col("fx") + F.col("_b.dx")).alias("fx"),
                           (F.col("fy") + F.col("_b.dy")).alias("fy"),
                           ((F.col("_b.dx") == 0) & (F.col("_b.dy") == 0)).alias("self"),
-                          "first_u", "kept"))
+                          "n_u", "first_u", "ulist", "kept"))
+        big = ~F.col("self") & (F.col("n_u") > small_cell)
         hood = spread.groupBy(*cell).agg(
-            F.min(F.when(~F.col("self"), F.col("first_u"))).alias("nbr_first_u"),
             F.max(F.when(F.col("self"), F.col("first_u"))).alias("own_first_u"),
+            F.min(F.when(big, F.col("first_u"))).alias("big_first_u"),
+            F.flatten(F.collect_list(F.when(~F.col("self"), F.col("ulist")))).alias("nbr_und"),
             F.collect_list("kept").alias("kept_list"))
-        und = state.filter(F.col("s") == "u").join(hood, cell, "left")
-        near_kept = F.exists("kept_list", lambda k: (k["o"] < F.col("o")) & (
-            F.sqrt((k["x"] - F.col("px")) * (k["x"] - F.col("px")) +
-                   (k["y"] - F.col("py")) * (k["y"] - F.col("py"))) <= F.lit(threshold)))
-        first = (F.col("own_first_u") == F.col("o")) & (
-            F.col("nbr_first_u").isNull() | (F.col("nbr_first_u") > F.col("o")))
-        decided = und.select(*cell, "o", "px", "py",
-                             F.when(near_kept, F.lit("d")).when(first, F.lit("k")).otherwise(F.lit("u")).alias("s"))
+        cand = und.join(hood, cell, "left")
+        near_kept = F.exists("kept_list", lambda k: (k["o"] < F.col("o")) & within(k))
+        waits_small = F.exists(F.coalesce(F.col("nbr_und"), F.array()),
+                               lambda w: (w["o"] < F.col("o")) & within(w))
+        first = ((F.col("own_first_u") == F.col("o")) & ~waits_small &
+                 (F.col("big_first_u").isNull() | (F.col("big_first_u") > F.col("o"))))
+        decided = cand.select(*cell, "o", "px", "py",
+                              F.when(near_kept, F.lit("d")).when(first, F.lit("k")).otherwise(F.lit("u")).alias("s"))
         state = reliable_checkpoint(state.filter(F.col("s") != "u").unionByName(decided))
     kept = state.filter(F.col("s") == "k").select(F.col("o").alias(order))
     return poi.join(kept, order, "left_semi")
