@@ -217,12 +217,15 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
             raise RuntimeError(f"greedy_dedup did not converge in {max_rounds} rounds")
         und = state.filter(F.col("s") == "u")
         pt = F.struct(F.col("o").alias("o"), F.col("px").alias("x"), F.col("py").alias("y"))
-        counts = und.groupBy(*cell).agg(F.count(F.lit(1)).alias("n_u"), F.min("o").alias("first_u"))
+        is_u = F.col("s") == "u"
+        counts = state.groupBy(*cell).agg(F.count_if(is_u).alias("n_u"),
+                                          F.min(F.when(is_u, F.col("o"))).alias("first_u"),
+                                          F.max(F.when(F.col("s") == "k", pt)).alias("kept"))
         # Undecided points of small cells (at most ``small_cell`` each): a bounded list.
-        small = (und.join(counts.filter(F.col("n_u") <= small_cell).select(*cell), cell, "left_semi")
+        small_cells = counts.filter((F.col("n_u") > 0) & (F.col("n_u") <= small_cell)).select(*cell)
+        small = (und.join(small_cells, cell, "left_semi")
                  .groupBy(*cell).agg(F.collect_list(pt).alias("ulist")))
-        kept = state.filter(F.col("s") == "k").groupBy(*cell).agg(F.max(pt).alias("kept"))
-        per_cell = (counts.join(small, cell, "left").join(kept, cell, "full"))
+        per_cell = counts.join(small, cell, "left")
         spread = (per_cell.withColumn("_b", F.explode(blk))
                   .select(F.col("nm"), (F.col("fx") + F.col("_b.dx")).alias("fx"),
                           (F.col("fy") + F.col("_b.dy")).alias("fy"),
