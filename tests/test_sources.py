@@ -123,3 +123,10 @@ def test_read_departments_prunes_extra_columns(spark, tmp_dir):
     df = files.read_departments(spark, p)
     assert df.columns == ["code_departement", "nom_departement"]
     assert sorted(r.code_departement for r in df.collect()) == ["01", "2A", "971"]
+
+
+def test_read_listings_json_lines(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "drop.jsonl")
+    _write(p, "\n".join(json.dumps(r) for r in [{"id": "A", "prix": 10}, {"id": "B", "prix": {"value": 7}}]) + "\n")
+    df = listings.type_listing(listings.read_listings(spark, p, multiline=False))
+    assert sorted((r.id, r.prix) for r in df.collect()) == [("A", 10.0), ("B", 7.0)]
