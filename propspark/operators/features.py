@@ -22,7 +22,7 @@ def quantile_trim(df: DataFrame, col: str, q_lo: float = 0.001, q_hi: float = 0.
     expensive upstream plan is not computed twice."""
     if materialize:
         df = reliable_checkpoint(df)
-    qs = exact_quantiles(df, col, [q_lo, q_hi])
+    qs = exact_quantiles(df, col, [q_lo, q_hi], materialized_input=materialize)
     low = lo if lo is not None else qs[q_lo]
     thresholds = {"q_lo": qs[q_lo], "q_hi": qs[q_hi], "lo": low, "hi": qs[q_hi]}
     if qs[q_hi] is None:

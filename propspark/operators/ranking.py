@@ -65,13 +65,17 @@ def _numbered(df: DataFrame, order: list, id_col: str, num_partitions: int | Non
     return out, acc - start
 
 
-def exact_quantiles(df: DataFrame, col: str, qs: list[float]) -> dict[float, float | None]:
+def exact_quantiles(df: DataFrame, col: str, qs: list[float],
+                    materialized_input: bool = False) -> dict[float, float | None]:
     """Exact linear-interpolation quantiles of ``col``; NULL and NaN excluded.
 
-    Returns a dict q -> value (scalars only reach the driver).
+    Returns a dict q -> value (scalars only reach the driver).  When ``df``
+    is already a checkpoint, the sorted values need no checkpoint of their
+    own: the range bounds are then reproducible, and equal values are
+    interchangeable at any rank.
     """
     vals = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull() & ~F.isnan("v"))
-    ranked, total = _numbered(vals, ["v"], "r", None, 0, True)
+    ranked, total = _numbered(vals, ["v"], "r", None, 0, not materialized_input)
     if not total:
         return {q: None for q in qs}
     wanted = {}
