@@ -47,9 +47,30 @@ def log_onehot(df: DataFrame, value: str, category: str, vocabulary: list[str] |
     return df.withColumns(cols)
 
 
-def hash_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = 42) -> DataFrame:
+def hash_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = 42,
+                oversample: float = 1.5) -> DataFrame:
     """L3: exact-size sample without replacement, reproducible whatever the
-    partitioning: order by ``md5(concat_ws('|', key..., seed))``, keep n.
-    Plans as a top-n per partition plus a merge (TakeOrderedAndProject)."""
+    partitioning: the n rows with the smallest ``md5(concat_ws('|', key...,
+    seed))`` (ties by key).  Fewer than n rows: all rows.
+
+    A plain ``orderBy(h).limit(n)`` sends every partition's top n to one
+    final task (n x partitions rows).  md5 is uniform, so instead a
+    threshold on the first 60 bits of the hash that should pass about
+    ``oversample * n`` rows is chosen from the row count, widened until at
+    least n rows pass, and the exact top n is taken from that small
+    candidate set.  Every row ordered before the threshold is a candidate,
+    so the result is exact.
+    """
     h = F.md5(F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols], F.lit(str(seed))))
-    return df.withColumn("_h", h).orderBy("_h", *key_cols).limit(n).drop("_h")
+    keyed = df.withColumn("_h", h).withColumn("_hv", F.conv(F.substring("_h", 1, 15), 16, 10).cast("long"))
+    total = keyed.count()
+    if total <= n:
+        return keyed.drop("_h", "_hv")
+    space = 16 ** 15
+    frac = min(1.0, (n * oversample + 64) / total)
+    while True:
+        cand = keyed.filter(F.col("_hv") < F.lit(int(frac * space))) if frac < 1.0 else keyed
+        if frac >= 1.0 or cand.count() >= n:
+            break
+        frac = min(1.0, frac * 2)
+    return cand.orderBy("_h", *key_cols).limit(n).drop("_h", "_hv")

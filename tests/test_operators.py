@@ -230,3 +230,11 @@ def test_catalog_stats_preview_sql(spark):
     catalog.register_views(spark, t)     # re-registering replaces (Q13)
     assert catalog.adhoc_sql(spark, "SELECT sum(x) AS s FROM a").first().s == 3
     assert [r.x for r in catalog.table_preview(t["a"], 1, ["x"]).collect()] == [1]
+
+
+def test_hash_sample_threshold_path_equals_python_md5(spark):
+    import hashlib
+    df = spark.createDataFrame([(i, float(i)) for i in range(3000)], "k long, v double").repartition(6)
+    got = [r.k for r in features.hash_sample(df, 25, ["k"], seed=42).collect()]
+    exp = sorted(range(3000), key=lambda i: (hashlib.md5(f"{i}|42".encode()).hexdigest(), i))[:25]
+    assert sorted(got) == sorted(exp)
