@@ -1,4 +1,4 @@
-"""Batch jobs: the sale pipeline end to end, writing its tables.
+"""Batch jobs: the sale and listing flows end to end, writing their tables.
 
 ``sales_job`` runs E1 and E2 on the driver tables: the model-ready sale
 table is written as Parquet partitioned by year (K1), the six star tables
@@ -15,10 +15,12 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 
 from propspark.operators import catalog, star
+from propspark.operators.listings import build_listings
 from propspark.plans import views
 from propspark.plans.bindings import MACRO_MEASURES
 from propspark.plans.q_pipeline import sales_model_ready_df
 from propspark.sources.files import write_table
+from propspark.sources.listings import read_listings, type_listing
 
 STAR_BIEN_COLUMNS = ["id_parcelle", "type_local", "surface_reelle_bati", "surface_terrain",
                      "longitude", "latitude", "x_proj", "y_proj",
@@ -47,3 +49,24 @@ def sales_job(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, DataF
     }
     catalog.register_views(spark, {**{f"star_{k}": v for k, v in written.items()}, **named_views})
     return {"sales_final": model, **written, **named_views}
+
+
+def listings_job(spark: SparkSession, json_path, out_dir: str, multiline: bool = True) -> dict[str, DataFrame]:
+    """Listing JSON -> typed records -> annonces / diagnostics / images
+    written under ``out_dir`` -> listing views registered over them."""
+    records = type_listing(read_listings(spark, json_path, multiline=multiline))
+    tables = build_listings(records)
+    written = {}
+    for name, df in tables.items():
+        path = os.path.join(out_dir, name)
+        write_table(df, path)
+        written[name] = spark.read.parquet(path)
+    a, d = written["annonces"], written["diagnostics"]
+    named_views = {
+        "vue_annonces_complete": views.listing_view(a, d),
+        "vue_stats_ville": views.town_stats(a),
+        "vue_stats_type": views.type_stats(a),
+        "vue_stats_dpe": views.energy_stats(a, d),
+    }
+    catalog.register_views(spark, {**{f"listing_{k}": v for k, v in written.items()}, **named_views})
+    return {**written, **named_views}

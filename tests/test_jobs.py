@@ -24,3 +24,23 @@ def test_sales_job_writes_partitioned_model_and_star(spark, tmp_dir):
     joined = out["mutations"].join(out["biens"], "id_bien").count()
     assert joined == n
     assert spark.sql("SELECT sum(nb_transactions) AS s FROM vue_stats_departement").first().s == n
+
+
+def test_listings_job_last_wins_and_views(spark, tmp_dir):
+    import json
+    from propspark.plans.jobs import listings_job
+    p = os.path.join(tmp_dir, "listings.json")
+    recs = [{"id": "A", "type": "Appartement", "prix": 100000, "surface": 50.0, "ville": "Brest",
+             "code_postal": "29200", "dpe_lettre": "C", "image_principale": "a0", "image_urls": ["a1"]},
+            {"id": "B", "type": "Maison", "prix": {"value": 0, "commission": 200000}, "surface": 100.0,
+             "ville": "Brest", "code_postal": "29200", "dpe_lettre": "Not applicable"},
+            {"id": "A", "type": "Appartement", "prix": 120000, "surface": 50.0, "ville": "Brest",
+             "code_postal": "29200", "dpe_lettre": "B"}]
+    with open(p, "w", encoding="utf-8") as f:
+        json.dump(recs, f)
+    out = listings_job(spark, p, os.path.join(tmp_dir, "out"))
+    assert {r.id: r.prix for r in out["annonces"].collect()} == {"A": 120000.0, "B": 200000.0}
+    town = spark.sql("SELECT nb_annonces, prix_moyen FROM vue_stats_ville").first()
+    assert (town.nb_annonces, town.prix_moyen) == (2, 160000.0)
+    assert [r.dpe_lettre for r in spark.sql("SELECT dpe_lettre FROM vue_stats_dpe").collect()] == ["B"]
+    assert out["images"].count() == 2
