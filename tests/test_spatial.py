@@ -161,3 +161,15 @@ def test_features_join_back_salted_equals_plain(spark):
     b = sorted(map(tuple, spatial.features_by_coordinates(sales, poi, categories=["a"], radii={"a": 1000.0},
                                                           join_back_salt=4).collect()))
     assert a == b and len(a) == 60
+
+
+def test_nearest_poi_salted_shuffle_path(spark):
+    pts = _points(80, 21)
+    rnd = random.Random(22)
+    pois = [(rnd.choice(list(RADII)), i, rnd.uniform(-3000, 3000), rnd.uniform(-3000, 3000)) for i in range(120)]
+    p_df = spark.createDataFrame(pts, "k long, x_proj double, y_proj double")
+    poi_df = spark.createDataFrame(pois, "category string, id long, x_proj double, y_proj double")
+    plain = sorted(map(tuple, spatial.nearest_poi(p_df, poi_df, ["k"], list(RADII), RADII).collect()))
+    salted = sorted(map(tuple, spatial.nearest_poi(p_df, poi_df, ["k"], list(RADII), RADII,
+                                                   broadcast_bytes=0, salt_buckets=3).collect()))
+    assert plain == salted
