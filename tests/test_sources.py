@@ -130,3 +130,24 @@ def test_read_listings_json_lines(spark, tmp_dir):
     _write(p, "\n".join(json.dumps(r) for r in [{"id": "A", "prix": 10}, {"id": "B", "prix": {"value": 7}}]) + "\n")
     df = listings.type_listing(listings.read_listings(spark, p, multiline=False))
     assert sorted((r.id, r.prix) for r in df.collect()) == [("A", 10.0), ("B", 7.0)]
+
+
+def test_macro_chain_from_files(spark, tmp_dir):
+    """S3 + S4 + F5 + F6 + P7 + J1 on files in the source formats."""
+    from propspark.operators import macro
+    labels = ["déc. 2014", "janv. 2015", "févr. 2015", "mars 2015"]
+    prod = os.path.join(tmp_dir, "prod.csv")
+    _write(prod, '"Category";"Crédit total";"Crédits hors renégociations";"Renégociés"\n' +
+           "".join(f'"{lab}";"1{i},5";"{i + 7},{i}";""\n' for i, lab in enumerate(labels)), bom=True)
+    rate = os.path.join(tmp_dir, "rate.csv")
+    _write(rate, '"Category";"Taux"\n' + "".join(f'"{lab}";"2,{i}9"\n' for i, lab in enumerate(labels)), bom=True)
+    infl = os.path.join(tmp_dir, "infl.csv")
+    _write(infl, "Date,IPC\n2015-04,1.7\n2015-03,0.2\n2015-02,-0.3\n2015-01,-0.4\n2014-12,0.1\n")
+    s1 = macro.typed_series(files.read_series(spark, prod), "Category", ["Crédits hors renégociations"])
+    s2 = macro.typed_series(files.read_series(spark, rate), "Category", ["Taux"])
+    s3 = macro.typed_series(files.read_series(spark, infl, sep=","), "Date", ["IPC"], label_format="yyyy-MM")
+    rows = macro.macro_chain([s1, s2, s3]).orderBy("Date").collect()
+    import datetime as dt
+    assert [r.Date for r in rows] == [dt.date(2015, 1, 1), dt.date(2015, 2, 1), dt.date(2015, 3, 1)]
+    assert [(r["Crédits hors renégociations"], r.Taux, r.IPC) for r in rows] == [
+        (8.1, 2.19, -0.4), (9.2, 2.29, -0.3), (10.3, 2.39, 0.2)]
