@@ -166,7 +166,7 @@ def same_name_edges(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
 def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
                  name: str = "name", order: str = "ord",
                  x: str = "x_proj", y: str = "y_proj", max_rounds: int | None = None,
-                 small_cell: int = 8) -> DataFrame:
+                 small_cell: int = 8, group_cols: list[str] | None = None) -> DataFrame:
     """Same result as scanning POIs in ``order`` and keeping a POI unless
     an already kept POI of the same name lies within ``threshold``
     (inclusive); equivalently a POI is kept iff none of its earlier
@@ -195,14 +195,18 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
       makes progress.
     * State is cut with a reliable checkpoint each round (short lineage,
       survives executor loss).
+
+    ``group_cols`` (e.g. the POI category) run independent dedups per
+    group: POIs of different groups never suppress each other.
     """
+    groups = list(group_cols or [])
     side = threshold / math.sqrt(2.0) * (1.0 - 1e-9)
     reach = 2
     blk = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
                     for dx in range(-reach, reach + 1) for dy in range(-reach, reach + 1)])
-    cell = ["nm", "fx", "fy"]
+    cell = groups + ["nm", "fx", "fy"]
     state = reliable_checkpoint(poi.select(
-        F.col(name).alias("nm"), F.col(order).alias("o"), F.col(x).alias("px"), F.col(y).alias("py"),
+        *groups, F.col(name).alias("nm"), F.col(order).alias("o"), F.col(x).alias("px"), F.col(y).alias("py"),
         F.floor(F.col(x) / side).alias("fx"), F.floor(F.col(y) / side).alias("fy"),
         F.lit("u").alias("s")))
 
@@ -227,7 +231,7 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
                  .groupBy(*cell).agg(F.collect_list(pt).alias("ulist")))
         per_cell = counts.join(small, cell, "left")
         spread = (per_cell.withColumn("_b", F.explode(blk))
-                  .select(F.col("nm"), (F.col("fx") + F.col("_b.dx")).alias("fx"),
+                  .select(*groups, F.col("nm"), (F.col("fx") + F.col("_b.dx")).alias("fx"),
                           (F.col("fy") + F.col("_b.dy")).alias("fy"),
                           ((F.col("_b.dx") == 0) & (F.col("_b.dy") == 0)).alias("self"),
                           "n_u", "first_u", "ulist", "kept"))
@@ -246,5 +250,18 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
         decided = cand.select(*cell, "o", "px", "py",
                               F.when(near_kept, F.lit("d")).when(first, F.lit("k")).otherwise(F.lit("u")).alias("s"))
         state = reliable_checkpoint(state.filter(F.col("s") != "u").unionByName(decided))
-    kept = state.filter(F.col("s") == "k").select(F.col("o").alias(order))
-    return poi.join(kept, order, "left_semi")
+    kept = state.filter(F.col("s") == "k").select(*groups, F.col("o").alias(order))
+    return poi.join(kept, groups + [order], "left_semi")
+
+
+KIND_ORDER = {"node": 0, "way": 1, "area": 2}
+
+
+def dedup_pois(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M) -> DataFrame:
+    """G4 per category on extracted POIs (``category, kind, id, name,
+    x_proj, y_proj``), scanning in the fixed order (kind, id) (quirk Q9), so
+    a closed way that also arrives as an area with the same name and place
+    is removed (quirk Q8)."""
+    kind_idx = F.element_at(F.create_map(*[F.lit(v) for kv in KIND_ORDER.items() for v in kv]), F.col("kind"))
+    ordered = poi.withColumn("ord", kind_idx.cast("long") * F.lit(1 << 42) + F.col("id"))
+    return greedy_dedup(ordered, threshold, group_cols=["category"]).drop("ord")

@@ -173,3 +173,26 @@ def test_nearest_poi_salted_shuffle_path(spark):
     salted = sorted(map(tuple, spatial.nearest_poi(p_df, poi_df, ["k"], list(RADII), RADII,
                                                    broadcast_bytes=0, salt_buckets=3).collect()))
     assert plain == salted
+
+
+def test_poi_chain_extract_dedup_features(spark):
+    """S10 -> G4 per category in (kind, id) order -> G5 on a sale."""
+    schema = "kind string, id long, tags map<string,string>, coords array<struct<lon:double,lat:double>>"
+    sq = [(3.0, 46.5), (3.0001, 46.5), (3.0001, 46.5001), (3.0, 46.5001)]
+    els = [
+        ("way", 10, {"leisure": "park", "name": "Parc"}, sq),            # closed way ...
+        ("area", 10, {"leisure": "park", "name": "Parc"}, sq),           # ... also an area (Q8): removed
+        ("node", 20, {"amenity": "pharmacy", "name": "Ph"}, [(3.0, 46.5)]),
+        ("node", 21, {"amenity": "pharmacy", "name": "Ph"}, [(3.0001, 46.5)]),   # ~7.6 m away: removed
+        ("node", 22, {"amenity": "doctors", "name": "Ph"}, [(3.0001, 46.5)]),    # other category: kept
+        ("node", 30, {"shop": "supermarket", "name": "S"}, [(3.01, 46.5)]),
+    ]
+    pois = map_elements.extract_poi(spark.createDataFrame(els, schema))
+    kept = spatial.dedup_pois(pois)
+    got = sorted((r.category, r.kind, r.id) for r in kept.collect())
+    assert got == [("commerces", "node", 30), ("espaces_verts", "way", 10),
+                   ("pharmacies", "node", 20), ("sante", "node", 22)]
+    sales = spark.createDataFrame([(1, 3.0, 46.5)], "sale long, longitude double, latitude double")
+    f = spatial.features_by_coordinates(sales, kept).first()
+    assert (f.nb_pharmacies, f.nb_espaces_verts, f.nb_sante, f.nb_commerces, f.nb_gares) == (1, 1, 1, 0, 0)
+    assert f.distance_min_pharmacies == 0.0 and f.distance_min_commerces is None
