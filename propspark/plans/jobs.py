@@ -14,13 +14,16 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
+from propspark.constants import POI_DEDUP_THRESHOLD_M
 from propspark.operators import catalog, star
+from propspark.operators.spatial import dedup_pois
 from propspark.operators.listings import build_listings
 from propspark.plans import views
 from propspark.plans.bindings import MACRO_MEASURES
 from propspark.plans.q_pipeline import sales_model_ready_df
 from propspark.sources.files import write_table
 from propspark.sources.listings import read_listings, type_listing
+from propspark.sources.map_elements import extract_poi
 
 STAR_BIEN_COLUMNS = ["id_parcelle", "type_local", "surface_reelle_bati", "surface_terrain",
                      "longitude", "latitude", "x_proj", "y_proj",
@@ -70,3 +73,14 @@ def listings_job(spark: SparkSession, json_path, out_dir: str, multiline: bool =
     }
     catalog.register_views(spark, {**{f"listing_{k}": v for k, v in written.items()}, **named_views})
     return {**written, **named_views}
+
+
+def poi_job(spark: SparkSession, elements_path, out_dir: str,
+            threshold: float = POI_DEDUP_THRESHOLD_M) -> DataFrame:
+    """S10 + G4: landed map elements (Parquet) -> POIs per category, deduped,
+    written partitioned by category (one folder per category)."""
+    elements = spark.read.parquet(elements_path) if isinstance(elements_path, str) else elements_path
+    pois = dedup_pois(extract_poi(elements), threshold)
+    path = os.path.join(out_dir, "poi")
+    write_table(pois, path, partition_by=["category"])
+    return spark.read.parquet(path)

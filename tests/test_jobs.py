@@ -44,3 +44,18 @@ def test_listings_job_last_wins_and_views(spark, tmp_dir):
     assert (town.nb_annonces, town.prix_moyen) == (2, 160000.0)
     assert [r.dpe_lettre for r in spark.sql("SELECT dpe_lettre FROM vue_stats_dpe").collect()] == ["B"]
     assert out["images"].count() == 2
+
+
+def test_poi_job_writes_one_folder_per_category(spark, tmp_dir):
+    from propspark.plans.jobs import poi_job
+    schema = "kind string, id long, tags map<string,string>, coords array<struct<lon:double,lat:double>>"
+    els = spark.createDataFrame([
+        ("node", 1, {"amenity": "pharmacy", "name": "A"}, [(3.0, 46.5)]),
+        ("node", 2, {"amenity": "pharmacy", "name": "A"}, [(3.0, 46.5)]),
+        ("node", 3, {"public_transport": "station"}, [(3.1, 46.5)])], schema)
+    src = os.path.join(tmp_dir, "elements")
+    els.write.parquet(src)
+    out = poi_job(spark, src, os.path.join(tmp_dir, "out"))
+    parts = sorted(p for p in os.listdir(os.path.join(tmp_dir, "out", "poi")) if p.startswith("category="))
+    assert parts == ["category=gares", "category=pharmacies"]
+    assert sorted((r.category, r.id) for r in out.collect()) == [("gares", 3), ("pharmacies", 1)]
