@@ -95,14 +95,19 @@ def price_by_type(mutations: DataFrame, biens: DataFrame) -> DataFrame:
 # A8 / J17 / L2 --------------------------------------------------------------
 def top_departments(mutations: DataFrame, communes: DataFrame, departements: DataFrame,
                     k: int = 5) -> DataFrame:
-    """Top-k departments by mean unit price; ties broken by code (Q21)."""
-    m = mutations.filter(F.col("prix_par_m2_habitable").isNotNull()) \
-        .select("code_commune", "prix_par_m2_habitable")
+    """Top-k departments by mean unit price; ties broken by code (Q21).
+
+    Sales are reduced per commune first (count and sum, combined map-side),
+    so the dimension joins see one row per commune instead of every sale
+    and a commune holding a large share of the sales cannot skew them."""
+    per_c = (mutations.filter(F.col("prix_par_m2_habitable").isNotNull())
+             .groupBy("code_commune").agg(F.count(F.lit(1)).alias("_n"),
+                                          F.sum("prix_par_m2_habitable").alias("_s")))
     c = communes.select("code_commune", "code_departement")
     d = departements.select("code_departement")
-    out = join_dim(join_dim(m, c, "code_commune", "inner"), d, "code_departement", "inner")
+    out = join_dim(join_dim(per_c, c, "code_commune", "inner"), d, "code_departement", "inner")
     return (out.groupBy("code_departement")
-            .agg(F.count(F.lit(1)).alias("nb_ventes"), _r(F.avg("prix_par_m2_habitable")).alias("prix_m2_moyen"))
+            .agg(F.sum("_n").alias("nb_ventes"), _r(F.sum("_s") / F.sum("_n")).alias("prix_m2_moyen"))
             .orderBy(F.desc("prix_m2_moyen"), "code_departement").limit(k))
 
 
@@ -115,12 +120,15 @@ def yearly_prices(mutations: DataFrame, date_col: str = "date_mutation") -> Data
 
 # A10 / J15 / F15 ------------------------------------------------------------
 def rate_bands(mutations: DataFrame, indicateurs: DataFrame, rate: str = "taux_hors_renegociations") -> DataFrame:
-    """A NULL rate falls in the last band."""
+    """A NULL rate falls in the last band (F15).  Sales are reduced per day
+    before the join with the (day-keyed) indicators."""
+    per_day = (mutations.groupBy("date_mutation")
+               .agg(F.count(F.lit(1)).alias("_n"), F.count("valeur_fonciere").alias("_nv"),
+                    F.sum("valeur_fonciere").alias("_s")))
     i = indicateurs.select("date_indicateur", rate)
-    out = join_dim(mutations.select("date_mutation", "valeur_fonciere"), i,
-                   F.col("date_mutation") == F.col("date_indicateur"), "inner")
+    out = join_dim(per_day, i, F.col("date_mutation") == F.col("date_indicateur"), "inner")
     return (out.groupBy(band(rate, RATE_BANDS, RATE_BAND_ELSE).alias("tranche_taux"))
-            .agg(F.count(F.lit(1)).alias("nb_ventes"), _r(F.avg("valeur_fonciere")).alias("prix_moyen"))
+            .agg(F.sum("_n").alias("nb_ventes"), _r(F.sum("_s") / F.sum("_nv")).alias("prix_moyen"))
             .orderBy("tranche_taux"))
 
 
