@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from propspark.functions import scalar as S
 
 from propspark.constants import POI_CATEGORIES
-from propspark.functions.geo import lambert93_sql
+from propspark.functions.geo import lambert93_sql, with_ring_centroid
+from propspark.functions.scalar import name_or_empty
 from propspark.operators import impute, spatial
 from propspark.plans.bindings import (DRIVER_RADII, category_sql, customer_points, lat_sql, lon_sql,
                                       poi_suppliers, radius_case_sql, table)
@@ -170,7 +171,6 @@ FROM part WHERE {_rule_sql(r)}""" for c, r in DRIVER_TAG_RULES.items())
 def poi_tag_match(spark, d):
     elements = map_elements.union_elements(_elements(spark, d))
     matched = map_elements.match_categories(elements, DRIVER_TAG_RULES)
-    from propspark.functions.scalar import name_or_empty
     return matched.select("category", "kind", "id", name_or_empty("tags").alias("name"))
 
 
@@ -188,7 +188,6 @@ SELECT p_partkey,
 FROM (SELECT p_partkey, CAST(p_partkey % 1000 AS DOUBLE) * 10 AS x0, CAST(p_partkey % 777 AS DOUBLE) * 10 AS y0,
              CAST(p_size AS DOUBLE) * 10 AS w, CAST(p_partkey % 13 + 1 AS DOUBLE) * 10 AS h FROM part)""")
 def ring_centroid_q(spark, d):
-    from propspark.functions.geo import with_ring_centroid
     p = table(spark, d, "part").select(
         "p_partkey", ((F.col("p_partkey") % 1000).cast("double") * 10).alias("x0"),
         ((F.col("p_partkey") % 777).cast("double") * 10).alias("y0"),
