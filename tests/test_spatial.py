@@ -6,7 +6,6 @@ import math
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from propspark.operators import spatial
 from propspark.sources import map_elements
