@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import exact_sort
+from propspark.llm import exact_sort, shards, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,3 +34,45 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Only the identifier rides along; the text itself is the sort key.
     out = exact_sort.exact_groups(docs, carry=["doc_id"])
     return out.select(F.col("row.doc_id").alias("doc_id"), "keep_id", "group_size", "kept", "text_sha256")
+
+
+# ------------------------------------------------------------ fixed values
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+# -------------------------------------------------------- end fixed values
+
+
+@register("op1_url_rules", """
+WITH r AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) END AS rest
+           FROM pages),
+u AS (SELECT page_id,
+        translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*(/[^?#]*)', 1), '') AS path FROM r),
+j AS (SELECT page_id, host, path, CASE
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN 'example.org/en/1'
+        WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN 'example.org/es/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN 'com/fr/'
+        WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN 'com/de/'
+        WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN 'org/' END AS rule FROM u)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.org/en/1', 'example.org/es/', 'com/de/') THEN 'block' ELSE 'allow' END AS verdict
+FROM j""")
+def op1_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's url judged by the five rules; unmatched urls are allowed."""
+    rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
+    out = url_rules.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url"), rules)
+    return out.select(F.col("row.page_id").alias("page_id"), "host", "path", "rule", "verdict")
+
+
+@register("op10_shards")
+def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents in 24 shards of near equal bytes."""
+    out = shards.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                      F.lit(None).cast("int").alias("grown_shard"))
