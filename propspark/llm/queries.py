@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import exact_sort, shards, url_rules
+from propspark.llm import bpe, exact_sort, shards, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +77,10 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = shards.assign_shards(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
+
+
+@register("op9_bpe")
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded with the word-level vocabulary."""
+    return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
+                            carry=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
