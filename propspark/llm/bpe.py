@@ -41,7 +41,7 @@ _END = ""
 _NEVER = np.int64(1) << np.int64(40)
 
 # ------------------------------------------------------------ fixed values
-# Letters, digits and lower-case forms that Unicode 16.0 added to 15.1, which
+# Letters and digits that Unicode 16.0, and lower-case forms that 17.0, added to 15.1, which
 # the files' word pattern counts with and Python 3.13 does not know.
 NEW_LETTERS = [
     (0x1C89, 0x1C8A), (0xA7CB, 0xA7CD), (0xA7DA, 0xA7DC), (0x105C0, 0x105F3), (0x10D4A, 0x10D65),
@@ -54,7 +54,9 @@ NEW_DIGITS = [
     (0x10D40, 0x10D49), (0x116D0, 0x116E3), (0x11BF0, 0x11BF9), (0x16130, 0x16139), (0x16D70, 0x16D79),
     (0x1CCF0, 0x1CCF9), (0x1E5F1, 0x1E5FA),
 ]
-NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B}
+NEW_LOWER = {0x1C89: 0x1C8A, 0xA7CB: 0x264, 0xA7CC: 0xA7CD, 0xA7DA: 0xA7DB, 0xA7DC: 0x19B,
+             0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5}
+NEW_LOWER |= {c: c + 0x1B for c in range(0x16EA0, 0x16EB9)}
 NEW_LOWER |= {c: c + 0x20 for c in range(0x10D50, 0x10D66)}
 # -------------------------------------------------------- end fixed values
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import bpe, exact_sort, shards, url_rules
+from propspark.llm import bpe, exact_sort, shards, spaced_seeds, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -84,3 +84,9 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded with the word-level vocabulary."""
     return bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"),
                             carry=["doc_id"], outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@register("op5_decontamination")
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item that it overlaps."""
+    return spaced_seeds.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
