@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import bpe, exact_sort, shards, spaced_seeds, url_rules
+from propspark.llm import bpe, exact_sort, license_rules, shards, spaced_seeds, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -90,3 +90,23 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pairs of a document and a benchmark item that it overlaps."""
     return spaced_seeds.find_overlaps(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register("op6_licences", r"""
+WITH s AS (SELECT doc_id, unnest(regexp_split_to_array(coalesce(text, ''), '[.!?;:]*\s*\n\s*|[.!?;:]+\s+')) AS s,
+                  generate_subscripts(regexp_split_to_array(coalesce(text, ''), '[.!?;:]*\s*\n\s*|[.!?;:]+\s+'), 1) - 1 AS pos
+           FROM documents),
+n AS (SELECT doc_id, pos, trim(regexp_replace(regexp_replace(lower(s), '\.$', ''), '[^a-z0-9.]+', ' ', 'g')) AS s FROM s),
+m AS (SELECT doc_id, pos, CASE s
+        WHEN 'licensed under the apache license version 2.0' THEN 'Apache-2.0'
+        WHEN 'released under the mit license' THEN 'MIT'
+        WHEN 'licensed under the mit license' THEN 'MIT'
+        WHEN 'this work is licensed under the gnu general public license version 3' THEN 'GPL-3.0'
+        WHEN 'licensed under cc by nc 4.0' THEN 'CC-BY-NC-4.0'
+        WHEN 'licensed under cc by 4.0' THEN 'CC-BY-4.0'
+        WHEN 'all rights reserved' THEN 'proprietary' END AS licence FROM n)
+SELECT doc_id, licence, count(*)::INT AS n_matches, min(pos)::INT AS first_sentence
+FROM m WHERE licence IS NOT NULL GROUP BY doc_id, licence""")
+def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences found in every document."""
+    return license_rules.scan_licences(table(spark, sf_dir, "documents"))

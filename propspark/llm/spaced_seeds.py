@@ -91,6 +91,13 @@ def _short(w: Column) -> Column:
     return F.aggregate(w, F.lit(41).cast("bigint"), lambda a, x: F.xxhash64(a, x))
 
 
+def _short_seeds(w: Column, n: int) -> Column:
+    """Hashes of all runs of n words, for items of just n words."""
+    last = F.size(w) - n
+    at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
+    return F.transform(at, lambda i: _short(F.slice(w, i + 1, n)))
+
+
 def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Contaminated pairs: doc_id, item_id, score, matched (equal words),
@@ -118,10 +125,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         return F.filter(numbered, lambda s: known(s["h"]))
 
     found = [hits(_seeds(w, mask, number)) for number, mask in enumerate(MASKS)]
-    for n in lengths:  # short items: windows of just their length, compared whole
-        last = F.size(w) - n
-        at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-        found.append(hits(F.transform(at, lambda i, n=n: _short(F.slice(w, i + 1, n)))))
+    found += [hits(_short_seeds(w, n)) for n in lengths]
     spots = base.select("doc_id", "w", F.explode(F.concat(*found)).alias("s"))
     at, near = _around(w, F.col("s.p"))
     spots = spots.select("doc_id", F.col("s.h").alias("h"), at.alias("p"), near.alias("doc_words"))
