@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import bpe, exact_sort, license_rules, shards, spaced_seeds, url_rules
+from propspark.llm import anchors, bpe, exact_sort, license_rules, shards, spaced_seeds, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -110,3 +110,20 @@ FROM m WHERE licence IS NOT NULL GROUP BY doc_id, licence""")
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licences found in every document."""
     return license_rules.scan_licences(table(spark, sf_dir, "documents"))
+
+
+@register("op7_repeats", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+           FROM documents),
+p AS (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS i FROM d WHERE len(w) >= 20),
+s AS (SELECT doc_id, i, array_to_string(w[i:i + 19], ' ') AS s FROM p),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, row_number() OVER (PARTITION BY s ORDER BY doc_id, i) AS n FROM s) WHERE n > 1),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM r),
+g AS (SELECT doc_id, list(i) AS gone FROM c GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(w) AS n, coalesce(len(gone), 0) AS m,
+             CASE WHEN gone IS NULL THEN w
+                  ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END AS kept FROM d LEFT JOIN g USING (doc_id))
+SELECT doc_id, n AS n_words, m AS n_removed, sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k""")
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the windows of 20 words that start earlier."""
+    return anchors.remove_repeats(table(spark, sf_dir, "documents"), outputs=("kept_sha256",))
