@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import anchors, bpe, exact_sort, license_rules, shards, spaced_seeds, url_rules
+from propspark.llm import anchors, bagminhash, bpe, exact_sort, license_rules, shards, spaced_seeds, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,9 @@ SELECT doc_id, n AS n_words, m AS n_removed, sha256(array_to_string(kept, ' '))
 def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the windows of 20 words that start earlier."""
     return anchors.remove_repeats(table(spark, sf_dir, "documents"), outputs=("kept_sha256",))
+
+
+@register("op2_near_dedup")
+def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its class of near duplicates."""
+    return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
