@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import anchors, bagminhash, bpe, exact_sort, license_rules, shards, spaced_seeds, url_rules
+from propspark.llm import anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,9 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with its class of near duplicates."""
     return bagminhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register("op8_lm_scores")
+def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the model of the documents learnt from."""
+    return lm_bloom.score_texts(table(spark, sf_dir, "documents"))
