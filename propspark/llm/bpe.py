@@ -21,7 +21,6 @@ result.
 from __future__ import annotations
 
 import hashlib
-import heapq
 import json
 import unicodedata
 from collections.abc import Iterator
@@ -33,7 +32,7 @@ import regex
 from pyspark.sql import DataFrame
 
 #: Words kept per worker, with their tokens.
-KEPT_WORDS = 150_000
+KEPT_WORDS = 250_000
 #: Longer words are not kept.
 KEPT_CHARS = 64
 _BITS = np.int64(20)
@@ -85,15 +84,14 @@ class Vocabulary:
         size = max(self.text) + 1
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.rank = np.full(size, -1, np.int64)
-        self.merge: dict[tuple[int, int], tuple[int, int]] = {}
+        made: list[int] = []
         ends = {ids[b + suffix] for b in byte_letters()}
         keys, ranks = [], []
         for rank, pair in enumerate(model["merges"]):
             a, b = pair.split(" ") if isinstance(pair, str) else pair
-            made = (a[:-len(suffix)] if suffix and ids[a] in ends else a) + b
-            i, j, k = ids[a], ids[b], ids[made]
+            i, j, k = ids[a], ids[b], ids[(a[:-len(suffix)] if suffix and ids[a] in ends else a) + b]
             self.left[k], self.right[k], self.rank[k] = i, j, rank
-            self.merge[i, j] = rank, k
+            made.append(k)
             if j in ends:
                 ends.add(k)
             keys.append((i << int(_BITS)) + j)
@@ -105,15 +103,19 @@ class Vocabulary:
         self.last = [ids[c + suffix] for c in letters]
         # A token whose own text does not merge back to it is never proposed.
         sound = np.ones(size, bool)
-        made = np.flatnonzero(self.rank >= 0)
-        sound[made] = self.apart(self.left[made], self.right[made], self.rank[made])
-        for k in made[np.argsort(self.rank[made])]:
+        self.made = np.array(made, np.int64)  # by rank
+        sound[self.made] = self.apart(self.left[self.made], self.right[self.made], self.rank[self.made])
+        for k in made:
             sound[k] &= sound[self.left[k]] and sound[self.right[k]]
         self.propose = {}
         for t, k in ids.items():
             if sound[k]:
                 self.propose[t[:-len(suffix)] + _END if k in ends and suffix else t] = k
-        self.longest = max(map(len, self.propose))
+        #: Longest proposal by its first two letters.
+        self.reach = {}
+        for t in self.propose:
+            self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
+        self.byte_ids, self.last_ids = np.array(self.byte, np.int64), np.array(self.last, np.int64)
 
     def apart(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
         """Whether tokens a and b stay side by side (before merge ``until``)."""
@@ -141,38 +143,70 @@ class Vocabulary:
 
     def greedy(self, word: str) -> list[int]:
         """Longest matches from the left; ``word`` ends with the end mark."""
-        out, i, n, get = [], 0, len(word), self.propose.get
+        out, i, n, get, reach = [], 0, len(word), self.propose.get, self.reach.get
         while i < n:
-            for j in range(min(n, i + self.longest), i, -1):
-                if (k := get(word[i:j])) is not None and j != n - 1:
+            for j in range(min(n, i + reach(word[i:i + 2], 1)), i, -1):
+                if j != n - 1 and (k := get(word[i:j])) is not None:
                     out.append(k)
                     i = j
                     break
             else:
-                raise ValueError(f"no token for {word[i]!r}")
+                if i != n - 2:
+                    raise ValueError(f"no token for {word[i]!r}")
+                out.append(self.propose[word[i:]])
+                break
         return out
 
-    def exact(self, raw: bytes) -> list[int]:
-        """Merges in rank order, the leftmost first."""
-        ids = [self.byte[b] for b in raw[:-1]] + [self.last[raw[-1]]]
-        n = len(ids)
-        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-        heap = [(*m, i) for i in range(n - 1) if (m := self.merge.get((ids[i], ids[i + 1])))]
-        heap = [(rank, i, made, ids[i], ids[i + 1]) for rank, made, i in heap]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, made, a, b = heapq.heappop(heap)
-            j = after[i]
-            if ids[i] != a or j >= n or ids[j] != b:
-                continue
-            ids[i], ids[j] = made, -1
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for l, r in ((before[i], i), (i, after[i])):
-                if l >= 0 and r < n and (m := self.merge.get((ids[l], ids[r]))):
-                    heapq.heappush(heap, (m[0], l, m[1], ids[l], ids[r]))
-        return [k for k in ids if k >= 0]
+    def _ranks(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        key = (a << _BITS) + b
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return np.where(self.keys[at] == key, self.ranks[at], _NEVER)
+
+    def exact(self, words: list[bytes]) -> list[list[int]]:
+        """Merges in rank order, the leftmost first: in each round every word
+        makes the merges of its least rank."""
+        size = np.array([len(w) for w in words], np.int64)
+        raw = np.frombuffer(b"".join(words), np.uint8)
+        symbol = self.byte_ids[raw]
+        ends = np.cumsum(size) - 1
+        symbol[ends] = self.last_ids[raw[ends]]
+        word = np.repeat(np.arange(len(words)), size)
+        done_symbol, done_word = [], []
+        rank = np.full(len(symbol), _NEVER)  # of each symbol with its right neighbour
+        inner = np.flatnonzero(word[1:] == word[:-1])
+        rank[inner] = self._ranks(symbol[inner], symbol[inner + 1])
+        while len(symbol):
+            first = np.flatnonzero(np.diff(word, prepend=-1))
+            length = np.diff(np.append(first, len(word)))
+            least = np.repeat(np.minimum.reduceat(rank, first), length)
+            final = least == _NEVER
+            done_symbol.append(symbol[final])
+            done_word.append(word[final])
+            symbol, word, rank, least = symbol[~final], word[~final], rank[~final], least[~final]
+            if not len(symbol):
+                break
+            merge = rank == least
+            # Of overlapping merges (a a a) every second one counts, from the left.
+            run = np.flatnonzero(merge[1:] & merge[:-1]) + 1
+            for i in run.tolist():
+                if merge[i - 1]:
+                    merge[i] = False
+            at = np.flatnonzero(merge)
+            symbol[at] = self.made[rank[at]]
+            keep = np.ones(len(symbol), bool)
+            keep[at + 1] = False
+            new = np.cumsum(keep) - 1
+            symbol, word, rank = symbol[keep], word[keep], rank[keep]
+            at = new[at]
+            change = np.unique(np.concatenate([at, at[at > 0] - 1]))
+            last = np.append(word[1:] != word[:-1], True)
+            rank[change] = _NEVER
+            change = change[~last[change]]
+            rank[change] = self._ranks(symbol[change], symbol[change + 1])
+        symbol, word = np.concatenate(done_symbol), np.concatenate(done_word)
+        order = np.argsort(word, kind="stable")
+        flat, cuts = symbol[order].tolist(), np.cumsum(np.bincount(word, minlength=len(words))).tolist()
+        return [flat[a:b] for a, b in zip([0, *cuts], cuts)]
 
 
 def _class(ranges: list[tuple[int, int]]) -> str:
@@ -216,7 +250,8 @@ class Encoder:
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.word = WordPattern(pattern)
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocab.special)) + ")")
-        self.letters = byte_letters()
+        self.letters = dict(enumerate(byte_letters()))
+        self.number = {i: str(i) for i in self.vocab.text}
         self.kept: dict[str, tuple[list[int], str, str]] = {}
         self.proposed = self.failed = 0
 
@@ -234,7 +269,8 @@ class Encoder:
         """Tokens, identifiers as text and decoded text of new words."""
         new = [w for w in words if w not in self.vocab.special]
         raw = [w.encode() for w in new]
-        proposed = [self.vocab.greedy("".join(map(self.letters.__getitem__, r)) + _END) for r in raw]
+        proposed = [self.vocab.greedy((w if w.isascii() and w.isprintable() else r.decode("latin-1").translate(self.letters))
+                                      + _END) for w, r in zip(new, raw)]
         length = np.array([len(p) for p in proposed], np.int64)
         flat = np.array([k for p in proposed for k in p], np.int64)
         bad: set[int] = set()
@@ -246,10 +282,12 @@ class Encoder:
             bad = set(owner[inner[~ok[where]]].tolist())
         self.proposed += len(new)
         self.failed += len(bad)
-        out = {}
-        for k, w in enumerate(new):
-            ids = self.vocab.exact(raw[k]) if k in bad else proposed[k]
-            out[w] = ids, " ".join(map(str, ids)), " ".join(map(self.vocab.text.__getitem__, ids))
+        if bad:
+            for k, ids in zip(sorted(bad), self.vocab.exact([raw[k] for k in sorted(bad)])):
+                proposed[k] = ids
+        number, text, out = self.number.__getitem__, self.vocab.text.__getitem__, {}
+        for w, ids in zip(new, proposed):
+            out[w] = ids, " ".join(map(number, ids)), " ".join(map(text, ids))
         for w in words - set(new):
             i = self.vocab.special[w]
             out[w] = [i], str(i), w
