@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, url_rules
+from propspark.llm import anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, toxicity, url_rules
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -139,3 +139,14 @@ def op2_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document scored by the model of the documents learnt from."""
     return lm_bloom.score_texts(table(spark, sf_dir, "documents"))
+
+
+@register("op3_toxicity")
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by a model of the labelled rows outside fold 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score_texts(docs, model, carry=["doc_id"])
+    return scored.select("doc_id", (lm_bloom.fold(F.col("doc_id")) == 0).alias("held_out"),
+                         F.col("toxicity").alias("score"),
+                         F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"))
