@@ -8,7 +8,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from propspark.plans import registry
+
+registry.load_all()
 
 SF = os.environ.get("PROPSPARK_TEST_SF", "/root/testdata/sf0.001")
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
@@ -21,9 +23,9 @@ def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(registry.QUERIES))
 def test_plan_has_no_cartesian_or_python(spark, name):
-    plan = _plan(queries()[name](spark, SF))
+    plan = _plan(registry.QUERIES[name](spark, SF))
     for bad in FORBIDDEN:
         assert bad not in plan, f"{name}: {bad} in plan"
 
@@ -31,7 +33,7 @@ def test_plan_has_no_cartesian_or_python(spark, name):
 @pytest.mark.parametrize("name", ["top5_departments", "view_department_stats", "sales_geo_features",
                                   "clean_sales_pipeline", "dedup_subset"])
 def test_scans_are_pruned(spark, name):
-    df = queries()[name](spark, SF)
+    df = registry.QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for m in re.finditer(r"ReadSchema: struct<([^>]*)>", plan):
         assert m.group(1).count(":") <= 8, f"{name}: wide scan {m.group(1)}"

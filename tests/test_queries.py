@@ -10,6 +10,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from propspark.plans import registry
 from propspark.plans.bindings import TABLES
 
 SF = os.environ.get("PROPSPARK_TEST_SF", "/root/testdata/sf0.001")
@@ -44,16 +45,19 @@ def test_entry_smoke(spark):
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    no_oracle = set(queries()) - set(oracle_sql())
-    assert no_oracle == {"poi_extract"}
+    assert set(registry.QUERIES) == set(registry.ORACLE)
+    assert set(registry.QUERIES) <= set(queries()) and set(registry.ORACLE) <= set(oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(oracle_sql()))
+registry.load_all()
+
+
+@pytest.mark.parametrize("name", sorted(registry.ORACLE))
 def test_query_matches_oracle(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = registry.QUERIES[name](spark, SF)
     cols = df.columns
     rows = [tuple(r) for r in df.collect()]
-    res = con.execute(oracle_sql()[name])
+    res = con.execute(registry.ORACLE[name])
     ocols = [d[0] for d in res.description]
     orows = res.fetchall()
     assert sorted(cols) == sorted(ocols)
