@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 
 from propspark.llm.tables import written
 
-#: 1 counts, 0 is ignored.  One substituted word in SPAN spares some mask.
-MASKS = ("111011011", "110110111", "101111101")
+#: A mask is the places of its pairs of adjacent words in the span: 11011011
+#: and 110011011, where 1 counts and 0 is ignored.
+MASKS = ((0, 3, 6), (0, 4, 7))
 SPAN = 9
 REACH = 24
 MISMATCH = 2
@@ -43,16 +44,20 @@ BROADCAST_BYTES = 32 << 20
 
 def words(text: Column) -> Column:
     """Hashes of the words of a text, in order."""
-    clean = F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
-    return F.transform(F.filter(F.split(clean, " "), lambda w: w != ""), lambda w: F.xxhash64(w))
+    cut = F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+")
+    return F.transform(F.filter(cut, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def _seeds(w: Column, mask: str, number: int) -> Column:
-    """Hash of every window of ``w`` under a mask."""
-    taken = [k for k, bit in enumerate(mask) if bit == "1"]
-    last = F.size(w) - len(mask)
+def word_pairs(w: Column) -> Column:
+    """Hash of each word with the next; the last stands alone."""
+    return F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1)))
+
+
+def _seeds(pairs: Column, mask: tuple[int, ...], number: int) -> Column:
+    """Hash of every window under a mask."""
+    last = F.size(pairs) - SPAN
     at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
-    return F.transform(at, lambda i: F.xxhash64(F.lit(number), *[F.get(w, i + k) for k in taken]))
+    return F.transform(at, lambda i: F.xxhash64(F.lit(number), *[F.get(pairs, i + k) for k in mask]))
 
 
 def _around(w: Column, at: Column) -> tuple[Column, Column]:
@@ -62,18 +67,18 @@ def _around(w: Column, at: Column) -> tuple[Column, Column]:
 
 
 def _bit(h: Column) -> tuple[Column, Column]:
-    """Word and bit of a hash in the bitmap."""
-    mixed = F.shiftrightunsigned(h, 20)
-    return F.pmod(h, F.lit(BITMAP_WORDS)).cast("int"), F.pmod(mixed, F.lit(64)).cast("int")
+    """Word of a hash in the bitmap, and its bit (of which six bits count)."""
+    return h.bitwiseAND(F.lit(BITMAP_WORDS - 1)).cast("int"), F.shiftrightunsigned(h, 20).bitwiseAND(63).cast("int")
 
 
 def index_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """One row per mask and window of the items: hash, item, position in the
     slice, slice of words, and the item's number of words."""
     base = items.select(F.col(f"`{id_col}`").alias("item_id"), words(F.col(f"`{text_col}`")).alias("w"))
+    base = base.select("*", word_pairs(F.col("w")).alias("pairs"))
     parts = []
     for number, mask in enumerate(MASKS):
-        seeds = base.select("item_id", "w", F.posexplode(_seeds(F.col("w"), mask, number)).alias("q", "h"))
+        seeds = base.select("item_id", "w", F.posexplode(_seeds(F.col("pairs"), mask, number)).alias("q", "h"))
         at, near = _around(F.col("w"), F.col("q"))
         parts.append(seeds.select("h", "item_id", at.alias("q"), near.alias("item_words"),
                                   F.size("w").alias("n")))
@@ -115,16 +120,17 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
     w = F.col("w")
     base = docs.select(F.col(f"`{id_col}`").alias("doc_id"), words(F.col(f"`{text_col}`")).alias("w"))
+    base = base.select("doc_id", "w", word_pairs(w).alias("pairs"))
 
     def known(h: Column) -> Column:
         word, bit = _bit(h)
         return F.call_function("shiftrightunsigned", F.get(bitmap, word), bit).bitwiseAND(1) == 1
 
     def hits(seeds: Column) -> Column:
-        numbered = F.transform(seeds, lambda h, i: F.struct(i.alias("p"), h.alias("h")))
-        return F.filter(numbered, lambda s: known(s["h"]))
+        marked = F.transform(seeds, lambda h, i: F.when(known(h), F.struct(i.alias("p"), h.alias("h"))))
+        return F.filter(marked, lambda s: s.isNotNull())
 
-    found = [hits(_seeds(w, mask, number)) for number, mask in enumerate(MASKS)]
+    found = [hits(_seeds(F.col("pairs"), mask, number)) for number, mask in enumerate(MASKS)]
     found += [hits(_short_seeds(w, n)) for n in lengths]
     spots = base.select("doc_id", "w", F.explode(F.concat(*found)).alias("s"))
     at, near = _around(w, F.col("s.p"))
