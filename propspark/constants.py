@@ -25,11 +25,10 @@ RAW_SALES_COLUMNS = [
 
 # Columns kept after the first cleaning pass.
 KEPT_SALES_COLUMNS = [
-    "date_mutation", "nature_mutation", "valeur_fonciere", "code_postal",
-    "code_commune", "nom_commune", "code_departement", "id_parcelle",
-    "type_local", "surface_reelle_bati", "nombre_pieces_principales",
-    "surface_terrain", "longitude", "latitude", "code_type_local",
-    "nombre_lots", "section_prefixe",
+    "date_mutation", "valeur_fonciere", "code_postal", "nom_commune", "code_commune",
+    "nature_mutation", "code_departement", "id_parcelle", "type_local",
+    "surface_reelle_bati", "surface_terrain", "longitude", "latitude", "adresse_numero",
+    "adresse_suffixe", "adresse_nom_voie", "adresse_code_voie",
 ]
 
 # Sale natures that count as sales, and the local types kept.
@@ -152,10 +151,3 @@ LISTING_PII_KEYS = ["Bien_Conseiller_Nom", "Bien_Conseiller_Email",
                     "Bien_Conseiller_Telephone", "Bien_Conseiller_Agence"]
 # ------------------------------------------------------------ end fixed values
 
-
-def distance_columns() -> list[str]:
-    return [f"distance_min_{c}" for c in POI_CATEGORIES]
-
-
-def count_columns() -> list[str]:
-    return [f"nb_{c}" for c in POI_CATEGORIES]

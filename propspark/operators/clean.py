@@ -34,17 +34,18 @@ def trim_band(df: DataFrame, col: str, lo, hi) -> DataFrame:
     return df.filter(c.between(F.lit(lo), F.lit(hi)) & ~F.isnan(c))
 
 
-def clean_sales(raw: DataFrame, numeric_mode: str = "strict", partition_key: str | None = None,
+def clean_sales(raw: DataFrame, numeric_mode: str = "strict", partition_key: str | None = "_source_file",
                 columns: list[str] = KEPT_SALES_COLUMNS) -> DataFrame:
     """Raw STRING sales -> typed sales.
 
     Prune to the kept columns, keep the three sale natures and the two local
     types, drop rows without price or coordinates, type the numbers (F1)
     and the date (F2), add month key, year and unit prices (F3, F4, F7) and
-    drop duplicates on the five-column key.  The source pipeline dedups per
-    department file; with ``partition_key`` (e.g. the source file) the key
-    includes it, otherwise duplicates are removed across files.
-    Coordinates are typed before the dedup (quirk Q6).
+    drop duplicates on the five-column key within each source file, as the
+    files are one per department; ``partition_key=None`` removes duplicates
+    across files.  Coordinates are typed before the dedup (quirk Q6).  Junk
+    in a price gives NULL in strict mode, and such rows are dropped with the
+    rows without a price.
     """
     cols = list(columns) + ([partition_key] if partition_key and partition_key not in columns else [])
     area_junk = "0.00001"
@@ -66,6 +67,7 @@ def clean_sales(raw: DataFrame, numeric_mode: str = "strict", partition_key: str
         "prix_par_m2_habitable": safe_ratio("valeur_fonciere", "surface_reelle_bati"),
         "prix_par_m2_terrain": safe_ratio("valeur_fonciere", "surface_terrain"),
     })
+    df = drop_nulls(df, ["valeur_fonciere"])
     key = SALES_DEDUP_KEY + ([partition_key] if partition_key else [])
     return dedup_subset(df, key)
 
@@ -74,7 +76,3 @@ def plain_sales(df: DataFrame, col: str = "nature_mutation", value: str = PLAIN_
     """P5."""
     return df.filter(F.col(col) == value)
 
-
-def drop_pii(df: DataFrame, allowed: list[str]) -> DataFrame:
-    """Explicit allow-list projection."""
-    return df.select(*allowed)

@@ -22,7 +22,7 @@ def quantile_trim(df: DataFrame, col: str, q_lo: float = 0.001, q_hi: float = 0.
     expensive upstream plan is not computed twice."""
     if materialize:
         df = reliable_checkpoint(df)
-    qs = exact_quantiles(df, col, [q_lo, q_hi], materialized_input=materialize)
+    qs = exact_quantiles(df, col, [q_lo, q_hi])
     low = lo if lo is not None else qs[q_lo]
     thresholds = {"q_lo": qs[q_lo], "q_hi": qs[q_hi], "lo": low, "hi": qs[q_hi]}
     if qs[q_hi] is None:
@@ -30,23 +30,21 @@ def quantile_trim(df: DataFrame, col: str, q_lo: float = 0.001, q_hi: float = 0.
     return trim_band(df, col, low, qs[q_hi]), thresholds
 
 
-def log_onehot(df: DataFrame, value: str, category: str, vocabulary: list[str] | None = None,
-               log_col: str | None = None, max_vocabulary: int = 1000) -> DataFrame:
+def log_onehot(df: DataFrame, value: str, category: str, vocabulary: list[str],
+               log_col: str | None = None) -> DataFrame:
     """F13 + F14: ``<value>_log`` and one 0/1 column ``<category>__<v>`` per
-    vocabulary entry.  With no vocabulary the distinct non-NULL values are
-    collected (A21), refusing more than ``max_vocabulary`` of them."""
-    if vocabulary is None:
-        vals = (df.select(category).filter(F.col(category).isNotNull()).distinct()
-                .limit(max_vocabulary + 1).collect())
-        if len(vals) > max_vocabulary:
-            raise ValueError(f"{category} has more than {max_vocabulary} values; pass a vocabulary")
-        vocabulary = sorted(r[0] for r in vals)
+    entry of the fixed vocabulary (``distinct_values`` lists one)."""
     cols = {log_col or f"{value}_log": natural_log(value)}
     for v in vocabulary:
         cols[f"{category}__{v}"] = one_hot(category, v)
     return df.withColumns(cols)
 
 
+def distinct_values(df: DataFrame, col: str) -> DataFrame:
+    """The distinct non-NULL values of a column, sorted, as rows."""
+    return df.select(col).filter(F.col(col).isNotNull()).distinct().orderBy(col)
+
+
 def hash_sample(df: DataFrame, n: int, key_cols: list[str], seed: int = 42,
                 oversample: float = 1.5) -> DataFrame:
     """L3: exact-size sample without replacement, reproducible whatever the

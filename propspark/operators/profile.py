@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propspark.operators.ranking import exact_quantiles
+from propspark.operators.ranking import column_quantiles
 
 
 def class_counts(df: DataFrame, col: str, classes: list[str]) -> DataFrame:
@@ -25,8 +25,8 @@ def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
 def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
     """Count, nulls, mean, std, min, 25/50/75 % (exact), max per column.
 
-    Moments come from one aggregation; quartiles from the distributed exact
-    rank (no all-values buffer)."""
+    Moments come from one aggregation; quartiles of all columns from one
+    pass over value histograms (no all-values buffer)."""
     aggs = []
     for c in cols:
         aggs += [F.count(c).alias(f"{c}__count"), F.count_if(F.col(c).isNull()).alias(f"{c}__nulls"),
@@ -34,8 +34,9 @@ def numeric_profile(df: DataFrame, cols: list[str]) -> DataFrame:
                  F.min(c).alias(f"{c}__min"), F.max(c).alias(f"{c}__max")]
     wide = df.agg(*aggs)
     rows = []
+    quartiles = column_quantiles(df, cols, [0.25, 0.5, 0.75])
     for c in cols:
-        q = exact_quantiles(df, c, [0.25, 0.5, 0.75])
+        q = quartiles[c]
         rows.append(F.struct(F.lit(c).alias("column_name"),
                              F.col(f"{c}__count").alias("count"), F.col(f"{c}__nulls").alias("null_count"),
                              F.col(f"{c}__mean").alias("mean"), F.col(f"{c}__std").alias("std"),

@@ -40,7 +40,7 @@ def _dept_census(spark, d):
 
 
 def sales_model_ready_df(spark, d):
-    sales = clean.clean_sales(raw_sales_from_orders(spark, d))
+    sales = clean.clean_sales(raw_sales_from_orders(spark, d)).drop("_source_file")
     poi = spatial.project(poi_suppliers(spark, d))
     sales = spatial.features_by_coordinates(sales, poi, radii=DRIVER_RADII)
     sales = macro.attach_month(sales, monthly_macro(spark, d), "date_mutation")
@@ -86,9 +86,9 @@ _PIPE_SQL = with_ctes(
   SELECT CAST(TRY_STRPTIME(r_date, '%Y-%m-%d') AS DATE) AS date_mutation, r_nature AS nature_mutation,
          {_strict_sql('r_price')} AS valeur_fonciere, code_postal, code_commune, nom_commune, code_departement,
          id_parcelle, r_type AS type_local, {_strict_sql('r_area')} AS surface_reelle_bati,
-         nombre_pieces_principales, {_strict_sql('r_terrain')} AS surface_terrain,
-         {_tolerant_sql('r_lon')} AS longitude, {_tolerant_sql('r_lat')} AS latitude,
-         code_type_local, nombre_lots, section_prefixe
+         adresse_numero, adresse_suffixe, adresse_nom_voie, adresse_code_voie,
+         {_strict_sql('r_terrain')} AS surface_terrain,
+         {_tolerant_sql('r_lon')} AS longitude, {_tolerant_sql('r_lat')} AS latitude, _source_file
   FROM raw
   WHERE r_nature IN ({_SALE_NATURES_SQL}) AND coalesce(r_type, '') IN ('Appartement', 'Maison')
     AND r_price IS NOT NULL AND r_lat IS NOT NULL AND r_lon IS NOT NULL)""",
@@ -98,8 +98,8 @@ _PIPE_SQL = with_ctes(
          valeur_fonciere / NULLIF(surface_terrain, 0) AS prix_par_m2_terrain
   FROM typed)""",
     f"""cleaned AS (
-  SELECT * EXCLUDE (rn) FROM (
-    SELECT *, row_number() OVER (PARTITION BY date_mutation, longitude, latitude, valeur_fonciere, surface_terrain
+  SELECT * EXCLUDE (rn, _source_file) FROM (
+    SELECT *, row_number() OVER (PARTITION BY _source_file, date_mutation, longitude, latitude, valeur_fonciere, surface_terrain
                                  ORDER BY {', '.join(c + ' NULLS FIRST' for c in _REST)}) AS rn
     FROM feat) WHERE rn = 1)""",
     f"""pts AS (SELECT DISTINCT longitude, latitude, {_QX} AS x, {_QY} AS y FROM cleaned

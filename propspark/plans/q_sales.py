@@ -13,7 +13,7 @@ from propspark.plans import views
 from propspark.plans.bindings import (COMMUNES_SQL, DEPARTEMENTS_SQL, MACRO_MEASURES, MACRO_SQL,
                                       SALES_SQL, communes, departements, monthly_macro, sales, table)
 from propspark.plans.registry import register, with_ctes
-from propspark.sources.files import empty_partitions, read_table
+from propspark.sources.files import empty_partitions
 
 # ------------------------------------------------------------------ flagship
 TOP5_SQL = with_ctes(SALES_SQL, COMMUNES_SQL, DEPARTEMENTS_SQL) + """
@@ -444,7 +444,7 @@ SELECT o_orderkey, ln(o_totalprice) AS o_totalprice_log,
 FROM orders""")
 def log_onehot(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
-    return features.log_onehot(o, "o_totalprice", "o_orderstatus").drop("o_totalprice", "o_orderstatus")
+    return features.log_onehot(o, "o_totalprice", "o_orderstatus", vocabulary=["F", "O", "P"]).drop("o_totalprice", "o_orderstatus")
 
 
 @register("hash_sample", """
@@ -619,12 +619,9 @@ def _milli_text_sql(v: str) -> str:
 def raw_sales_from_orders(spark, d):
     """orders as raw sale-file rows: every column text, comma decimal
     prices, junk in some areas, NULL price / type / longitude for some
-    keys, and re-delivered rows (every 50th order twice).
-
-    Raw sale drops are many files (many splits); the single-split driver
-    file is spread over the cores to stand for that (a no-op on a large
-    input, see ``ensure_parallelism``)."""
-    o = read_table(spark, f"{d.rstrip('/')}/orders.parquet", spread_small=True)
+    keys, re-delivered rows (every 50th order twice) and a source file per
+    department."""
+    o = table(spark, d, "orders")
     o = o.unionByName(o.filter(F.col("o_orderkey") % 50 == 0))
     k, ck = F.col("o_orderkey"), F.col("o_custkey")
     cents = F.round(F.col("o_totalprice") * 100).cast("long")
@@ -643,13 +640,14 @@ def raw_sales_from_orders(spark, d):
         F.concat(F.lit("P"), k.cast("string")).alias("id_parcelle"),
         F.when(k % 17 != 0, F.element_at(typ, F.col("o_orderstatus"))).alias("type_local"),
         F.when(k % 23 == 0, F.concat(area, F.lit(" m2"))).otherwise(area).alias("surface_reelle_bati"),
-        (k % 6).cast("string").alias("nombre_pieces_principales"),
+        (k % 90).cast("string").alias("adresse_numero"),
+        F.when(k % 11 == 0, F.lit("BIS")).alias("adresse_suffixe"),
+        F.concat(F.lit("RUE "), (ck % 40).cast("string")).alias("adresse_nom_voie"),
+        F.lpad((ck % 40).cast("string"), 4, "0").alias("adresse_code_voie"),
         ((k % 89) * 10).cast("string").alias("surface_terrain"),
         F.when(ck % 31 != 0, _milli_text(ck * 7919 % 9000 - 1000)).alias("longitude"),
         _milli_text(ck * 104729 % 7000 + 43000).alias("latitude"),
-        F.when(F.col("o_orderstatus") == "F", "1").when(F.col("o_orderstatus") == "O", "2")
-         .otherwise("3").alias("code_type_local"),
-        F.lit("0").alias("nombre_lots"), F.lit("000").alias("section_prefixe"))
+        F.concat(F.lit("dept-"), F.lpad((ck % 25).cast("string"), 2, "0")).alias("_source_file"))
 
 
 def _case_sql(col, mapping):
@@ -672,12 +670,14 @@ raw AS (
          CASE WHEN o_orderkey % 17 = 0 THEN NULL ELSE {_case_sql('o_orderstatus', _TYPE_OF_STATUS)} END AS r_type,
          CASE WHEN o_orderkey % 23 = 0 THEN CAST((o_orderkey % 97) * 2 AS VARCHAR) || ' m2'
               ELSE CAST((o_orderkey % 97) * 2 AS VARCHAR) END AS r_area,
-         CAST(o_orderkey % 6 AS VARCHAR) AS nombre_pieces_principales,
+         CAST(o_orderkey % 90 AS VARCHAR) AS adresse_numero,
+         CASE WHEN o_orderkey % 11 = 0 THEN 'BIS' END AS adresse_suffixe,
+         'RUE ' || CAST(o_custkey % 40 AS VARCHAR) AS adresse_nom_voie,
+         lpad(CAST(o_custkey % 40 AS VARCHAR), 4, '0') AS adresse_code_voie,
          CAST((o_orderkey % 89) * 10 AS VARCHAR) AS r_terrain,
          CASE WHEN o_custkey % 31 = 0 THEN NULL ELSE {_milli_text_sql('((o_custkey * 7919) % 9000 - 1000)')} END AS r_lon,
          {_milli_text_sql('((o_custkey * 104729) % 7000 + 43000)')} AS r_lat,
-         CASE o_orderstatus WHEN 'F' THEN '1' WHEN 'O' THEN '2' ELSE '3' END AS code_type_local,
-         '0' AS nombre_lots, '000' AS section_prefixe
+         'dept-' || lpad(CAST(o_custkey % 25 AS VARCHAR), 2, '0') AS _source_file
   FROM o)"""
 
 
@@ -693,17 +693,17 @@ def _tolerant_sql(x):
 
 _SALE_NATURES_SQL = ", ".join("'" + x.replace("'", "''") + "'" for x in list(_NATURE_OF_PRIORITY.values())[:3])
 _REST = ["nature_mutation", "code_postal", "code_commune", "nom_commune", "code_departement", "id_parcelle",
-         "type_local", "surface_reelle_bati", "nombre_pieces_principales", "code_type_local", "nombre_lots",
-         "section_prefixe", "annee_mois", "annee", "prix_par_m2_habitable", "prix_par_m2_terrain"]
+         "type_local", "surface_reelle_bati", "adresse_numero", "adresse_suffixe", "adresse_nom_voie",
+         "adresse_code_voie", "annee_mois", "annee", "prix_par_m2_habitable", "prix_par_m2_terrain"]
 
 
 @register("clean_sales_pipeline", with_ctes(_RAW_SALES_SQL, f"""typed AS (
   SELECT CAST(TRY_STRPTIME(r_date, '%Y-%m-%d') AS DATE) AS date_mutation, r_nature AS nature_mutation,
          {_strict_sql('r_price')} AS valeur_fonciere, code_postal, code_commune, nom_commune, code_departement,
          id_parcelle, r_type AS type_local, {_strict_sql('r_area')} AS surface_reelle_bati,
-         nombre_pieces_principales, {_strict_sql('r_terrain')} AS surface_terrain,
-         {_tolerant_sql('r_lon')} AS longitude, {_tolerant_sql('r_lat')} AS latitude,
-         code_type_local, nombre_lots, section_prefixe
+         adresse_numero, adresse_suffixe, adresse_nom_voie, adresse_code_voie,
+         {_strict_sql('r_terrain')} AS surface_terrain,
+         {_tolerant_sql('r_lon')} AS longitude, {_tolerant_sql('r_lat')} AS latitude, _source_file
   FROM raw
   WHERE r_nature IN ({_SALE_NATURES_SQL}) AND coalesce(r_type, '') IN ('Appartement', 'Maison')
     AND r_price IS NOT NULL AND r_lat IS NOT NULL AND r_lon IS NOT NULL)""", """feat AS (
@@ -712,7 +712,8 @@ _REST = ["nature_mutation", "code_postal", "code_commune", "nom_commune", "code_
          valeur_fonciere / NULLIF(surface_terrain, 0) AS prix_par_m2_terrain
   FROM typed)""") + f"""
 SELECT * EXCLUDE (rn) FROM (
-  SELECT *, row_number() OVER (PARTITION BY date_mutation, longitude, latitude, valeur_fonciere, surface_terrain
+  SELECT *, row_number() OVER (PARTITION BY _source_file, date_mutation, longitude, latitude, valeur_fonciere,
+                                            surface_terrain
                                ORDER BY {', '.join(c + ' NULLS FIRST' for c in _REST)}) AS rn
   FROM feat) WHERE rn = 1""")
 def clean_sales_pipeline(spark, d):

@@ -203,8 +203,7 @@ def top_towns(annonces: DataFrame, min_listings: int = 3, k: int = 5) -> DataFra
             .agg(F.count(F.lit(1)).alias("nb_annonces"),
                  _r(F.avg(safe_ratio("prix", "surface"))).alias("prix_m2_moyen"))
             .filter(F.col("nb_annonces") >= min_listings)
-            .filter(F.col("prix_m2_moyen").isNotNull())
-            .orderBy(F.desc("prix_m2_moyen"), "ville").limit(k))
+            .orderBy(F.desc_nulls_last("prix_m2_moyen"), "ville").limit(k))
 
 
 # A13 ------------------------------------------------------------------------

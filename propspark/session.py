@@ -7,7 +7,6 @@ folder when the cluster already names one in ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -29,13 +28,15 @@ STATIC_CONF = {"spark.ui.enabled", "spark.cleaner.referenceTracking.cleanCheckpo
 
 
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app_name: str = "propspark", extra: dict | None = None) -> SparkSession:
+                  app_name: str = "propspark", extra: dict | None = None,
+                  checkpoint: str | None = None) -> SparkSession:
     """Session for tests and the local bench.  Cluster jobs get theirs
     from the platform and should call :func:`configure` instead."""
     builder = (SparkSession.builder.master(master).appName(app_name)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", "16g"))
-    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
+    own = checkpoint or tempfile.mkdtemp(prefix="propspark-ckpt-")
+    for k, v in {"spark.checkpoint.dir": own, **DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
@@ -56,24 +57,19 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for reliable checkpoints.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (local tests) a fresh folder under the system temp dir is created and
-    registered.  Never used to replace a cluster's own setting.
+    Reads ``spark.checkpoint.dir`` from the session, on every master alike.
+    A session without it gets a folder in its warehouse, which all executors
+    share too; ``build_session`` (tests, bench) names a folder of its own.
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
+    current = sc.getCheckpointDir()
     if current:
         return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        if not sc.master.startswith("local"):
-            # A machine-local folder is not shared by executors: refuse.
-            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster "
-                               "(reliable checkpoints cut lineage in the iterative and numbering steps)")
-        conf_dir = tempfile.mkdtemp(prefix="propspark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", conf_dir)
+        conf_dir = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    return sc.getCheckpointDir()
 
 
 def reliable_checkpoint(df):
@@ -85,8 +81,3 @@ def reliable_checkpoint(df):
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
-
-def table_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table inside the shared checkpoint folder."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, "tables", name)

@@ -5,7 +5,6 @@ from __future__ import annotations
 import pytest
 
 from propspark.operators import joins
-from propspark.sources.files import ensure_parallelism
 
 
 def test_broadcast_only_when_estimate_is_small(spark):
@@ -31,10 +30,3 @@ def test_salted_join_equals_plain_join(spark, how):
     with pytest.raises(ValueError):
         joins.salted_join(big, small, ["k"], "full", buckets=4)
 
-
-def test_ensure_parallelism_only_spreads_small_split_counts(spark):
-    many = spark.range(0, 1000, numPartitions=16)
-    assert ensure_parallelism(many, min_partitions=8, min_bytes=0).rdd.getNumPartitions() == 16
-    one = spark.range(0, 1000, numPartitions=1)
-    assert ensure_parallelism(one, min_partitions=8, min_bytes=0).rdd.getNumPartitions() == 8
-    assert ensure_parallelism(one, min_partitions=8, min_bytes=1 << 40).rdd.getNumPartitions() == 1

@@ -43,13 +43,13 @@ def test_clean_sales_filters_types_and_dedups(spark):
         dict(BASE, date_mutation="2021-05-02", surface_reelle_bati="12,5", surface_terrain="1 234"),
         dict(BASE, date_mutation="2021-06-02", nature_mutation="Vente terrain à bâtir"),
     ]
-    out = clean.clean_sales(_raw(spark, rows)).orderBy("date_mutation").collect()
+    out = clean.clean_sales(_raw(spark, rows), partition_key=None).orderBy("date_mutation").collect()
     assert len(out) == 4
     assert out[0].valeur_fonciere == 250000.0 and out[0].prix_par_m2_habitable == 2500.0
     assert out[0].annee_mois == "2021-03" and out[0].annee == 2021
     assert out[1].prix_par_m2_habitable is None                         # area 0 -> NULL (Q3)
     assert out[2].surface_reelle_bati == 12.5 and out[2].surface_terrain == 1234.0
-    sub = clean.clean_sales(_raw(spark, [rows[8]]), numeric_mode="substitute").first()
+    sub = clean.clean_sales(_raw(spark, [rows[8]]), numeric_mode="substitute", partition_key=None).first()
     assert sub.surface_reelle_bati == pytest.approx(120.000015)        # Q2 reproduced on request
     assert set(KEPT_SALES_COLUMNS) <= set(out[0].asDict())
 

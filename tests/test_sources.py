@@ -38,7 +38,7 @@ def test_read_raw_sales_many_files_and_empty_partition(spark, tmp_dir):
     raw = files.read_raw_sales(spark, [d75, d13, d01])
     assert raw.count() == 3
     assert raw.schema["valeur_fonciere"].dataType.simpleString() == "string"
-    sales = clean.clean_sales(raw)
+    sales = clean.clean_sales(raw, partition_key=None)
     assert sales.count() == 1            # same 5-column key within a file and across files
     per_file = clean.clean_sales(raw, partition_key="_source_file")
     assert per_file.count() == 2         # per-file dedup, as the source pipeline does
@@ -82,11 +82,6 @@ def test_write_table_and_csv_roundtrip(spark, tmp_dir):
     assert spark.read.option("header", True).option("sep", ";").csv(csv).count() == 2
 
 
-def test_literal_dim_is_broadcast(spark):
-    dim = files.literal_dim(spark, [("75115", 1)], "code string, n int")
-    assert "ResolvedHint" in dim._jdf.queryExecution().analyzed().toString() or dim.count() == 1
-
-
 def test_read_listings_json_array_and_types(spark, tmp_dir):
     recs = [
         {"id": "A1", "prix": 250000, "honoraires": {"value": 5000}, "surface": 80.0, "ascenseur": True,
