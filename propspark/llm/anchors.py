@@ -7,6 +7,8 @@ place inside both, whatever their positions.  So a window that repeats
 contains a repeated anchor, and only windows around repeated anchors are
 extended to their full length and compared, by a 96-bit hash, in the order of
 document and position: of equal windows all but the first are repeats.
+Documents with the text of an earlier one repeat it whole and leave before
+anchors are taken.
 
 Hot passages: equal anchors (and equal windows) are first combined within a
 chunk of documents, so a passage reaches the task of its hash once per chunk
@@ -32,6 +34,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from propspark.llm.arrow_text import Words, chunks, mix, window_hash, window_starts
+from propspark.llm.tables import written
 
 WINDOW = 20
 PERIOD = 13
@@ -43,8 +46,9 @@ _LEAST = -2**63
 
 
 def _first_and_others(key: np.ndarray, doc: np.ndarray, ref: np.ndarray, second: np.ndarray | None = None):
-    """(order, is the first row of its key, its key occurs again): rows sorted
-    by key, document and place."""
+    """Per row: is it the first of its key (by document and place), does its
+    key occur again, and does the row itself occur before.  Rows keep their
+    order, in which neighbours are alike and shuffle files compress well."""
     order = np.lexsort((ref, doc, key) if second is None else (ref, doc, second, key))
     k = key[order]
     new = np.ones(len(k), bool)
@@ -53,7 +57,11 @@ def _first_and_others(key: np.ndarray, doc: np.ndarray, ref: np.ndarray, second:
         s = second[order]
         new[1:] |= s[1:] != s[:-1]
     last = np.append(new[1:], True)
-    return order, new, ~(new & last)
+    twin = np.zeros(len(k), bool)
+    twin[1:] = ~new[1:] & (doc[order][1:] == doc[order][:-1]) & (ref[order][1:] == ref[order][:-1])
+    out = np.empty((3, len(k)), bool)
+    out[:, order] = new, ~(new & last), twin
+    return out
 
 
 def _spread(key: np.ndarray, doc: np.ndarray, ref: np.ndarray, keep: np.ndarray) -> np.ndarray:
@@ -73,8 +81,7 @@ def _anchor_rows(width: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.R
             at, owner, place = at[hit], owner[hit], place[hit]
             key = window_hash(words.hash, at, width)
             doc, ref = ids[a:b][owner], (parts[a:b][owner] << 40) | place
-            order, first, again = _first_and_others(key, doc, ref)
-            key, doc, ref = key[order], doc[order], ref[order]
+            first, again, _ = _first_and_others(key, doc, ref)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_spread(key, doc, ref, first).view(np.int64)), pa.array(doc), pa.array(ref), pa.array(again)],
                 names=["k", "d", "ref", "known"])
@@ -84,7 +91,7 @@ def _window_rows(window: int, width: int, batches: Iterator[pa.RecordBatch]) ->
     reach = window - width  # the anchor begins at most so far inside a window
     for batch in batches:
         ids, parts = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
-        lists = batch.column(3)
+        lists = batch.column(4)
         for a, b, data, offsets in chunks(batch.column(2), CHUNK):
             words = Words(data, offsets)
             own = lists.slice(a, b - a)
@@ -102,47 +109,55 @@ def _window_rows(window: int, width: int, batches: Iterator[pa.RecordBatch]) ->
             key, check = window_hash(words.hash, at, window, 1), window_hash(words.hash, at, window, 2)
             check = (check >> np.uint64(32)).astype(np.uint32).view(np.int32)
             doc, ref = ids[a:b][owner], (parts[a:b][owner] << 40) | (at - words.first[owner])
-            order, first, _ = _first_and_others(key, doc, ref, check)
-            key, check, doc, ref = key[order], check[order], doc[order], ref[order]
-            # The same row given twice is no repeat of itself.
-            twin = np.zeros(len(doc), bool)
-            twin[1:] = ~first[1:] & (doc[1:] == doc[:-1]) & (ref[1:] == ref[:-1])
-            keep = ~twin
+            first, _, twin = _first_and_others(key, doc, ref, check)
+            keep = ~twin  # the same row given twice is no repeat of itself
             first, key, check, doc, ref = first[keep], key[keep], check[keep], doc[keep], ref[keep]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(_spread(key, doc, ref, first).view(np.int64)), pa.array(check), pa.array(doc),
                  pa.array(ref), pa.array(~first)], names=["k", "c", "d", "ref", "known"])
 
 
-def _result_rows(window: int, outputs: list[str], n_carry: int,
+def _result_rows(window: int, outputs: list[str], carry: list[str],
                  batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Columns in: d, h, text, row, places of repeated windows, whole copy."""
     for batch in batches:
-        texts, lists = batch.column(n_carry), batch.column(n_carry + 1)
+        texts, lists, copies = batch.column(2), batch.column(4), batch.column(5).fill_null(False).to_pylist()
+        row = batch.column(3).flatten()
         for a, b, data, offsets in chunks(texts, CHUNK):
             raw = data.tobytes()
             made = {o: [] for o in outputs}
             for i in range(b - a):
                 words = raw[offsets[i]:offsets[i + 1]].split()  # splits at the same six bytes
                 starts = lists[a + i].values
-                gone, kept = 0, words
-                if starts is not None and len(starts):
-                    mark = np.zeros(len(words) + 1, np.int64)
+                n, kept = len(words), words
+                if copies[a + i]:
+                    kept = words if n < window else []
+                elif starts is not None and len(starts):
+                    mark = np.zeros(n + 1, np.int64)
                     s = np.unique(starts.to_numpy(zero_copy_only=False))
                     mark[s] += 1
                     mark[s + window] -= 1
                     stay = np.cumsum(mark)[:-1] == 0
                     kept = [w for w, k in zip(words, stay.tolist()) if k]
-                    gone = len(words) - len(kept)
-                made["n_words"].append(len(words))
-                made["n_removed"].append(gone)
+                made["n_words"].append(n)
+                made["n_removed"].append(n - len(kept))
                 text = b" ".join(kept)
                 if "kept_text" in made:
                     made["kept_text"].append(text.decode())
                 if "kept_sha256" in made:
                     made["kept_sha256"].append(hashlib.sha256(text).hexdigest())
-            columns = [batch.column(k).slice(a, b - a) for k in range(n_carry)]
+            columns = [c.slice(a, b - a) for c in row]
             columns += [pa.array(made[o], pa.int64() if o.startswith("n_") else pa.string()) for o in outputs]
-            yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:n_carry], *outputs])
+            yield pa.RecordBatch.from_arrays(columns, names=[*carry, *outputs])
+
+
+def _copies(docs: DataFrame) -> DataFrame:
+    """(__d, __h) of documents whose text an earlier one has."""
+    light = docs.select("__d", "__h", F.xxhash64("__text").alias("t"), F.xxhash64(F.lit(1), "__text").alias("u"))
+    firsts = (light.groupBy("t", "u").agg(F.min("__d").alias("first"), F.max("__d").alias("last"))
+              .filter("first < last").drop("last"))
+    # Written, so that the join can split a text with very many copies.
+    return light.join(written(firsts, "copies"), ["t", "u"]).filter("__d > first").select("__d", "__h").distinct()
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -158,15 +173,20 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     carry = [id_col] if carry is None else carry
     outputs = ["n_words", "n_removed", *[o for o in outputs if not o.startswith("n_")]]
     types = dict(df.dtypes)
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     docs = df.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LEAST)).alias("__d"),
-                     F.pmod(F.xxhash64(F.coalesce(F.col(f"`{text_col}`"), F.lit(""))), F.lit(1 << 16))
-                     .cast("bigint").alias("__h"),
-                     F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("__text"),
+                     F.pmod(F.xxhash64(text), F.lit(1 << 16)).cast("bigint").alias("__h"), text.alias("__text"),
                      F.struct(*[F.col(f"`{c}`") for c in carry]).alias("__row"))
-    cells = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    anchors = docs.select("__d", "__h", "__text").mapInArrow(
-        lambda batches: _anchor_rows(width, batches), "k bigint, d bigint, ref bigint, known boolean")
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cells = 4 * parts
+    copies = written(_copies(docs), "copies")
+    # All three passes read the same exchange of the texts by document, with
+    # the same columns: Spark runs it once.
+    dealt = docs.repartition(parts, "__d", "__h")
+    columns = ["__d", "__h", "__text", "__row"]
+
+    anchors = (dealt.join(copies, ["__d", "__h"], "left_anti").select(*columns)
+               .mapInArrow(lambda batches: _anchor_rows(width, batches), "k bigint, d bigint, ref bigint, known boolean"))
     by_key = Window.partitionBy("cell").orderBy("k")
     anchors = (anchors.withColumn("cell", F.pmod(F.xxhash64("k"), F.lit(cells)).cast("int"))
                .withColumn("before", F.lag("k").over(by_key)).withColumn("after", F.lead("k").over(by_key))
@@ -176,11 +196,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         return (rows.groupBy(F.col("d").alias("__d"), F.shiftright("ref", 40).alias("__h"))
                 .agg(F.collect_list(F.col("ref").bitwiseAND(F.lit(int(_POS)))).alias("__at")))
 
-    # The exchange of the texts by document is the same in both joins: Spark
-    # runs it once.
-    windows = docs.join(by_document(anchors), ["__d", "__h"]).select("__d", "__h", "__text", "__at", "__row")
-    windows = windows.mapInArrow(lambda batches: _window_rows(window, width, batches),
-                                 "k bigint, c int, d bigint, ref bigint, known boolean")
+    windows = (dealt.join(by_document(anchors), ["__d", "__h"]).select(*columns, "__at")
+               .mapInArrow(lambda batches: _window_rows(window, width, batches),
+                           "k bigint, c int, d bigint, ref bigint, known boolean"))
     by_window = Window.partitionBy("cell").orderBy("k", "c", "known", "d", "ref")
     before = F.lag(F.struct("k", "c", "known", "d", "ref")).over(by_window)
     windows = (windows.withColumn("cell", F.pmod(F.xxhash64("k"), F.lit(cells)).cast("int"))
@@ -189,9 +207,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     twin = (F.col("before.d") == F.col("d")) & (F.col("before.ref") == F.col("ref"))
     repeats = windows.filter(F.col("known") | (same & ~twin)).select("d", "ref")
 
-    final = docs.join(by_document(repeats), ["__d", "__h"], "left")
-    final = final.select(*[F.col("__row")[c].alias(c) for c in carry], "__text", "__at")
+    found = by_document(repeats).withColumn("__copy", F.lit(False)).unionByName(
+        copies.select("__d", "__h", F.lit(None).cast("array<bigint>").alias("__at"), F.lit(True).alias("__copy")))
+    final = dealt.join(found, ["__d", "__h"], "left").select(*columns, "__at", "__copy")
     schema = ", ".join([f"`{c}` {types[c]}" for c in carry]
                        + [f"{o} {'bigint' if o.startswith('n_') else 'string'}" for o in outputs])
-    n_carry = len(carry)
-    return final.mapInArrow(lambda batches: _result_rows(window, outputs, n_carry, batches), schema)
+    return final.mapInArrow(lambda batches: _result_rows(window, outputs, carry, batches), schema)
