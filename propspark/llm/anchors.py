@@ -175,7 +175,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     types = dict(df.dtypes)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     docs = df.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LEAST)).alias("__d"),
-                     F.pmod(F.xxhash64(text), F.lit(1 << 16)).cast("bigint").alias("__h"), text.alias("__text"),
+                     F.xxhash64(text).bitwiseAND(F.lit((1 << 16) - 1).cast("bigint")).alias("__h"), text.alias("__text"),
                      F.struct(*[F.col(f"`{c}`") for c in carry]).alias("__row"))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cells = 4 * parts
@@ -185,7 +185,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     dealt = docs.repartition(parts, "__d", "__h")
     columns = ["__d", "__h", "__text", "__row"]
 
-    anchors = (dealt.join(copies, ["__d", "__h"], "left_anti").select(*columns)
+    # (An anti join would be pushed below the exchange, which then differs.)
+    anchors = (dealt.join(copies.withColumn("__copy", F.lit(True)), ["__d", "__h"], "left")
+               .filter("__copy IS NULL").select(*columns)
                .mapInArrow(lambda batches: _anchor_rows(width, batches), "k bigint, d bigint, ref bigint, known boolean"))
     by_key = Window.partitionBy("cell").orderBy("k")
     anchors = (anchors.withColumn("cell", F.pmod(F.xxhash64("k"), F.lit(cells)).cast("int"))
