@@ -6,7 +6,7 @@ inserted into the filters of all levels up to it.  Scoring probes level after
 level until a probe misses; the last hit gives the quantised count.
 
 What workers hold is bounded whatever the corpus: ``EXACT_WORDS`` word counts
-and, per order and level, ``LEVEL_BITS`` bits at most.  A level with more
+and, per order and level, ``LEVEL_BITS`` bits at most (fewer for few keys).  A level with more
 keys than ``LEVEL_BITS / KEY_BITS`` would answer at random and is left out:
 its n-grams count as unseen, which is the usual count cut-off, found from the
 counts themselves by one rule at every size.  The base score is exact for
@@ -152,32 +152,38 @@ class LogFrequencyFilter:
         keys: dict[tuple[int, int], int] = {}
         for r in rows:
             keys[r["o"], r["level"]] = keys.get((r["o"], r["level"]), 0) + r["keys"]
-        #: (order, level) -> packed bits, for the levels that are not too full.
-        self.levels = {c: np.zeros(LEVEL_BITS // 8, np.uint8) for c, n in sorted(keys.items())
-                       if n * KEY_BITS <= LEVEL_BITS}
+        #: (order, level) -> (packed bits, bits per segment), for the levels
+        #: that are not too full; sparse levels are folded onto fewer bits.
+        self.levels: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
+        for cell, n in sorted(keys.items()):
+            if n * KEY_BITS <= LEVEL_BITS:
+                per = _PER
+                while per > 64 and SEGMENTS * per >= 4 * KEY_BITS * n:
+                    per //= 2
+                self.levels[cell] = np.zeros(SEGMENTS * per // 8, np.uint8), per
         for r in rows:
-            bits = self.levels.get((r["o"], r["level"]))
+            bits, per = self.levels.get((r["o"], r["level"]), (None, 0))
             if bits is not None:
                 if r["kind"] == "bits":
-                    own = np.frombuffer(r["data"], np.uint8)
+                    flat = np.unpackbits(np.frombuffer(r["data"], np.uint8)).astype(bool)
                 else:
                     flat = np.zeros(_PER, bool)
                     flat[np.frombuffer(r["data"], np.uint16 if _PER <= 65536 else np.uint32)] = True
-                    own = np.packbits(flat)
-                bits[r["seg"] * (_PER // 8):(r["seg"] + 1) * (_PER // 8)] = own
+                own = np.packbits(flat.reshape(-1, per).any(axis=0))
+                bits[r["seg"] * (per // 8):(r["seg"] + 1) * (per // 8)] = own
 
     def count(self, key: np.ndarray, order: int) -> np.ndarray:
         """0 for unseen n-grams, else the middle of the level's counts."""
         out = np.zeros(len(key))
         live = np.arange(len(key))
-        base = _segment(key) * _PER
-        for (o, level), bits in self.levels.items():
+        segment = _segment(key)
+        for (o, level), (bits, per) in self.levels.items():
             if o != order or not len(live):
                 continue
             places = _bits(key[live])
             keep = np.ones(len(live), bool)
             for p in places:
-                at = base[live] + p
+                at = segment[live] * per + p % per
                 keep &= ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
             live = live[keep]
             out[live] = 1.0 if level == 0 else 1.5 * 2.0**level - 0.5
