@@ -17,9 +17,10 @@ similarity 0.8 a pair shares no band with probability 1e-4 (0.85: 3e-7).
 
 Classes are the connected components of the links.  Texts with equal
 multisets are one node.  In each band's bucket all nodes are first verified
-against one leader; then, only in buckets that still hold several components,
-the pairs of different components are verified that the triangle inequality
-(1 - similarity is a metric) and the sizes leave possible.  No link is lost
+against one leader, the member nearest the middle; then, only in buckets that
+still hold several components, the pairs of different components are verified
+that remain possible by the triangle inequality (1 - similarity is a metric),
+by what both lack of the leader and by the shingles that no other text has.  No link is lost
 to a cap, and copies are not expanded into pairs.
 
 Results for odd input: fewer than ``SHINGLE`` words are one shingle; null and
@@ -163,11 +164,6 @@ def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield out.filter(pa.array(node == wanted[a:b]))
 
 
-def _similarity(x: Column, y: Column) -> Column:
-    common = F.size(F.array_intersect(x, y))
-    return common / (F.size(x) + F.size(y) - common)
-
-
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``df``: doc_id, class_id (least identifier of the
@@ -178,11 +174,15 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     nodes = written(sketch.filter("node IS NOT NULL").groupBy("node")
                     .agg(F.min("id").alias("id"), F.max("size").alias("size"), F.first("bands").alias("bands")), "nodes")
 
-    # Buckets of at least two nodes, and each node with its bucket's leader.
-    entries = nodes.select("node", "size", F.explode("bands").alias("bucket"))
-    leaders = (entries.groupBy("bucket").agg(F.min("node").alias("leader"), F.count(F.lit(1)).alias("n"))
-               .filter("n > 1").drop("n"))
-    entries = written(entries.join(leaders, "bucket"), "entries")
+    # Buckets of at least two nodes.  Their leader is the member that shares
+    # most buckets with most nodes: the hub of a group of near copies.
+    entries = nodes.select("node", "size", F.posexplode("bands").alias("band", "bucket"))
+    shared = entries.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    entries = written(entries.join(shared, "bucket"), "entries")
+    score = written(entries.groupBy("node").agg(F.sum("n").alias("score")), "scores")
+    leaders = (entries.join(score, "node").groupBy("bucket")
+               .agg(F.max(F.struct("score", "node"))["node"].alias("leader")))
+    entries = written(entries.drop("n").join(written(leaders, "leaders"), "bucket"), "entries")
     sizes = nodes.select(F.col("node").alias("leader"), F.col("size").alias("leader_size"))
     fits = F.least("size", "leader_size") >= F.lit(similarity) * F.greatest("size", "leader_size")
     stars = entries.filter("node != leader").select("leader", "node", "size").distinct()
@@ -197,7 +197,9 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
         """pairs (a, b) with their similarity."""
         one = sets.select(F.col("node").alias("b"), F.col("elements").alias("y"))
         two = sets.select(F.col("node").alias("a"), F.col("elements").alias("x"))
-        return pairs.join(one, "b").join(two, "a").select("a", "b", _similarity(F.col("x"), F.col("y")).alias("s"))
+        both = pairs.join(one, "b").join(two, "a").select(
+            "a", "b", F.size(F.array_intersect("x", "y")).alias("common"), (F.size("x") + F.size("y")).alias("total"))
+        return both.select("a", "b", (F.col("common") / (F.col("total") - F.col("common"))).alias("s"))
 
     near = stars.join(sizes, "leader").filter(fits).select(F.col("leader").alias("a"), F.col("node").alias("b"))
     star_links = written(verified(near), "star-links")
@@ -212,7 +214,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                .withColumn("d", F.when(F.col("node") == F.col("leader"), 0.0).otherwise(1 - F.col("s"))))
     mixed = (entries.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
              .filter("r0 != r1").select("bucket"))
-    open_ = written(entries.join(mixed, "bucket").select("bucket", "node", "size", "root", "d", "leader"), "open")
+    open_ = written(entries.join(mixed, "bucket").select("bucket", "band", "node", "size", "root", "d", "leader"), "open")
     tops = open_.filter("node = leader").select("bucket", F.col("root").alias("top"))
     open_ = open_.join(tops, "bucket")
     # Members of the leader's component are only needed as near to the rim as
@@ -223,11 +225,35 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     open_ = (open_.join(near_rim, "bucket")
              .filter((F.col("root") != F.col("top")) | F.col("d").isNull() | (F.col("d") >= F.col("rim") - gap)))
     # The leader itself is compared with everything already.
-    open_ = open_.filter("node != leader")
-    x, y = open_.alias("x"), open_.alias("y")
+    open_ = written(open_.filter("node != leader").select("bucket", "band", "node", "size", "root", "d", "leader"), "open")
+    # What each open node shares with its leaders, and what it lacks of them.
+    one = sets.select("node", F.col("elements").alias("y"))
+    two = sets.select(F.col("node").alias("leader"), F.col("elements").alias("x"))
+    measured = (open_.select("leader", "node").distinct().join(one, "node").join(two, "leader")
+                .select("leader", "node", F.size("x").alias("leader_size"), F.array_except("x", "y").alias("lacks")))
+    # Elements that no other open node or leader has are in no overlap.
+    known = open_.select("node").unionByName(open_.select(F.col("leader").alias("node"))).distinct()
+    own = (sets.join(known, "node", "left_semi").select("node", F.explode("elements").alias("e"))
+           .groupBy("e").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node"))
+           .filter("n = 1").groupBy("node").agg(F.count(F.lit(1)).alias("own")))
+    left = (open_.join(measured, ["leader", "node"]).join(written(own, "own"), "node", "left")
+            .withColumn("v", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+            .filter(F.col("v") >= F.lit(similarity) * F.col("size") - 1e-9)
+            # Elements outside the leader that some other text has too.
+            .withColumn("more", F.col("v") - (F.col("leader_size") - F.size("lacks")))
+            .join(nodes.select("node", "bands"), "node"))
+    left = written(left, "left")
+    x, y = left.alias("x"), left.alias("y")
+    need = F.lit(similarity / (1 + similarity)) * (F.col("x.size") + F.col("y.size")) - 1e-9
+    # Two texts share, of the leader, what neither lacks, and beyond it what
+    # the one with less there can share.
+    most = (F.col("x.leader_size") - F.size(F.array_union("x.lacks", "y.lacks")) + F.least("x.more", "y.more"))
+    # A pair comes from the first band that it shares, once.
+    first_band = F.array_position(F.zip_with("x.bands", "y.bands", lambda p, q: p == q), True) - 1
     rest = (x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.root") < F.col("y.root"))
-                   & (F.least("x.size", "y.size") >= F.lit(similarity) * F.greatest("x.size", "y.size"))
-                   & (F.coalesce(F.abs(F.col("x.d") - F.col("y.d")), F.lit(0.0)) <= gap + 1e-9))
+                   & (F.least("x.v", "y.v") >= need)
+                   & (F.coalesce(F.abs(F.col("x.d") - F.col("y.d")), F.lit(0.0)) <= gap + 1e-9)
+                   & (first_band == F.col("x.band")) & (most >= need))
             .select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct())
     rest_links = written(verified(rest).filter(F.col("s") >= similarity), "rest-links")
     links = (star_links.filter(F.col("s") >= similarity).select("a", "b")
