@@ -24,7 +24,8 @@ def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
         cols = ", ".join(f"{c} {t}" for c, t in df.dtypes)
         parts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(
             F.lit(name).alias("table_name"), F.col("row_count"),
-            F.lit(len(df.columns)).alias("column_count"), F.lit(cols).alias("columns")))
+            F.lit(len(df.columns)).alias("column_count"), F.lit(cols).alias("columns"),
+            F.lit(", ".join(df.columns)).alias("column_names")))
     return reduce(DataFrame.unionByName, parts)
 
 

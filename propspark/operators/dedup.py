@@ -1,7 +1,8 @@
 """Deterministic dedup without per-key windows.
 
-All three operators are hash aggregations (``groupBy`` + ``min``/``max`` of a
-struct).  Spark combines them map-side, so a key holding a third of all
+All three operators are aggregations (``groupBy`` + ``min``/``max`` of a
+struct of all other columns; sort based where the struct holds strings).
+Spark combines them map-side, so a key holding a third of all
 rows is reduced in every task before the shuffle instead of being sorted in
 one task as a ``row_number()`` window would.
 
@@ -23,11 +24,10 @@ def _survivor(df: DataFrame, keys: list[str], order: list[str], pick) -> DataFra
     order = [c for c in order if c not in keys]
     tail = [c for c in rest if c not in order]
     # Sort-key fields first, then every other column as a tie-break.
-    fields = [F.col(c).alias(f"_o{i}") for i, c in enumerate(order)] + \
-             [F.col(c).alias(f"_t{i}") for i, c in enumerate(tail)]
-    packed = F.struct(*fields, F.struct(*[F.col(c) for c in rest]).alias("_row"))
+    names = {c: f"_f{i}" for i, c in enumerate([*order, *tail])}
+    packed = F.struct(*[F.col(c).alias(n) for c, n in names.items()])
     agg = df.groupBy(*keys).agg(pick(packed).alias("_s"))
-    return agg.select(*keys, *[F.col(f"_s._row.{c}").alias(c) for c in rest]).select(*df.columns)
+    return agg.select(*keys, *[F.col(f"_s.{n}").alias(c) for c, n in names.items()]).select(*df.columns)
 
 
 def dedup_subset(df: DataFrame, keys: list[str], order: list[str] | None = None) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from propspark.constants import COMMUNE_POPULATION, POI_CATEGORIES, POI_RADIUS_M
 from propspark.functions.scalar import (department_prefix, fill_missing,
                                         households_from_population, missing_flag)
-from propspark.operators.joins import bounded_broadcast, broadcast_if_small
+from propspark.operators.joins import bounded_broadcast
 
 
 def distance_missing_flags(df: DataFrame, categories=POI_CATEGORIES, radii=POI_RADIUS_M,
@@ -30,14 +30,14 @@ def group_mean_impute(df: DataFrame, value: str, code: str,
 
     The mean is a hash aggregate (partial aggregation map-side, so a hot
     department is reduced per task) joined back on the group key; the
-    per-group table is broadcast when its estimated size passes the check
-    (else AQE decides from the runtime size).  The mean is weighted by
+    per-group table has one row per prefix (about 100) and is broadcast, so
+    the rows are not shuffled on so few keys.  The mean is weighted by
     rows, as in the source pipeline.  A NULL group never matches.
     """
     g = "_grp"
     keyed = df.withColumn(g, group_expr(code))
     means = keyed.groupBy(g).agg(F.avg(value).alias("_grp_mean")).filter(F.col(g).isNotNull())
-    out = keyed.join(broadcast_if_small(means), g, "left")
+    out = keyed.join(bounded_broadcast(means), g, "left")
     return out.withColumn(value, F.coalesce(F.col(value), F.col("_grp_mean"))).drop(g, "_grp_mean")
 
 

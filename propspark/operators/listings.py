@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from propspark.functions.scalar import image_path
 from propspark.operators.dedup import last_wins
+from propspark.operators.ranking import consecutive_ids
 
 ANNONCE_COLUMNS = ["id", "url", "date_publication", "type", "titre", "prix", "honoraires",
                    "surface", "pieces", "chambres", "etage", "ascenseur", "ville", "code_postal",
@@ -56,10 +57,13 @@ def image_manifest(df: DataFrame, key: str = "id", others: str = "image_urls") -
 
 
 def build_listings(df: DataFrame, key: str = "id", seq: str = "ingest_seq") -> dict[str, DataFrame]:
-    """K4: ``annonces``, ``diagnostics``, ``images`` from typed listing records."""
+    """K4: ``annonces``, ``diagnostics``, ``images`` from typed listing records,
+    with consecutive ``id_diagnostic`` and ``id_image``."""
     latest = upsert_last_wins(df.select(*ANNONCE_COLUMNS, *DIAGNOSTIC_COLUMNS, seq), key, seq)
     return {
         "annonces": latest.select(*ANNONCE_COLUMNS),
-        "diagnostics": latest.select(F.col(key).alias("id_annonce"), *DIAGNOSTIC_COLUMNS),
-        "images": image_rows(df, key, seq=seq).drop("_seq", "_pos"),
+        "diagnostics": consecutive_ids(latest.select(F.col(key).alias("id_annonce"), *DIAGNOSTIC_COLUMNS),
+                                       ["id_annonce"], id_col="id_diagnostic"),
+        "images": consecutive_ids(image_rows(df, key, seq=seq), ["_seq", "id_annonce", "_pos"],
+                                  id_col="id_image").drop("_seq", "_pos"),
     }

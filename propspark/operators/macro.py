@@ -1,9 +1,9 @@
 """Monthly macro series and census joins (S3-S5 typed, F5, F6, J1-J4, P8, P9, F23).
 
 Month-grained and census-grained tables are small: a monthly series holds
-12 rows per year, a department census ~100 rows.  They are joined with a
-size-checked broadcast; a commune census (tens of thousands of rows) takes
-the same check and falls back to a shuffle join when it grows.
+12 rows per year, so it is bounded by the calendar and broadcast as it is: the
+sales are never shuffled on a few months.  Census tables take a size check
+and fall back to a shuffle join when they grow.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from propspark.constants import MACRO_START
 from propspark.functions.scalar import comma_decimal, french_month_to_date, month_key
-from propspark.operators.joins import broadcast_if_small
+from propspark.operators.joins import bounded_broadcast, broadcast_if_small
 
 
 
@@ -39,7 +39,7 @@ def typed_series(df: DataFrame, label_col: str, value_cols: list[str],
 
 def macro_chain(series: list[DataFrame], on: str = "Date") -> DataFrame:
     """Inner join of monthly series on the month (each bounded by months)."""
-    return reduce(lambda a, b: a.join(broadcast_if_small(b), on, "inner"), series)
+    return reduce(lambda a, b: a.join(bounded_broadcast(b), on, "inner"), series)
 
 
 def attach_month(sales: DataFrame, macro: DataFrame, sale_date: str,
@@ -48,7 +48,7 @@ def attach_month(sales: DataFrame, macro: DataFrame, sale_date: str,
     the join key and the macro date (P8)."""
     m = macro.withColumn(key, month_key(macro_date)).drop(macro_date)
     s = sales.withColumn(key, month_key(sale_date))
-    return s.join(broadcast_if_small(m), key, "left").drop(key)
+    return s.join(bounded_broadcast(m), key, "left").drop(key)
 
 
 def rename_cast(df: DataFrame, renames: dict[str, str], doubles: list[str] = ()) -> DataFrame:

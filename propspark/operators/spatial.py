@@ -214,7 +214,7 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
         return F.sqrt((p["x"] - F.col("px")) * (p["x"] - F.col("px")) +
                       (p["y"] - F.col("py")) * (p["y"] - F.col("py"))) <= F.lit(threshold)
 
-    rounds = 0
+    rounds, n_parts = 0, int(poi.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while state.filter(F.col("s") == "u").limit(1).count() > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
@@ -249,7 +249,9 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
                  (F.col("big_first_u").isNull() | (F.col("big_first_u") > F.col("o"))))
         decided = cand.select(*cell, "o", "px", "py",
                               F.when(near_kept, F.lit("d")).when(first, F.lit("k")).otherwise(F.lit("u")).alias("s"))
-        state = reliable_checkpoint(state.filter(F.col("s") != "u").unionByName(decided))
+        # Dropped points leave the state; the number of partitions stays the same.
+        state = reliable_checkpoint(state.filter(F.col("s") == "k").unionByName(decided.filter(F.col("s") != "d"))
+                                    .repartition(n_parts, *cell))
     kept = state.filter(F.col("s") == "k").select(*groups, F.col("o").alias(order))
     return poi.join(kept, groups + [order], "left_semi")
 

@@ -46,6 +46,9 @@ def sales_job(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, DataF
         written[name] = spark.read.parquet(path)
 
     named_views = {
+        "vue_transactions_completes": views.complete_transactions(
+            written["mutations"], written["biens"], written["communes"], written["departements"],
+            written["indicateurs_economiques"]),
         "vue_stats_commune": views.commune_stats(written["communes"], written["mutations"]),
         "vue_stats_departement": views.department_stats(written["departements"], written["communes"],
                                                         written["mutations"]),

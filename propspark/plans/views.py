@@ -2,8 +2,9 @@
 (V1-V7, A2-A15, J10-J17, F8, F15, F16, F22, L1, L2).
 
 Inputs use the property column names of the star schema; every function
-is a DataFrame plan, dimensions are joined through ``join_dim`` (broadcast
-after a size check) and top-k reports end in ``orderBy().limit()`` which
+is a DataFrame plan.  Indicators, one row per day, are broadcast; other
+dimensions are joined plainly or through ``join_dim`` (broadcast after a size
+check); top-k reports end in ``orderBy().limit()`` which
 plans as a per-partition top-k.
 """
 
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 
 from propspark.constants import ENERGY_EXCLUDED, LIFT_LABELS, RATE_BAND_ELSE, RATE_BANDS
 from propspark.functions.scalar import band, label_if, month_key, safe_ratio, sql_round
-from propspark.operators.joins import join_dim
+from propspark.operators.joins import bounded_broadcast, join_dim
 
 
 def _r(c, n=2):
@@ -29,7 +30,7 @@ def complete_transactions(mutations: DataFrame, biens: DataFrame, communes: Data
     out = (m.join(b, F.col("m.id_bien") == F.col("b.id_bien"))
            .join(c, F.col("m.code_commune") == F.col("c.code_commune"))
            .join(d, F.col("c.code_departement") == F.col("d.code_departement"))
-           .join(i, F.col("m.date_mutation") == F.col("i.date_indicateur"), "left"))
+           .join(bounded_broadcast(i), F.col("m.date_mutation") == F.col("i.date_indicateur"), "left"))
     return out.select(
         "m.id_mutation", "m.date_mutation", "m.valeur_fonciere", "m.valeur_fonciere_log",
         "m.nature_mutation", "m.prix_par_m2_habitable", "m.prix_par_m2_terrain",

@@ -37,13 +37,16 @@ LISTING_SCHEMA = T.StructType([
 
 
 def read_listings(spark: SparkSession, path, multiline: bool = True) -> DataFrame:
-    """Listing records with a fixed schema and an ingest sequence
-    (file, position) used for last-wins upserts.  Polymorphic fields stay
-    JSON text; see ``type_listing``."""
+    """Listing records with a fixed schema and an ingest sequence (file
+    time, file, block, position) used for last-wins upserts: a newer file
+    wins whatever its size.  Polymorphic fields stay JSON text; see
+    ``type_listing``."""
     df = (spark.read.schema(LISTING_SCHEMA).option("multiLine", multiline)
           .option("primitivesAsString", False).json(path))
-    return df.withColumn("ingest_seq", F.monotonically_increasing_id()) \
-             .withColumn("_source_file", F.col("_metadata.file_path"))
+    # Splits are numbered by size, but within a file block positions ascend.
+    seq = F.struct(F.col("_metadata.file_modification_time").alias("mtime"), F.col("_metadata.file_path").alias("path"),
+                   F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("pos"))
+    return df.withColumn("ingest_seq", seq).withColumn("_source_file", F.col("_metadata.file_path"))
 
 
 def type_listing(df: DataFrame) -> DataFrame:
