@@ -59,17 +59,21 @@ def with_representative_point(df: DataFrame, kind: str = "kind", pts: str = "_pt
                               out: str = "pt") -> DataFrame:
     """G2 on projected valid points (column ``pts``): node -> the point;
     way -> polygon centroid for >= 3 points (open ways too, as the source
-    does), line centroid for 2, none below; area -> centroid of the outer
-    ring when it has >= 3 points and a non-zero area."""
+    does), line centroid for 2 points and for a ring without area (out and
+    back, or straight), none below 2; area -> centroid of the outer ring when
+    it has >= 3 points and an area."""
     p = F.col(pts)
     n = F.size(p)
     first = F.element_at(p, 1)
     step = (df.withColumn("_ring", ring_sums(p)).withColumn("_line", line_sums(p)))
     k = F.col(kind)
+    # Area against the square of the length: rounding leaves flat rings a trace of area.
+    length = F.col("_line.s.L")
+    flat = F.coalesce(F.abs(F.col("_ring.s.a2")) <= 1e-9 * length * length, F.lit(True))
     rep = (F.when((k == "node") & (n >= 1), F.struct(first["x"].alias("x"), first["y"].alias("y")))
-           .when((k == "way") & (n >= 3), ring_centroid_from_sums(F.col("_ring")))
-           .when((k == "way") & (n == 2), line_centroid_from_sums(F.col("_line")))
-           .when((k == "area") & (n >= 3), ring_centroid_from_sums(F.col("_ring"))))
+           .when((k == "way") & (n >= 3) & ~flat, ring_centroid_from_sums(F.col("_ring")))
+           .when((k == "way") & (n >= 2), line_centroid_from_sums(F.col("_line")))
+           .when((k == "area") & (n >= 3) & ~flat, ring_centroid_from_sums(F.col("_ring"))))
     return step.withColumn(out, rep).drop("_ring", "_line")
 
 
@@ -80,8 +84,8 @@ def extract_poi(elements, rules: dict = POI_TAG_RULES) -> DataFrame:
     its representative point once (projected valid coordinates and centroid
     sums are materialised as columns so no array is re-projected), and only
     then is it exploded to one row per category.  Elements without a
-    representative point (too few valid coordinates, a zero-area ring) are
-    dropped."""
+    representative point (too few valid coordinates, an area that is flat)
+    are dropped."""
     df = union_elements(elements) if isinstance(elements, (list, tuple)) else elements
     any_rule = reduce(lambda a, b: a | b, [rule_condition(F.col("tags"), r) for r in rules.values()])
     pts = df.filter(any_rule).withColumn("_pts", _valid_points(F.col("coords")))

@@ -195,3 +195,14 @@ def test_poi_chain_extract_dedup_features(spark):
     f = spatial.features_by_coordinates(sales, kept).first()
     assert (f.nb_pharmacies, f.nb_espaces_verts, f.nb_sante, f.nb_commerces, f.nb_gares) == (1, 1, 1, 0, 0)
     assert f.distance_min_pharmacies == 0.0 and f.distance_min_commerces is None
+
+
+def test_flat_ways_keep_their_line_centroid(spark):
+    from propspark.sources.map_elements import extract_poi
+    pts = lambda *xy: [{"lon": float(x), "lat": float(y)} for x, y in xy]
+    rows = [("way", 1, {"highway": "motorway"}, pts((2, 48), (2.01, 48), (2, 48))),
+            ("way", 2, {"highway": "trunk"}, pts((2, 48), (2, 48.005), (2, 48.01))),
+            ("area", 3, {"leisure": "park"}, pts((2, 48), (2.01, 48), (2, 48)))]
+    df = spark.createDataFrame(rows, "kind string, id long, tags map<string,string>, "
+                                     "coords array<struct<lon:double,lat:double>>")
+    assert sorted(r.id for r in extract_poi(df).collect()) == [1, 2]
