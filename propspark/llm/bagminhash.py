@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from propspark.llm.arrow_text import Words, chunks, mix, window_hash
 from propspark.llm.components import components
-from propspark.llm.tables import written
+from propspark.llm.tables import find_package, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -168,6 +168,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
                     similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
     """One row per row of ``df``: doc_id, class_id (least identifier of the
     class), class_size and kept (one row of the class, the least identifier)."""
+    find_package(df.sparkSession)
     base = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("t"))
     sketch = written(base.mapInArrow(lambda it: _sketch_rows(bands, rows, it),
                                      "id bigint, node bigint, size bigint, bands array<bigint>"), "sketch")

@@ -31,6 +31,8 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 
+from propspark.llm.tables import find_package
+
 #: Words kept per worker, with their tokens.
 KEPT_WORDS = 250_000
 #: Longer words are not kept.
@@ -330,6 +332,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", carry: list[s
                  outputs: tuple[str, ...] = ("ids", "n_tokens", "decoded"), chunk_chars: int = 1 << 20) -> DataFrame:
     """``carry`` columns of ``df`` (default: all) and the named ``outputs``:
     ids, n_tokens, ids_sha256, decoded, decoded_sha256."""
+    find_package(df.sparkSession)
     with open(path, encoding="utf-8") as f:
         spec = df.sparkSession.sparkContext.broadcast(json.load(f))  # fixed size: the vocabulary
     carry = df.columns if carry is None else carry

@@ -4,13 +4,25 @@ from __future__ import annotations
 
 import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
 from propspark.session import checkpoint_dir
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it,
+    whatever folder the driver was started in."""
+    root = str(Path(__file__).resolve().parents[2])
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, paths)])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -19,6 +31,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     read again.  Survives lost executors, and unlike a checkpoint it keeps
     column pruning."""
     spark = df.sparkSession
+    find_package(spark)
     path = os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
