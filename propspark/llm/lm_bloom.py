@@ -7,10 +7,13 @@ level until a probe misses; the last hit gives the quantised count.
 
 What workers hold is bounded whatever the corpus: ``EXACT_WORDS`` word counts
 and, per order and level, ``LEVEL_BITS`` bits at most (fewer for few keys).  A level with more
-keys than ``LEVEL_BITS / KEY_BITS`` would answer at random and is left out:
-its n-grams count as unseen, which is the usual count cut-off, found from the
-counts themselves by one rule at every size.  The base score is exact for
-every word: counts outside the broadcast ones come from a join.
+keys than ``LEVEL_BITS / KEY_BITS`` would answer at random and is not
+broadcast.  N-grams that miss all levels broadcast get the level of their
+exact count by a join instead, so what the model knows does not depend on the
+size of the corpus.  (An n-gram of a training document was seen once at
+least: where only level 0 is left out, that is its level, without a join.)
+The base score is exact for every word: counts outside the broadcast ones
+come from a join.
 
 The model: with u(w) the smoothed unigram probability and c the quantised
 counts, P(w | v) = (c(v w) + K u(w)) / (c(v) + K), over the words and the end
@@ -37,6 +40,8 @@ from propspark.llm.tables import written
 EXACT_WORDS = 1 << 16
 SEGMENTS = 1024
 LEVEL_BITS = 1 << 26
+#: Levels of more keys are not broadcast.
+BROADCAST_BITS = LEVEL_BITS
 KEY_BITS = 6
 PROBES = 3
 PRIOR = 20.0
@@ -105,19 +110,20 @@ _MODEL = "kind string, o tinyint, level int, seg int, keys bigint, data binary,
 
 
 def _filter_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of whole segments in; out: the word counts and, per order,
-    level and segment, the filter's bits."""
+    """Counts of whole segments in; out: the counts of words and pairs and,
+    per order, level and segment, the filter's bits."""
     names = [c.split(" ")[0] for c in _MODEL.split(", ")]
     bits: dict[tuple[int, int, int], np.ndarray] = {}
     keys: dict[tuple[int, int, int], int] = {}
     for batch in batches:
         seg, order, key, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        word = order == 1
-        if word.any():
-            m = int(word.sum())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(["word"] * m), pa.nulls(m, pa.int8()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
-                 pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(key[word]), pa.array(n[word])], names=names)
+        for o, kind in ((1, "word"), (2, "pair")):
+            own = order == o
+            m = int(own.sum())
+            if m:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.repeat(kind, m), pa.nulls(m, pa.int8()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
+                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(key[own]), pa.array(n[own])], names=names)
         top = np.log2(n).astype(np.int64)
         for o in (1, 2):
             for level in range(int(top[order == o].max(initial=-1)) + 1):
@@ -155,12 +161,17 @@ class LogFrequencyFilter:
         #: (order, level) -> (packed bits, bits per segment), for the levels
         #: that are not too full; sparse levels are folded onto fewer bits.
         self.levels: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
+        #: Per order the levels below the least one kept: left out.  A level
+        #: holds the keys of the next, so these are the lowest.
+        self.floor = {1: 0, 2: 0}
         for cell, n in sorted(keys.items()):
-            if n * KEY_BITS <= LEVEL_BITS:
+            if n * KEY_BITS <= BROADCAST_BITS:
                 per = _PER
                 while per > 64 and SEGMENTS * per >= 4 * KEY_BITS * n:
                     per //= 2
                 self.levels[cell] = np.zeros(SEGMENTS * per // 8, np.uint8), per
+            else:
+                self.floor[cell[0]] = cell[1] + 1
         for r in rows:
             bits, per = self.levels.get((r["o"], r["level"]), (None, 0))
             if bits is not None:
@@ -173,7 +184,8 @@ class LogFrequencyFilter:
                 bits[r["seg"] * (per // 8):(r["seg"] + 1) * (per // 8)] = own
 
     def count(self, key: np.ndarray, order: int) -> np.ndarray:
-        """0 for unseen n-grams, else the middle of the level's counts."""
+        """0 for n-grams in no level kept, else the middle of the level's
+        counts."""
         out = np.zeros(len(key))
         live = np.arange(len(key))
         segment = _segment(key)
@@ -189,10 +201,25 @@ class LogFrequencyFilter:
             out[live] = 1.0 if level == 0 else 1.5 * 2.0**level - 0.5
         return out
 
+    def seen(self, key: np.ndarray, order: int, learnt: np.ndarray) -> np.ndarray:
+        """As ``count``, but NaN where only the exact counts can tell;
+        ``learnt`` are the n-grams of training documents."""
+        out = self.count(key, order)
+        if self.floor[order]:
+            miss = out == 0
+            out[miss] = np.where(learnt[miss], 1.0, np.nan) if self.floor[order] == 1 else np.nan
+        return out
+
+
+def _middle(n: Column) -> Column:
+    """The quantised count of an exact one; 0 for null."""
+    level = F.length(F.bin(n)) - 1
+    return F.when(n.isNull(), 0.0).when(level == 0, 1.0).otherwise(1.5 * F.pow(F.lit(2.0), level) - 0.5)
+
 
 def fit(train: DataFrame, text_col: str = "text") -> dict:
     """Counts of the training texts: filter, exact counts of the most frequent
-    words, the table of all word counts, and the totals."""
+    words, the tables of all counts of words and of pairs, and the totals."""
     spark = train.sparkSession
     counts = (train.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(_count_rows, "seg int, o tinyint, k bigint, n bigint")
               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "seg")
@@ -202,12 +229,43 @@ def fit(train: DataFrame, text_col: str = "text") -> dict:
     total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     exact = words.orderBy(F.col("n").desc(), "k").limit(EXACT_WORDS).collect()  # bounded by EXACT_WORDS
     exact.sort(key=lambda r: r["k"] & (2**64 - 1))
-    cells = model.filter("kind != 'word'").select("kind", "o", "level", "seg", "keys", "data").collect()  # fixed size
-    return {"filter": LogFrequencyFilter(cells), "words": words, "tokens": total["n"], "types": total["v"],
+    cells = model.filter("kind IN ('bits', 'places')").select("kind", "o", "level", "seg", "keys", "data").collect()  # fixed size
+    return {"filter": LogFrequencyFilter(cells), "words": words,
+            "pairs": model.filter("kind = 'pair'").select("k", "n"), "tokens": total["n"], "types": total["v"],
             "exact_keys": np.array([r["k"] for r in exact], np.int64).view(np.uint64),
             "exact_counts": np.array([r["n"] for r in exact], np.float64)}
 
 
+#: A document's pairs with their counts, null where only a join can tell.
+_PENDING = (("word", "bigint"), ("before", "bigint"), ("pair", "bigint"), ("own", "double"), ("context", "double"),
+            ("both", "double"), ("tf", "int"))
+
+
+def _resolve(pending: DataFrame, key: str, value: str, counts: DataFrame) -> DataFrame:
+    """``value`` where it is null by the exact count of ``key``.  Rows that do
+    not ask join on their identifier, which spreads them and finds nothing."""
+    asks = F.col(value).isNull()
+    table = counts.select(F.col("k").alias("__k"), F.lit(True).alias("__asks"), F.col("n").alias("__n"))
+    left = (pending.withColumn("__key", F.when(asks, F.col(key)).otherwise(F.xxhash64("uid")))
+            .withColumn("__ask", asks))
+    return (left.join(table, (F.col("__key") == F.col("__k")) & (F.col("__ask") == F.col("__asks")), "left")
+            .withColumn(value, F.coalesce(value, _middle(F.col("__n")))).select(*pending.columns))
+
+
+def _late(rows: DataFrame, model: dict, norm: float) -> DataFrame:
+    """(uid, late): what the pairs that wait for exact counts add to a score."""
+    floor = model["filter"].floor
+    out = rows.select("uid", F.explode("pending").alias("w")).select("uid", *[f"w.{name}" for name, _ in _PENDING])
+    if floor[1]:
+        out = _resolve(_resolve(out, "word", "own", model["words"]), "before", "context", model["words"])
+    cap = F.least("own", "context")
+    if floor[2]:
+        out = out.withColumn("both", F.when(cap == 0, 0.0).otherwise(F.col("both")))
+        out = _resolve(out, "pair", "both", model["pairs"].filter(F.col("n") < (1 << floor[2])))
+    p = (F.least("both", "own", "context") + PRIOR * (F.col("own") + 0.5) / F.lit(norm)) / (F.col("context") + PRIOR)
+    return out.select("uid", (F.col("tf") * F.log10(p)).alias("late"))
+
+
 def _score_rows(shared, n_carry: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     filt, keys, counts, total, norm = shared.value
     for batch in batches:
@@ -233,20 +291,38 @@ def _score_rows(shared, n_carry: int, names: list[str], batches: Iterator[pa.Rec
             tail = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
                 [pa.array(rest[start].view(np.int64)), pa.array(times.astype(np.int32))], names=["k", "n"]))
             # The model.
+            learnt = ~batch.column(n_carry - 1).slice(a, n).to_numpy(zero_copy_only=False).astype(bool)[doc]
             own = c.copy()
-            own[~exact] = filt.count(token[~exact], 1)
+            own[~exact] = filt.seen(token[~exact], 1, learnt[~exact])
             pair, before = pairs(token, first)
             context = np.empty(len(token))
             context[1:] = own[:-1]
-            begin = first[:-1]
-            ended = counts[np.searchsorted(keys, END)] if len(keys) and END in keys else 0.0
-            context[begin] = ended
-            both = np.minimum(filt.count(pair, 2), np.minimum(own, context))
-            p = (both + PRIOR * (own + 0.5) / norm) / (context + PRIOR)
-            score = np.bincount(doc, np.log10(p), n)
+            # The end before a document's first token is any document's end.
+            context[first[:-1]] = own[first[1:] - 1]
+            cap = np.minimum(own, context)
+            both = np.where(cap == 0, 0.0, filt.seen(pair, 2, learnt))
+            p = (np.minimum(both, cap) + PRIOR * (own + 0.5) / norm) / (context + PRIOR)
+            unknown = np.isnan(p)
+            score = np.bincount(doc, np.where(unknown, 0.0, np.log10(p)), n)
+            # What only exact counts can tell, once per document and pair.
+            lost = np.flatnonzero(unknown)
+            lost = lost[np.lexsort((pair[lost], doc[lost]))]
+            new = np.ones(len(lost), bool)
+            new[1:] = (pair[lost[1:]] != pair[lost[:-1]]) | (doc[lost[1:]] != doc[lost[:-1]])
+            start = np.flatnonzero(new)
+            at, times_lost = lost[start], np.diff(np.append(start, len(lost)))
+            ends_lost = np.concatenate([[0], np.cumsum(np.bincount(doc[at], minlength=n))]).astype(np.int32)
+
+            def given(x: np.ndarray) -> pa.Array:
+                return pa.array(x[at], pa.float64(), mask=np.isnan(x[at]))
+
+            pending = pa.ListArray.from_arrays(pa.array(ends_lost), pa.StructArray.from_arrays(
+                [pa.array(token[at].view(np.int64)), pa.array(before[at].view(np.int64)), pa.array(pair[at].view(np.int64)),
+                 given(own), given(context), given(both),
+                 pa.array(times_lost.astype(np.int32))], names=[f[0] for f in _PENDING]))
             columns = [batch.column(k).slice(a, n) for k in range(n_carry)]
             columns += [pa.array(np.diff(first).astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base),
-                        pa.array(score), tail]
+                        pa.array(score), tail, pending]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
@@ -262,17 +338,23 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     shared = spark.sparkContext.broadcast((model["filter"], model["exact_keys"], model["exact_counts"],
                                            model["tokens"], norm))
     types = dict(base.dtypes)
-    names = ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail"]
+    names = ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail", "pending"]
     schema = (f"doc_id {types['doc_id']}, held_out boolean, n_tokens bigint, known bigint, base double, "
-              "score double, tail array<struct<k:bigint,n:int>>")
+              "score double, tail array<struct<k:bigint,n:int>>, "
+              f"pending array<struct<{','.join(f'{name}:{t}' for name, t in _PENDING)}>>")
     rows = base.select("doc_id", "held_out", "t").mapInArrow(lambda it: _score_rows(shared, 2, names, it), schema)
     rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), "lm-scores")
     rare = rows.select("uid", F.explode("tail").alias("w")).select("uid", F.col("w.k").alias("k"), F.col("w.n").alias("tf"))
     found = (rare.join(model["words"], "k", "left")
-             .groupBy("uid").agg(F.sum(F.col("tf") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(norm)))).alias("rare"),
-                                 F.sum(F.when(F.col("n") > 0, F.col("tf")).otherwise(0)).alias("rare_known")))
+             .select("uid", (F.col("tf") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(norm)))).alias("rare"),
+                     F.when(F.col("n") > 0, F.col("tf")).otherwise(0).alias("rare_known"), F.lit(0.0).alias("late")))
+    if any(model["filter"].floor.values()):
+        late = _late(rows, model, float(norm))
+        found = found.unionByName(late.select("uid", F.lit(0.0).alias("rare"), F.lit(0).alias("rare_known"), "late"))
+    found = found.groupBy("uid").agg(*[F.sum(c).alias(c) for c in ("rare", "rare_known", "late")])
     return (rows.join(found, "uid", "left")
             .select("doc_id", "held_out", "n_tokens",
                     (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
                     F.lit(model["tokens"]).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("rare", F.lit(0.0))).alias("base_score"), "score"))
+                    (F.col("base") + F.coalesce("rare", F.lit(0.0))).alias("base_score"),
+                    (F.col("score") + F.coalesce("late", F.lit(0.0))).alias("score")))
