@@ -155,3 +155,50 @@ def test_licences(spark):
                                                      ("short", ["apache2_grant"])]).collect()
     assert sorted((r["doc_id"], r["licence"]) for r in longest) == [(1, "long"), (2, "short")]
     assert license_rules.scan_licences(df.limit(0)).count() == 0
+
+
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+"""
+GPL = """This program is free software%s you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation%s either version %d of the License, or
+(at your option) any later version.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+"""
+
+
+@pytest.mark.parametrize("sign", ["", " * ", "# "])
+def test_real_headers_wrapped_over_lines(spark, sign):
+    heads = [MIT, BSD, GPL % (";", ";", 2), GPL % (":", ",", 3), APACHE, "...All rights reserved.\n", "All\n\nrights\nreserved"]
+    rows = [(k, "Some code\n" + "".join(sign + line + "\n" for line in h.splitlines()) + "int x;") for k, h in enumerate(heads)]
+    rows += [(100 + k, " ".join(h.split())) for k, h in enumerate(heads)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted(tuple(r) for r in license_rules.scan_licences(df).collect())
+    names = ["MIT", "BSD", "GPL-2.0", "GPL-3.0", "Apache-2.0", "proprietary", "proprietary"]
+    assert got == [(k, n, 1, 1) for k, n in enumerate(names)] + [(100 + k, n, 1, 0) for k, n in enumerate(names)]
+    whole = license_rules.scan_licences(df, rules=[("all", license_rules.RULES[0][1])]).collect()
+    assert [r["doc_id"] for r in whole] == [4]  # on one line, two of the sentences are one
+
+
+def test_dictionary_is_normal_and_used(spark):
+    known = [s for alternatives in license_rules.SENTENCES.values() for s in alternatives]
+    df = spark.createDataFrame([(s,) for s in known], "s string")
+    assert all(r["s"] == r["n"] for r in df.select("s", license_rules.normal(F.col("s")).alias("n")).collect())
+    assert {i for _, ids in license_rules.RULES for i in ids} == set(license_rules.SENTENCES)
