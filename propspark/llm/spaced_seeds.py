@@ -8,6 +8,9 @@ the two word sequences are compared position by position over ``REACH`` words
 to either side: the overlap is the best-scoring run of positions, an equal
 word counting 1 and a substituted one ``-MISMATCH``; it contaminates when it
 scores ``MIN_SCORE`` or, for a shorter item, when all the item's words agree.
+An item of ``SPAN`` to ``ONE_OFF - 1`` words also contaminates when all its
+words but one agree; the first or the last four of them then agree, which are
+seeds of their own.
 
 Only DataFrame functions.  Before windows of documents leave their row they
 are tested against a bitmap of the benchmark's hashes (a fixed number of
@@ -31,9 +34,14 @@ from pyspark.sql import functions as F
 
 from propspark.llm.tables import written
 
-#: A mask is the places of its pairs of adjacent words in the span: 11011011
-#: and 110011011, where 1 counts and 0 is ignored.
-MASKS = ((0, 3, 6), (0, 4, 7))
+#: A mask is the places of its pairs of adjacent words in the span: 11011011,
+#: 110011011 and 1111011, where 1 counts and 0 is ignored.  The last leaves
+#: out every fifth word.
+MASKS = ((0, 3, 6), (0, 4, 7), (0, 2, 5))
+#: Four words in a row: the ends of items below ``ONE_OFF`` words.
+ENDS = (0, 2)
+ENDS_SPAN = 4
+ONE_OFF = 15
 SPAN = 9
 REACH = 24
 MISMATCH = 2
@@ -53,9 +61,9 @@ def word_pairs(w: Column) -> Column:
     return F.transform(w, lambda x, i: F.xxhash64(x, F.get(w, i + 1)))
 
 
-def _seeds(pairs: Column, mask: tuple[int, ...], number: int) -> Column:
+def _seeds(pairs: Column, mask: tuple[int, ...], number: int, span: int = SPAN) -> Column:
     """Hash of every window under a mask."""
-    last = F.size(pairs) - SPAN
+    last = F.size(pairs) - span
     at = F.when(last >= 0, F.sequence(F.lit(0), last)).otherwise(F.array().cast("array<int>"))
     return F.transform(at, lambda i: F.xxhash64(F.lit(number), *[F.get(pairs, i + k) for k in mask]))
 
@@ -77,8 +85,11 @@ def index_items(items: DataFrame, id_col: str = "item_id", text_col: str = "text
     base = items.select(F.col(f"`{id_col}`").alias("item_id"), words(F.col(f"`{text_col}`")).alias("w"))
     base = base.select("*", word_pairs(F.col("w")).alias("pairs"))
     parts = []
-    for number, mask in enumerate(MASKS):
-        seeds = base.select("item_id", "w", F.posexplode(_seeds(F.col("pairs"), mask, number)).alias("q", "h"))
+    one_off = (F.size("w") >= SPAN) & (F.size("w") < ONE_OFF)
+    ends = base.filter(one_off).select("item_id", "w", F.posexplode(_seeds(F.col("pairs"), ENDS, len(MASKS), ENDS_SPAN)).alias("q", "h"))
+    families = [base.select("item_id", "w", F.posexplode(_seeds(F.col("pairs"), mask, number)).alias("q", "h"))
+                for number, mask in enumerate(MASKS)]
+    for seeds in [*families, ends.filter((F.col("q") == 0) | (F.col("q") == F.size("w") - ENDS_SPAN))]:
         at, near = _around(F.col("w"), F.col("q"))
         parts.append(seeds.select("h", "item_id", at.alias("q"), near.alias("item_words"),
                                   F.size("w").alias("n")))
@@ -108,7 +119,7 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     """Contaminated pairs: doc_id, item_id, score, matched (equal words),
     words (length of the overlap)."""
     index = written(index_items(items, item_id, item_text), "seeds")
-    n_index, lengths = index.count(), [r["n"] for r in index.select("n").filter(F.col("n") < SPAN).distinct().collect()]
+    n_index, lengths = index.count(), [r["n"] for r in index.select("n").filter(F.col("n") < ONE_OFF).distinct().collect()]
     word, bit = _bit(F.col("h"))
     # Bounded by the fixed size of the bitmap.
     cells = (index.select(word.alias("word"), F.call_function("shiftleft", F.lit(1).cast("bigint"), bit).alias("b"))
@@ -131,7 +142,9 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
         return F.filter(marked, lambda s: s.isNotNull())
 
     found = [hits(_seeds(F.col("pairs"), mask, number)) for number, mask in enumerate(MASKS)]
-    found += [hits(_short_seeds(w, n)) for n in lengths]
+    if any(n >= SPAN for n in lengths):
+        found.append(hits(_seeds(F.col("pairs"), ENDS, len(MASKS), ENDS_SPAN)))
+    found += [hits(_short_seeds(w, n)) for n in lengths if n < SPAN]
     spots = base.select("doc_id", "w", F.explode(F.concat(*found)).alias("s"))
     at, near = _around(w, F.col("s.p"))
     spots = spots.select("doc_id", F.col("s.h").alias("h"), at.alias("p"), near.alias("doc_words"))
@@ -157,8 +170,11 @@ def find_overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
                         F.when(better, eq).otherwise(a["matched"]).alias("matched"),
                         F.when(better, length).otherwise(a["words"]).alias("words"))
 
-    scored = pairs.select("doc_id", "item_id", "n", F.aggregate(same, start, step).alias("o"))
-    enough = F.col("o.score") >= F.least(F.lit(MIN_SCORE), F.col("n"))
+    # A whole item below ONE_OFF words lies within REACH of any of its places.
+    scored = pairs.select("doc_id", "item_id", "n", F.aggregate(same, start, step).alias("o"),
+                          F.size(F.filter(same, lambda x: x)).alias("equal"))
+    one_off = F.col("n").between(SPAN, ONE_OFF - 1) & (F.col("equal") >= F.col("n") - 1)
+    enough = (F.col("o.score") >= F.least(F.lit(MIN_SCORE), F.col("n"))) | one_off
     best = (scored.filter(enough).groupBy("doc_id", "item_id")
             .agg(F.max(F.struct("o.score", "o.matched", "o.words")).alias("o")))
     return best.select("doc_id", "item_id", "o.score", "o.matched", "o.words")

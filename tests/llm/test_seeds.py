@@ -74,3 +74,19 @@ def test_empty_tables_and_odd_rows(spark):
     assert S.find_overlaps(ddf.limit(0), idf).count() == 0
     assert S.find_overlaps(ddf, idf.limit(0)).count() == 0
     assert S.drop_contaminated(ddf, idf).count() == 1
+
+
+def test_one_swap_at_each_place_and_every_fifth_word(spark):
+    items = [(n, [f"w{n}x{k}" for k in range(n)]) for n in [*range(9, 21), 59]]
+    docs = []
+    for n, item in items[:-1]:
+        for k in range(n):
+            docs.append((n, ["before"] * 5 + item[:k] + ["swapped"] + item[k + 1:] + ["after"] * 5))
+        docs.append((n, item[1:]))
+        docs.append((n, ["swapped", *item[1:]]))
+    docs += [(59, [w if k % 5 != r else "swapped" for k, w in enumerate(items[-1][1])]) for r in range(5)]
+    far = [(n, [*item[:2], "swapped", *item[3:5], "swapped", *item[6:]]) for n, item in items[:6]]  # two of few words
+    ddf = spark.createDataFrame([(k, " ".join(w)) for k, (_, w) in enumerate(docs + far)], "doc_id long, text string")
+    idf = spark.createDataFrame([(n, " ".join(w)) for n, w in items], "item_id long, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in S.find_overlaps(ddf, idf).collect()}
+    assert got == {(k, n) for k, (n, _) in enumerate(docs)}
