@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, toxicity, url_rules
+from propspark.llm import (anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, toxicity, url_rules,
+                           zone_clusters)
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,3 +151,30 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (lm_bloom.fold(F.col("doc_id")) == 0).alias("held_out"),
                          F.col("toxicity").alias("score"),
                          F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"))
+
+
+def _lloyd_sql(rounds: int = 5) -> str:
+    """Lloyd's rounds on integer vectors, one pair of views per round."""
+    near = """a{r} AS MATERIALIZED (SELECT vec_id, any_value(q) AS q, arg_min(c, d * 64 + c) AS c, min(d) AS d FROM (
+  SELECT v.vec_id, v.q, k.c, list_sum(list_transform(list_zip(v.q, k.q), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d
+  FROM v, c{r} k) GROUP BY vec_id)"""
+    move = """c{s} AS MATERIALIZED (SELECT k.c, coalesce(m.q, k.q) AS q FROM c{r} k LEFT JOIN (
+  SELECT c, list((t - ((t % n) + n) % n) // n ORDER BY j) AS q FROM (
+    SELECT c, j, sum(q[j])::BIGINT AS t, count(*) AS n FROM a{r}, range(1, 65) g(j) GROUP BY c, j) GROUP BY c) m USING (c))"""
+    parts = ["""v AS MATERIALIZED (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64)""",
+             """c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id)) - 1 AS c, q FROM v
+  ORDER BY sha256('2:' || vec_id) LIMIT 40)"""]
+    for r in range(rounds):
+        parts += [near.format(r=r), move.format(r=r, s=r + 1)]
+    parts.append(near.format(r=rounds))
+    return f"""WITH {', '.join(parts)}
+SELECT a.vec_id, a.c::INT AS cluster, a.d AS distance, sum(a.d) OVER (PARTITION BY a.c)::BIGINT AS cluster_inertia,
+       sum(a.d) OVER ()::BIGINT AS inertia, sha256(array_to_string(k.q, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN c{rounds} k ON k.c = a.c"""
+
+
+@register("op13_clusters", _lloyd_sql())
+def op13_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's nearest of 40 centroids after five rounds."""
+    return zone_clusters.cluster_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
