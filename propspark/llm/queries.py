@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import (anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, toxicity, url_rules,
-                           zone_clusters)
+from propspark.llm import (anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, square_runs, toxicity,
+                           url_rules, zone_clusters)
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,6 +153,46 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+@register("op12_runs", r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+                  list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT) AS digits FROM documents),
+h AS (SELECT doc_id, w, len(w) AS n, xor(4294967295::BIGINT, list_reduce(list_concat([4294967295::BIGINT], digits),
+        lambda c, b: list_reduce(list_concat([xor(c, b)], [0, 1, 2, 3, 4, 5, 6, 7]::BIGINT[]),
+                                 lambda x, k: xor(x // 2, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END)))) AS h FROM d),
+p AS (SELECT *, CASE WHEN n > 0 THEN (h // 10) % n END AS a, CASE WHEN n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p FROM h),
+t AS MATERIALIZED (SELECT doc_id, n, CASE WHEN h % 10 <> 0 OR n = 0 THEN w
+             ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % p END]) END AS w FROM p),
+s AS (SELECT doc_id, n, i, hash(w[i + 1:i + 5]) AS s FROM (SELECT *, unnest(range(n - 4)) AS i FROM t WHERE n >= 6)),
+m AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM s x JOIN s y ON x.doc_id = y.doc_id AND x.s = y.s
+      WHERE y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+g AS (SELECT doc_id, q, min(i) AS a, max(i) + 5 + q - min(i) AS n FROM (
+        SELECT *, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS g FROM m) GROUP BY doc_id, q, g),
+r AS MATERIALIZED (SELECT doc_id, a, n, min(q) AS q FROM g WHERE n >= greatest(6, 4 * q) GROUP BY doc_id, a, n),
+k AS (SELECT doc_id, count(*) AS n_runs, arg_min({'a': a, 'n': n, 'q': q}, {'n': -n, 'a': a, 'q': q}) AS b,
+             string_agg(a || ',' || n || ',' || q || chr(10), '' ORDER BY a, q) AS runs,
+             flatten(list(range(a + q, a + n))) AS gone FROM r GROUP BY doc_id)
+SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, b.a AS start, b.n AS length, b.q AS period, 1000 * b.n // b.q AS exponent_milli,
+       sha256(coalesce(runs, '')) AS runs_sha256,
+       sha256(array_to_string(CASE WHEN gone IS NULL THEN w ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i - 1)) END, ' '))
+         AS collapsed_sha256
+FROM t LEFT JOIN k USING (doc_id)""")
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs, a tenth of the documents made periodic first."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    g, n = F.floor(h / 10), F.col("n")
+    parted = docs.withColumn("w", F.when(h % 10 == 0, words)).withColumn("n", F.size("w").cast("bigint"))
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8))
+    parted = parted.withColumn("a", F.when(n > 0, a)).withColumn("p", F.when(n > 0, p))
+    made = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.element_at(
+        "w", (1 + F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))).cast("int")))
+    text = F.when(n > 0, F.array_join(made, " ")).otherwise(F.col("text"))
+    return square_runs.find_runs(parted.select("doc_id", text.alias("text")), carry=["doc_id"],
+                                 outputs=("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"))
+
+
 def _lloyd_sql(rounds: int = 5) -> str:
     """Lloyd's rounds on integer vectors, one pair of views per round."""
     near = """a{r} AS MATERIALIZED (SELECT vec_id, any_value(q) AS q, arg_min(c, d * 64 + c) AS c, min(d) AS d FROM (
