@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from propspark.llm import (anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, shards, spaced_seeds, square_runs, toxicity,
-                           url_rules, zone_clusters)
+from propspark.llm import (anchors, bagminhash, bpe, exact_sort, license_rules, lm_bloom, secret_models, shards, spaced_seeds,
+                           square_runs, toxicity, url_rules, zone_clusters)
 from propspark.llm.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -153,6 +153,14 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.when(F.col("toxicity") >= 0.5, 1).otherwise(0).alias("predicted"))
 
 
+@register("op11_secrets")
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's secrets by pattern and by the Markov models."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return secret_models.find_secrets(docs, secret_models.fit(docs), carry=["doc_id"],
+                                      outputs=("n_assign", "n_access", "n_hex", "n_random", "base_sha256", "spans"))
+
+
 @register("op12_runs", r"""
 WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
                   list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT) AS digits FROM documents),

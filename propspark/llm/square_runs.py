@@ -23,8 +23,8 @@ the whole of every run is compared again word by word.
 
 Results for odd input: null and empty texts have no words and no runs;
 repeated rows and rows without identifier give a result each; an empty table
-gives an empty result; carried columns may have any name but those of the
-outputs, which raises a ValueError.
+gives an empty result; a carried column named like an output is replaced by
+it.
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from propspark.llm.arrow_text import Words, chunks, mix
-from propspark.llm.tables import find_package
+from propspark.llm.tables import carried, find_package, spare_name
 
 LEAST_LENGTH = 6
 LEAST_POWER = 4
@@ -256,10 +256,7 @@ def find_runs(df: DataFrame, text_col: str = "text", carry: list[str] | None = N
     (``OUTPUTS``): all runs of a text, the longest one (ties: smallest start,
     then period), and the text without the repetitions of its runs."""
     find_package(df.sparkSession)
-    carry = df.columns if carry is None else carry
-    clash = set(carry) & set(outputs)
-    if clash:
-        raise ValueError(f"columns named like outputs: {sorted(clash)}")
+    carry = carried(df, carry, outputs)
     types = dict(df.dtypes)
     n = len(carry)
     numbers = ("start", "length", "period", "exponent_milli")
@@ -292,5 +289,5 @@ def find_runs(df: DataFrame, text_col: str = "text", carry: list[str] | None = N
                     [batch.column(k).slice(a, b - a) for k in range(n)]
                     + [pa.array([r[o] for r in rows], arrow.get(o, pa.string())) for o in outputs], names=[*carry, *outputs])
 
-    given = df.select(*[f"`{c}`" for c in carry], df[f"`{text_col}`"].alias("__text"))
+    given = df.select(*[f"`{c}`" for c in carry], df[f"`{text_col}`"].alias(spare_name(carry, "__text")))
     return given.mapInArrow(run, ", ".join([f"`{c}` {types[c]}" for c in carry] + [f"{o} {OUTPUTS[o]}" for o in outputs]))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -35,3 +36,18 @@ def written(df: DataFrame, name: str) -> DataFrame:
     path = os.path.join(checkpoint_dir(spark), "llm", f"{name}-{uuid.uuid4().hex}")
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def carried(df: DataFrame, carry: list[str] | None, outputs: Iterable[str]) -> list[str]:
+    """Columns to carry (default: all) but those named like an output, which
+    the output replaces, as ``withColumn`` does."""
+    taken = {o.lower() for o in outputs}
+    return [c for c in (df.columns if carry is None else carry) if c.lower() not in taken]
+
+
+def spare_name(columns: Iterable[str], name: str) -> str:
+    """``name``, made longer until no column has it."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -6,7 +6,6 @@ import hashlib
 import random
 
 import numpy as np
-import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -128,5 +127,5 @@ def test_odd_rows(spark):
     assert by["x x x x"]["n_words"] == 2
     assert by["ab cd ab"]["collapsed"] == "ab cd" and [tuple(x) for x in by["ab cd ab"]["runs"]] == [(0, 300_000, 2)]
     assert sr.find_runs(df.limit(0)).count() == 0
-    with pytest.raises(ValueError):
-        sr.find_runs(df.withColumnRenamed("words", "runs"))
+    clash = sr.find_runs(df.withColumnsRenamed({"words": "runs", "doc_id": "__text"}))
+    assert clash.columns == ["__text", "text", "n_words", "n_runs", "runs", "collapsed"] and clash.count() == len(rows)
