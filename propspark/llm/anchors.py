@@ -18,8 +18,8 @@ are dealt by other keys.  Lists per document are as long as the document.
 Results for odd input: a null or empty text has no words; a null identifier
 counts as the smallest; rows with the same identifier and text are one
 document given twice (each gets the same result); rows with the same
-identifier but other texts are documents of their own, in the order of a hash
-of the text; an empty table gives an empty result; other columns are carried
+identifier (or none) but other texts are documents of their own, with a 64-bit
+hash of identifier and text in the identifier's place; an empty table gives an empty result; other columns are carried
 through where asked for.
 """
 
@@ -137,7 +137,7 @@ def _window_rows(window: int, width: int, cells: int, batches: Iterator[pa.Recor
 
 def _result_rows(window: int, outputs: list[str], carry: list[str],
                  batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Columns in: d, h, text, row, places of repeated windows, whole copy."""
+    """Columns in: d, s, text, row, places of repeated windows, whole copy."""
     for batch in batches:
         texts, lists, copies = batch.column(2), batch.column(4), batch.column(5).fill_null(False).to_pylist()
         row = batch.column(3).flatten()
@@ -170,12 +170,27 @@ def _result_rows(window: int, outputs: list[str], carry: list[str],
 
 
 def _copies(docs: DataFrame) -> DataFrame:
-    """(__d, __h) of documents whose text an earlier one has."""
-    light = docs.select("__d", "__h", F.xxhash64("__text").alias("t"), F.xxhash64(F.lit(1), "__text").alias("u"))
-    firsts = (light.groupBy("t", "u").agg(F.min("__d").alias("first"), F.max("__d").alias("last"))
+    """(__d, __s) of documents whose text an earlier one has."""
+    light = docs.select("__d", "__s", F.xxhash64("__text").alias("t"), F.xxhash64(F.lit(1), "__text").alias("u"))
+    key = F.struct("__d", "__s")
+    firsts = (light.groupBy("t", "u").agg(F.min(key).alias("first"), F.max(key).alias("last"))
               .filter("first < last").drop("last"))
     # Written, so that the join can split a text with very many copies.
-    return light.join(written(firsts, "copies"), ["t", "u"]).filter("__d > first").select("__d", "__h").distinct()
+    return light.join(written(firsts, "copies"), ["t", "u"]).filter(key > F.col("first")).select("__d", "__s").distinct()
+
+
+def _documents(rows: DataFrame) -> DataFrame:
+    """``rows`` (__d, __text, ...) with a key of their own for each document:
+    __d is the identifier and __s 0 where it has one text only (there is then
+    nothing to join); else __d is a hash of both and __s is 1."""
+    light = rows.select("__d", F.xxhash64("__text").alias("h"))
+    shared = written(light.groupBy("__d").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
+                     .filter("lo < hi").select("__d", F.lit(True).alias("__shared")), "shared-ids")
+    if shared.isEmpty():
+        return rows.withColumn("__s", F.lit(0))
+    one = F.col("__shared").isNull()
+    return (rows.join(shared, "__d", "left").withColumn("__s", F.when(one, 0).otherwise(1))
+            .withColumn("__d", F.when(one, F.col("__d")).otherwise(F.xxhash64("__d", "__text"))).drop("__shared"))
 
 
 def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW,
@@ -192,19 +207,18 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     outputs = ["n_words", "n_removed", *[o for o in outputs if not o.startswith("n_")]]
     types = dict(df.dtypes)
     text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
-    docs = df.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LEAST)).alias("__d"),
-                     F.xxhash64(text).bitwiseAND(F.lit((1 << 16) - 1).cast("bigint")).alias("__h"), text.alias("__text"),
-                     F.struct(*[F.col(f"`{c}`") for c in carry]).alias("__row"))
+    docs = _documents(df.select(F.coalesce(F.col(f"`{id_col}`").cast("bigint"), F.lit(_LEAST)).alias("__d"), text.alias("__text"),
+                                F.struct(*[F.col(f"`{c}`") for c in carry]).alias("__row")))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     cells = 4 * parts
     copies = written(_copies(docs), "copies")
     # All three passes read the same exchange of the texts by document, with
     # the same columns: Spark runs it once.
-    dealt = docs.repartition(parts, "__d", "__h")
-    columns = ["__d", "__h", "__text", "__row"]
+    dealt = docs.repartition(parts, "__d", "__s")
+    columns = ["__d", "__s", "__text", "__row"]
 
     # (An anti join would be pushed below the exchange, which then differs.)
-    anchors = (dealt.join(copies.withColumn("__copy", F.lit(True)), ["__d", "__h"], "left")
+    anchors = (dealt.join(copies.withColumn("__copy", F.lit(True)), ["__d", "__s"], "left")
                .filter("__copy IS NULL").select(*columns)
                .mapInArrow(lambda batches: _anchor_rows(width, cells, batches),
                            "cell int, k array<bigint>, d array<bigint>, ref array<bigint>, known array<boolean>"))
@@ -214,10 +228,10 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                .filter(F.col("known") | (F.col("before") == F.col("k")) | (F.col("after") == F.col("k"))))
 
     def by_document(rows: DataFrame) -> DataFrame:
-        return (rows.groupBy(F.col("d").alias("__d"), F.shiftright("ref", 40).alias("__h"))
+        return (rows.groupBy(F.col("d").alias("__d"), F.shiftright("ref", 40).alias("__s"))
                 .agg(F.collect_list(F.col("ref").bitwiseAND(F.lit(int(_POS)))).alias("__at")))
 
-    windows = (dealt.join(by_document(anchors), ["__d", "__h"]).select(*columns, "__at")
+    windows = (dealt.join(by_document(anchors), ["__d", "__s"]).select(*columns, "__at")
                .mapInArrow(lambda batches: _window_rows(window, width, cells, batches),
                            "cell int, k array<bigint>, c array<int>, d array<bigint>, ref array<bigint>, "
                            "known array<boolean>"))
@@ -229,8 +243,8 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     repeats = windows.filter(F.col("known") | (same & ~twin)).select("d", "ref")
 
     found = by_document(repeats).withColumn("__copy", F.lit(False)).unionByName(
-        copies.select("__d", "__h", F.lit(None).cast("array<bigint>").alias("__at"), F.lit(True).alias("__copy")))
-    final = dealt.join(found, ["__d", "__h"], "left").select(*columns, "__at", "__copy")
+        copies.select("__d", "__s", F.lit(None).cast("array<bigint>").alias("__at"), F.lit(True).alias("__copy")))
+    final = dealt.join(found, ["__d", "__s"], "left").select(*columns, "__at", "__copy")
     schema = ", ".join([f"`{c}` {types[c]}" for c in carry]
                        + [f"{o} {'bigint' if o.startswith('n_') else 'string'}" for o in outputs])
     return final.mapInArrow(lambda batches: _result_rows(window, outputs, carry, batches), schema)

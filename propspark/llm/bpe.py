@@ -14,8 +14,8 @@ lower case, words by a fixed pattern, bytes as letters, a word-end mark.
 
 Results for odd input: null and empty texts have no tokens; the strings of
 special tokens in a text become their identifiers; other columns are carried
-through; repeated rows are encoded alike; an empty table gives an empty
-result.
+through, and one named like an output is replaced by it; repeated rows are
+encoded alike; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -23,6 +23,7 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,10 +32,10 @@ import pyarrow.compute  # noqa: F401
 import regex
 from pyspark.sql import DataFrame
 
-from propspark.llm.tables import find_package
+from propspark.llm.tables import carried, find_package, spare_name
 
 #: Words kept per worker, with their tokens.
-KEPT_WORDS = 250_000
+KEPT_WORDS = 200_000
 #: Longer words are not kept.
 KEPT_CHARS = 64
 _BITS = np.int64(20)
@@ -215,24 +216,32 @@ def _class(ranges: list[tuple[int, int]]) -> str:
     return "".join(f"\\U{a:08x}-\\U{b:08x}" for a, b in ranges)
 
 
+def word_tables(pattern: str) -> tuple[str, str]:
+    """The pattern with Unicode 16.0 letters and digits spelled out, and the
+    characters on which the regex module's own tables differ from it.  Made
+    from all characters there are, so once on the driver."""
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    plain, odd = pattern, set()
+    for kind, new in {"L": NEW_LETTERS, "N": NEW_DIGITS}.items():
+        known = {c for c in every if unicodedata.category(c)[0] == kind}
+        known |= {chr(c) for a, b in new for c in range(a, b + 1)}
+        odd |= known ^ set(regex.findall(rf"\p{{{kind}}}", every))
+        codes = sorted(map(ord, known))
+        cuts = [i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1]
+        runs = [(codes[a], codes[b - 1]) for a, b in zip([0, *cuts], [*cuts, len(codes)])]
+        plain = plain.replace(f"\\p{{{kind}}}", _class(runs))
+    odd |= {chr(c) for c in NEW_LOWER}
+    return plain, "".join(sorted(odd))
+
+
 class WordPattern:
     """The file's word pattern with Unicode 16.0 letters and digits.  Texts
     without a character on which the regex module's own tables differ (nearly
     all) use those tables."""
 
-    def __init__(self, pattern: str):
-        every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-        kinds = {"L": NEW_LETTERS, "N": NEW_DIGITS}
-        plain, self.odd = pattern, set()
-        for kind, new in kinds.items():
-            known = {c for c in every if unicodedata.category(c)[0] == kind}
-            known |= {chr(c) for a, b in new for c in range(a, b + 1)}
-            self.odd |= known ^ set(regex.findall(rf"\p{{{kind}}}", every))
-            codes = sorted(map(ord, known))
-            cuts = [i for i in range(1, len(codes)) if codes[i] != codes[i - 1] + 1]
-            runs = [(codes[a], codes[b - 1]) for a, b in zip([0, *cuts], [*cuts, len(codes)])]
-            plain = plain.replace(f"\\p{{{kind}}}", _class(runs))
-        self.odd |= {chr(c) for c in NEW_LOWER}
+    def __init__(self, pattern: str, tables: tuple[str, str]):
+        plain, odd = tables
+        self.odd = frozenset(odd)
         self.usual, self.exact = regex.compile(pattern), regex.compile(plain)
 
     def find(self, text: str) -> list[str]:
@@ -244,17 +253,24 @@ class WordPattern:
         return self.exact.findall(text.translate(NEW_LOWER).lower())
 
 
+def _pattern(spec: dict) -> str:
+    return next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
+
+
 class Encoder:
-    """Encodes texts, keeping words already seen (bounded)."""
+    """Encodes texts, keeping words already seen (bounded).  ``tables`` of the
+    word pattern come from the driver; without ``strings`` only identifiers
+    are made."""
 
-    def __init__(self, spec: dict):
+    def __init__(self, spec: dict, tables: tuple[str, str] | None = None, strings: bool = True):
         self.vocab = Vocabulary(spec)
-        pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
-        self.word = WordPattern(pattern)
+        pattern = _pattern(spec)
+        self.word = WordPattern(pattern, tables or word_tables(pattern))
+        self.strings = strings
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocab.special)) + ")")
         self.letters = dict(enumerate(byte_letters()))
         self.number = {i: str(i) for i in self.vocab.text}
-        self.kept: dict[str, tuple[list[int], str, str]] = {}
+        self.kept: dict[str, tuple[array, str, str]] = {}
         self.proposed = self.failed = 0
 
     def pieces(self, text: str) -> list[str]:
@@ -267,7 +283,7 @@ class Encoder:
                 out += self.word.find(part)
         return out
 
-    def learn(self, words: set[str]) -> dict[str, tuple[list[int], str, str]]:
+    def learn(self, words: set[str]) -> dict[str, tuple[array, str, str]]:
         """Tokens, identifiers as text and decoded text of new words."""
         new = [w for w in words if w not in self.vocab.special]
         raw = [w.encode() for w in new]
@@ -289,13 +305,13 @@ class Encoder:
                 proposed[k] = ids
         number, text, out = self.number.__getitem__, self.vocab.text.__getitem__, {}
         for w, ids in zip(new, proposed):
-            out[w] = ids, " ".join(map(number, ids)), " ".join(map(text, ids))
+            out[w] = (array("i", ids), " ".join(map(number, ids)), " ".join(map(text, ids))) if self.strings else (array("i", ids), "", "")
         for w in words - set(new):
             i = self.vocab.special[w]
-            out[w] = [i], str(i), w
+            out[w] = array("i", [i]), str(i), w
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[list[int], str, str]]]:
+    def encode(self, texts: list[str]) -> Iterator[list[tuple[array, str, str]]]:
         """Per text, the entries of its words."""
         cut = [self.pieces(t) for t in texts]
         if len(self.kept) > KEPT_WORDS:
@@ -308,15 +324,15 @@ class Encoder:
             yield [look[w] for w in words]
 
 
-_ENCODERS: dict[str, Encoder] = {}
+_ENCODERS: dict[tuple[str, bool], Encoder] = {}
 
 
-def _encoder(key: str, spec) -> Encoder:
-    """One encoder per worker process and tokenizer file."""
-    if key not in _ENCODERS:
+def _encoder(path: str, strings: bool, shared) -> Encoder:
+    """One encoder per worker process; another file or kind replaces it."""
+    if (path, strings) not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[key] = Encoder(spec.value)
-    return _ENCODERS[key]
+        _ENCODERS[path, strings] = Encoder(*shared.value, strings)
+    return _ENCODERS[path, strings]
 
 
 def decode(ids: list[int], vocab: Vocabulary) -> str:
@@ -334,11 +350,10 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", carry: list[s
     ids, n_tokens, ids_sha256, decoded, decoded_sha256."""
     find_package(df.sparkSession)
     with open(path, encoding="utf-8") as f:
-        spec = df.sparkSession.sparkContext.broadcast(json.load(f))  # fixed size: the vocabulary
-    carry = df.columns if carry is None else carry
-    clash = set(carry) & set(outputs)
-    if clash:
-        raise ValueError(f"columns named like outputs: {sorted(clash)}")
+        spec = json.load(f)
+    shared = df.sparkSession.sparkContext.broadcast((spec, word_tables(_pattern(spec))))  # fixed size: the vocabulary
+    strings = not set(outputs) <= {"ids", "n_tokens"}
+    carry = carried(df, carry, outputs)
     types = dict(df.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in carry] + [f"{o} {OUTPUTS[o]}" for o in outputs])
     make = {"ids": lambda e: [i for w in e for i in w[0]], "n_tokens": lambda e: sum(len(w[0]) for w in e),
@@ -348,7 +363,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", carry: list[s
              "decoded": pa.string(), "decoded_sha256": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, spec)
+        encoder = _encoder(path, strings, shared)
         for batch in batches:
             texts = batch.column(len(carry))
             first = 0
@@ -364,6 +379,7 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", carry: list[s
                 columns += [pa.array([m[k] for m in made], arrow[o]) for k, o in enumerate(outputs)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*carry, *outputs])
                 first = end
+        pa.default_memory_pool().release_unused()
 
-    given = df.select(*[f"`{c}`" for c in carry], df[f"`{text_col}`"].alias("__text"))
+    given = df.select(*[f"`{c}`" for c in carry], df[f"`{text_col}`"].alias(spare_name(carry, "__text")))
     return given.mapInArrow(run, schema)

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from propspark.llm.arrow_text import Words, chunks, mix
-from propspark.llm.tables import written
+from propspark.llm.tables import find_package, written
 
 EXACT_WORDS = 1 << 16
 SEGMENTS = 1024
@@ -221,6 +221,7 @@ def fit(train: DataFrame, text_col: str = "text") -> dict:
     """Counts of the training texts: filter, exact counts of the most frequent
     words, the tables of all counts of words and of pairs, and the totals."""
     spark = train.sparkSession
+    find_package(spark)
     counts = (train.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(_count_rows, "seg int, o tinyint, k bigint, n bigint")
               .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "seg")
               .groupBy("seg", "o", "k").agg(F.sum("n").alias("n")))

@@ -68,3 +68,26 @@ def test_repeated_rows_and_nulls(spark):
 
 def test_cover_has_every_difference():
     assert {(a - b) % anchors.PERIOD for a in anchors.COVER for b in anchors.COVER} == set(range(anchors.PERIOD))
+
+
+def test_many_rows_without_identifier_share_a_passage(spark):
+    """Also one identifier with many texts: each text is a document."""
+    rng = random.Random(6)
+    passage = " ".join(f"p{k}" for k in range(30))
+    texts = []
+    for k in range(3000):
+        own = [f"w{k}x{j}" for j in range(rng.randint(1, 12))]
+        if k % 2:
+            own.insert(rng.randrange(len(own) + 1), passage)
+        texts.append(" ".join(own))
+    rows = [(None if k % 3 else 7, t) for k, t in enumerate(texts)] + [(8, passage)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    out = anchors.remove_repeats(df, carry=["doc_id", "text"]).collect()
+    assert len(out) == len(rows)
+    # The passage stays in one document and leaves the others; nothing else repeats.
+    whole = [r for r in out if passage in r.text]
+    assert sorted(r.n_removed for r in whole) == [0] + [30] * (len(whole) - 1)
+    assert all(r.n_removed == 0 and r.kept_text == r.text for r in out if passage not in r.text)
+    for r in whole:
+        if r.n_removed:
+            assert r.kept_text.split() == [w for w in r.text.split() if not w.startswith("p")]
