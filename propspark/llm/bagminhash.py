@@ -26,7 +26,7 @@ to a cap, and copies are not expanded into pairs.
 Results for odd input: fewer than ``SHINGLE`` words are one shingle; null and
 empty texts have no shingles and are near nothing, each its own class; a null
 identifier is carried through and is the least only of a class without
-others; repeated rows share their class; an empty table gives an empty result; other columns are untouched.
+others; repeated rows share their class, of which one row is kept; an empty table gives an empty result; other columns are untouched.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from propspark.llm.arrow_text import Words, chunks, mix, window_hash
 from propspark.llm.components import components
-from propspark.llm.tables import find_package, written
+from propspark.llm.tables import find_package, spare_name, written
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -136,7 +136,7 @@ def _elements(key: np.ndarray, count: np.ndarray) -> np.ndarray:
 
 def _sketch_rows(bands: int, rows: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for a, b, data, offsets in chunks(batch.column(1), CHUNK):
+        for a, b, data, offsets in chunks(batch.column(2), CHUNK):
             doc, key, count = multisets(Words(data, offsets))
             n = b - a
             size = np.bincount(doc, count, n).astype(np.int64)
@@ -147,8 +147,8 @@ def _sketch_rows(bands: int, rows: int, batches: Iterator[pa.RecordBatch]) -> It
                 pa.array(np.concatenate([[0], np.cumsum(np.where(have, bands, 0))]).astype(np.int32)),
                 pa.array(hashes[have].reshape(-1).view(np.int64)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).slice(a, n), pa.array(node.view(np.int64), mask=~have), pa.array(size), lists],
-                names=["id", "node", "size", "bands"])
+                [batch.column(0).slice(a, n), batch.column(1).slice(a, n), pa.array(node.view(np.int64), mask=~have), pa.array(size), lists],
+                names=["id", "h", "node", "size", "bands"])
 
 
 def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -164,16 +164,17 @@ def _element_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             yield out.filter(pa.array(node == wanted[a:b]))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                    similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """One row per row of ``df``: doc_id, class_id (least identifier of the
-    class), class_size and kept (one row of the class, the least identifier)."""
+def _classes(df: DataFrame, id_col: str, text_col: str, similarity: float, bands: int, rows: int) -> DataFrame:
+    """A written row per row of ``df``: id, h (hash of the text), class_id,
+    class_size, kept."""
     find_package(df.sparkSession)
-    base = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("t"))
-    sketch = written(base.mapInArrow(lambda it: _sketch_rows(bands, rows, it),
-                                     "id bigint, node bigint, size bigint, bands array<bigint>"), "sketch")
+    base = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("t")).withColumn("h", F.xxhash64("t"))
+    sketch = written(base.select("id", "h", "t").mapInArrow(lambda it: _sketch_rows(bands, rows, it),
+                                                            "id bigint, h bigint, node bigint, size bigint, bands array<bigint>")
+                     .withColumn("row", F.monotonically_increasing_id()), "sketch")
+    # A node's text is found again by identifier and text hash: rows without identifier differ by the latter.
     nodes = written(sketch.filter("node IS NOT NULL").groupBy("node")
-                    .agg(F.min("id").alias("id"), F.max("size").alias("size"), F.first("bands").alias("bands")), "nodes")
+                    .agg(F.min(F.struct("h", "id")).alias("of"), F.max("size").alias("size"), F.first("bands").alias("bands")), "nodes")
 
     # Buckets of at least two nodes.  Their leader is the member that shares
     # most buckets with most nodes: the hub of a group of near copies.
@@ -189,8 +190,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = entries.filter("node != leader").select("leader", "node", "size").distinct()
 
     # The multisets of all nodes that share a bucket.
-    members = entries.select("node").distinct().join(nodes.select("node", "id"), "node")
-    texts = base.join(members, base["id"].eqNullSafe(members["id"])).select("node", "t")
+    members = entries.select("node").distinct().join(nodes.select("node", F.col("of.h").alias("nh"), F.col("of.id").alias("nid")), "node")
+    texts = base.join(members, (base["h"] == members["nh"]) & base["id"].eqNullSafe(members["nid"])).select("node", "t")
     sets = written(texts.mapInArrow(_element_rows, "node bigint, elements array<bigint>")
                    .dropDuplicates(["node"]), "sets")
 
@@ -261,21 +262,43 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .unionByName(rest_links.select("a", "b")))
     final = roots if rest_links.isEmpty() else components(links)
 
-    classed = (sketch.select("id", "node").join(final, "node", "left")
-               .withColumn("class", F.coalesce("root", "node")))
-    classed = written(classed.select("id", "class"), "classed")
+    classed = (sketch.select("id", "h", "row", "node").join(final, "node", "left")
+               .withColumn("class", F.coalesce("root", "node")).select("id", "h", "row", "class"))
+    classed = written(classed, "classed")
+    # One row of a class stays: of the least identifier (none counts as the greatest), the first such row.
     least = (classed.filter("class IS NOT NULL").groupBy("class")
-             .agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size")))
+             .agg(F.min("id").alias("class_id"), F.count(F.lit(1)).alias("class_size"),
+                  F.min(F.struct(F.col("id").isNull(), "id", "row"))["row"].alias("stays")))
     out = classed.join(written(least, "classes"), "class", "left")
     alone = F.col("class").isNull()
-    return out.select(F.col("id").alias("doc_id"), F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
+    return out.select("id", "h", F.when(alone, F.col("id")).otherwise(F.col("class_id")).alias("class_id"),
                       F.when(alone, 1).otherwise(F.col("class_size")).cast("long").alias("class_size"),
-                      (alone | F.col("id").eqNullSafe(F.col("class_id"))).alias("kept"))
+                      (alone | (F.col("row") == F.col("stays"))).alias("kept"))
 
 
-def drop_near(docs: DataFrame, id_col: str = "doc_id", **kwargs) -> DataFrame:
-    """``docs`` without the rows whose identifier is not the least of its
-    class.  Rows are known by identifier; rows without one all stay."""
-    gone = near_duplicates(docs, id_col, **kwargs).filter("NOT kept AND doc_id IS NOT NULL").select(F.col("doc_id").alias("__gone")).distinct()
-    gone = written(gone, "near-gone")
-    return docs.join(gone, docs[f"`{id_col}`"] == gone["__gone"], "left_anti")
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                    similarity: float = SIMILARITY, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """One row per row of ``df``: doc_id, class_id (least identifier of the
+    class), class_size and kept (one row of the class, of the least identifier)."""
+    out = _classes(df, id_col, text_col, similarity, bands, rows)
+    return out.select(F.col("id").alias("doc_id"), "class_id", "class_size", "kept")
+
+
+def drop_near(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY,
+              bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``docs`` without all but one row of each class.  Rows are known by
+    identifier (or none) and text; of rows with both equal one stays."""
+    classed = _classes(docs, id_col, text_col, similarity, bands, rows)
+    by_key = written(classed.groupBy("id", "h").agg(F.count(F.lit(1)).alias("n"), F.count_if(~F.col("kept")).alias("gone")).filter("gone > 0")
+                     .select(F.col("id").alias("__id"), F.col("h").alias("__h"), (F.col("gone") < F.col("n")).alias("__some")), "near-gone")
+    ident, h = F.col(f"`{id_col}`").cast("bigint"), F.xxhash64(f"`{text_col}`")
+    gone = by_key.filter("NOT __some")
+    out = docs.join(gone, ident.eqNullSafe(gone["__id"]) & (h == gone["__h"]), "left_anti")
+    twins = by_key.filter("__some")
+    if twins.isEmpty():
+        return out
+    # Of the rows given more than once and not gone altogether, one each.
+    same = ident.eqNullSafe(twins["__id"]) & (h == twins["__h"])
+    name = spare_name(docs.columns, "__h")
+    once = docs.join(twins, same, "left_semi").withColumn(name, h).dropDuplicates([id_col, name]).drop(name)
+    return out.join(twins, same, "left_anti").unionByName(once)

@@ -80,9 +80,29 @@ def test_odd_rows(spark):
     df = spark.createDataFrame([(None, text), (5, text), (5, text), (None, None)], "doc_id long, text string")
     out = sorted((str(r["doc_id"]), str(r["class_id"]), r["class_size"]) for r in bagminhash.near_duplicates(df).collect())
     assert out == [("5", "5", 3), ("5", "5", 3), ("None", "5", 3), ("None", "None", 1)]
+    assert sum(r["kept"] for r in bagminhash.near_duplicates(df).collect()) == 2
+    assert sorted(map(tuple, bagminhash.drop_near(df).collect()), key=str) == [(5, text), (None, None)]
     assert bagminhash.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_many_rows_without_identifier(spark):
+    """They are told apart by their texts, in time that grows with their number."""
+    rng = random.Random(4)
+    rows = []
+    for k in range(1000):
+        words = [f"w{rng.randrange(4000)}" for _ in range(30)]
+        rows += [(None, " ".join(words)), (None, " ".join(words[:-1] + ["z"])), (k if k % 2 else None, " ".join(words[2:] + [f"u{k}"]))]
+    long = " ".join(f"w{rng.randrange(4000)}" for _ in range(60_000))
+    rows += [(None, long), (None, long + " end"), (-5, "alone here")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = bagminhash.near_duplicates(df).collect()
+    assert len(out) == len(rows) and sum(r["kept"] for r in out) == 1002
+    kept = bagminhash.drop_near(df).collect()
+    assert len(kept) == 1002
+    # Of a class the row with an identifier stays, where there is one.
+    assert {r["doc_id"] for r in kept} == {None, -5, *range(1, 1000, 2)}
+
+
 def test_signature_agreement_is_weighted_jaccard():
     rng = np.random.default_rng(1)
     key = rng.integers(0, 2**63, 300).astype(np.uint64)

@@ -37,7 +37,7 @@ def test_stages_keep_what_they_must(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "benchmark", "labels"):
+    for t in ("documents", "pages", "benchmark", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     res = con.execute(ORACLE[name])
