@@ -104,7 +104,7 @@ def ring_sums(pts: Column, x: str = "x", y: str = "y") -> Column:
     """Shoelace sums of a ring (ARRAY<STRUCT<x,y>> column), relative to the
     first vertex so that metre coordinates near 10^6 keep their precision.
     The ring is closed implicitly (a repeated closing point adds nothing)."""
-    first = F.element_at(pts, 1)
+    first = F.try_element_at(pts, F.lit(1))
     ox, oy = first[x], first[y]
     pairs = F.arrays_zip(pts.alias("a"), _rotated(pts).alias("b"))
     zero = F.struct(F.lit(0.0).alias("a2"), F.lit(0.0).alias("cx"), F.lit(0.0).alias("cy"))
@@ -130,7 +130,8 @@ def ring_centroid_from_sums(sums: Column) -> Column:
 def line_sums(pts: Column, x: str = "x", y: str = "y") -> Column:
     """Length-weighted sums of a polyline column."""
     n = F.size(pts)
-    segs = F.arrays_zip(F.slice(pts, 1, n - 1).alias("a"), F.slice(pts, 2, n - 1).alias("b"))
+    m = F.greatest(n - 1, F.lit(0))
+    segs = F.arrays_zip(F.slice(pts, 1, m).alias("a"), F.slice(pts, 2, m).alias("b"))
     zero = F.struct(F.lit(0.0).alias("L"), F.lit(0.0).alias("sx"), F.lit(0.0).alias("sy"))
 
     def step(acc, s):
@@ -139,7 +140,7 @@ def line_sums(pts: Column, x: str = "x", y: str = "y") -> Column:
         return F.struct((acc["L"] + ln).alias("L"), (acc["sx"] + ln * (x1 + x2) / 2).alias("sx"),
                         (acc["sy"] + ln * (y1 + y2) / 2).alias("sy"))
 
-    first = F.element_at(pts, 1)
+    first = F.try_element_at(pts, F.lit(1))
     return F.struct(F.aggregate(segs, zero, step).alias("s"), first[x].alias("fx"), first[y].alias("fy"))
 
 
@@ -156,7 +157,81 @@ def with_ring_centroid(df, pts: str, out: str, x: str = "x", y: str = "y"):
             .withColumn(out, ring_centroid_from_sums(F.col("_ring_sums"))).drop("_ring_sums"))
 
 
+
+
 def with_line_centroid(df, pts: str, out: str, x: str = "x", y: str = "y"):
     """DataFrame step: ``out`` = centroid of the polyline column ``pts``."""
     return (df.withColumn("_line_sums", line_sums(F.col(pts), x, y))
             .withColumn(out, line_centroid_from_sums(F.col("_line_sums"))).drop("_line_sums"))
+
+
+# Ring validity ----------------------------------------------------------------
+#: Coordinates are compared at this resolution (the map data's own), as whole
+#: numbers: products of two differences of degrees then fit a long.
+_PER_DEGREE = 10_000_000
+#: Consecutive segments whose common box is tested before they are.
+_SEGMENTS = 32
+
+
+def _left_right(a, b, c) -> tuple[Column, Column]:
+    """Two numbers of which the first is greater where ``c`` lies left of the
+    line from ``a`` to ``b``, and less where it lies right."""
+    return (b[0] - a[0]) * (c[1] - a[1]), (b[1] - a[1]) * (c[0] - a[0])
+
+
+def _one_side(a, b, c, d) -> Column:
+    """``c`` and ``d`` lie strictly on one side of the line from ``a`` to ``b``."""
+    (p, q), (r, s) = _left_right(a, b, c), _left_right(a, b, d)
+    return ((p > q) & (r > s)) | ((p < q) & (r < s))
+
+
+def _apart(s: Column, t: Column) -> Column:
+    return (s["hx"] < t["lx"]) | (t["hx"] < s["lx"]) | (s["hy"] < t["ly"]) | (t["hy"] < s["ly"])
+
+
+def _clash(s: Column, t: Column, n: Column) -> Column:
+    """Two segments of a ring of ``n``, ``s`` before ``t``, break its validity:
+    they meet anywhere but at the vertex that neighbours share, or neighbours
+    lie on top of each other (a spike)."""
+    a, b, c, d = (s["x1"], s["y1"]), (s["x2"], s["y2"]), (t["x1"], t["y1"]), (t["x2"], t["y2"])
+    follows, closes = t["i"] == s["i"] + 1, (s["i"] == 0) & (t["i"] == n - 1)
+
+    def spike(p, q, r) -> Column:
+        left, right = _left_right(p, q, r)
+        back = (q[0] - p[0]) * (r[0] - q[0]) + (q[1] - p[1]) * (r[1] - q[1]) < 0
+        return (left == right) & back
+
+    meet = ~_one_side(a, b, c, d) & ~_one_side(c, d, a, b)
+    return F.when(follows, spike(a, b, d)).when(closes, spike(c, d, b)).otherwise(meet)
+
+
+def with_ring_validity(df, coords: str, out: str, only: Column | None = None, lon: str = "lon", lat: str = "lat"):
+    """DataFrame step: ``out`` = the closed ring of ``coords`` (degrees) is
+    valid: at least three distinct vertices, no segment that crosses, touches
+    or overlaps another beyond the vertex that neighbours share.  Repeated
+    consecutive points count once.  NULL where ``only`` does not hold.
+
+    All in whole numbers, so exact.  Segments are compared only where the
+    boxes of their blocks of consecutive segments overlap, and then their own
+    boxes.  Each array is a column of its own, since lambdas share nothing."""
+    grid = F.transform(F.col(coords), lambda p: F.struct(F.round(p[lon] * _PER_DEGREE).cast("long").alias("x"),
+                                                         F.round(p[lat] * _PER_DEGREE).cast("long").alias("y")))
+    df = df.withColumn("_grid", grid if only is None else F.when(only, grid))
+    before = lambda i: F.element_at("_grid", F.when(i == 0, F.size("_grid")).otherwise(i))
+    df = df.withColumn("_ring", F.filter("_grid", lambda p, i: p != before(i)))
+    df = df.withColumn("_seg", F.transform(F.arrays_zip(F.col("_ring").alias("a"), _rotated(F.col("_ring")).alias("b")), lambda z, i: F.struct(
+        i.alias("i"), z["a"]["x"].alias("x1"), z["a"]["y"].alias("y1"), z["b"]["x"].alias("x2"), z["b"]["y"].alias("y2"),
+        F.least(z["a"]["x"], z["b"]["x"]).alias("lx"), F.greatest(z["a"]["x"], z["b"]["x"]).alias("hx"),
+        F.least(z["a"]["y"], z["b"]["y"]).alias("ly"), F.greatest(z["a"]["y"], z["b"]["y"]).alias("hy"))))
+    n = F.size("_seg")
+    blocks = F.transform(F.sequence(F.lit(0), F.floor((n - 1) / _SEGMENTS).cast("int")), lambda k: F.slice("_seg", k * _SEGMENTS + 1, _SEGMENTS))
+    df = df.withColumn("_blocks", F.when(n >= 3, blocks))
+    df = df.withColumn("_boxes", F.transform("_blocks", lambda b: F.struct(
+        b.alias("s"), F.element_at(b, 1)["i"].alias("i"),
+        F.array_min(F.transform(b, lambda t: t["lx"])).alias("lx"), F.array_max(F.transform(b, lambda t: t["hx"])).alias("hx"),
+        F.array_min(F.transform(b, lambda t: t["ly"])).alias("ly"), F.array_max(F.transform(b, lambda t: t["hy"])).alias("hy"))))
+    crossed = F.exists("_boxes", lambda a: F.exists("_boxes", lambda b: (a["i"] <= b["i"]) & ~_apart(a, b) & F.exists(
+        a["s"], lambda s: F.exists(b["s"], lambda t: (s["i"] < t["i"]) & ~_apart(s, t) & _clash(s, t, n)))))
+    valid = F.coalesce(~crossed, F.lit(False))
+    return (df.withColumn(out, valid if only is None else F.when(only, valid))
+            .drop("_grid", "_ring", "_seg", "_blocks", "_boxes"))

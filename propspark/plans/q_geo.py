@@ -129,6 +129,18 @@ DRIVER_TAG_RULES = {
 }
 
 
+# Outer rings of the areas (hundredths of a degree): a square, one that
+# crosses itself, a closed triangle, a square with a spike, one that touches
+# itself in a vertex.
+AREA_SHAPES = [
+    [(0, 0), (1, 0), (1, 1), (0, 1)],
+    [(0, 0), (1, 0), (2, 1), (3, 1)],
+    [(0, 0), (2, 0), (1, 2), (0, 0)],
+    [(0, 0), (1, 0), (1, 1), (3, 1), (1, 1), (0, 1)],
+    [(0, 0), (2, 0), (1, 1), (2, 2), (0, 2), (1, 1)],
+]
+
+
 def _elements(spark, d):
     """part rows as map elements: kind by key, tags from attributes (no
     name tag for every 5th key), coordinates around the key's location."""
@@ -144,10 +156,14 @@ def _elements(spark, d):
         part = base.filter(F.col("p_partkey") % 3 == r)
         lon0 = F.lit(-1.0) + (F.col("p_partkey") * 7919 % 9000).cast("double") / 1000.0
         lat0 = F.lit(43.0) + (F.col("p_partkey") * 104729 % 7000).cast("double") / 1000.0
-        npts = F.col("p_size") % 5 + 1 if kind == "way" else F.lit(1 if kind == "node" else 4)
-        coords = F.transform(F.sequence(F.lit(0), (npts - 1).cast("int")),
-                             lambda i: F.struct((lon0 + i * 0.01).alias("lon"),
-                                                (lat0 + F.when(i >= 2, 0.01).otherwise(0.0)).alias("lat")))
+        npts = F.col("p_size") % 5 + 1 if kind == "way" else F.lit(1)
+        steps = F.transform(F.sequence(F.lit(0), (npts - 1).cast("int")),
+                            lambda i: F.struct(i.alias("dx"), F.when(i >= 2, 1).otherwise(0).alias("dy")))
+        if kind == "area":
+            shapes = F.array(*[F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx, dy in ring])
+                               for ring in AREA_SHAPES])
+            steps = F.element_at(shapes, (F.floor(F.col("p_partkey") / 3) % len(AREA_SHAPES) + 1).cast("int"))
+        coords = F.transform(steps, lambda s: F.struct((lon0 + s["dx"] * 0.01).alias("lon"), (lat0 + s["dy"] * 0.01).alias("lat")))
         frames.append(part.select(F.lit(kind).alias("kind"), "id", "tags", coords.alias("coords")))
     return frames
 
@@ -174,11 +190,52 @@ def poi_tag_match(spark, d):
     return matched.select("category", "kind", "id", name_or_empty("tags").alias("name"))
 
 
-@register("poi_extract")
+_SHAPE_SQL = ", ".join(f"({k}, {i}, {dx}, {dy})" for k, ring in enumerate(AREA_SHAPES) for i, (dx, dy) in enumerate(ring))
+_EX, _EY = lambert93_sql("lon", "lat")
+
+_EXTRACT_SQL = f"""e AS (SELECT p_partkey AS id, p_partkey % 3 AS kind, {lon_sql('p_partkey')} AS lon0, {lat_sql('p_partkey')} AS lat0,
+  p_size % 5 + 1 AS n, (p_partkey // 3) % {len(AREA_SHAPES)} AS shape FROM part),
+o AS (SELECT id, kind, lon0, lat0, i, i AS dx, CASE WHEN i >= 2 THEN 1 ELSE 0 END AS dy
+      FROM (SELECT *, unnest(range(CASE kind WHEN 0 THEN 1 ELSE n END)) AS i FROM e WHERE kind < 2)
+      UNION ALL SELECT id, kind, lon0, lat0, v.i, v.dx, v.dy
+      FROM e JOIN (VALUES {_SHAPE_SQL}) v(shape, i, dx, dy) ON e.shape = v.shape WHERE kind = 2),
+l AS (SELECT id, kind, i, lon0 + dx * 0.01::DOUBLE AS lon, lat0 + dy * 0.01::DOUBLE AS lat FROM o),
+m AS (SELECT id, kind, i, {_EX} AS x, {_EY} AS y, round(lon * 1e7)::BIGINT AS gx, round(lat * 1e7)::BIGINT AS gy FROM l),
+w AS (SELECT *, first_value(x) OVER p AS x0, first_value(y) OVER p AS y0, lead(x) OVER p AS xl, lead(y) OVER p AS yl,
+        coalesce(lead(gx) OVER p, first_value(gx) OVER p) AS gxn, coalesce(lead(gy) OVER p, first_value(gy) OVER p) AS gyn
+      FROM m WINDOW p AS (PARTITION BY id ORDER BY i)),
+s AS (SELECT *, sqrt((xl - x) * (xl - x) + (yl - y) * (yl - y)) AS len,
+        (x - x0) * (coalesce(yl, y0) - y0) - (coalesce(xl, x0) - x0) * (y - y0) AS cr FROM w),
+c AS (SELECT id, kind, count(*) AS n, any_value(x0) AS x0, any_value(y0) AS y0, sum(cr) AS a2,
+        sum(((x - x0) + (coalesce(xl, x0) - x0)) * cr) AS cx, sum(((y - y0) + (coalesce(yl, y0) - y0)) * cr) AS cy,
+        coalesce(sum(len), 0) AS len, sum(len * (x + xl) / 2) AS sx, sum(len * (y + yl) / 2) AS sy FROM s GROUP BY id, kind),
+r AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY i) AS k, count(*) OVER (PARTITION BY id) AS nr
+      FROM w WHERE kind = 2 AND (gx, gy) <> (gxn, gyn)),
+g AS (SELECT a.id, a.k, a.nr, a.gx AS x1, a.gy AS y1, b.gx AS x2, b.gy AS y2 FROM r a JOIN r b ON a.id = b.id AND b.k = a.k % a.nr + 1),
+bad AS (SELECT DISTINCT s.id FROM g s JOIN g t ON s.id = t.id AND s.k < t.k WHERE CASE
+  WHEN t.k = s.k + 1 THEN (s.x2 - s.x1) * (t.y2 - s.y1) = (s.y2 - s.y1) * (t.x2 - s.x1)
+       AND (s.x2 - s.x1) * (t.x2 - t.x1) + (s.y2 - s.y1) * (t.y2 - t.y1) < 0
+  WHEN s.k = 1 AND t.k = s.nr THEN (t.x2 - t.x1) * (s.y2 - t.y1) = (t.y2 - t.y1) * (s.x2 - t.x1)
+       AND (t.x2 - t.x1) * (s.x2 - s.x1) + (t.y2 - t.y1) * (s.y2 - s.y1) < 0
+  ELSE greatest(s.x1, s.x2) >= least(t.x1, t.x2) AND greatest(t.x1, t.x2) >= least(s.x1, s.x2)
+       AND greatest(s.y1, s.y2) >= least(t.y1, t.y2) AND greatest(t.y1, t.y2) >= least(s.y1, s.y2)
+       AND sign((s.x2 - s.x1) * (t.y1 - s.y1) - (s.y2 - s.y1) * (t.x1 - s.x1))
+         * sign((s.x2 - s.x1) * (t.y2 - s.y1) - (s.y2 - s.y1) * (t.x2 - s.x1)) <= 0
+       AND sign((t.x2 - t.x1) * (s.y1 - t.y1) - (t.y2 - t.y1) * (s.x1 - t.x1))
+         * sign((t.x2 - t.x1) * (s.y2 - t.y1) - (t.y2 - t.y1) * (s.x2 - t.x1)) <= 0 END),
+pt AS (SELECT id, CASE WHEN kind = 0 OR n = 1 THEN x0 WHEN abs(a2) <= 1e-9 * len * len OR n = 2 THEN sx / len ELSE x0 + cx / (3 * a2) END AS x,
+         CASE WHEN kind = 0 OR n = 1 THEN y0 WHEN abs(a2) <= 1e-9 * len * len OR n = 2 THEN sy / len ELSE y0 + cy / (3 * a2) END AS y
+       FROM c WHERE kind = 0 OR (kind = 1 AND n >= 2) OR (kind = 2 AND id NOT IN (SELECT id FROM bad))),
+tags AS ({_TAG_SQL})"""
+
+
+@register("poi_extract", with_ctes(_EXTRACT_SQL) + """
+SELECT category, tags.kind, tags.id, name, round(pt.x, 3) AS x_proj, round(pt.y, 3) AS y_proj FROM tags JOIN pt ON pt.id = tags.id""")
 def poi_extract(spark, d):
-    """S10 + P11 + G2 + U2 + F24 end to end (checked against a direct
-    computation in the tests)."""
-    return map_elements.extract_poi(_elements(spark, d), DRIVER_TAG_RULES)
+    """S10 + P11 + G2 + U2 + F24 end to end; the SQL computes centroids and
+    tests every pair of segments of every area."""
+    poi = map_elements.extract_poi(_elements(spark, d), DRIVER_TAG_RULES)
+    return poi.withColumns({c: S.sql_round(c, 3) for c in ("x_proj", "y_proj")})
 
 
 @register("ring_centroid", """

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from propspark.constants import POI_TAG_RULES
 from propspark.functions.geo import (lambert93_x, lambert93_y, line_centroid_from_sums, line_sums,
-                                     ring_centroid_from_sums, ring_sums)
+                                     ring_centroid_from_sums, ring_sums, with_ring_validity)
 from propspark.functions.scalar import name_or_empty
 
 
@@ -48,48 +48,64 @@ def match_categories(df: DataFrame, rules: dict = POI_TAG_RULES, tags: str = "ta
     return df.withColumn("category", F.explode(cats))
 
 
-def _valid_points(coords):
-    ok = F.filter(coords, lambda p: p["lon"].isNotNull() & p["lat"].isNotNull() &
-                  (F.abs(p["lon"]) <= 180) & (F.abs(p["lat"]) <= 90))
-    return F.transform(ok, lambda p: F.struct(lambert93_x(p["lon"], p["lat"]).alias("x"),
-                                              lambert93_y(p["lon"], p["lat"]).alias("y")))
+def _located(p):
+    return (p["lon"].isNotNull() & p["lat"].isNotNull() & (F.abs(p["lon"]) <= 180) & (F.abs(p["lat"]) <= 90))
 
 
-def with_representative_point(df: DataFrame, kind: str = "kind", pts: str = "_pts",
-                              out: str = "pt") -> DataFrame:
-    """G2 on projected valid points (column ``pts``): node -> the point;
-    way -> polygon centroid for >= 3 points (open ways too, as the source
-    does), line centroid for 2 points and for a ring without area (out and
-    back, or straight), none below 2; area -> centroid of the outer ring when
-    it has >= 3 points and an area."""
+def _projected(coords):
+    return F.transform(coords, lambda p: F.struct(lambert93_x(p["lon"], p["lat"]).alias("x"),
+                                                  lambert93_y(p["lon"], p["lat"]).alias("y")))
+
+
+def with_representative_point(df: DataFrame, kind: str = "kind", pts: str = "_pts", out: str = "pt",
+                              closed: str | None = None, valid: str | None = None) -> DataFrame:
+    """G2 on projected points (column ``pts``): node -> the point; way ->
+    polygon centroid for >= 3 points, line centroid for 2 points, for a ring
+    without area (out and back, or straight) and where ``closed`` (a boolean
+    column) says that the way is not to be closed, none below 2; area ->
+    centroid of the outer ring when it has >= 3 points, an area and is
+    ``valid`` (a boolean column)."""
     p = F.col(pts)
     n = F.size(p)
-    first = F.element_at(p, 1)
+    first = F.try_element_at(p, F.lit(1))
     step = (df.withColumn("_ring", ring_sums(p)).withColumn("_line", line_sums(p)))
     k = F.col(kind)
     # Area against the square of the length: rounding leaves flat rings a trace of area.
     length = F.col("_line.s.L")
     flat = F.coalesce(F.abs(F.col("_ring.s.a2")) <= 1e-9 * length * length, F.lit(True))
+    ring = F.lit(True) if closed is None else F.col(closed)
+    whole = F.lit(True) if valid is None else F.col(valid)
     rep = (F.when((k == "node") & (n >= 1), F.struct(first["x"].alias("x"), first["y"].alias("y")))
-           .when((k == "way") & (n >= 3) & ~flat, ring_centroid_from_sums(F.col("_ring")))
+           .when((k == "way") & (n >= 3) & ~flat & ring, ring_centroid_from_sums(F.col("_ring")))
            .when((k == "way") & (n >= 2), line_centroid_from_sums(F.col("_line")))
-           .when((k == "area") & (n >= 3) & ~flat, ring_centroid_from_sums(F.col("_ring"))))
+           .when((k == "area") & (n >= 3) & ~flat & whole, ring_centroid_from_sums(F.col("_ring"))))
     return step.withColumn(out, rep).drop("_ring", "_line")
 
 
-def extract_poi(elements, rules: dict = POI_TAG_RULES) -> DataFrame:
+def extract_poi(elements, rules: dict = POI_TAG_RULES, close_open_ways: bool = True) -> DataFrame:
     """S10 + P11 + G2 + F24: elements -> (category, kind, id, name, x_proj, y_proj).
 
     Elements are first reduced to those matching any rule, then each gets
-    its representative point once (projected valid coordinates and centroid
-    sums are materialised as columns so no array is re-projected), and only
-    then is it exploded to one row per category.  Elements without a
-    representative point (too few valid coordinates, an area that is flat)
-    are dropped."""
+    its representative point once (projected coordinates, validity and
+    centroid sums are materialised as columns so no array is re-projected),
+    and only then is it exploded to one row per category.
+
+    Ways lose coordinates without location; with fewer than two left they are
+    dropped.  A way of three points or more counts as a polygon even if it is
+    open, unless ``close_open_ways`` is false: then an open way gives the
+    centroid of its line.  Areas are dropped when a coordinate has no
+    location, when the outer ring crosses or touches itself, has a spike, or
+    is flat."""
     df = union_elements(elements) if isinstance(elements, (list, tuple)) else elements
     any_rule = reduce(lambda a, b: a | b, [rule_condition(F.col("tags"), r) for r in rules.values()])
-    pts = df.filter(any_rule).withColumn("_pts", _valid_points(F.col("coords")))
-    pts = with_representative_point(pts)
+    known = F.filter("coords", _located)
+    pts = df.filter(any_rule).withColumn("_known", known).withColumn("_pts", _projected(F.col("_known")))
+    area = F.col("kind") == "area"
+    pts = with_ring_validity(pts, "_known", "_simple", only=area)
+    pts = pts.withColumn("_valid", F.col("_simple") & (F.size("_known") == F.size("coords")))
+    ends = F.try_element_at("_known", F.lit(1)) == F.try_element_at("_known", F.lit(-1))
+    pts = pts.withColumn("_closed", F.lit(True) if close_open_ways else ends)
+    pts = with_representative_point(pts, closed="_closed", valid="_valid")
     # The NULL test rides inside the explode: as a Filter it would be pushed
     # below the projection with the whole centroid expression substituted.
     matched = match_categories(pts, rules, keep=F.col("pt").isNotNull())

@@ -206,3 +206,75 @@ def test_flat_ways_keep_their_line_centroid(spark):
     df = spark.createDataFrame(rows, "kind string, id long, tags map<string,string>, "
                                      "coords array<struct<lon:double,lat:double>>")
     assert sorted(r.id for r in extract_poi(df).collect()) == [1, 2]
+
+
+def _valid_ring(ring):
+    """Every pair of segments, by exact integers."""
+    n0 = len(ring)
+    pts = [p for k, p in enumerate(ring) if p != ring[k - 1 if k else n0 - 1]]
+    n = len(pts)
+    if n < 3:
+        return False
+    seg = [(pts[k], pts[(k + 1) % n]) for k in range(n)]
+
+    def side(a, b, c):
+        v = (b[0] - a[0]) * (c[1] - a[1]) - (b[1] - a[1]) * (c[0] - a[0])
+        return (v > 0) - (v < 0)
+
+    def within(a, b, p):
+        return min(a[0], b[0]) <= p[0] <= max(a[0], b[0]) and min(a[1], b[1]) <= p[1] <= max(a[1], b[1])
+
+    for i in range(n):
+        for j in range(i + 1, n):
+            (a, b), (c, d) = seg[i], seg[j]
+            if j == i + 1 or (i == 0 and j == n - 1):
+                p, q, r = (a, b, d) if j == i + 1 else (c, d, b)
+                # On one line and the outer ends on the same side of the shared vertex.
+                if side(p, q, r) == 0 and (q[0] - p[0]) * (r[0] - q[0]) + (q[1] - p[1]) * (r[1] - q[1]) < 0:
+                    return False
+                continue
+            s = side(a, b, c), side(a, b, d), side(c, d, a), side(c, d, b)
+            if s[0] * s[1] < 0 and s[2] * s[3] < 0:
+                return False
+            if any(o == 0 and within(x, y, p) for o, (x, y, p) in zip(s, ((a, b, c), (a, b, d), (c, d, a), (c, d, b)))):
+                return False
+    return True
+
+
+def test_ring_validity_equals_all_segment_pairs(spark):
+    from propspark.functions.geo import with_ring_validity
+    rnd = random.Random(41)
+    rings = [[(0, 0), (1, 0), (1, 1), (0, 1)], [(0, 0), (1, 0), (1, 1), (0, 1), (0, 0)], [(0, 0), (1, 1), (1, 0), (0, 1)], [], [(2, 2)],
+             [(0, 0), (1, 1)], [(0, 0), (1, 1), (0, 0)], [(3, 3)] * 5, [(0, 0), (2, 0), (1, 0), (1, 1)], [(0, 0), (4, 0), (4, 4), (2, 0), (0, 4)]]
+    for _ in range(400):
+        rings.append([(rnd.randrange(6), rnd.randrange(6)) for _ in range(rnd.randrange(3, 8))])
+    for n in (40, 70, 200, 700):  # star-shaped rings are valid until a vertex is moved
+        for moved in (False, True):
+            ring = [(round(10**6 * (1 + 0.3 * rnd.random()) * math.cos(2 * math.pi * k / n)),
+                     round(10**6 * (1 + 0.3 * rnd.random()) * math.sin(2 * math.pi * k / n))) for k in range(n)]
+            if moved:
+                ring[n // 3] = (-ring[n // 3][0], -ring[n // 3][1])
+            rings.append(ring)
+    rows = [(k, [(x / 1e7 + 1.5, y / 1e7 + 43.0) for x, y in ring]) for k, ring in enumerate(rings)]
+    df = spark.createDataFrame(rows, "id long, coords array<struct<lon:double,lat:double>>").repartition(4)
+    got = {r.id: r.ok for r in with_ring_validity(df, "coords", "ok").collect()}
+    want = {k: _valid_ring(ring) for k, ring in enumerate(rings)}
+    assert got == want and 20 < sum(want.values()) < 300
+
+
+def test_invalid_areas_leave_and_open_ways_may_stay_lines(spark):
+    pts = lambda *xy: [{"lon": x and 2 + x / 100, "lat": 48 + y / 100} for x, y in xy]
+    park, road = {"leisure": "park"}, {"highway": "motorway"}
+    rows = [("area", 1, park, pts((1, 1), (2, 1), (2, 2), (1, 2))), ("area", 2, park, pts((1, 1), (2, 2), (2, 1), (1, 2))),
+            ("area", 3, park, pts((1, 1), (3, 1), (2, 2), (3, 3), (1, 3), (2, 2))), ("area", 4, park, pts((1, 1), (2, 1), (2, 2), (5, 2), (2, 2), (1, 2))),
+            ("area", 5, park, pts((1, 1), (2, 1), (2, 2), (1, 2), (None, 2))), ("area", 6, park, pts((1, 1), (2, 1))),
+            ("way", 7, road, pts((1, 1), (3, 1), (3, 2))), ("way", 8, road, pts((1, 1), (3, 1), (3, 2), (1, 1))),
+            ("way", 9, road, pts((1, 1), (2, 2), (2, 1), (1, 2))), ("way", 10, road, []), ("way", 11, road, None)]
+    df = spark.createDataFrame(rows, "kind string, id long, tags map<string,string>, coords array<struct<lon:double,lat:double>>")
+    closed = {r.id: (r.x_proj, r.y_proj) for r in map_elements.extract_poi(df).collect()}
+    opened = {r.id: (r.x_proj, r.y_proj) for r in map_elements.extract_poi(df, close_open_ways=False).collect()}
+    assert sorted(closed) == sorted(opened) == [1, 7, 8, 9]
+    assert closed[1] == opened[1] and closed[8] == opened[8] == closed[7]
+    # The line's centroid lies nearer to the long leg's middle than the triangle's.
+    a, b = (spatial.project(spark.createDataFrame([(2.02, 48.01)], "longitude double, latitude double")).first()[c] for c in ("x_proj", "y_proj"))
+    assert math.dist(opened[7], (a, b)) < math.dist(closed[7], (a, b)) * 1.5 and opened[7] != closed[7]
