@@ -162,10 +162,28 @@ def label_if(cond: Column, yes: str, no: str) -> Column:
 
 # F17 ------------------------------------------------------------------------
 def truthy_int(c) -> Column:
-    """Truthiness as 0/1: BOOLEAN NULL/false -> 0; text: empty/NULL -> 0."""
+    """Truthiness of a boolean, number or text column as 0/1: false, 0, empty
+    text and NULL -> 0, anything else -> 1 (so the texts "0" and "false" -> 1).
+    A field whose JSON type varies needs ``truthy_variant``."""
     c = _c(c)
-    return F.when(c.cast("string").isin("true", "false"), c.cast("string") == "true").otherwise(
-        F.coalesce(F.length(c.cast("string")) > 0, F.lit(False))).cast("int")
+    text, kind = c.cast("string"), F.typeof(c)
+    yes = (F.when(kind == "string", F.length(text) > 0)
+           .when(kind == "boolean", text == "true")
+           .otherwise(F.coalesce(text.try_cast("double") != 0, text.isNotNull())))
+    return F.coalesce(yes, F.lit(False)).cast("int")
+
+
+def truthy_variant(v) -> Column:
+    """Truthiness of a VARIANT column (a JSON value with its type) as 0/1:
+    missing, null, false, 0, "", [] and {} -> 0, anything else -> 1."""
+    v = _c(v)
+    kind = F.schema_of_variant(v)
+    yes = (F.when(kind == "BOOLEAN", F.try_variant_get(v, "$", "boolean"))
+           .when(kind == "STRING", F.length(F.try_variant_get(v, "$", "string")) > 0)
+           .when(kind.startswith("ARRAY") | kind.startswith("OBJECT"), ~F.to_json(v).isin("[]", "{}"))
+           .when(kind == "VOID", False)
+           .otherwise(F.try_variant_get(v, "$", "double") != 0))
+    return F.coalesce(yes, F.lit(False)).cast("int")
 
 
 # F18 F20 --------------------------------------------------------------------

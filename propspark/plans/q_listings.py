@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from propspark.constants import ENERGY_EXCLUDED, LIFT_LABELS
+from propspark.constants import ENERGY_EXCLUDED, LIFT_LABELS, LISTING_PAYLOAD_KEYS
 from propspark.functions import scalar as S
 from propspark.operators import listings as L
 from propspark.plans import views
 from propspark.plans.bindings import ANNONCES_SQL, DIAGNOSTICS_SQL, annonces, diagnostics, table
 from propspark.plans.registry import register, with_ctes
-from propspark.sources.listings import payload_to_listing, type_listing
+from propspark.sources.listings import LISTING_SCHEMA, cast_listing, payload_to_listing, type_listing
 
 _EXCL = ", ".join(f"'{x}'" for x in ENERGY_EXCLUDED)
 
@@ -97,39 +97,83 @@ def monthly_listings(spark, d):
 
 
 # ------------------------------------------------------------- raw payloads
+# JSON values of a lift flag, by key, and what they count as.
+LIFT_VALUES = [("0", 0), ('"0"', 1), ("false", 0), ('"false"', 1), ('""', 0), ("null", 0), ("true", 1), ("1", 1), ("0.0", 0), ("0.5", 1),
+               ("-1", 1), ('"oui"', 1), ("[]", 0), ("[0]", 1), ("{}", 0), ('{"a": 0}', 1), (None, 0), ('" "', 1)]
+
+
+def _lift_json(key: str):
+    """The flag's JSON text by key; NULL where the field is missing."""
+    return F.element_at(F.array(*[F.lit(v) for v, _ in LIFT_VALUES]), (F.col(key) % len(LIFT_VALUES) + 1).cast("int"))
+
+
+_LIFT_SQL = f"[{', '.join(str(n) for _, n in LIFT_VALUES)}][event_id % {len(LIFT_VALUES)} + 1]::INTEGER"
+
+
+@register("lift_truthiness", f"SELECT event_id, {_LIFT_SQL} AS ascenseur FROM events")
+def lift_truthiness(spark, d):
+    """F17 on listing records read from JSON, one for each kind of value."""
+    lift = _lift_json("event_id")
+    record = F.concat(F.lit('{"id": "x"'), F.coalesce(F.concat(F.lit(', "ascenseur": '), lift), F.lit("")), F.lit("}"))
+    read = F.from_json(record, LISTING_SCHEMA)
+    typed = type_listing(table(spark, d, "events").select("event_id", read.alias("r")).select("event_id", "r.*"))
+    return typed.select("event_id", "ascenseur")
+
+
 def _payloads(spark, d):
     """events -> raw agency payload JSON objects (Bien_* keys, adviser
     fields that must not survive, two image keys, one sometimes empty)."""
     e = table(spark, d, "events")
+    k, u = F.col("event_id"), F.col("user_id")
     cents = (F.round(F.col("value") * 100)).cast("long")
+
+    def letter(c):
+        return F.when(c % 9 == 8, F.lit(None)).otherwise(F.substring(F.lit("ABCDEFG"), (c % 7 + 1).cast("int"), F.lit(1)))
+
+    fields = {
+        "id": k.cast("string"), "date_publication": F.date_format("ts", "yyyy-MM-dd"), "type": F.col("event_type"),
+        "titre": F.concat(F.lit('Maison "'), u.cast("string"), F.lit('" à louer')), "prix": cents, "surface": u % 40 + 10,
+        "pieces": k % 7, "chambres": F.when(k % 4 == 0, F.lit(None)).otherwise(k % 5), "etage": k % 12 - 1,
+        "ville": F.concat(F.lit("Town"), (u % 10).cast("string")), "code_postal": F.lpad((u % 99999).cast("string"), 5, "0"),
+        "latitude": 43 + (u % 700).cast("double") / 100, "longitude": -1 + (u % 900).cast("double") / 100,
+        "etat": F.concat(F.lit("Etat"), (k % 3).cast("string")), "salle_de_bain": (k % 3).cast("string"),
+        "chauffage_type": F.concat(F.lit("Gaz"), (k % 2).cast("string")), "chauffe_eau": F.lit("Ballon"),
+        "exposition": F.when(k % 2 == 0, F.lit("Sud")), "dpe_valeur": k % 400, "dpe_lettre": letter(k), "ges_valeur": u % 90,
+        "ges_lettre": letter(u), "charges_annuelles": F.when(k % 3 == 0, F.lit("")).otherwise((k % 2000).cast("string")),
+        "description": F.concat(F.lit("ligne\n"), k.cast("string")), "image_principale": F.concat(F.lit("img/"), k.cast("string"), F.lit("/p")),
+    }
     payload = F.to_json(F.struct(
-        F.col("event_id").cast("string").alias("Bien_Reference"),
-        F.date_format("ts", "yyyy-MM-dd").alias("Bien_Date"),
-        F.col("event_type").alias("Bien_Type"),
-        cents.alias("Bien_Prix"),
-        (F.col("user_id") % 40 + 10).alias("Bien_Surface"),
-        F.concat(F.lit("Town"), (F.col("user_id") % 10).cast("string")).alias("Bien_Ville"),
+        *[c.alias(LISTING_PAYLOAD_KEYS[name]) for name, c in fields.items()],
+        F.struct((cents % 1000).alias("value")).alias(LISTING_PAYLOAD_KEYS["honoraires"]),
         F.lit("Jane Doe").alias("Bien_Conseiller_Nom"),
         F.lit("jane@example.org").alias("Bien_Conseiller_Email"),
-        F.concat(F.lit("img/"), F.col("event_id").cast("string"), F.lit("/0")).alias("Image_0"),
-        F.when(F.col("event_id") % 3 == 0, F.lit(""))
-         .otherwise(F.concat(F.lit("img/"), F.col("event_id").cast("string"), F.lit("/1"))).alias("Image_1")))
-    return e.select("event_id", payload.alias("payload"))
+        F.concat(F.lit("img/"), k.cast("string"), F.lit("/0")).alias("Image_0"),
+        F.when(k % 3 == 0, F.lit("")).otherwise(F.concat(F.lit("img/"), k.cast("string"), F.lit("/1"))).alias("Image_1")))
+    lift = F.coalesce(F.concat(F.lit(f', "{LISTING_PAYLOAD_KEYS["ascenseur"]}": '), _lift_json("event_id")), F.lit(""))
+    return e.select("event_id", F.concat(F.substring(payload, F.lit(1), F.length(payload) - 1), lift, F.lit("}")).alias("payload"))
 
 
-@register("payload_listing", """
+@register("payload_listing", f"""
 SELECT CAST(event_id AS VARCHAR) AS id, 'https://listings.example/bien?id=' || CAST(event_id AS VARCHAR) AS url,
-       strftime(ts, '%Y-%m-%d') AS date_publication, event_type AS type,
-       CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) AS prix,
-       CAST(user_id % 40 + 10 AS DOUBLE) AS surface,
-       'Town' || CAST(user_id % 10 AS VARCHAR) AS ville,
-       CASE WHEN event_id % 3 = 0 THEN 1 ELSE 2 END AS n_images
+       strftime(ts, '%Y-%m-%d') AS date_publication, event_type AS type, 'Maison "' || user_id || '" à louer' AS titre,
+       CAST(CAST(round(value * 100) AS BIGINT) AS DOUBLE) AS prix, CAST(CAST(round(value * 100) AS BIGINT) % 1000 AS DOUBLE) AS honoraires,
+       CAST(user_id % 40 + 10 AS DOUBLE) AS surface, CAST(event_id % 7 AS BIGINT) AS pieces,
+       CASE WHEN event_id % 4 = 0 THEN NULL ELSE CAST(event_id % 5 AS BIGINT) END AS chambres, CAST(event_id % 12 - 1 AS BIGINT) AS etage,
+       {_LIFT_SQL} AS ascenseur, 'Town' || CAST(user_id % 10 AS VARCHAR) AS ville, lpad(CAST(user_id % 99999 AS VARCHAR), 5, '0') AS code_postal,
+       43 + CAST(user_id % 700 AS DOUBLE) / 100 AS latitude, -1 + CAST(user_id % 900 AS DOUBLE) / 100 AS longitude,
+       'Etat' || (event_id % 3) AS etat, CAST(event_id % 3 AS BIGINT) AS salle_de_bain, 'Gaz' || (event_id % 2) AS chauffage_type,
+       'Ballon' AS chauffe_eau, CASE WHEN event_id % 2 = 0 THEN 'Sud' END AS exposition, CAST(event_id % 400 AS DOUBLE) AS dpe_valeur,
+       CASE WHEN event_id % 9 <> 8 THEN substr('ABCDEFG', CAST(event_id % 7 + 1 AS BIGINT), 1) END AS dpe_lettre,
+       CAST(user_id % 90 AS DOUBLE) AS ges_valeur,
+       CASE WHEN user_id % 9 <> 8 THEN substr('ABCDEFG', CAST(user_id % 7 + 1 AS BIGINT), 1) END AS ges_lettre,
+       CASE WHEN event_id % 3 = 0 THEN NULL ELSE CAST(event_id % 2000 AS DOUBLE) END AS charges_annuelles,
+       'ligne' || chr(10) || event_id AS description, 'img/' || event_id || '/p' AS image_principale,
+       'img/' || event_id || '/0' || CASE WHEN event_id % 3 = 0 THEN '' ELSE '|img/' || event_id || '/1' END AS image_urls
 FROM events""")
 def payload_listing(spark, d):
-    rec = payload_to_listing(_payloads(spark, d))
-    return rec.select("id", "url", "date_publication", "type",
-                      S.tolerant_float("prix").alias("prix"), S.tolerant_float("surface").alias("surface"),
-                      "ville", F.size("image_urls").alias("n_images"))
+    """S8 + P15 + F17-F19: all 29 columns of the record."""
+    rec = cast_listing(type_listing(payload_to_listing(_payloads(spark, d))))
+    return rec.select(*[f.name for f in LISTING_SCHEMA if f.name != "image_urls"], F.array_join("image_urls", "|").alias("image_urls"))
 
 
 def _poly_events(spark, d):

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from propspark.constants import (LISTING_IMAGE_KEYS, LISTING_PAYLOAD_KEYS, LISTING_PII_KEYS,
                                  LISTING_URL_FORMAT)
 from propspark.functions.scalar import (polymorphic_price, polymorphic_value, tolerant_float,
-                                        truthy_int)
+                                        truthy_int, truthy_variant)
 
 LISTING_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()), T.StructField("url", T.StringType()),
@@ -23,7 +23,7 @@ LISTING_SCHEMA = T.StructType([
     T.StructField("prix", T.StringType()), T.StructField("honoraires", T.StringType()),
     T.StructField("surface", T.DoubleType()), T.StructField("pieces", T.LongType()),
     T.StructField("chambres", T.LongType()), T.StructField("etage", T.LongType()),
-    T.StructField("ascenseur", T.StringType()), T.StructField("ville", T.StringType()),
+    T.StructField("ascenseur", T.VariantType()), T.StructField("ville", T.StringType()),
     T.StructField("code_postal", T.StringType()), T.StructField("latitude", T.DoubleType()),
     T.StructField("longitude", T.DoubleType()), T.StructField("etat", T.StringType()),
     T.StructField("salle_de_bain", T.LongType()), T.StructField("chauffage_type", T.StringType()),
@@ -51,21 +51,31 @@ def read_listings(spark: SparkSession, path, multiline: bool = True) -> DataFram
 
 def type_listing(df: DataFrame) -> DataFrame:
     """Typed price, fees, lift flag and annual charges.  ``prix`` and
-    ``honoraires`` hold the raw JSON text of a number or an object."""
+    ``honoraires`` hold the raw JSON text of a number or an object,
+    ``ascenseur`` a JSON value with its type (or a plain column)."""
+    varies = isinstance(df.schema["ascenseur"].dataType, T.VariantType)
     return df.withColumns({
         "prix": polymorphic_price("prix"),
         "honoraires": polymorphic_value("honoraires"),
-        "ascenseur": truthy_int("ascenseur"),
+        "ascenseur": (truthy_variant if varies else truthy_int)("ascenseur"),
         "charges_annuelles": tolerant_float("charges_annuelles"),
     })
 
 
+def cast_listing(df: DataFrame) -> DataFrame:
+    """Text fields of a listing record as the numbers of ``LISTING_SCHEMA``;
+    what does not parse is NULL."""
+    numbers = {f.name: f.dataType.simpleString() for f in LISTING_SCHEMA if isinstance(f.dataType, T.NumericType)}
+    return df.withColumns({c: F.col(c).try_cast(t) for c, t in numbers.items() if c in df.columns})
+
+
 def payload_schema(image_keys=LISTING_IMAGE_KEYS) -> T.StructType:
     """Every payload key we select, as STRING: nested objects (a polymorphic
-    price) arrive as their JSON text.  Personal-data keys are not in the
-    schema, so they are never even parsed into a column."""
+    price) arrive as their JSON text.  The lift flag keeps its JSON type.
+    Personal-data keys are not in the schema, so they are never even parsed
+    into a column."""
     keys = list(LISTING_PAYLOAD_KEYS.values()) + list(image_keys)
-    return T.StructType([T.StructField(k, T.StringType()) for k in keys])
+    return T.StructType([T.StructField(k, T.VariantType() if k == LISTING_PAYLOAD_KEYS["ascenseur"] else T.StringType()) for k in keys])
 
 
 def payload_to_listing(raw_json: DataFrame, json_col: str = "payload",

@@ -102,7 +102,8 @@ def test_rate_band_null_falls_in_last_band(spark):
 
 def test_truthy_int(spark):
     assert col_values(spark, S.truthy_int("v"), [True, False, None], "v boolean") == [1, 0, 0]
-    assert col_values(spark, S.truthy_int("v"), ["oui", "", None]) == [1, 0, 0]
+    assert col_values(spark, S.truthy_int("v"), ["oui", "", None, "0", "false"]) == [1, 0, 0, 1, 1]
+    assert col_values(spark, S.truthy_int("v"), [0.0, 2.5, None], "v double") == [0, 1, 0]
 
 
 def test_tolerant_float(spark):

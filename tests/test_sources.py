@@ -99,6 +99,19 @@ def test_read_listings_json_array_and_types(spark, tmp_dir):
     assert [r.charges_annuelles for r in df] == [1200.0, None, None]
 
 
+def test_lift_flag_keeps_its_json_type(spark, tmp_dir):
+    """number, text, boolean and null forms, from a file and a payload."""
+    values = [0, "0", False, "false", "", None, 1, "oui", True, 0.0, -0.5, [], [0], {}, {"value": 0}]
+    p = os.path.join(tmp_dir, "lifts.json")
+    _write(p, json.dumps([{"id": str(k), "ascenseur": v} for k, v in enumerate(values)] + [{"id": "missing"}]))
+    want = {str(k): int(bool(v)) for k, v in enumerate(values)} | {"missing": 0}
+    assert {r.id: r.ascenseur for r in listings.type_listing(listings.read_listings(spark, p)).collect()} == want
+    rows = [(json.dumps({"Bien_Reference": str(k), "Bien_Ascenseur": v}),) for k, v in enumerate(values)]
+    rows.append((json.dumps({"Bien_Reference": "missing"}),))
+    records = listings.payload_to_listing(spark.createDataFrame(rows, "payload string"))
+    assert {r.id: r.ascenseur for r in listings.type_listing(records).collect()} == want
+
+
 def test_payload_to_listing_drops_personal_data(spark):
     payload = {"Bien_Reference": "R1", "Bien_Prix": {"value": 100}, "Bien_Conseiller_Nom": "X",
                "Bien_Conseiller_Email": "x@y", "Image_0": "i0", "Image_1": "", "Bien_Image_1": "main"}
