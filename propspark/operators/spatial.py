@@ -25,6 +25,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -163,21 +165,162 @@ def same_name_edges(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
     return a.join(b, cond, "inner").select(F.col("a.o").alias("a"), F.col("b.o").alias("b"))
 
 
+#: Cells along a side of the blocks in which neighbouring cells are linked.
+LINK_BLOCK = 256
+#: A group of linked cells with more points is settled in rounds.
+FOLD_POINTS = 100_000
+#: Points that a task of the fold holds, about.
+FOLD_BUCKET_POINTS = 200_000
+_REACH = 2
+
+
+def _roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Least member of the component of each of ``n`` nodes with links a-b."""
+    root = np.arange(n)
+    while True:
+        low, high = np.minimum(root[a], root[b]), np.maximum(root[a], root[b])
+        open_ = low != high
+        if not open_.any():
+            return root
+        np.minimum.at(root, high[open_], low[open_])
+        while (root[root] != root).any():
+            root = root[root]
+
+
+def _link_block(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Cells of one block (fx, fy, comp): which components its neighbouring
+    cells join, as (comp, root)."""
+    label, comp = np.unique(pdf["comp"].to_numpy(), return_inverse=True)
+    fx, fy = pdf["fx"].to_numpy() - pdf["fx"].min(), pdf["fy"].to_numpy() - pdf["fy"].min()
+    width = int(fy.max()) + 2 * _REACH + 1
+    key = fx * width + fy
+    order = np.argsort(key)
+    key, comp = key[order], comp[order]
+    links = []
+    for dx in range(_REACH + 1):
+        for dy in range(-_REACH, _REACH + 1):
+            if dx or dy > 0:
+                at = np.minimum(np.searchsorted(key, key + dx * width + dy), len(key) - 1)
+                hit = key[at] == key + dx * width + dy
+                links.append((comp[hit], comp[at[hit]]))
+    root = _roots(len(label), *(np.concatenate(x) for x in zip(*links)))
+    moved = np.flatnonzero(root != np.arange(len(label)))
+    return pd.DataFrame({"comp": label[moved], "root": label[root[moved]]})
+
+
+def linked_cells(cells: DataFrame, keys: list[str]) -> DataFrame:
+    """``cells`` (keys, fx, fy, ...) with ``comp``, the number of the group of
+    cells that are linked by steps of at most two cells either way.
+
+    Cells are linked block by block, then the blocks' border cells in blocks
+    ``LINK_BLOCK`` times as wide, until one block covers the extent: the
+    number of passes follows the extent's logarithm (two for a country in
+    cells of 18 m), not the length of a chain of cells."""
+    spark = cells.sparkSession
+    ends = cells.agg(*[fn(c).alias(f"{c}_{fn.__name__}") for c in ("fx", "fy") for fn in (F.min, F.max)]).first()
+    out = cells.withColumn("comp", F.xxhash64(*keys, "fx", "fy"))
+    if ends["fx_min"] is None:
+        return out
+    extent = max(ends["fx_max"] - ends["fx_min"], ends["fy_max"] - ends["fy_min"]) + 1
+    x, y = F.col("fx") - F.lit(ends["fx_min"]), F.col("fy") - F.lit(ends["fy_min"])
+    types = dict(cells.dtypes)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["comp bigint", "root bigint"])
+    span = 1
+    while span < extent:
+        inner, span = span, span * LINK_BLOCK
+        part = out.select(*keys, "fx", "fy", "comp", F.floor(x / span).alias("bx"), F.floor(y / span).alias("by"))
+        if inner > 1:  # only cells at the border of the blocks before can link them
+            part = part.filter((F.pmod(x, F.lit(inner)) < _REACH) | (F.pmod(x, F.lit(inner)) >= inner - _REACH) |
+                               (F.pmod(y, F.lit(inner)) < _REACH) | (F.pmod(y, F.lit(inner)) >= inner - _REACH))
+
+        def link(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+            moved = _link_block(pdf)
+            for i, k in enumerate(keys):
+                moved.insert(i, k, pd.Series([key[i]] * len(moved), dtype=object))
+            return moved
+
+        # A block with one cell has nothing to link: it never reaches Python.
+        busy = part.groupBy(*keys, "bx", "by").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").drop("n")
+        moved = reliable_checkpoint(part.join(busy, [*keys, "bx", "by"], "left_semi")
+                                    .groupBy(*keys, "bx", "by").applyInPandas(link, schema))
+        out = out.join(moved, [*keys, "comp"], "left").withColumn("comp", F.coalesce("root", "comp")).drop("root")
+    return out
+
+
+def _fold(threshold: float, pdf: pd.DataFrame) -> pd.DataFrame:
+    """Points of whole groups of cells, scanned in order: a cell holds one
+    kept point at most, so 25 cells are looked at for each point."""
+    near = [(dx, dy) for dx in range(-_REACH, _REACH + 1) for dy in range(-_REACH, _REACH + 1)]
+    kept: dict[tuple, tuple] = {}
+    keep = []
+    pdf = pdf.sort_values("o", kind="stable")
+    for comp, fx, fy, px, py in zip(*(pdf[c].tolist() for c in ("comp", "fx", "fy", "px", "py"))):
+        for dx, dy in near:
+            k = kept.get((comp, fx + dx, fy + dy))
+            if k is not None and math.sqrt((k[0] - px) * (k[0] - px) + (k[1] - py) * (k[1] - py)) <= threshold:
+                keep.append(False)
+                break
+        else:
+            kept[comp, fx, fy] = px, py
+            keep.append(True)
+    return pdf[keep].astype({c: object for c in pdf.columns if not isinstance(pdf[c].dtype, np.dtype)})
+
+
 def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
                  name: str = "name", order: str = "ord",
                  x: str = "x_proj", y: str = "y_proj", max_rounds: int | None = None,
-                 small_cell: int = 8, group_cols: list[str] | None = None) -> DataFrame:
+                 small_cell: int = 8, group_cols: list[str] | None = None,
+                 fold_points: int = FOLD_POINTS) -> DataFrame:
     """Same result as scanning POIs in ``order`` and keeping a POI unless
     an already kept POI of the same name lies within ``threshold``
     (inclusive); equivalently a POI is kept iff none of its earlier
     same-name neighbours is kept.  ``order`` must be unique.
 
-    No pair list is built, so a dense heap of near-identical POIs costs
-    linear work per round:
+    POIs are keyed by (name, fine cell) with cell side ``threshold/sqrt(2)``:
+    two POIs of one cell are always within the threshold, and conflicts reach
+    two cells at most.  Cells of a name that are linked by such steps form
+    groups (``linked_cells``), which do not concern each other:
+
+    * a group of one cell keeps its earliest POI: an aggregation;
+    * a group of at most ``fold_points`` POIs is scanned in order in one task;
+    * only the POIs of larger groups go through rounds (``_in_rounds``), at
+      most ``max_rounds`` if given.
+
+    ``group_cols`` (e.g. the POI category) run independent dedups per
+    group: POIs of different groups never suppress each other.
+    """
+    keys = [*(group_cols or []), "nm"]
+    side = threshold / math.sqrt(2.0) * (1.0 - 1e-9)
+    cell = [*keys, "fx", "fy"]
+    points = reliable_checkpoint(poi.select(
+        *(group_cols or []), F.col(name).alias("nm"), F.col(order).alias("o"), F.col(x).alias("px"), F.col(y).alias("py"),
+        F.floor(F.col(x) / side).alias("fx"), F.floor(F.col(y) / side).alias("fy")))
+    cells = reliable_checkpoint(points.groupBy(*cell).agg(F.count(F.lit(1)).alias("n"), F.min("o").alias("first")))
+    linked = linked_cells(cells, keys)
+    groups = linked.groupBy("comp").agg(F.sum("n").alias("points"), F.count(F.lit(1)).alias("cells"))
+    linked = reliable_checkpoint(linked.join(groups, "comp"))
+    kept = linked.filter("cells = 1").select(*(group_cols or []), F.col("first").alias(order))
+    left = linked.filter("cells > 1")
+    sizes = left.agg(F.sum(F.when(F.col("points") <= fold_points, F.col("n"))).alias("fold"),
+                     F.sum(F.when(F.col("points") > fold_points, F.col("n"))).alias("rest")).first()
+    shape = points.withColumn("comp", F.lit(0).cast("bigint"))
+    if sizes["fold"]:
+        buckets = -(-sizes["fold"] // FOLD_BUCKET_POINTS)
+        some = left.filter(F.col("points") <= fold_points).select(*cell, "comp")
+        fields = ", ".join(f"`{c}` {t}" for c, t in shape.dtypes)
+        folded = (points.join(some, cell).select(*shape.columns).groupBy(F.pmod("comp", F.lit(buckets)).alias("bucket"))
+                  .applyInPandas(lambda pdf: _fold(threshold, pdf), fields))
+        kept = kept.unionByName(folded.select(*(group_cols or []), F.col("o").alias(order)))
+    if sizes["rest"]:
+        giants = left.filter(F.col("points") > fold_points).select(*cell)
+        rest = _in_rounds(points.join(giants, cell, "left_semi"), threshold, list(group_cols or []), max_rounds, small_cell)
+        kept = kept.unionByName(rest.select(*(group_cols or []), F.col("o").alias(order)))
+    return poi.join(kept, [*(group_cols or []), order], "left_semi")
+
+
+def _in_rounds(points: DataFrame, threshold: float, groups: list[str], max_rounds: int | None, small_cell: int) -> DataFrame:
+    """Kept points of groups too large for one task.
 
-    * POIs are keyed by (name, fine cell) with cell side ``threshold/sqrt(2)``:
-      two POIs of one cell are always within the threshold, so a cell holds
-      at most one kept POI and only its earliest undecided POI can be kept.
     * Each round aggregates per cell the earliest undecided order, the
       number of undecided POIs and the kept POI, then per cell over its
       5 x 5 block of neighbour cells: the kept POIs (at most 25), the
@@ -195,26 +338,17 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
       makes progress.
     * State is cut with a reliable checkpoint each round (short lineage,
       survives executor loss).
-
-    ``group_cols`` (e.g. the POI category) run independent dedups per
-    group: POIs of different groups never suppress each other.
     """
-    groups = list(group_cols or [])
-    side = threshold / math.sqrt(2.0) * (1.0 - 1e-9)
-    reach = 2
     blk = F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy"))
-                    for dx in range(-reach, reach + 1) for dy in range(-reach, reach + 1)])
+                    for dx in range(-_REACH, _REACH + 1) for dy in range(-_REACH, _REACH + 1)])
     cell = groups + ["nm", "fx", "fy"]
-    state = reliable_checkpoint(poi.select(
-        *groups, F.col(name).alias("nm"), F.col(order).alias("o"), F.col(x).alias("px"), F.col(y).alias("py"),
-        F.floor(F.col(x) / side).alias("fx"), F.floor(F.col(y) / side).alias("fy"),
-        F.lit("u").alias("s")))
+    state = reliable_checkpoint(points.withColumn("s", F.lit("u")))
 
     def within(p):
         return F.sqrt((p["x"] - F.col("px")) * (p["x"] - F.col("px")) +
                       (p["y"] - F.col("py")) * (p["y"] - F.col("py"))) <= F.lit(threshold)
 
-    rounds, n_parts = 0, int(poi.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rounds, n_parts = 0, int(points.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     while state.filter(F.col("s") == "u").limit(1).count() > 0:
         rounds += 1
         if max_rounds is not None and rounds > max_rounds:
@@ -252,8 +386,7 @@ def greedy_dedup(poi: DataFrame, threshold: float = POI_DEDUP_THRESHOLD_M,
         # Dropped points leave the state; the number of partitions stays the same.
         state = reliable_checkpoint(state.filter(F.col("s") == "k").unionByName(decided.filter(F.col("s") != "d"))
                                     .repartition(n_parts, *cell))
-    kept = state.filter(F.col("s") == "k").select(*groups, F.col("o").alias(order))
-    return poi.join(kept, groups + [order], "left_semi")
+    return state.filter(F.col("s") == "k")
 
 
 KIND_ORDER = {"node": 0, "way": 1, "area": 2}

@@ -278,3 +278,36 @@ def test_invalid_areas_leave_and_open_ways_may_stay_lines(spark):
     # The line's centroid lies nearer to the long leg's middle than the triangle's.
     a, b = (spatial.project(spark.createDataFrame([(2.02, 48.01)], "longitude double, latitude double")).first()[c] for c in ("x_proj", "y_proj"))
     assert math.dist(opened[7], (a, b)) < math.dist(closed[7], (a, b)) * 1.5 and opened[7] != closed[7]
+
+
+def test_greedy_dedup_long_chain_in_one_scan(spark):
+    """A chain of 1,000 points, some of it across block borders, in no round
+    at all; the same in rounds for a group said to be too large."""
+    rnd = random.Random(51)
+    x = 0.0
+    rows = []
+    for k in range(1000):
+        x += rnd.uniform(5, 24)
+        rows.append((k if k % 3 else 5000 - k, "Chaine", x, 300 * math.sin(x / 900)))
+    rows += [(9000 + k, "", 4000.0 * k, 0.0) for k in range(30)] + [(9100 + k, "", 4000.0 * k + 10, 0.0) for k in range(0, 30, 2)]
+    df = spark.createDataFrame(rows, "ord long, name string, x_proj double, y_proj double")
+    want = _sequential_greedy(rows, 25.0)
+    assert sorted(r.ord for r in spatial.greedy_dedup(df, 25.0, max_rounds=0).collect()) == want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_greedy_dedup_small_blocks_and_giant_groups(spark, monkeypatch, seed):
+    monkeypatch.setattr(spatial, "LINK_BLOCK", 4)
+    monkeypatch.setattr(spatial, "FOLD_BUCKET_POINTS", 20)
+    rnd = random.Random(seed)
+    rows = [(k, rnd.choice(["", "a", "b"]), rnd.uniform(-900, 900), rnd.uniform(-300, 300)) for k in range(400)]
+    rows += [(400 + k, "b", 3000 + 20.0 * k, -40.0 * (k % 2)) for k in range(60)]
+    df = spark.createDataFrame(rows, "ord long, name string, x_proj double, y_proj double")
+    want = _sequential_greedy(rows, 25.0)
+    assert sorted(r.ord for r in spatial.greedy_dedup(df, 25.0).collect()) == want
+    assert sorted(r.ord for r in spatial.greedy_dedup(df, 25.0, fold_points=30).collect()) == want
+
+
+def test_greedy_dedup_of_nothing(spark):
+    df = spark.createDataFrame([], "ord long, name string, x_proj double, y_proj double")
+    assert spatial.greedy_dedup(df).count() == 0
