@@ -105,7 +105,7 @@ LISTING_TYPES = ["Appartement", "Maison", "Maison de ville", "Duplex", "Loft", "
 LISTING_STATES = ["Neuf", "Excellent état", "Bon état", "À rafraîchir", "À rénover"]
 ENERGY_LETTERS = ["A", "B", "C", "D", "E", "F", "G", "Not applicable", "In progress"]
 ENERGY_EXCLUDED = ["Not applicable", "In progress"]
-PROPERTY_TYPES = ["Maison", "Appartement"]
+PROPERTY_TYPES = ["Maison", "Appartement", "Dépendance", "Local industriel. commercial ou assimilé"]
 
 # Interest-rate bands: (upper bound exclusive, label); last label is "else".
 RATE_BANDS = [(2, "Taux < 2%"), (3, "Taux 2-3%"), (4, "Taux 3-4%")]

@@ -29,6 +29,26 @@ def table_stats(tables: dict[str, DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+def catalog_listing(spark: SparkSession, names: list[str] | None = None, count: bool = True) -> DataFrame:
+    """C1/C2 from the session catalog: name, kind (view or table), column
+    count, columns with types, column names and, for tables, the row count.
+
+    Names, kinds and columns are metadata, no table is read for them.  Row
+    counts read no column: of Parquet tables only the footers."""
+    found = {t.name: t for t in spark.catalog.listTables()}
+    rows, counts = [], []
+    for name in sorted(found) if names is None else names:
+        df = spark.table(f"`{name}`")
+        kind = "view" if found[name].tableType in ("TEMPORARY", "VIEW") else "table"
+        rows.append((name, kind, len(df.columns), ", ".join(f"{c} {t}" for c, t in df.dtypes), ", ".join(df.columns)))
+        if count and kind == "table":
+            counts.append(df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("name"), "row_count"))
+    listed = spark.createDataFrame(rows, "name string, kind string, column_count int, columns string, column_names string")
+    if not counts:
+        return listed.withColumn("row_count", F.lit(None).cast("bigint"))
+    return listed.join(F.broadcast(reduce(DataFrame.unionByName, counts)), "name", "left")  # one row per table
+
+
 def table_preview(df: DataFrame, n: int = 5, order: list[str] | None = None) -> DataFrame:
     """First n rows (by ``order`` when given, for a stable preview)."""
     return (df.orderBy(*order) if order else df).limit(n)

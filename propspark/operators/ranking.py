@@ -2,8 +2,9 @@
 
 ``consecutive_ids`` (W3) numbers rows 1..N in ``order`` order:
 
-1. range-partition on the order columns and sort inside partitions (one
-   shuffle, sampled bounds, so a partition never holds the whole table);
+1. range-partition on the order columns and a hash of the whole row, and
+   sort inside partitions (one shuffle, sampled bounds, so neither a
+   partition holds the whole table nor a task all rows of one key);
 2. write the sorted frame once as a reliable checkpoint in the shared
    folder, so the counting pass and the numbering pass see the same
    partitions even if an executor is lost in between;
@@ -35,6 +36,10 @@ def consecutive_ids(df: DataFrame, order: list, id_col: str = "id",
                     num_partitions: int | None = None, start: int = 1) -> DataFrame:
     spark = df.sparkSession
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
+    # Rows of one order key are told apart by a hash of the whole row, so ids
+    # do not depend on the run and a hot key is cut by the splitters.
+    plain = [c for c, t in df.dtypes if not t.startswith(("map<", "variant"))]
+    order_cols.append(F.xxhash64(*[F.col(f"`{c}`") for c in plain]))
     # Without an explicit count the range exchange uses the cluster's
     # spark.sql.shuffle.partitions and AQE may merge adjacent small ranges,
     # which keeps the global order (partition ids stay in range order).

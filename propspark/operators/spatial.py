@@ -12,10 +12,10 @@ Radius join (J7, J8, A20, G5) as a grid-cell equi join:
   aggregation map-side), so neighbour lists are never collected.
 
 The POI side is broadcast only when its estimated size passes a check;
-otherwise the join
-is a shuffle join whose point side is salted, so a dense cell (a city
-centre, a 30 km airport cell) is spread over ``salt_buckets`` tasks, and AQE
-skew handling stays on as a second line.
+otherwise the join is a shuffle join, before which the points are counted by
+cell: a dense cell (a city centre, a 30 km airport cell) is split into as many
+parts as its points need and its POIs are repeated for each, while the POIs of
+all other cells go to their nine cells once.
 
 Features depend on coordinates only (J18): the join runs on the distinct
 coordinates of the sales and the result is joined back on them.
@@ -24,6 +24,7 @@ coordinates of the sales and the result is joined back on them.
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -63,22 +64,32 @@ def _poi_cells(poi: DataFrame, categories, radii, x: str, y: str) -> DataFrame:
                     (F.floor(F.col("py") / F.col("_r")) + F.col("_b.dy")).alias("cy")))
 
 
-def radius_pairs(points: DataFrame, poi: DataFrame, keys: list[str],
-                 categories=POI_CATEGORIES, radii=POI_RADIUS_M,
-                 x: str = "x_proj", y: str = "y_proj", how: str = "left",
-                 broadcast_bytes: int = DEFAULT_POI_BROADCAST_BYTES,
-                 salt_buckets: int = 8) -> DataFrame:
-    """(point keys, category, poi_id, dist) for every POI within its radius.
+#: Rows of points in one grid cell beyond which the cell is split.
+CELL_POINTS = 200_000
+#: Split cells that are broadcast at most (each stands for CELL_POINTS rows).
+DENSE_CELLS = 200_000
 
-    ``how="left"`` keeps one row with NULL poi for a point/category without
-    match.  ``points`` must be unique on ``keys``; ``poi`` has columns
-    ``category, id`` and the ``x``/``y`` metres.
-    """
-    pts = (points.select(*keys, F.col(x).alias("qx"), F.col(y).alias("qy"))
-           .withColumn("_c", F.explode(_category_array(categories, radii)))
-           .select(*keys, "qx", "qy", F.col("_c.category").alias("category"),
-                   F.col("_c.radius").alias("radius"))
-           .withColumn("cx", F.floor(F.col("qx") / F.col("radius")))
+
+def _by_category(points: DataFrame, keys: list[str], categories, radii, x: str, y: str) -> DataFrame:
+    """A row per point and category: keys, qx, qy, category, radius."""
+    return (points.select(*keys, F.col(x).alias("qx"), F.col(y).alias("qy"))
+            .withColumn("_c", F.explode(_category_array(categories, radii)))
+            .select(*keys, "qx", "qy", F.col("_c.category").alias("category"), F.col("_c.radius").alias("radius")))
+
+
+def _dense_cells(pts: DataFrame, cell_points: int) -> DataFrame:
+    """Cells with more than ``cell_points`` rows and the parts they need: at
+    most one row per ``cell_points`` rows of ``pts``."""
+    dense = reliable_checkpoint(pts.groupBy("category", "cx", "cy").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > cell_points)
+                                .select("category", "cx", "cy", F.ceil(F.col("n") / F.lit(cell_points)).cast("int").alias("_parts")))
+    return F.broadcast(dense) if dense.count() <= DENSE_CELLS else dense
+
+
+def _cell_pairs(pts: DataFrame, poi: DataFrame, keys: list[str], categories, radii, x: str, y: str, how: str,
+                broadcast_bytes: int, salt_buckets: int, cell_points: int) -> DataFrame:
+    """Pairs of ``_by_category`` rows and the POIs of their category within
+    the radius."""
+    pts = (pts.withColumn("cx", F.floor(F.col("qx") / F.col("radius")))
            .withColumn("cy", F.floor(F.col("qy") / F.col("radius"))))
     cells = _poi_cells(poi, categories, radii, x, y)
     on = ["category", "cx", "cy"]
@@ -87,12 +98,15 @@ def radius_pairs(points: DataFrame, poi: DataFrame, keys: list[str],
     poi_cols = poi.select("category", "id", x, y)
     if is_small(poi_cols, broadcast_bytes // len(NEIGHBOURS)):
         left, right = pts, F.broadcast(cells)
-    elif salt_buckets > 1:
-        left = pts.withColumn("_salt", F.pmod(F.xxhash64("qx", "qy"), F.lit(salt_buckets)).cast("int"))
-        right = cells.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
-        on = on + ["_salt"]
     else:
-        left, right = pts, cells
+        # Counted first: only a dense cell is split, and only its POIs are repeated.
+        dense = _dense_cells(pts, cell_points)
+        parts = F.greatest(F.coalesce("_parts", F.lit(1)), F.lit(salt_buckets))
+        left = (pts.join(dense, on, "left")
+                .withColumn("_salt", F.pmod(F.xxhash64(*keys, "qx", "qy"), parts).cast("int")).drop("_parts"))
+        right = (cells.join(dense, on, "left")
+                 .withColumn("_salt", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts"))
+        on = on + ["_salt"]
     dist = euclidean("qx", "qy", "px", "py")
     cond = [left[k] == right[k] for k in on] + [dist <= left["radius"]]
     joined = left.join(right, cond, how)
@@ -100,6 +114,26 @@ def radius_pairs(points: DataFrame, poi: DataFrame, keys: list[str],
                          F.when(right["poi_id"].isNotNull(), dist).alias("dist"))
 
 
+def radius_pairs(points: DataFrame, poi: DataFrame, keys: list[str],
+                 categories=POI_CATEGORIES, radii=POI_RADIUS_M,
+                 x: str = "x_proj", y: str = "y_proj", how: str = "left",
+                 broadcast_bytes: int = DEFAULT_POI_BROADCAST_BYTES,
+                 salt_buckets: int = 1, cell_points: int = CELL_POINTS) -> DataFrame:
+    """(point keys, category, poi_id, dist) for every POI within its radius.
+
+    ``how="left"`` keeps one row with NULL poi for a point/category without
+    match.  ``points`` must be unique on ``keys``; ``poi`` has columns
+    ``category, id`` and the ``x``/``y`` metres.  POIs too many to broadcast
+    are shuffled by cell; the points are then counted by cell (they are
+    checkpointed for that), and a cell with more than ``cell_points`` of them
+    is split into as many parts as it needs, at least ``salt_buckets``.
+    """
+    if not is_small(poi.select("category", "id", x, y), broadcast_bytes // len(NEIGHBOURS)):
+        points = reliable_checkpoint(points.select(*keys, x, y))
+    pts = _by_category(points, keys, categories, radii, x, y)
+    return _cell_pairs(pts, poi, keys, categories, radii, x, y, how, broadcast_bytes, salt_buckets, cell_points)
+
+
 def radius_features(points: DataFrame, poi: DataFrame, keys: list[str],
                     categories=POI_CATEGORIES, radii=POI_RADIUS_M,
                     x: str = "x_proj", y: str = "y_proj", **kw) -> DataFrame:
@@ -114,13 +148,39 @@ def radius_features(points: DataFrame, poi: DataFrame, keys: list[str],
     return pairs.groupBy(*keys).agg(*aggs)
 
 
+#: Radii at which the nearest POI is looked for, as parts of the full one.
+NEAREST_STEPS = (1 / 16, 1 / 4, 1.0)
+
+
 def nearest_poi(points: DataFrame, poi: DataFrame, keys: list[str],
                 categories=POI_CATEGORIES, radii=POI_RADIUS_M,
-                x: str = "x_proj", y: str = "y_proj", **kw) -> DataFrame:
+                x: str = "x_proj", y: str = "y_proj", steps=NEAREST_STEPS,
+                broadcast_bytes: int = DEFAULT_POI_BROADCAST_BYTES,
+                salt_buckets: int = 1, cell_points: int = CELL_POINTS) -> DataFrame:
     """Per point and category the nearest POI within the radius
-    (ties broken by the smaller POI id), as an aggregation, no window."""
-    pairs = radius_pairs(points, poi, keys, categories, radii, x, y, how="inner", **kw)
-    best = pairs.groupBy(*keys, "category").agg(F.min(F.struct("dist", "poi_id")).alias("b"))
+    (ties broken by the smaller POI id), as an aggregation, no window.
+
+    The search expands over a pyramid of grids: with cells of a sixteenth of
+    the radius first, then of a quarter, then of all of it.  A point and
+    category with a POI within a step's radius is settled there (all POIs so
+    near were compared) and does not take part in the wider ones, so a point
+    amid many POIs never meets all those of the full radius."""
+    open_ = reliable_checkpoint(_by_category(points, keys, categories, radii, x, y))
+    found = []
+    for step in steps:
+        near = {c: float(radii[c]) * step for c in categories}
+        pts = open_.withColumn("radius", F.col("radius") * F.lit(step))
+        pairs = _cell_pairs(pts, poi, keys, categories, near, x, y, "inner", broadcast_bytes, salt_buckets, cell_points)
+        best = pairs.groupBy(*keys, "category").agg(F.min(F.struct("dist", "poi_id")).alias("b"))
+        if step == steps[-1]:
+            found.append(best)
+            break
+        best = reliable_checkpoint(best)
+        found.append(best)
+        done = best.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate([*keys, "category"])])
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate([*keys, "category"])]
+        open_ = reliable_checkpoint(open_.join(done, same, "left_anti"))
+    best = reduce(DataFrame.unionByName, found)
     return best.select(*keys, "category", F.col("b.poi_id").alias("poi_id"), F.col("b.dist").alias("dist"))
 
 

@@ -38,6 +38,15 @@ def empty_partitions(expected: DataFrame, df: DataFrame, key: str, df_key: str |
     return expected.join(present, key, "left_anti")
 
 
+def empty_files(spark: SparkSession, paths, df: DataFrame, file_col: str = "_source_file") -> DataFrame:
+    """Files under ``paths`` (column path) that gave ``df`` no row: empty
+    ones and those with a header only.  The files come from the reader's own
+    index, which the driver holds anyway; nothing is read for it."""
+    listed = spark.read.format("binaryFile").load(paths if isinstance(paths, (list, tuple)) else [paths]).inputFiles()
+    return (spark.createDataFrame([(p,) for p in listed], "path string")
+            .join(df.select(F.col(file_col).alias("path")).distinct(), "path", "left_anti"))
+
+
 # S3 S4 ----------------------------------------------------------------------
 def read_series(spark: SparkSession, path, sep: str = ";") -> DataFrame:
     """Monthly series CSV with header; values stay text (comma decimals)."""

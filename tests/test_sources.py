@@ -159,3 +159,13 @@ def test_macro_chain_from_files(spark, tmp_dir):
     assert [r.Date for r in rows] == [dt.date(2015, 1, 1), dt.date(2015, 2, 1), dt.date(2015, 3, 1)]
     assert [(r["Crédits hors renégociations"], r.Taux, r.IPC) for r in rows] == [
         (8.1, 2.19, -0.4), (9.2, 2.29, -0.3), (10.3, 2.39, 0.2)]
+
+
+def test_empty_and_header_only_files_are_reported(spark, tmp_dir):
+    cols = files.RAW_SALES_COLUMNS
+    head = ",".join(cols) + "\n"
+    for name, text in (("01.csv", head + "x" + "," * (len(cols) - 1) + "\n"), ("02 bis.csv", head), ("03.csv", "")):
+        _write(os.path.join(tmp_dir, name), text)
+    paths = [os.path.join(tmp_dir, "*.csv")]
+    out = files.empty_files(spark, paths, files.read_raw_sales(spark, paths)).collect()
+    assert sorted(r.path.rsplit("/", 1)[1].replace("%20", " ") for r in out) == ["02 bis.csv", "03.csv"]

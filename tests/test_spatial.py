@@ -6,6 +6,7 @@ import math
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from propspark.operators import spatial
 from propspark.sources import map_elements
@@ -311,3 +312,49 @@ def test_greedy_dedup_small_blocks_and_giant_groups(spark, monkeypatch, seed):
 def test_greedy_dedup_of_nothing(spark):
     df = spark.createDataFrame([], "ord long, name string, x_proj double, y_proj double")
     assert spatial.greedy_dedup(df).count() == 0
+
+
+def test_dense_cell_is_split_and_others_are_not(spark):
+    """Half of all points in one cell (a third at one place): equal to brute
+    force; only the dense cell's POIs are repeated."""
+    rnd = random.Random(61)
+    pts = [(i, 10.0, 20.0) for i in range(200)] + [(200 + i, rnd.uniform(0, 99), rnd.uniform(0, 99)) for i in range(100)]
+    pts += [(300 + k, x, y) for k, x, y in _points(300, 62)]
+    pois = [("a", i, rnd.uniform(-3000, 3000), rnd.uniform(-3000, 3000)) for i in range(150)] + [("a", 500 + i, 50.0 + i, 40.0) for i in range(30)]
+    p_df = spark.createDataFrame(pts, "k long, x_proj double, y_proj double")
+    poi_df = spark.createDataFrame(pois, "category string, id long, x_proj double, y_proj double")
+    radii = {"a": 100.0}
+    kw = {"broadcast_bytes": 0, "cell_points": 50}
+    got = {r.k: (r.nb_a, r.distance_min_a) for r in spatial.radius_features(p_df, poi_df, ["k"], ["a"], radii, **kw).collect()}
+    want = _brute(pts, pois, radii)
+    assert {k: n for k, (n, _) in got.items()} == {k: v["a"][0] for k, v in want.items()}
+    rows = spatial._by_category(p_df, ["k"], ["a"], radii, "x_proj", "y_proj")
+    rows = rows.withColumn("cx", F.floor(F.col("qx") / 100.0)).withColumn("cy", F.floor(F.col("qy") / 100.0))
+    dense = [tuple(r) for r in spatial._dense_cells(rows, 50).collect()]
+    assert dense == [("a", 0, 0, 7)] or (len(dense) == 1 and dense[0][:3] == ("a", 0, 0) and dense[0][3] >= 6)
+
+
+def test_nearest_poi_meets_few_pairs(spark, monkeypatch):
+    """A heap of 400 POIs within the radius of 200 points: settled in the
+    finest grid that has one, with the brute-force result."""
+    rnd = random.Random(71)
+    pois = [("a", i, rnd.uniform(0, 2000), rnd.uniform(0, 2000)) for i in range(400)] + [("a", 900, 9000.0, 0.0), ("a", 901, 9000.0, 0.0)]
+    pts = [(k, rnd.uniform(0, 2000), rnd.uniform(0, 2000)) for k in range(200)] + [(900, 6100.0, 0.0), (901, -9000.0, 0.0), (None, 2500.0, 0.0)]
+    p_df = spark.createDataFrame(pts, "k long, x_proj double, y_proj double")
+    poi_df = spark.createDataFrame(pois, "category string, id long, x_proj double, y_proj double")
+    rows, plain = [], spatial._cell_pairs
+
+    def counted(*args):
+        out = plain(*args)
+        rows.append(out.count())
+        return out
+
+    monkeypatch.setattr(spatial, "_cell_pairs", counted)
+    got = {r.k: (r.poi_id, r.dist) for r in spatial.nearest_poi(p_df, poi_df, ["k"], ["a"], {"a": 3000.0}).collect()}
+    want = {}
+    for k, x, y in pts:
+        near = min((math.sqrt((x - px) * (x - px) + (y - py) * (y - py)), i) for _, i, px, py in pois)
+        if near[0] <= 3000.0:
+            want[k] = (near[1], near[0])
+    assert got == want and got[900][0] == 900 and None in got and 901 not in got
+    assert len(rows) == 3 and sum(rows) < 0.1 * 200 * 400
