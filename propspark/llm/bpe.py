@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from propspark.llm.tables import carried, find_package, spare_name
 
 #: Words kept per worker, with their tokens.
-KEPT_WORDS = 200_000
+KEPT_WORDS = 120_000
 #: Longer words are not kept.
 KEPT_CHARS = 64
 _BITS = np.int64(20)
@@ -345,7 +345,7 @@ def _sha(text: str) -> str:
 
 
 def encode_texts(df: DataFrame, path: str, text_col: str = "text", carry: list[str] | None = None,
-                 outputs: tuple[str, ...] = ("ids", "n_tokens", "decoded"), chunk_chars: int = 1 << 20) -> DataFrame:
+                 outputs: tuple[str, ...] = ("ids", "n_tokens", "decoded"), chunk_chars: int = 1 << 19) -> DataFrame:
     """``carry`` columns of ``df`` (default: all) and the named ``outputs``:
     ids, n_tokens, ids_sha256, decoded, decoded_sha256."""
     find_package(df.sparkSession)
