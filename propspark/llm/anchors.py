@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from propspark.llm.arrow_text import Words, chunks, mix, window_hash, window_starts
+from propspark.llm.arrow_text import Words, chunks, gathered, mix, window_hash, window_starts
 from propspark.llm.tables import written
 
 WINDOW = 20
@@ -88,7 +88,7 @@ def _dealt_rows(lists: DataFrame, parts: int, names: list[str]) -> DataFrame:
 
 
 def _anchor_rows(width: int, cells: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in gathered(batches, 2, 8 * CHUNK):
         ids, parts = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
         for a, b, data, offsets in chunks(batch.column(2), CHUNK):
             words = Words(data, offsets)
@@ -107,7 +107,7 @@ def _anchor_rows(width: int, cells: int, batches: Iterator[pa.RecordBatch]) -> I
 
 def _window_rows(window: int, width: int, cells: int, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reach = window - width  # the anchor begins at most so far inside a window
-    for batch in batches:
+    for batch in gathered(batches, 2, 8 * CHUNK):
         ids, parts = (batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in (0, 1))
         lists = batch.column(4)
         for a, b, data, offsets in chunks(batch.column(2), CHUNK):

@@ -47,6 +47,21 @@ def chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, in
         first = end
 
 
+def gathered(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Consecutive batches joined until their column number ``text`` holds
+    ``limit`` bytes, for work that combines within what it sees at once."""
+    held: list[pa.RecordBatch] = []
+    size = 0
+    for batch in batches:
+        held.append(batch)
+        size += batch.column(text).nbytes
+        if size >= limit:
+            yield pa.concat_batches(held) if len(held) > 1 else held[0]
+            held, size = [], 0
+    if held:
+        yield pa.concat_batches(held) if len(held) > 1 else held[0]
+
+
 def _powers(n: int) -> np.ndarray:
     out = np.full(n, _BASE, np.uint64)
     out[:1] = 1
