@@ -1,33 +1,43 @@
 """Language-model scores from a log-frequency Bloom filter.
 
-N-gram counts of the training documents are exact (one combining
-aggregation).  A count c is kept as its level floor(log2 c): the n-gram is
-inserted into the filters of all levels up to it.  Scoring probes level after
-level until a probe misses; the last hit gives the quantised count.
-
-What workers hold is bounded whatever the corpus: ``EXACT_WORDS`` word counts
-and, per order and level, ``LEVEL_BITS`` bits at most (fewer for few keys).  A level with more
-keys than ``LEVEL_BITS / KEY_BITS`` would answer at random and is not
-broadcast.  N-grams that miss all levels broadcast get the level of their
-exact count by a join instead, so what the model knows does not depend on the
-size of the corpus.  (An n-gram of a training document was seen once at
-least: where only level 0 is left out, that is its level, without a join.)
-The base score is exact for every word: counts outside the broadcast ones
-come from a join.
-
-The model: with u(w) the smoothed unigram probability and c the quantised
-counts, P(w | v) = (c(v w) + K u(w)) / (c(v) + K), over the words and the end
-of a text, whose first word follows an end.
+Words are counted first.  Those that make up more than 1 / ``EXACT_WORDS`` of
+the training tokens (fewer than ``EXACT_WORDS`` words, whatever the corpus)
+are broadcast with their counts.
+
+Pairs of words, which grow with the corpus, are too many to broadcast.  The
+filter is cut into segments by pair hash instead, each of about ``SEG_KEYS``
+keys and sized by the keys it holds, and the probes go to the segments:
+
+1. Documents are dealt into chunks of ``CHUNK_ROWS`` (a text of over ``LONG``
+   bytes is a chunk of its own).  A chunk sends each segment its distinct
+   pairs and its words outside the broadcast ones, each once, with their
+   counts in the chunk's training documents.
+2. A segment adds the counts up and inserts a pair of count c into the filters
+   of all levels up to floor(log2 c).  It probes every pair sent, level after
+   level until a probe misses; the last hit is the pair's quantised count.  It
+   answers each chunk with one byte a pair, and with exact word counts.
+3. A chunk's texts, from the same exchange as in 1, meet its answers.
+
+No level is left out and no key dropped at any size; a segment meets a key
+once a chunk at most, so frequent words and pairs load it with chunks, not
+with occurrences.
+
+The model: with exact counts c(w) of words, u(w) the smoothed unigram
+probability and c(v w) the quantised counts of pairs, P(w | v) =
+(min(c(v w), c(v), c(w)) + K u(w)) / (c(v) + K), over the words and the end of
+a text, whose first word follows an end.
 
 Results for odd input: a null or empty text is one end token; repeated rows
 are scored each on their own (and count each in training); a null identifier
 is carried through and counts as the empty string for the folds; an empty
-table gives an empty result; with no training rows all counts are 0.
+table gives an empty result; with no training rows all counts are 0; columns
+other than the identifier and the text are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -38,18 +48,17 @@ from propspark.llm.arrow_text import Words, chunks, mix
 from propspark.llm.tables import find_package, written
 
 EXACT_WORDS = 1 << 16
-SEGMENTS = 1024
-LEVEL_BITS = 1 << 26
-#: Levels of more keys are not broadcast.
-BROADCAST_BITS = LEVEL_BITS
-KEY_BITS = 6
+SEG_KEYS = 1 << 20
+KEY_BITS = 12
 PROBES = 3
 PRIOR = 20.0
-CHUNK = 1 << 20
-#: N-gram keys combined in a worker before they are sent on.
-COMBINE = 3_000_000
+CHUNK_ROWS = 1024
+LONG = 1 << 16
+#: Bytes of text cut into words at once.
+PIECE = 1 << 20
+#: Words combined in a worker before they are sent on.
+COMBINE = 2_000_000
 END = np.uint64(0x5BD1E995A7C15F39)
-_PER = LEVEL_BITS // SEGMENTS
 _STEPS = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9)]
 
 
@@ -66,265 +75,187 @@ def tokens(words: Words) -> tuple[np.ndarray, np.ndarray]:
     return out, first
 
 
-def pairs(token: np.ndarray, first: np.ndarray) -> np.ndarray:
+def pairs(token: np.ndarray) -> np.ndarray:
     """Key of each token with the one before (an end before the first)."""
     before = np.empty_like(token)
     before[1:] = token[:-1]  # a document's first token follows the last one's end
-    if len(token):
-        before[0] = END
-    return mix(before * np.uint64(0xD6E8FEB86659FD93) + token), before
+    before[:1] = END
+    return mix(before * np.uint64(0xD6E8FEB86659FD93) + token)
 
 
-def _segment(key: np.ndarray) -> np.ndarray:
-    return (key >> np.uint64(54)).astype(np.int64)
+class LogFrequencyFilter:
+    """Quantised counts of keys: one Bloom filter a level, sized by its keys."""
+
+    def __init__(self, key: np.ndarray, n: np.ndarray, key_bits: int = KEY_BITS):
+        key, n = key[n > 0], n[n > 0]
+        top = np.frexp(n.astype(np.float64))[1] - 1
+        self.levels: list[tuple[np.ndarray, np.uint64]] = []
+        for level in range(int(top.max(initial=-1)) + 1):
+            own = key[top >= level]
+            size = np.uint64(key_bits * len(own) + 64)
+            bits = np.zeros(int(size), bool)
+            for step in _STEPS[:PROBES]:
+                bits[(mix(own + step) % size).astype(np.int64)] = True
+            self.levels.append((np.packbits(bits), size))
+
+    def level(self, key: np.ndarray) -> np.ndarray:
+        """Last level that holds each key, -1 for none, as bytes."""
+        out = np.full(len(key), -1, np.int8)
+        live = np.arange(len(key))
+        hashes = [mix(key + step) for step in _STEPS[:PROBES]]
+        for level, (bits, size) in enumerate(self.levels):
+            for h in hashes:
+                at = h[live] % size
+                hit = (bits[(at >> np.uint64(3)).astype(np.int64)] >> (7 - (at & np.uint64(7))).astype(np.uint8)) & 1
+                live = live[hit.astype(bool)]
+            out[live] = level
+        return out
 
 
-def _bits(key: np.ndarray) -> list[np.ndarray]:
-    """Places of a key's probes within its segment."""
-    return [(mix(key + s) % np.uint64(_PER)).astype(np.int64) for s in _STEPS[:PROBES]]
+def middle(level: np.ndarray) -> np.ndarray:
+    """The count that a level stands for: the middle of its counts."""
+    return np.where(level < 0, 0.0, np.where(level == 0, 1.0, 1.5 * np.exp2(level.astype(np.float64)) - 0.5))
 
 
-def _count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    held: list[list[np.ndarray]] = [[], []]
+def _word_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(k, n, m): words with their number in training texts and in all."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
 
     def flush() -> Iterator[pa.RecordBatch]:
-        for order, keys in enumerate(held, 1):
-            if keys:
-                key, n = np.unique(np.concatenate(keys), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(_segment(key).astype(np.int32)), pa.array(np.full(len(key), order, np.int8)),
-                     pa.array(key.view(np.int64)), pa.array(n.astype(np.int64))], names=["seg", "o", "k", "n"])
-                keys.clear()
+        if held:
+            key, at = np.unique(np.concatenate([t for t, _ in held]), return_inverse=True)
+            n = np.bincount(at, np.concatenate([w for _, w in held])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(n), pa.array(np.bincount(at))],
+                                             names=["k", "n", "m"])
+            held.clear()
 
     for batch in batches:
-        for _, _, data, offsets in chunks(batch.column(0), CHUNK):
+        for a, b, data, offsets in chunks(batch.column(0), PIECE):
             token, first = tokens(Words(data, offsets, lower=True))
-            held[0].append(token)
-            held[1].append(pairs(token, first)[0])
-            if sum(map(len, held[0])) > COMBINE:
+            train = ~batch.column(1).slice(a, b - a).to_numpy(zero_copy_only=False).astype(bool)
+            held.append((token, np.repeat(train, np.diff(first))))
+            if sum(len(t) for t, _ in held) > COMBINE:
                 yield from flush()
     yield from flush()
 
 
-_MODEL = "kind string, o tinyint, level int, seg int, keys bigint, data binary, k bigint, n bigint"
-
-
-def _filter_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts of whole segments in; out: the counts of words and pairs and,
-    per order, level and segment, the filter's bits."""
-    names = [c.split(" ")[0] for c in _MODEL.split(", ")]
-    bits: dict[tuple[int, int, int], np.ndarray] = {}
-    keys: dict[tuple[int, int, int], int] = {}
-    for batch in batches:
-        seg, order, key, n = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
-        for o, kind in ((1, "word"), (2, "pair")):
-            own = order == o
-            m = int(own.sum())
-            if m:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(kind, m), pa.nulls(m, pa.int8()), pa.nulls(m, pa.int32()), pa.nulls(m, pa.int32()),
-                     pa.nulls(m, pa.int64()), pa.nulls(m, pa.binary()), pa.array(key[own]), pa.array(n[own])], names=names)
-        top = np.log2(n).astype(np.int64)
-        for o in (1, 2):
-            for level in range(int(top[order == o].max(initial=-1)) + 1):
-                at = (order == o) & (top >= level)
-                segs, ks = seg[at], key[at].view(np.uint64)
-                by = np.argsort(segs, kind="stable")
-                segs, ks = segs[by], ks[by]
-                places = _bits(ks)
-                cuts = np.flatnonzero(np.diff(segs, prepend=-1))
-                for a, b in zip(cuts, [*cuts[1:], len(segs)]):
-                    cell = o, level, int(segs[a])
-                    own = bits.setdefault(cell, np.zeros(_PER, bool))
-                    for p in places:
-                        own[p[a:b]] = True
-                    keys[cell] = keys.get(cell, 0) + int(b - a)
-    for cell, own in bits.items():
-        o, level, seg = cell
-        # Few keys: their places are shorter than the bits.
-        set_ = np.flatnonzero(own)
-        dense = len(set_) * 16 > _PER // 2
-        data = np.packbits(own).tobytes() if dense else set_.astype(np.uint16 if _PER <= 65536 else np.uint32).tobytes()
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(["bits" if dense else "places"]), pa.array([o], pa.int8()), pa.array([level], pa.int32()),
-             pa.array([seg], pa.int32()), pa.array([keys[cell]], pa.int64()), pa.array([data], pa.binary()),
-             pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64())], names=names)
-
-
-class LogFrequencyFilter:
-    """Quantised counts of n-grams, by probing levels until a miss."""
-
-    def __init__(self, rows: list):
-        keys: dict[tuple[int, int], int] = {}
-        for r in rows:
-            keys[r["o"], r["level"]] = keys.get((r["o"], r["level"]), 0) + r["keys"]
-        #: (order, level) -> (packed bits, bits per segment), for the levels
-        #: that are not too full; sparse levels are folded onto fewer bits.
-        self.levels: dict[tuple[int, int], tuple[np.ndarray, int]] = {}
-        #: Per order the levels below the least one kept: left out.  A level
-        #: holds the keys of the next, so these are the lowest.
-        self.floor = {1: 0, 2: 0}
-        for cell, n in sorted(keys.items()):
-            if n * KEY_BITS <= BROADCAST_BITS:
-                per = _PER
-                while per > 64 and SEGMENTS * per >= 4 * KEY_BITS * n:
-                    per //= 2
-                self.levels[cell] = np.zeros(SEGMENTS * per // 8, np.uint8), per
-            else:
-                self.floor[cell[0]] = cell[1] + 1
-        for r in rows:
-            bits, per = self.levels.get((r["o"], r["level"]), (None, 0))
-            if bits is not None:
-                if r["kind"] == "bits":
-                    flat = np.unpackbits(np.frombuffer(r["data"], np.uint8)).astype(bool)
-                else:
-                    flat = np.zeros(_PER, bool)
-                    flat[np.frombuffer(r["data"], np.uint16 if _PER <= 65536 else np.uint32)] = True
-                own = np.packbits(flat.reshape(-1, per).any(axis=0))
-                bits[r["seg"] * (per // 8):(r["seg"] + 1) * (per // 8)] = own
-
-    def count(self, key: np.ndarray, order: int) -> np.ndarray:
-        """0 for n-grams in no level kept, else the middle of the level's
-        counts."""
-        out = np.zeros(len(key))
-        live = np.arange(len(key))
-        segment = _segment(key)
-        for (o, level), (bits, per) in self.levels.items():
-            if o != order or not len(live):
-                continue
-            places = _bits(key[live])
-            keep = np.ones(len(live), bool)
-            for p in places:
-                at = segment[live] * per + p % per
-                keep &= ((bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).astype(bool)
-            live = live[keep]
-            out[live] = 1.0 if level == 0 else 1.5 * 2.0**level - 0.5
-        return out
-
-    def seen(self, key: np.ndarray, order: int, learnt: np.ndarray) -> np.ndarray:
-        """As ``count``, but NaN where only the exact counts can tell;
-        ``learnt`` are the n-grams of training documents."""
-        out = self.count(key, order)
-        if self.floor[order]:
-            miss = out == 0
-            out[miss] = np.where(learnt[miss], 1.0, np.nan) if self.floor[order] == 1 else np.nan
-        return out
-
-
-def _middle(n: Column) -> Column:
-    """The quantised count of an exact one; 0 for null."""
-    level = F.length(F.bin(n)) - 1
-    return F.when(n.isNull(), 0.0).when(level == 0, 1.0).otherwise(1.5 * F.pow(F.lit(2.0), level) - 0.5)
-
-
-def fit(train: DataFrame, text_col: str = "text") -> dict:
-    """Counts of the training texts: filter, exact counts of the most frequent
-    words, the tables of all counts of words and of pairs, and the totals."""
-    spark = train.sparkSession
-    find_package(spark)
-    counts = (train.select(F.col(f"`{text_col}`").alias("t")).mapInArrow(_count_rows, "seg int, o tinyint, k bigint, n bigint")
-              .repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "seg")
-              .groupBy("seg", "o", "k").agg(F.sum("n").alias("n")))
-    model = written(counts.mapInArrow(_filter_rows, _MODEL), "lm-model")
-    words = model.filter("kind = 'word'").select("k", "n")
-    total = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
-    exact = words.orderBy(F.col("n").desc(), "k").limit(EXACT_WORDS).collect()  # bounded by EXACT_WORDS
+def fit(docs: DataFrame, text_col: str = "text", held_col: str = "held_out") -> dict:
+    """Totals of the texts not held out, the exact counts of their frequent
+    words, and ``asked``: the number of tokens of all texts."""
+    find_package(docs.sparkSession)
+    words = written(docs.select(F.col(f"`{text_col}`").alias("t"), F.col(f"`{held_col}`").alias("h"))
+                    .mapInArrow(_word_rows, "k bigint, n bigint, m bigint")
+                    .groupBy("k").agg(F.sum("n").alias("n"), F.sum("m").alias("m")), "lm-words")
+    total = words.agg(*[F.coalesce(c, F.lit(0)).alias(a) for c, a in (
+        (F.sum("n"), "n"), (F.count_if(F.col("n") > 0), "v"), (F.sum("m"), "m"))]).first()
+    # Fewer than EXACT_WORDS words can be more than that share of the tokens.
+    exact = words.filter(F.col("n") * EXACT_WORDS > total["n"]).select("k", "n").collect()
     exact.sort(key=lambda r: r["k"] & (2**64 - 1))
-    cells = model.filter("kind IN ('bits', 'places')").select("kind", "o", "level", "seg", "keys", "data").collect()  # fixed size
-    return {"filter": LogFrequencyFilter(cells), "words": words,
-            "pairs": model.filter("kind = 'pair'").select("k", "n"), "tokens": total["n"], "types": total["v"],
+    return {"tokens": total["n"], "types": total["v"], "asked": total["m"],
             "exact_keys": np.array([r["k"] for r in exact], np.int64).view(np.uint64),
             "exact_counts": np.array([r["n"] for r in exact], np.float64)}
 
 
-#: A document's pairs with their counts, null where only a join can tell.
-_PENDING = (("word", "bigint"), ("before", "bigint"), ("pair", "bigint"), ("own", "double"), ("context", "double"),
-            ("both", "double"), ("tf", "int"))
-
-
-def _resolve(pending: DataFrame, key: str, value: str, counts: DataFrame) -> DataFrame:
-    """``value`` where it is null by the exact count of ``key``.  Rows that do
-    not ask join on their identifier, which spreads them and finds nothing."""
-    asks = F.col(value).isNull()
-    table = counts.select(F.col("k").alias("__k"), F.lit(True).alias("__asks"), F.col("n").alias("__n"))
-    left = (pending.withColumn("__key", F.when(asks, F.col(key)).otherwise(F.xxhash64("uid")))
-            .withColumn("__ask", asks))
-    return (left.join(table, (F.col("__key") == F.col("__k")) & (F.col("__ask") == F.col("__asks")), "left")
-            .withColumn(value, F.coalesce(value, _middle(F.col("__n")))).select(*pending.columns))
-
-
-def _late(rows: DataFrame, model: dict, norm: float) -> DataFrame:
-    """(uid, late): what the pairs that wait for exact counts add to a score."""
-    floor = model["filter"].floor
-    out = rows.select("uid", F.explode("pending").alias("w")).select("uid", *[f"w.{name}" for name, _ in _PENDING])
-    if floor[1]:
-        out = _resolve(_resolve(out, "word", "own", model["words"]), "before", "context", model["words"])
-    cap = F.least("own", "context")
-    if floor[2]:
-        out = out.withColumn("both", F.when(cap == 0, 0.0).otherwise(F.col("both")))
-        out = _resolve(out, "pair", "both", model["pairs"].filter(F.col("n") < (1 << floor[2])))
-    p = (F.least("both", "own", "context") + PRIOR * (F.col("own") + 0.5) / F.lit(norm)) / (F.col("context") + PRIOR)
-    return out.select("uid", (F.col("tf") * F.log10(p)).alias("late"))
-
-
-def _score_rows(shared, n_carry: int, names: list[str], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    filt, keys, counts, total, norm = shared.value
-    for batch in batches:
-        for a, b, data, offsets in chunks(batch.column(n_carry), CHUNK):
-            token, first = tokens(Words(data, offsets, lower=True))
-            n = b - a
-            doc = np.repeat(np.arange(n), np.diff(first))
-            at = np.minimum(np.searchsorted(keys, token), max(len(keys) - 1, 0))
-            exact = keys[at] == token if len(keys) else np.zeros(len(token), bool)
-            c = np.where(exact, counts[at] if len(keys) else 0.0, 0.0)
-            logs = np.log10((c + 0.5) / norm)
-            base = np.bincount(doc[exact], logs[exact], n)
-            known = np.bincount(doc[exact], minlength=n)
-            # The rest is counted exactly by the join.
-            rest_doc, rest = doc[~exact], token[~exact]
-            order = np.lexsort((rest, rest_doc))
-            rest_doc, rest = rest_doc[order], rest[order]
-            new = np.ones(len(rest), bool)
-            new[1:] = (rest[1:] != rest[:-1]) | (rest_doc[1:] != rest_doc[:-1])
-            start = np.flatnonzero(new)
-            times = np.diff(np.append(start, len(rest)))
-            ends = np.concatenate([[0], np.cumsum(np.bincount(rest_doc[start], minlength=n))]).astype(np.int32)
-            tail = pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays(
-                [pa.array(rest[start].view(np.int64)), pa.array(times.astype(np.int32))], names=["k", "n"]))
-            # The model.
-            learnt = ~batch.column(n_carry - 1).slice(a, n).to_numpy(zero_copy_only=False).astype(bool)[doc]
-            own = c.copy()
-            own[~exact] = filt.seen(token[~exact], 1, learnt[~exact])
-            pair, before = pairs(token, first)
-            context = np.empty(len(token))
-            context[1:] = own[:-1]
-            # The end before a document's first token is any document's end.
-            context[first[:-1]] = own[first[1:] - 1]
-            cap = np.minimum(own, context)
-            both = np.where(cap == 0, 0.0, filt.seen(pair, 2, learnt))
-            p = (np.minimum(both, cap) + PRIOR * (own + 0.5) / norm) / (context + PRIOR)
-            unknown = np.isnan(p)
-            score = np.bincount(doc, np.where(unknown, 0.0, np.log10(p)), n)
-            # What only exact counts can tell, once per document and pair.
-            lost = np.flatnonzero(unknown)
-            lost = lost[np.lexsort((pair[lost], doc[lost]))]
-            new = np.ones(len(lost), bool)
-            new[1:] = (pair[lost[1:]] != pair[lost[:-1]]) | (doc[lost[1:]] != doc[lost[:-1]])
-            start = np.flatnonzero(new)
-            at, times_lost = lost[start], np.diff(np.append(start, len(lost)))
-            ends_lost = np.concatenate([[0], np.cumsum(np.bincount(doc[at], minlength=n))]).astype(np.int32)
-
-            def given(x: np.ndarray) -> pa.Array:
-                return pa.array(x[at], pa.float64(), mask=np.isnan(x[at]))
-
-            pending = pa.ListArray.from_arrays(pa.array(ends_lost), pa.StructArray.from_arrays(
-                [pa.array(token[at].view(np.int64)), pa.array(before[at].view(np.int64)), pa.array(pair[at].view(np.int64)),
-                 given(own), given(context), given(both),
-                 pa.array(times_lost.astype(np.int32))], names=[f[0] for f in _PENDING]))
-            columns = [batch.column(k).slice(a, n) for k in range(n_carry)]
-            columns += [pa.array(np.diff(first).astype(np.int64)), pa.array(known.astype(np.int64)), pa.array(base),
-                        pa.array(score), tail, pending]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+class _Chunk:
+    """Tokens of a chunk's texts, and its distinct pairs and rare words in
+    ascending order (the same however the rows are ordered)."""
+
+    def __init__(self, table: pa.Table, exact: np.ndarray):
+        token, count = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]
+        for column in table.column("t").chunks:
+            for _, _, data, offsets in chunks(column, PIECE):
+                own, first = tokens(Words(data, offsets, lower=True))
+                token.append(own)
+                count.append(np.diff(first))
+        self.token, self.count = np.concatenate(token), np.concatenate(count)
+        self.doc = np.repeat(np.arange(len(self.count)), self.count)
+        self.held = table.column("held_out").to_numpy().astype(bool)
+        at = np.minimum(np.searchsorted(exact, self.token), max(len(exact) - 1, 0))
+        self.exact = exact[at] == self.token if len(exact) else np.zeros(len(self.token), bool)
+        self.exact_at = at[self.exact]
+        self.words, self.word_at = np.unique(self.token[~self.exact], return_inverse=True)
+        self.pairs, self.pair_at = np.unique(pairs(self.token), return_inverse=True)
+
+
+def _cut(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """``values`` between consecutive ``cuts``, as binary values."""
+    offsets = (cuts * values.itemsize).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+
+
+def _joined(column: pa.ChunkedArray, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """The values of all rows of a binary column in a row, and the cuts."""
+    width = np.dtype(dtype).itemsize
+    out, sizes = [np.zeros(0, dtype)], [np.zeros(1, np.int64)]
+    for c in column.chunks:
+        c = c.cast(pa.large_binary())
+        if len(c):
+            offsets = np.frombuffer(c.buffers()[1], np.int64)[c.offset:c.offset + len(c) + 1]
+            if offsets[-1] > offsets[0]:
+                out.append(np.frombuffer(c.buffers()[2], dtype, (offsets[-1] - offsets[0]) // width, offsets[0]))
+            sizes.append(np.diff(offsets) // width)
+    return np.concatenate(out), np.cumsum(np.concatenate(sizes))
+
+
+_ASKS = "seg int, chunk bigint, w binary, wn binary, p binary, pn binary"
+_ANSWERS = "chunk bigint, seg int, wn binary, pl binary"
+
+
+def _asks(exact: np.ndarray, segments: int, table: pa.Table) -> pa.Table:
+    """A chunk's rare words and pairs, by segment, with training counts."""
+    own = _Chunk(table, exact)
+    train = ~own.held[own.doc]
+    columns = []
+    some = np.zeros(segments, bool)
+    for key, at, weight in ((own.words, own.word_at, train[~own.exact]), (own.pairs, own.pair_at, train)):
+        n = np.bincount(at, weight, len(key)).astype(np.uint32)
+        seg = ((key >> np.uint64(32)) * np.uint64(segments)) >> np.uint64(32)
+        cuts = np.searchsorted(seg, np.arange(segments + 1, dtype=np.uint64))
+        some |= np.diff(cuts) > 0
+        columns += [_cut(key, cuts), _cut(n, cuts)]
+    number = table.column("chunk")[0].as_py()
+    out = pa.Table.from_arrays([pa.array(np.arange(segments, dtype=np.int32)), pa.array(np.full(segments, number, np.int64)), *columns],
+                               names=["seg", "chunk", "w", "wn", "p", "pn"])
+    return out.filter(pa.array(some))
+
+
+def _answers(key_bits: int, table: pa.Table) -> pa.Table:
+    """A segment's answers to all chunks: exact counts of words, filter
+    levels of pairs."""
+    word, word_cuts = _joined(table.column("w"), np.uint64)
+    _, at = np.unique(word, return_inverse=True)
+    counts = np.bincount(at, _joined(table.column("wn"), np.uint32)[0]).astype(np.int64)[at]
+    pair, pair_cuts = _joined(table.column("p"), np.uint64)
+    key, at = np.unique(pair, return_inverse=True)
+    n = np.bincount(at, _joined(table.column("pn"), np.uint32)[0], len(key))
+    level = LogFrequencyFilter(key, n, key_bits).level(key)[at]
+    return pa.Table.from_arrays([table.column("chunk"), table.column("seg"), _cut(counts, word_cuts), _cut(level, pair_cuts)],
+                                names=["chunk", "seg", "wn", "pl"])
+
+
+_OUT = ("n_tokens bigint", "n_known bigint", "train_tokens bigint", "base_score double", "score double")
+
+
+def _scores(exact: np.ndarray, counts: np.ndarray, total: int, norm: float, table: pa.Table, answers: pa.Table) -> pa.Table:
+    """A chunk's texts scored with the answers to what it asked."""
+    own = _Chunk(table, exact)
+    answers = answers.sort_by("seg")
+    c = np.empty(len(own.token))
+    c[own.exact] = counts[own.exact_at]
+    c[~own.exact] = _joined(answers.column("wn"), np.int64)[0][own.word_at]
+    both = middle(_joined(answers.column("pl"), np.int8)[0])[own.pair_at]
+    end = np.cumsum(own.count) - 1
+    context = np.empty(len(c))
+    context[1:] = c[:-1]
+    # The end before a document's first token is any document's end.
+    context[end - own.count + 1] = c[end]
+    p = (np.minimum(np.minimum(both, c), context) + PRIOR * (c + 0.5) / norm) / (context + PRIOR)
+    n = len(own.count)
+    return pa.Table.from_arrays(
+        [table.column("doc_id"), table.column("held_out"), pa.array(own.count.astype(np.int64)),
+         pa.array(np.bincount(own.doc, c > 0, n).astype(np.int64)), pa.array(np.full(n, total, np.int64)),
+         pa.array(np.bincount(own.doc, np.log10((c + 0.5) / norm), n)), pa.array(np.bincount(own.doc, np.log10(p), n))],
+        names=["doc_id", "held_out", *[o.split(" ")[0] for o in _OUT]])
 
 
 def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", held_out: int = 1,
@@ -332,30 +263,22 @@ def score_texts(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", h
     """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score,
     score.  Rows of fold ``held_out`` are not learnt from."""
     spark = df.sparkSession
-    base = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("t"),
+    base = df.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("t"),
                      (fold(F.col(f"`{id_col}`"), folds) == held_out).alias("held_out"))
-    model = fit(base.filter("NOT held_out"), "t")
-    norm = model["tokens"] + 0.5 * (model["types"] + 1)
-    shared = spark.sparkContext.broadcast((model["filter"], model["exact_keys"], model["exact_counts"],
-                                           model["tokens"], norm))
-    types = dict(base.dtypes)
-    names = ["doc_id", "held_out", "n_tokens", "known", "base", "score", "tail", "pending"]
-    schema = (f"doc_id {types['doc_id']}, held_out boolean, n_tokens bigint, known bigint, base double, "
-              "score double, tail array<struct<k:bigint,n:int>>, "
-              f"pending array<struct<{','.join(f'{name}:{t}' for name, t in _PENDING)}>>")
-    rows = base.select("doc_id", "held_out", "t").mapInArrow(lambda it: _score_rows(shared, 2, names, it), schema)
-    rows = written(rows.withColumn("uid", F.monotonically_increasing_id()), "lm-scores")
-    rare = rows.select("uid", F.explode("tail").alias("w")).select("uid", F.col("w.k").alias("k"), F.col("w.n").alias("tf"))
-    found = (rare.join(model["words"], "k", "left")
-             .select("uid", (F.col("tf") * F.log10((F.coalesce("n", F.lit(0)) + 0.5) / F.lit(float(norm)))).alias("rare"),
-                     F.when(F.col("n") > 0, F.col("tf")).otherwise(0).alias("rare_known"), F.lit(0.0).alias("late")))
-    if any(model["filter"].floor.values()):
-        late = _late(rows, model, float(norm))
-        found = found.unionByName(late.select("uid", F.lit(0.0).alias("rare"), F.lit(0).alias("rare_known"), "late"))
-    found = found.groupBy("uid").agg(*[F.sum(c).alias(c) for c in ("rare", "rare_known", "late")])
-    return (rows.join(found, "uid", "left")
-            .select("doc_id", "held_out", "n_tokens",
-                    (F.col("known") + F.coalesce("rare_known", F.lit(0))).cast("long").alias("n_known"),
-                    F.lit(model["tokens"]).cast("long").alias("train_tokens"),
-                    (F.col("base") + F.coalesce("rare", F.lit(0.0))).alias("base_score"),
-                    (F.col("score") + F.coalesce("late", F.lit(0.0))).alias("score")))
+    model = fit(base, "t")
+    norm = float(model["tokens"] + 0.5 * (model["types"] + 1))
+    total = model["tokens"]
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    segments = max(parts, ceil(model["asked"] / SEG_KEYS))
+    shared = spark.sparkContext.broadcast((model["exact_keys"], model["exact_counts"]))
+    row = F.monotonically_increasing_id()
+    # Both passes read this exchange with all of its columns: Spark runs it once.
+    dealt = base.withColumn("row", row).select(
+        "doc_id", "t", "held_out", F.when(F.octet_length("t") > LONG, -1 - F.col("row"))
+        .otherwise(F.floor(F.col("row") / CHUNK_ROWS)).alias("chunk")).repartition(parts, "chunk")
+    asks = dealt.groupBy("chunk").applyInArrow(lambda t: _asks(shared.value[0], segments, t), _ASKS)
+    bits = KEY_BITS
+    answers = asks.groupBy("seg").applyInArrow(lambda t: _answers(bits, t), _ANSWERS).repartition(parts, "chunk")
+    schema = f"doc_id {dict(base.dtypes)['doc_id']}, held_out boolean, {', '.join(_OUT)}"
+    return dealt.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(
+        lambda t, a: _scores(*shared.value, total, norm, t, a), schema)
