@@ -178,23 +178,25 @@ class _Chunk:
 
 
 def _cut(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """``values`` between consecutive ``cuts``, as binary values."""
-    offsets = (cuts * values.itemsize).astype(np.int32)
-    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)])
+    """``values`` between consecutive ``cuts``, as binary values: the number
+    of values, then their first bytes, second bytes and so on, compressed.
+    (High bytes of ascending keys and counts repeat.)"""
+    flat = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize)
+    return pa.array([np.uint32(b - a).tobytes() + pa.compress(flat[a:b].T.tobytes(), codec="zstd", asbytes=True) if b > a else b""
+                     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
 
 
 def _joined(column: pa.ChunkedArray, dtype: type) -> tuple[np.ndarray, np.ndarray]:
-    """The values of all rows of a binary column in a row, and the cuts."""
+    """The values of all rows of a column made by ``_cut``, and the cuts."""
     width = np.dtype(dtype).itemsize
-    out, sizes = [np.zeros(0, dtype)], [np.zeros(1, np.int64)]
-    for c in column.chunks:
-        c = c.cast(pa.large_binary())
-        if len(c):
-            offsets = np.frombuffer(c.buffers()[1], np.int64)[c.offset:c.offset + len(c) + 1]
-            if offsets[-1] > offsets[0]:
-                out.append(np.frombuffer(c.buffers()[2], dtype, (offsets[-1] - offsets[0]) // width, offsets[0]))
-            sizes.append(np.diff(offsets) // width)
-    return np.concatenate(out), np.cumsum(np.concatenate(sizes))
+    out, sizes = [np.zeros(0, dtype)], [0]
+    for piece in column.to_pylist():
+        n = int(np.frombuffer(piece, np.uint32, 1)[0]) if piece else 0
+        if n:
+            flat = np.frombuffer(pa.decompress(piece[4:], n * width, codec="zstd", asbytes=True), np.uint8)
+            out.append(np.ascontiguousarray(flat.reshape(width, n).T).view(dtype).ravel())
+        sizes.append(n)
+    return np.concatenate(out), np.cumsum(sizes)
 
 
 _ASKS = "seg int, chunk bigint, w binary, wn binary, p binary, pn binary"

@@ -9,6 +9,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from propspark.llm import lm_bloom
@@ -125,3 +126,14 @@ def test_long_texts_and_only_held_out_rows(spark, held):
     assert sorted(r.n_tokens for r in out) == [1, 2, 3, 80_001]
     assert {r.train_tokens for r in out} == {0 if held else 80_007}
     assert all(r.n_known == (0 if held else r.n_tokens) for r in out)
+
+
+def test_packed_values_come_back():
+    rng = np.random.default_rng(2)
+    for dtype in (np.uint64, np.uint32, np.int64, np.int8):
+        values = np.sort(rng.integers(0, 100, 1000)).astype(dtype)
+        cuts = np.array([0, 0, 10, 10, 999, 1000, 1000])
+        got, at = lm_bloom._joined(pa.chunked_array([lm_bloom._cut(values, cuts)]), dtype)
+        assert got.dtype == values.dtype and (got == values).all() and (at == cuts).all()
+    empty = lm_bloom._cut(np.zeros(0, np.int64), np.zeros(3, np.int64))
+    assert len(lm_bloom._joined(pa.chunked_array([empty]), np.int64)[0]) == 0
