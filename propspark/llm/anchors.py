@@ -187,10 +187,11 @@ def _documents(rows: DataFrame) -> DataFrame:
     shared = written(light.groupBy("__d").agg(F.min("h").alias("lo"), F.max("h").alias("hi"))
                      .filter("lo < hi").select("__d", F.lit(True).alias("__shared")), "shared-ids")
     if shared.isEmpty():
-        # Zero, but no literal and never null: else the passes get other projections and filters, and share no exchange.
-        return rows.withColumn("__s", F.coalesce(F.pmod("__d", F.lit(1)).cast("int"), F.lit(0)))
+        # Zero, but no literal and never null, and of the type of the lists' numbers: else the passes get other
+        # projections, filters and casts, and share no exchange.
+        return rows.withColumn("__s", F.coalesce(F.pmod("__d", F.lit(1).cast("bigint")), F.lit(0).cast("bigint")))
     one = F.col("__shared").isNull()
-    return (rows.join(shared, "__d", "left").withColumn("__s", F.when(one, 0).otherwise(1))
+    return (rows.join(shared, "__d", "left").withColumn("__s", F.when(one, 0).otherwise(1).cast("bigint"))
             .withColumn("__d", F.when(one, F.col("__d")).otherwise(F.xxhash64("__d", "__text"))).drop("__shared"))
 
 
