@@ -15,7 +15,7 @@ from propspark.functions import scalar as S
 from propspark.constants import POI_CATEGORIES
 from propspark.functions.geo import lambert93_sql, with_ring_centroid
 from propspark.functions.scalar import name_or_empty
-from propspark.operators import impute, spatial
+from propspark.operators import impute, point_links, spatial
 from propspark.plans.bindings import (DRIVER_RADII, category_sql, customer_points, lat_sql, lon_sql,
                                       poi_suppliers, radius_case_sql, table)
 from propspark.plans.registry import register, with_ctes
@@ -287,6 +287,19 @@ def poi_same_name_pairs(spark, d):
     return spatial.same_name_edges(_named_suppliers(spark, d), DEDUP_THRESHOLD_DRIVER)
 
 
+_SIDE = repr(point_links.CELL * DEDUP_THRESHOLD_DRIVER)
+
+
+@register("poi_same_name_classes", with_ctes(_NAMED_SQL) + f"""
+SELECT a.ord, min(a.ord) OVER (PARTITION BY a.name, floor(a.x / {_SIDE}), floor(a.y / {_SIDE})) AS class_id,
+       (SELECT count(*) FROM pts b WHERE b.name = a.name AND b.ord <> a.ord
+        AND sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y)) <= {DEDUP_THRESHOLD_DRIVER!r}) AS n_links
+FROM pts a""")
+def poi_same_name_classes(spark, d):
+    """J9 as classes: each POI's class and its number of links."""
+    return point_links.same_name_links(_named_suppliers(spark, d), DEDUP_THRESHOLD_DRIVER)[0]
+
+
 @register("poi_dedup_greedy", "WITH RECURSIVE " + _NAMED_SQL + f""",
 seq AS (SELECT row_number() OVER (ORDER BY ord) AS rn, * FROM pts),
 g(rn, kept) AS (
