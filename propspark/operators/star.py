@@ -5,7 +5,9 @@ key, first row by the stated order wins, as INSERT OR IGNORE keeps the
 first).  Facts get consecutive surrogate ids from the distributed numbering
 of ``ranking.consecutive_ids``; ``biens``, ``proximite`` and ``mutations``
 share one numbered frame, so their ids advance in lockstep (one property
-row per sale, Q14).
+row per sale, Q14).  With ``shared`` the flat table's used columns are written
+once in the shared folder, and dimensions and facts all read that table, so
+the joins that make the flat table run once.
 """
 
 from __future__ import annotations
@@ -17,6 +19,7 @@ from propspark.constants import POI_CATEGORIES
 from propspark.functions.scalar import empty_to_null_double
 from propspark.operators.dedup import distinct_dim
 from propspark.operators.ranking import consecutive_ids
+from propspark.session import shared_table
 
 DEPT_MEASURES = {
     "nb_menages_2021_departement": "nb_menages_2021",
@@ -98,10 +101,16 @@ class StarTables(dict):
 def build_star(df: DataFrame, order: list[str], categories=POI_CATEGORIES,
                dept_measures=DEPT_MEASURES, commune_measures=COMMUNE_MEASURES,
                indicator_measures=INDICATOR_MEASURES, bien_cols=BIEN_COLUMNS,
-               mutation_cols=MUTATION_COLUMNS) -> StarTables:
+               mutation_cols=MUTATION_COLUMNS, shared: bool = False) -> StarTables:
     """K3: the six star tables from the model-ready flat table.
 
-    Coordinates given as text are typed with F20 (empty -> NULL)."""
+    Coordinates given as text are typed with F20 (empty -> NULL).  ``shared``
+    is for a flat table that is costly to compute, when several of the tables
+    are read; one that is read from files needs none."""
+    if shared:
+        used = ["code_departement", *dept_measures, "code_commune", *commune_measures, "date_mutation",
+                *indicator_measures, *order, *bien_cols, *proximity_columns(categories), *mutation_cols]
+        df = shared_table(df.select(*dict.fromkeys(used)), "flat")
 
     def facts():
         numbered = number_facts(df, order)

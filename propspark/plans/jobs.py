@@ -3,7 +3,8 @@
 ``sales_job`` runs E1 and E2 on the driver tables: the model-ready sale
 table is written as Parquet partitioned by year (K1), the six star tables
 are built from the written table and written next to it, and the views are
-registered over the written tables (K5).  Every stage reads what the
+registered over the written tables (K5).  The fact tables are bucketed by
+``id_bien``, so they join each other without a shuffle.  Every stage reads what the
 previous one wrote, so lineage is cut by tables in the output folder
 (which on a cluster is a shared folder).
 """
@@ -21,7 +22,7 @@ from propspark.operators.listings import build_listings
 from propspark.plans import views
 from propspark.plans.bindings import MACRO_MEASURES
 from propspark.plans.q_pipeline import sales_model_ready_df
-from propspark.sources.files import write_table
+from propspark.sources.files import write_bucketed, write_table
 from propspark.sources.listings import read_listings, type_listing
 from propspark.sources.map_elements import extract_poi
 
@@ -30,9 +31,10 @@ STAR_BIEN_COLUMNS = ["id_parcelle", "type_local", "surface_reelle_bati", "surfac
                      "type_local__Maison", "type_local__Appartement"]
 
 
-def sales_job(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, DataFrame]:
+def sales_job(spark: SparkSession, sf_dir: str, out_dir: str, buckets: int | None = None) -> dict[str, DataFrame]:
     """E1 + E2: model-ready table and star schema written under ``out_dir``;
-    returns the written tables (read back) and registers the views."""
+    returns the written tables (read back) and registers the views.  The
+    facts have ``buckets`` buckets (default: the session's shuffle partitions)."""
     model_path = os.path.join(out_dir, "sales_final")
     write_table(sales_model_ready_df(spark, sf_dir), model_path, partition_by=["annee"])
     model = spark.read.parquet(model_path)
@@ -40,10 +42,13 @@ def sales_job(spark: SparkSession, sf_dir: str, out_dir: str) -> dict[str, DataF
     tables = star.build_star(model, ["id_parcelle"], bien_cols=STAR_BIEN_COLUMNS,
                              indicator_measures={m: m for m in MACRO_MEASURES})
     written = {}
-    for name in ("departements", "communes", "indicateurs_economiques", "biens", "proximite", "mutations"):
+    for name in ("departements", "communes", "indicateurs_economiques"):
         path = os.path.join(out_dir, name)
         write_table(tables[name], path)
         written[name] = spark.read.parquet(path)
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for name in ("biens", "proximite", "mutations"):
+        written[name] = write_bucketed(tables[name], os.path.join(out_dir, name), f"fact_{name}", "id_bien", buckets)
 
     named_views = {
         "vue_transactions_completes": views.complete_transactions(

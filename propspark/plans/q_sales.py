@@ -535,8 +535,8 @@ _FLAT_SQL = """flat AS (
   LEFT JOIN macro m ON strftime(s.date_mutation, '%Y-%m') = strftime(m."Date", '%Y-%m'))"""
 
 
-def _star(spark, d):
-    return star.build_star(_flat(spark, d), ["id_mutation"], categories=[],
+def _star(spark, d, shared=False):
+    return star.build_star(_flat(spark, d), ["id_mutation"], categories=[], shared=shared,
                            indicator_measures={m: m for m in MACRO_MEASURES},
                            bien_cols=["id_parcelle", "type_local", "surface_reelle_bati", "surface_terrain",
                                       "type_local__F", "type_local__O", "type_local__P"])
@@ -768,6 +768,7 @@ LEFT JOIN flat m ON c.code_commune = m.code_commune
 GROUP BY d.code_departement, d.revenu_median_2021, d.taux_chomage_2023""")
 def star_department_stats(spark, d):
     """E2 end to end: flat table -> star schema (K3) -> department view (V3)
-    over the star's own dimension and fact tables."""
-    st = _star(spark, d)
+    over the star's own dimension and fact tables, all read from one written
+    flat table."""
+    st = _star(spark, d, shared=True)
     return views.department_stats(st["departements"], st["communes"], st["mutations"])

@@ -8,6 +8,7 @@ folder when the cluster already names one in ``spark.checkpoint.dir``.
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -81,3 +82,11 @@ def reliable_checkpoint(df):
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
+
+def shared_table(df, name: str):
+    """``df`` written as Parquet in the shared folder and read again: cuts
+    lineage like a reliable checkpoint, and keeps column pruning."""
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -24,6 +24,17 @@ def test_sales_job_writes_partitioned_model_and_star(spark, tmp_dir):
     joined = out["mutations"].join(out["biens"], "id_bien").count()
     assert joined == n
     assert spark.sql("SELECT sum(nb_transactions) AS s FROM vue_stats_departement").first().s == n
+    # The facts are bucketed by sale: they join without an exchange.
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        facts = out["mutations"].join(out["biens"], "id_bien").select("valeur_fonciere", "id_parcelle")
+        plan = facts._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    again = sales_job(spark, SF, os.path.join(tmp_dir, "out"))
+    assert again["mutations"].count() == n
 
 
 def test_listings_job_last_wins_and_views(spark, tmp_dir):
@@ -59,3 +70,15 @@ def test_poi_job_writes_one_folder_per_category(spark, tmp_dir):
     parts = sorted(p for p in os.listdir(os.path.join(tmp_dir, "out", "poi")) if p.startswith("category="))
     assert parts == ["category=gares", "category=pharmacies"]
     assert sorted((r.category, r.id) for r in out.collect()) == [("gares", 3), ("pharmacies", 1)]
+
+
+def test_star_from_one_written_flat_table(spark):
+    """The tables of a shared star read the written flat table, not its joins."""
+    from propspark.plans.q_sales import _star
+    st = _star(spark, SF, shared=True)
+    plain = _star(spark, SF)
+    for name in ("departements", "communes", "indicateurs_economiques"):
+        plan = st[name]._jdf.queryExecution().executedPlan().toString()
+        assert "Join" not in plan and plan.count("FileScan") == 1
+        key = st[name].columns[0]
+        assert st[name].orderBy(key).collect() == plain[name].orderBy(key).collect()
