@@ -23,8 +23,8 @@ from __future__ import annotations
 import hashlib
 import json
 import unicodedata
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -84,6 +84,7 @@ class Vocabulary:
         self.text = {i: t for t, i in ids.items()}
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         self.text |= {i: t for t, i in self.special.items()}
+        self.one = {i: i for i in self.text}  # one object per identifier, however often it is kept
         size = max(self.text) + 1
         self.left, self.right = np.full(size, -1, np.int64), np.full(size, -1, np.int64)
         self.rank = np.full(size, -1, np.int64)
@@ -114,10 +115,11 @@ class Vocabulary:
         for t, k in ids.items():
             if sound[k]:
                 self.propose[t[:-len(suffix)] + _END if k in ends and suffix else t] = k
-        #: Longest proposal by its first two letters.
+        #: Longest proposal by its first four letters, if longer than three.
         self.reach = {}
         for t in self.propose:
-            self.reach[t[:2]] = max(self.reach.get(t[:2], 1), len(t))
+            if len(t) > 3:
+                self.reach[t[:4]] = max(self.reach.get(t[:4], 3), len(t))
         self.byte_ids, self.last_ids = np.array(self.byte, np.int64), np.array(self.last, np.int64)
 
     def apart(self, a: np.ndarray, b: np.ndarray, until: np.ndarray | None = None) -> np.ndarray:
@@ -148,7 +150,7 @@ class Vocabulary:
         """Longest matches from the left; ``word`` ends with the end mark."""
         out, i, n, get, reach = [], 0, len(word), self.propose.get, self.reach.get
         while i < n:
-            for j in range(min(n, i + reach(word[i:i + 2], 1)), i, -1):
+            for j in range(min(n, i + reach(word[i:i + 4], 3)), i, -1):
                 if j != n - 1 and (k := get(word[i:j])) is not None:
                     out.append(k)
                     i = j
@@ -208,7 +210,7 @@ class Vocabulary:
             rank[change] = self._ranks(symbol[change], symbol[change + 1])
         symbol, word = np.concatenate(done_symbol), np.concatenate(done_word)
         order = np.argsort(word, kind="stable")
-        flat, cuts = symbol[order].tolist(), np.cumsum(np.bincount(word, minlength=len(words))).tolist()
+        flat, cuts = list(map(self.one.__getitem__, symbol[order].tolist())), np.cumsum(np.bincount(word, minlength=len(words))).tolist()
         return [flat[a:b] for a, b in zip([0, *cuts], cuts)]
 
 
@@ -259,18 +261,18 @@ def _pattern(spec: dict) -> str:
 
 class Encoder:
     """Encodes texts, keeping words already seen (bounded).  ``tables`` of the
-    word pattern come from the driver; without ``strings`` only identifiers
-    are made."""
+    word pattern come from the driver."""
 
-    def __init__(self, spec: dict, tables: tuple[str, str] | None = None, strings: bool = True):
+    def __init__(self, spec: dict, tables: tuple[str, str] | None = None):
         self.vocab = Vocabulary(spec)
         pattern = _pattern(spec)
         self.word = WordPattern(pattern, tables or word_tables(pattern))
-        self.strings = strings
         self.special = regex.compile("(" + "|".join(map(regex.escape, self.vocab.special)) + ")")
         self.letters = dict(enumerate(byte_letters()))
         self.number = {i: str(i) for i in self.vocab.text}
-        self.kept: dict[str, tuple[array, str, str]] = {}
+        # Tuples of numbers and strings, which Python's garbage collector does not go through again and again.
+        self.kept: dict[str, tuple[tuple[int, ...], str, str]] = {}
+        self.again: set[str] = set()  # kept words met since they were learnt
         self.proposed = self.failed = 0
 
     def pieces(self, text: str) -> list[str]:
@@ -283,14 +285,14 @@ class Encoder:
                 out += self.word.find(part)
         return out
 
-    def learn(self, words: set[str]) -> dict[str, tuple[array, str, str]]:
+    def learn(self, words: set[str]) -> dict[str, tuple[tuple[int, ...], str, str]]:
         """Tokens, identifiers as text and decoded text of new words."""
         new = [w for w in words if w not in self.vocab.special]
-        raw = [w.encode() for w in new]
-        proposed = [self.vocab.greedy((w if w.isascii() and w.isprintable() else r.decode("latin-1").translate(self.letters))
-                                      + _END) for w, r in zip(new, raw)]
-        length = np.array([len(p) for p in proposed], np.int64)
-        flat = np.array([k for p in proposed for k in p], np.int64)
+        greedy = self.vocab.greedy
+        proposed = [greedy((w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(self.letters))
+                           + _END) for w in new]
+        length = np.array(list(map(len, proposed)), np.int64)
+        flat = np.array(list(chain.from_iterable(proposed)), np.int64)
         bad: set[int] = set()
         if len(flat):
             owner = np.repeat(np.arange(len(new)), length)
@@ -301,38 +303,41 @@ class Encoder:
         self.proposed += len(new)
         self.failed += len(bad)
         if bad:
-            for k, ids in zip(sorted(bad), self.vocab.exact([raw[k] for k in sorted(bad)])):
+            for k, ids in zip(sorted(bad), self.vocab.exact([new[k].encode() for k in sorted(bad)])):
                 proposed[k] = ids
         number, text, out = self.number.__getitem__, self.vocab.text.__getitem__, {}
         for w, ids in zip(new, proposed):
-            out[w] = (array("i", ids), " ".join(map(number, ids)), " ".join(map(text, ids))) if self.strings else (array("i", ids), "", "")
+            out[w] = tuple(ids), " ".join(map(number, ids)), " ".join(map(text, ids))
         for w in words - set(new):
             i = self.vocab.special[w]
-            out[w] = array("i", [i]), str(i), w
+            out[w] = (i,), str(i), w
         return out
 
-    def encode(self, texts: list[str]) -> Iterator[list[tuple[array, str, str]]]:
+    def encode(self, texts: list[str]) -> Iterator[list[tuple[tuple[int, ...], str, str]]]:
         """Per text, the entries of its words."""
         cut = [self.pieces(t) for t in texts]
-        if len(self.kept) > KEPT_WORDS:
-            self.kept = {}
-        fresh = set().union(*cut) - self.kept.keys()
+        if len(self.kept) > KEPT_WORDS:  # words met once make room
+            self.kept = {w: self.kept[w] for w in self.again} if len(self.again) <= 0.8 * KEPT_WORDS else {}
+            self.again = set()
+        words = set().union(*cut)
+        fresh = words - self.kept.keys()
+        self.again |= words - fresh
         made = self.learn(fresh)
         self.kept |= {w: e for w, e in made.items() if len(w) <= KEPT_CHARS}
         look = self.kept if all(len(w) <= KEPT_CHARS for w in fresh) else self.kept | made
-        for words in cut:
-            yield [look[w] for w in words]
+        for part in cut:
+            yield [look[w] for w in part]
 
 
-_ENCODERS: dict[tuple[str, bool], Encoder] = {}
+_ENCODERS: dict[str, Encoder] = {}
 
 
-def _encoder(path: str, strings: bool, shared) -> Encoder:
-    """One encoder per worker process; another file or kind replaces it."""
-    if (path, strings) not in _ENCODERS:
+def _encoder(path: str, shared) -> Encoder:
+    """One encoder per worker process; another file replaces it."""
+    if path not in _ENCODERS:
         _ENCODERS.clear()
-        _ENCODERS[path, strings] = Encoder(*shared.value, strings)
-    return _ENCODERS[path, strings]
+        _ENCODERS[path] = Encoder(*shared.value)
+    return _ENCODERS[path]
 
 
 def decode(ids: list[int], vocab: Vocabulary) -> str:
@@ -352,18 +357,18 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", carry: list[s
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
     shared = df.sparkSession.sparkContext.broadcast((spec, word_tables(_pattern(spec))))  # fixed size: the vocabulary
-    strings = not set(outputs) <= {"ids", "n_tokens"}
     carry = carried(df, carry, outputs)
     types = dict(df.dtypes)
     schema = ", ".join([f"`{c}` {types[c]}" for c in carry] + [f"{o} {OUTPUTS[o]}" for o in outputs])
-    make = {"ids": lambda e: [i for w in e for i in w[0]], "n_tokens": lambda e: sum(len(w[0]) for w in e),
-            "ids_sha256": lambda e: _sha(" ".join([w[1] for w in e])), "decoded": lambda e: " ".join([w[2] for w in e]),
-            "decoded_sha256": lambda e: _sha(" ".join([w[2] for w in e]))}
+    # Of the identifiers, numbers and strings of a text's words.
+    make = {"ids": lambda i, s, t: list(chain.from_iterable(i)), "n_tokens": lambda i, s, t: sum(map(len, i)),
+            "ids_sha256": lambda i, s, t: _sha(" ".join(s)), "decoded": lambda i, s, t: " ".join(t),
+            "decoded_sha256": lambda i, s, t: _sha(" ".join(t))}
     arrow = {"ids": pa.list_(pa.int32()), "n_tokens": pa.int64(), "ids_sha256": pa.string(),
              "decoded": pa.string(), "decoded_sha256": pa.string()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(path, strings, shared)
+        encoder = _encoder(path, shared)
         for batch in batches:
             texts = batch.column(len(carry))
             first = 0
@@ -374,7 +379,10 @@ def encode_texts(df: DataFrame, path: str, text_col: str = "text", carry: list[s
                     chars += sizes[end]
                     end += 1
                 part = texts.slice(first, end - first).fill_null("").to_pylist()
-                made = [[make[o](e) for o in outputs] for e in encoder.encode(part)]
+                made = []
+                for entries in encoder.encode(part):
+                    own = list(zip(*entries)) or [(), (), ()]
+                    made.append([make[o](*own) for o in outputs])
                 columns = [batch.column(k).slice(first, end - first) for k in range(len(carry))]
                 columns += [pa.array([m[k] for m in made], arrow[o]) for k, o in enumerate(outputs)]
                 yield pa.RecordBatch.from_arrays(columns, names=[*carry, *outputs])

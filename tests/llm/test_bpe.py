@@ -82,3 +82,28 @@ def test_rows(spark, library):
         assert (r["ids"], r["n_tokens"]) == (want, len(want))
         assert r["ids_sha256"] == hashlib.sha256(" ".join(map(str, want)).encode()).hexdigest()
     assert bpe.encode_texts(df.limit(0), PATH).count() == 0
+
+
+def test_words_met_again_outlive_a_full_table(encoder, monkeypatch):
+    monkeypatch.setattr(bpe, "KEPT_WORDS", 50)
+    encoder.kept, encoder.again = {}, set()
+    common = " ".join(f"zq{c}word" for c in "abcdefghij")
+    learnt = []
+    for i in range(6):
+        before = encoder.proposed
+        list(encoder.encode([common, " ".join(f"x{i}y{k}" for k in "abcdefghijklmnopqrst")]))
+        learnt.append(encoder.proposed - before)
+        assert len(encoder.kept) <= 200
+    # Digits are words of their own: the common words are proposed in the first round only.
+    encoder.proposed = 0
+    list(encoder.encode([common]))
+    assert encoder.proposed == 0 and max(learnt[1:]) < learnt[0]
+
+
+def test_one_object_per_identifier(encoder):
+    encoder.kept, encoder.again = {}, set()
+    one = {}
+    for word, (ids, numbers, text) in encoder.learn({"ththetion", "inansths", "rererer", "zqzqzq", "bbbbbb", "ththerer"}).items():
+        assert isinstance(ids, tuple) and numbers == " ".join(map(str, ids))
+        for i in ids:
+            assert one.setdefault(i, i) is i
