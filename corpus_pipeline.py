@@ -34,9 +34,10 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token identifiers of the remaining documents."""
+    """Token identifiers of the remaining documents, and the texts decoded
+    from them."""
     return bpe.encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"), carry=["doc_id", "lang", "source"],
-                            outputs=("n_tokens", "ids"))
+                            outputs=("n_tokens", "ids", "decoded"))
 
 
 STAGES = [

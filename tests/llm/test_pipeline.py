@@ -49,3 +49,15 @@ def test_query_matches_sql(spark, name):
 
 def test_registered_queries_are_the_thirteen_operators():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+
+
+def test_last_stage_decodes_what_it_encoded(spark):
+    rows = [(1, "Hello WORLD, it's 123", "en", "a", 21), (2, None, "fr", None, 0), (2, "été été", None, "b", 7), (None, "", "en", "a", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    want = []
+    for i, text, lang, source, _ in rows:
+        ids = library.encode(text or "", add_special_tokens=False).ids
+        want.append((i, lang, source, len(ids), ids, library.decode(ids, skip_special_tokens=False)))
+    out = corpus_pipeline.encode(spark, docs, SF).select("doc_id", "lang", "source", "n_tokens", "ids", "decoded").collect()
+    assert sorted(map(tuple, out), key=repr) == sorted(want, key=repr)
