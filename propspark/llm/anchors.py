@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from propspark.llm.arrow_text import Words, chunks, gathered, mix, window_hash, window_starts
+from propspark.llm.arrow_text import Words, chunks, gathered, mix, tidied, window_hash, window_starts
 from propspark.llm.tables import written
 
 WINDOW = 20
@@ -222,7 +222,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     # (An anti join would be pushed below the exchange, which then differs.)
     anchors = (dealt.join(copies.withColumn("__copy", F.lit(True)), ["__d", "__s"], "left")
                .filter("__copy IS NULL").select(*columns)
-               .mapInArrow(lambda batches: _anchor_rows(width, cells, batches),
+               .mapInArrow(lambda batches: tidied(_anchor_rows(width, cells, batches)),
                            "cell int, k array<bigint>, d array<bigint>, ref array<bigint>, known array<boolean>"))
     by_key = Window.partitionBy("cell").orderBy("k")
     anchors = (_dealt_rows(anchors, parts, ["k", "d", "ref", "known"])
@@ -234,7 +234,7 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                 .agg(F.collect_list(F.col("ref").bitwiseAND(F.lit(int(_POS)))).alias("__at")))
 
     windows = (dealt.join(by_document(anchors), ["__d", "__s"]).select(*columns, "__at")
-               .mapInArrow(lambda batches: _window_rows(window, width, cells, batches),
+               .mapInArrow(lambda batches: tidied(_window_rows(window, width, cells, batches)),
                            "cell int, k array<bigint>, c array<int>, d array<bigint>, ref array<bigint>, "
                            "known array<boolean>"))
     by_window = Window.partitionBy("cell").orderBy("k", "c", "known", "d", "ref")
@@ -249,4 +249,4 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     final = dealt.join(found, ["__d", "__s"], "left").select(*columns, "__at", "__copy")
     schema = ", ".join([f"`{c}` {types[c]}" for c in carry]
                        + [f"{o} {'bigint' if o.startswith('n_') else 'string'}" for o in outputs])
-    return final.mapInArrow(lambda batches: _result_rows(window, outputs, carry, batches), schema)
+    return final.mapInArrow(lambda batches: tidied(_result_rows(window, outputs, carry, batches)), schema)

@@ -6,6 +6,7 @@ UTF-8 bytes of a chunk of documents: no Python object per word.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -56,21 +57,51 @@ def gathered(batches: Iterator[pa.RecordBatch], text: int, limit: int) -> Iterat
         held.append(batch)
         size += batch.column(text).nbytes
         if size >= limit:
-            yield pa.concat_batches(held) if len(held) > 1 else held[0]
-            held, size = [], 0
+            full = pa.concat_batches(held) if len(held) > 1 else held[0]
+            held, size = [], 0  # not held twice while the joined one is worked on
+            del batch
+            yield full
     if held:
         yield pa.concat_batches(held) if len(held) > 1 else held[0]
 
 
+def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``batches`` of a task, at whose end freed memory goes back to the
+    system, as the worker lives on."""
+    yield from batches
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # the C library's, where it has one
+    if trim is not None:
+        trim(0)
+
+
 def _powers(n: int) -> np.ndarray:
     out = np.full(n, _BASE, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
 
 
+#: Bytes whose words are hashed at once: some ten arrays of 8 bytes a byte.
+HASH_BYTES = 1 << 16
+
+
+def _hashes(data: np.ndarray, inside: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Hashes of the words that begin at ``starts``."""
+    at = np.flatnonzero(inside)
+    begin = np.flatnonzero(starts[at])  # of each word within the kept bytes
+    if not len(begin):
+        return np.zeros(0, np.uint64)
+    length = np.diff(np.append(begin, len(at)))
+    within = np.arange(len(at)) - np.repeat(begin, length)
+    value = _TABLE[data[at]]
+    value *= _powers(int(length.max()))[within]
+    return mix(np.add.reduceat(value, begin) + length.astype(np.uint64))
+
+
 class Words:
     """Words of a chunk: ``hash`` (uint64) of each, and ``first`` (index of
-    the first word of each document, one more at the end)."""
+    the first word of each document, one more at the end).  Hashed in pieces
+    that end where words begin, so that little memory is needed."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
         space = (data == 32) | ((data >= 9) & (data <= 13))
@@ -80,19 +111,14 @@ class Words:
         edge = offsets[:-1][offsets[:-1] < len(data)]
         starts[edge] = inside[edge]
         self.start = np.flatnonzero(starts)
-        at = np.flatnonzero(inside)
-        body = data[at]
         if lower:
-            body = np.where((body >= 65) & (body <= 90), body + 32, body).astype(np.uint8)
-        begin = np.flatnonzero(starts[at])  # of each word within the kept bytes
-        if len(begin):
-            length = np.diff(np.append(begin, len(at)))
-            within = np.arange(len(at)) - np.repeat(begin, length)
-            powers = _powers(int(length.max()))
-            value = _TABLE[body] * powers[within]
-            self.hash = mix(np.add.reduceat(value, begin) + length.astype(np.uint64))
-        else:
-            self.hash = np.zeros(0, np.uint64)
+            data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
+        self.hash = np.empty(len(self.start), np.uint64)
+        cut = np.searchsorted(self.start, np.arange(HASH_BYTES, len(data), HASH_BYTES))
+        cuts = np.unique(np.concatenate([[0], cut, [len(self.start)]]))
+        for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            lo, hi = self.start[a], self.start[b] if b < len(self.start) else len(data)
+            self.hash[a:b] = _hashes(data[lo:hi], inside[lo:hi], starts[lo:hi])
         self.first = np.searchsorted(self.start, offsets)
         self.count = np.diff(self.first)
 

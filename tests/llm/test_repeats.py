@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
-from propspark.llm import anchors
+from propspark.llm import anchors, arrow_text
 
 
 def brute(rows, window):
@@ -97,3 +99,25 @@ def test_texts_are_exchanged_once(spark):
     docs = spark.range(50).selectExpr("id AS doc_id", "concat('a b c ', id) AS text")
     plan = anchors.remove_repeats(docs)._jdf.queryExecution().executedPlan().toString()
     assert "cast(__s" not in plan  # another key type would be another exchange
+
+
+@pytest.mark.parametrize("lower", [False, True])
+def test_words_hashed_in_pieces(monkeypatch, lower):
+    rng = random.Random(5)
+    texts = ["".join(rng.choice(" \n\tabCDé") for _ in range(rng.randint(0, 300))) for _ in range(500)] + ["", " ", "y" * 9000, None]
+    (_, _, data, offsets), = arrow_text.chunks(pa.array(texts))
+    made = []
+    for size in (7, 100, 1 << 16, 1 << 30):
+        monkeypatch.setattr(arrow_text, "HASH_BYTES", size)
+        made.append(arrow_text.Words(data, offsets, lower))
+    assert len({w.hash.tobytes() for w in made}) == len({w.first.tobytes() for w in made}) == 1
+    words = [w for t in texts for w in (t or "").encode().split()]
+    assert len(words) == len(made[0].hash) == made[0].first[-1]
+
+
+def test_hashing_words_takes_little_memory():
+    (_, _, data, offsets), = arrow_text.chunks(pa.array(["some words of a text " * 50] * 1800), 2 << 20)
+    tracemalloc.start()
+    arrow_text.Words(data, offsets)
+    assert tracemalloc.get_traced_memory()[1] < 30e6  # in one piece: about 70 MB
+    tracemalloc.stop()
