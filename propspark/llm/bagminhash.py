@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from propspark.llm.arrow_text import Words, chunks, mix, window_hash
+from propspark.llm.arrow_text import Words, chunks, mix, tidied, window_hash
 from propspark.llm.components import components
 from propspark.llm.tables import find_package, spare_name, written
 
@@ -47,6 +47,8 @@ SIMILARITY = 0.8
 BANDS = 40
 ROWS = 7
 CHUNK = 1 << 20
+#: Documents whose points are drawn at once, some 5 m for each in a round.
+DOCS_AT_ONCE = 64
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 _TICKS = 2.0**32
 
@@ -71,7 +73,16 @@ def multisets(words: Words, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndar
 
 
 def signatures(doc: np.ndarray, key: np.ndarray, count: np.ndarray, n_docs: int, m: int) -> np.ndarray:
-    """(n_docs, m) earliest points; a document without shingles has zeros."""
+    """(n_docs, m) earliest points; a document without shingles has zeros.
+    ``doc`` is in order."""
+    out = np.zeros((n_docs, m), np.uint64)
+    for a in range(0, n_docs, DOCS_AT_ONCE):
+        some = slice(*np.searchsorted(doc, [a, a + DOCS_AT_ONCE]))
+        out[a:a + DOCS_AT_ONCE] = _points(doc[some] - a, key[some], count[some], min(DOCS_AT_ONCE, n_docs - a), m)
+    return out
+
+
+def _points(doc: np.ndarray, key: np.ndarray, count: np.ndarray, n_docs: int, m: int) -> np.ndarray:
     best = np.full(n_docs * m, np.iinfo(np.int64).max)
     sig = np.zeros(n_docs * m, np.uint64)
     # A process for each shingle and piece of the weight axis below its count.
@@ -169,7 +180,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str, similarity: float, bands
     class_size, kept."""
     find_package(df.sparkSession)
     base = df.select(F.col(f"`{id_col}`").cast("bigint").alias("id"), F.col(f"`{text_col}`").alias("t")).withColumn("h", F.xxhash64("t"))
-    sketch = written(base.select("id", "h", "t").mapInArrow(lambda it: _sketch_rows(bands, rows, it),
+    sketch = written(base.select("id", "h", "t").mapInArrow(lambda it: tidied(_sketch_rows(bands, rows, it)),
                                                             "id bigint, h bigint, node bigint, size bigint, bands array<bigint>")
                      .withColumn("row", F.monotonically_increasing_id()), "sketch")
     # A node's text is found again by identifier and text hash: rows without identifier differ by the latter.
@@ -192,7 +203,7 @@ def _classes(df: DataFrame, id_col: str, text_col: str, similarity: float, bands
     # The multisets of all nodes that share a bucket.
     members = entries.select("node").distinct().join(nodes.select("node", F.col("of.h").alias("nh"), F.col("of.id").alias("nid")), "node")
     texts = base.join(members, (base["h"] == members["nh"]) & base["id"].eqNullSafe(members["nid"])).select("node", "t")
-    sets = written(texts.mapInArrow(_element_rows, "node bigint, elements array<bigint>")
+    sets = written(texts.mapInArrow(lambda it: tidied(_element_rows(it)), "node bigint, elements array<bigint>")
                    .dropDuplicates(["node"]), "sets")
 
     def verified(pairs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -119,3 +120,14 @@ def test_components_of_a_chain_and_a_star(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r["node"]: r["root"] for r in components(df).collect()}
     assert got == {i: 100 for i in range(101, 401)} | {k: 1 for k in range(1000, 1100)}
+
+
+def test_points_of_many_short_documents_take_little_memory():
+    n = 1000
+    doc, key = np.repeat(np.arange(n), 3), np.arange(3 * n).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    count = np.ones(3 * n, np.int64)
+    tracemalloc.start()
+    sig = bagminhash.signatures(doc, key, count, n, 280)
+    assert tracemalloc.get_traced_memory()[1] < 50e6  # one block for all: about 200 MB
+    tracemalloc.stop()
+    assert (bagminhash.signatures(doc[-3:] - (n - 1), key[-3:], count[-3:], 1, 280) == sig[-1]).all()
