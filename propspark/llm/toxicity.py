@@ -10,13 +10,15 @@ score of a token is the largest weight of its plain word and the word's
 character n-grams, and a text's score is a logistic model over the scores of
 its distinct tokens.
 
-Learning: at most ``LABEL_ROWS`` labelled rows (a bounded, documented sample)
-are joined to their texts, which are not shuffled for it; word counts by label
-are combined over their distinct texts outside the held-out fold; weights are log-odds; at most ``MODEL_WORDS`` words, ``MODEL_GRAMS`` n-grams
+Learning: all labelled rows outside the held-out fold are joined to their
+texts (up to ``BROADCAST_LABELS`` labels without a shuffle of the texts); word
+counts by label are combined over the distinct texts of all folds but one;
+weights are log-odds; at most ``MODEL_WORDS`` words, ``MODEL_GRAMS`` n-grams
 and ``MODEL_TRIGRAMS`` trigrams, the heaviest, are kept and broadcast.  The
-logistic model is fitted on about ``FIT_ROWS`` of the labelled rows of one fold
-that the counts leave out, at most.  Labels, language, source
-and identifier are no input of a score.
+logistic model is fitted on all labelled rows of the fold that the counts leave
+out: each of Newton's rounds sums over them on Spark.  The sums are of whole
+numbers, so scores do not depend on how rows are split.  Labels, language,
+source and identifier are no input of a score.
 
 Results for odd input: null and empty texts have no tokens and get the score
 of a text without toxic tokens; repeated rows are scored alike; rows without a
@@ -31,22 +33,22 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from propspark.llm.arrow_text import chunks
+from propspark.llm.arrow_text import chunks, tidied
 from propspark.llm.lm_bloom import fold
 from propspark.llm.tables import carried, find_package, spare_name, written
 
 FOLDS = 5
 HELD_OUT = 0
 FIT_FOLD = 4
-FIT_ROWS = 20_000
-LABEL_ROWS = 200_000
+#: More labels are joined to the texts by a shuffle.
+BROADCAST_LABELS = 200_000
 MODEL_WORDS = 20_000
 MODEL_GRAMS = 20_000
 MODEL_TRIGRAMS = 60_000
@@ -54,6 +56,8 @@ LEAST_COUNT = 3
 LEAST_WEIGHT = 1.0
 KEPT_TOKENS = 150_000
 COMBINE_WORDS = 150_000
+#: Rows of features that a task sums.
+ROWS_A_TASK = 20_000
 #: Longer tokens are cut into pieces of this many characters, all scored;
 #: neighbours share ``OVERLAP``, so no shorter word is cut everywhere.
 TOKEN_CHARS = 64
@@ -249,9 +253,9 @@ def _top(counts: DataFrame, key: str, limit: int) -> dict[str, float]:
 def fit_words(train: DataFrame) -> TokenScores:
     """``train``: text t, label y (0 or 1).  A text that repeats under one
     label counts once, wherever its rows are; for that the labelled texts
-    (bounded by ``LABEL_ROWS``) are shuffled by their hash."""
+    are shuffled by their hash."""
     train = train.withColumn("__h", F.xxhash64("t")).dropDuplicates(["__h", "y"]).select("t", "y")
-    words = written(train.mapInArrow(_word_rows, "w string, n1 bigint, n0 bigint")
+    words = written(train.mapInArrow(lambda batches: tidied(_word_rows(batches)), "w string, n1 bigint, n0 bigint")
                     .groupBy("w").agg(F.sum("n1").alias("n1"), F.sum("n0").alias("n0")), "tox-words")
     marked = F.concat(F.lit("^"), F.col("w"), F.lit("$"))
 
@@ -273,17 +277,59 @@ def fit_words(train: DataFrame) -> TokenScores:
     return TokenScores(_top(words, "w", MODEL_WORDS), _top(grams, "g", MODEL_GRAMS), Channel(model, -9.0))
 
 
-def fit_logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1.0, rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(mean, scale, weights with the constant last) by Newton's method."""
-    mean, scale = x.mean(axis=0), x.std(axis=0) + 1e-6
-    z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
-    w, penalty = np.zeros(z.shape[1]), np.full(z.shape[1], ridge)
+#: Sums are of whole multiples of 2 ** -_UNIT.
+_UNIT = 40
+_LOW = (1 << 30) - 1
+
+
+def _summed(rows: DataFrame, terms: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sums over all ``rows`` (x, y) of ``terms`` (rows x, y: a row of numbers
+    for each).  Numbers are cut into two whole ones of few bits, whose sums
+    neither round nor overflow, whatever their order."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        high = low = 0
+        for batch in batches:
+            if batch.num_rows:
+                flat = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1)
+                value = np.ldexp(terms(flat, batch.column(1).to_numpy(zero_copy_only=False).astype(float)), _UNIT - 30)
+                whole = np.floor(value)
+                high = high + whole.astype(np.int64).sum(axis=0)
+                low = low + np.rint(np.ldexp(value - whole, 30)).astype(np.int64).sum(axis=0)
+        if not np.isscalar(high):
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(high))), pa.array(high), pa.array(low)], names=["k", "high", "low"])
+
+    sums = (rows.mapInArrow(run, "k bigint, high bigint, low bigint")
+            .groupBy("k").agg(F.sum("high").alias("high"), F.sum("low").alias("low")).collect())
+    return np.array([((r["high"] << 30) + r["low"]) / (1 << _UNIT) for r in sorted(sums)])
+
+
+def fit_logistic(rows: DataFrame, ridge: float = 1.0, rounds: int = 40) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(mean, scale, weights with the constant last) of ``rows`` (x, y) by
+    Newton's method; no rows: none."""
+    total = _summed(rows, lambda x, y: np.hstack([np.ones((len(x), 1)), x]))
+    if not len(total):
+        return None
+    n = total[0]
+    mean = total[1:] / n
+    scale = np.sqrt(_summed(rows, lambda x, y: (x - mean) ** 2) / n) + 1e-6
+    m = len(mean) + 1
+    w, penalty = np.zeros(m), np.full(m, ridge)
     penalty[-1] = 1e-3
+    upper = np.triu_indices(m)
+
+    def terms(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """Gradient and upper half of the second derivatives, by row."""
+        z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+        p = 1 / (1 + np.exp(-np.clip((z * w).sum(axis=1), -30, 30)))
+        return np.hstack([z * (p - y)[:, None], z[:, upper[0]] * z[:, upper[1]] * (p * (1 - p) + 1e-9)[:, None]])
+
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = (z * (p * (1 - p) + 1e-9)[:, None]).T @ z + np.diag(penalty)
-        step = np.linalg.solve(h, z.T @ (p - y) + penalty * w)
-        w -= step
+        got = _summed(rows, lambda x, y: terms(x, y, w))
+        h = np.zeros((m, m))
+        h[upper] = got[m:]
+        h = h + np.triu(h, 1).T + np.diag(penalty)
+        step = np.linalg.solve(h, got[:m] + penalty * w)
+        w = w - step
         if np.abs(step).max() < 1e-8:
             break
     return mean, scale, w
@@ -307,11 +353,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     find_package(spark)
     y = (labels.select(F.col("doc_id").alias("__id"), F.col("toxic").cast("int").alias("y")).filter("y IS NOT NULL")
          .groupBy("__id").agg(F.max("y").alias("y")))
-    n_labels = y.count()
-    if n_labels > LABEL_ROWS:
-        share = int((1 << 20) * 0.98 * LABEL_ROWS / n_labels)
-        y = y.filter(F.pmod(F.xxhash64("__id"), F.lit(1 << 20)) < share)
-    y = F.broadcast(y)  # two numbers for at most LABEL_ROWS rows
+    if y.count() <= BROADCAST_LABELS:
+        y = F.broadcast(y)  # two numbers a row
     base = docs.select(F.col(f"`{id_col}`").alias("__id"), F.col(f"`{text_col}`").alias("t"))
     base = base.withColumn("f", fold(F.col("__id"), FOLDS)).filter(F.col("f") != HELD_OUT)
     rows = base.join(y, "__id").select("t", F.when(F.col("y") > 0, 1).otherwise(0).alias("y"), "f")
@@ -324,15 +367,10 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
             shared.value.kept = {}
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.list_(pa.float64())), batch.column(1)], names=["x", "y"])
 
-    fit_rows = rows.filter(F.col("f") == FIT_FOLD).select("t", "y")
-    n = fit_rows.count()
-    if n > FIT_ROWS:
-        fit_rows = fit_rows.filter(F.pmod(F.xxhash64("t"), F.lit(1 << 20)) < int((1 << 20) * FIT_ROWS / n))
-    got = sorted(fit_rows.mapInArrow(features, "x array<double>, y int").limit(2 * FIT_ROWS).collect())  # sums in one order
-    if not got:
-        return Model(tokens, None)
-    x = np.array([r["x"] for r in got])
-    return Model(tokens, fit_logistic(x, np.array([r["y"] for r in got], float)))
+    fit_rows = written(rows.filter(F.col("f") == FIT_FOLD).select("t", "y")
+                       .mapInArrow(lambda batches: tidied(features(batches)), "x array<double>, y int"), "tox-features")
+    # Few numbers a row: many rows in a task.
+    return Model(tokens, fit_logistic(fit_rows.coalesce(1 + fit_rows.count() // ROWS_A_TASK)))
 
 
 def score_texts(df: DataFrame, model: Model, text_col: str = "text", carry: list[str] | None = None,
@@ -354,7 +392,7 @@ def score_texts(df: DataFrame, model: Model, text_col: str = "text", carry: list
         shared.value.tokens.kept = {}  # the worker lives on for other work
 
     given = df.select(*[f"`{c}`" for c in carry], df[f"`{text_col}`"].alias(spare_name(carry, "__text")))
-    return given.mapInArrow(run, ", ".join([f"`{c}` {types[c]}" for c in carry] + [f"`{output}` double"]))
+    return given.mapInArrow(lambda batches: tidied(run(batches)), ", ".join([f"`{c}` {types[c]}" for c in carry] + [f"`{output}` double"]))
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import itertools
 import random
+import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -112,3 +114,53 @@ def test_disguises_at_edges_across_cuts_and_spelled_symbols(spark, corpus):
         assert tokens.of_token("7" * (30 + shift) + "nitwit" + "7" * 60) >= tokens.of_word("nitwit")
     top = tokens.of_word("scoundrel")
     assert tokens.features("xx $ c o u n d r e l yy")[0] == top
+
+
+def _fold(i):
+    return zlib.crc32(str(i).encode()) % 5
+
+
+@pytest.fixture()
+def small_bounds(monkeypatch):
+    """Bounds that the corpus exceeds, those of earlier samples too."""
+    for name, value in (("LABEL_ROWS", 100), ("FIT_ROWS", 10), ("BROADCAST_LABELS", 100), ("ROWS_A_TASK", 50)):
+        monkeypatch.setattr(toxicity, name, value, raising=False)
+
+
+def test_words_and_weights_come_from_all_labelled_rows(spark, corpus, small_bounds):
+    docs, labels, y = corpus
+    texts = {r["doc_id"]: r["text"] for r in docs.collect()}
+    model = toxicity.fit(docs, labels)
+    counts = (Counter(), Counter())
+    for label in (0, 1):
+        for t in {t for i, t in texts.items() if y[i] == label and _fold(i) not in (toxicity.HELD_OUT, toxicity.FIT_FOLD)}:
+            found = set()
+            for w in toxicity.plain_tokens(t):
+                found.update([w] if w.isalpha() else toxicity._LETTERS.findall(w))
+            counts[label].update(found)
+    n0, n1 = (c.total() + 1.0 for c in counts)
+    want = {w: np.log(c / n1) - np.log((counts[0][w] + 2.0) / n0) for w, c in counts[1].items() if c >= toxicity.LEAST_COUNT}
+    want = {w: x for w, x in want.items() if x >= toxicity.LEAST_WEIGHT}
+    assert model.tokens.words == pytest.approx(want) and len(want) >= len(BAD)
+
+    rows = [i for i in texts if _fold(i) == toxicity.FIT_FOLD]
+    x = np.array([model.tokens.features(texts[i]) for i in rows])
+    label = np.array([y[i] for i in rows], float)
+    mean, scale, w = model.logistic
+    assert mean == pytest.approx(x.mean(axis=0)) and scale == pytest.approx(x.std(axis=0) + 1e-6)
+    z = np.hstack([(x - mean) / scale, np.ones((len(x), 1))])
+    slope = z.T @ (1 / (1 + np.exp(-z @ w)) - label) + np.array([1.0] * 7 + [1e-3]) * w
+    assert np.abs(slope).max() < 1e-6  # the minimum over all rows of the fold
+
+
+def test_scores_do_not_depend_on_the_join_or_on_how_rows_are_split(spark, corpus, monkeypatch):
+    docs, labels, _ = corpus
+
+    def scores(n):
+        out = toxicity.score_texts(docs, toxicity.fit(docs.repartition(n), labels.repartition(n))).collect()
+        return {r["doc_id"]: r["toxicity"] for r in out}
+
+    few = scores(1)
+    monkeypatch.setattr(toxicity, "BROADCAST_LABELS", 100)
+    monkeypatch.setattr(toxicity, "ROWS_A_TASK", 20)
+    assert scores(11) == few
