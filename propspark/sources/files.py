@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -43,8 +45,10 @@ def empty_files(spark: SparkSession, paths, df: DataFrame, file_col: str = "_sou
     ones and those with a header only.  The files come from the reader's own
     index, which the driver holds anyway; nothing is read for it."""
     listed = spark.read.format("binaryFile").load(paths if isinstance(paths, (list, tuple)) else [paths]).inputFiles()
-    return (spark.createDataFrame([(p,) for p in listed], "path string")
-            .join(df.select(F.col(file_col).alias("path")).distinct(), "path", "left_anti"))
+    # The index writes file:///, the metadata column may write file:/; both escape the names.
+    listed = [(re.sub("^file:/+", "file:/", p),) for p in listed]
+    present = df.select(F.regexp_replace(file_col, "^file:/+", "file:/").alias("path")).distinct()
+    return spark.createDataFrame(listed, "path string").join(present, "path", "left_anti")
 
 
 # S3 S4 ----------------------------------------------------------------------

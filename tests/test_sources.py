@@ -169,3 +169,13 @@ def test_empty_and_header_only_files_are_reported(spark, tmp_dir):
     paths = [os.path.join(tmp_dir, "*.csv")]
     out = files.empty_files(spark, paths, files.read_raw_sales(spark, paths)).collect()
     assert sorted(r.path.rsplit("/", 1)[1].replace("%20", " ") for r in out) == ["02 bis.csv", "03.csv"]
+
+
+def test_files_with_rows_and_escaped_names_are_not_empty(spark, tmp_dir):
+    cols = files.RAW_SALES_COLUMNS
+    head = ",".join(cols) + "\n"
+    for name in ("01 a.csv", "02 é%.csv"):
+        _write(os.path.join(tmp_dir, name), head + "x" + "," * (len(cols) - 1) + "\n")
+    _write(os.path.join(tmp_dir, "03 b.csv"), head)
+    out = files.empty_files(spark, tmp_dir, files.read_raw_sales(spark, tmp_dir)).collect()
+    assert [r.path.rsplit("/", 1)[1] for r in out] == ["03%20b.csv"]
